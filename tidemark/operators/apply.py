@@ -3,28 +3,30 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import META_COLUMNS, cols, position
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict
 from tidemark.operators.decode import (
     DecodedTable,
+    SchemaText,
     decode_table,
-    schema_versions,
+    parse_versions,
     split_messages,
     versions_by_table,
+    versions_of_batch,
 )
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica, TableState, Version
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
-from tidemark.operators.stats import BATCH_SCHEMA, LAG_SCHEMA, lag_histogram
+from tidemark.operators.stats import BATCH_SCHEMA, LAG_SCHEMA, lag_histogram, ops_counts
 
 # Tables of one batch are independent of each other until it is published.
 PARALLEL_TABLES = 4
@@ -64,13 +66,15 @@ def apply_batch(
     Applying a batch twice, or batches in another order, leads to the same replica.
     """
     started = _now()
-    parts = split_messages(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    kept: list[DataFrame] = [parts]
+    parts = split_messages(raw).drop("_value_schema", "_key_schema")
+    kept = [parts.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        tables = versions_by_table(schema_versions(parts, logical_types))
-        return _apply(replica, started, run_id, consumer_id, before_publish, kept, [
-            (name, lambda n=name, of=of: _decode(parts, n, of)) for name, of in tables.items()
-        ])
+        current = replica.version()
+        texts = versions_of_batch(raw.where(F.col("value").isNotNull()), parts, current.schemas)
+        tables = versions_by_table(parse_versions(texts, logical_types))
+        decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
+        batch = _Batch(replica, current, run_id, consumer_id, started, kept)
+        return batch.apply(decoders, {**current.schemas, **texts}, before_publish)
     finally:
         for df in kept:
             df.unpersist()
@@ -78,24 +82,21 @@ def apply_batch(
 
 def apply_events(
     replica: Replica,
-    events: Mapping[str, tuple[DataFrame, tuple[str, ...], TableVersion]],
-    **options: str,
+    tables: Mapping[str, tuple[DataFrame, TableVersion]],
+    *,
+    run_id: str = "run",
+    consumer_id: str = "sink-1",
 ) -> BatchResult:
     """The same for events that are typed already, such as a snapshot read from the source."""
     kept: list[DataFrame] = []
     try:
-        return _apply(
-            replica,
-            _now(),
-            options.get("run_id", "run"),
-            options.get("consumer_id", "sink-1"),
-            None,
-            kept,
-            [
-                (name, lambda n=name, e=e: _Surviving(DecodedTable(n, e[0], e[1], {0: e[2]}), {0: e[2]}, 0))
-                for name, e in sorted(events.items())
-            ],
-        )
+        current = replica.version()
+        decoders = {
+            name: partial(_Surviving, DecodedTable(name, events, version.keys, {0: version}))
+            for name, (events, version) in sorted(tables.items())
+        }
+        batch = _Batch(replica, current, run_id, consumer_id, _now(), kept)
+        return batch.apply(decoders, current.schemas)
     finally:
         for df in kept:
             df.unpersist()
@@ -103,146 +104,127 @@ def apply_events(
 
 @dataclass(frozen=True)
 class _Surviving:
-    """Events of one table, without those of versions that are superseded altogether."""
+    """Events of one table, and apart from them those of versions that are superseded altogether."""
 
     decoded: DecodedTable
-    versions: Mapping[int, TableVersion]
-    n_dropped: int
     dropped: DataFrame | None = None
 
 
-def _apply(replica, started, run_id, consumer_id, before_publish, kept, tables):  # type: ignore[no-untyped-def]
-    spark = replica.spark
-    current = replica.version()
-    number = current.number + 1
-    result = BatchResult(version=number)
-
-    def one(name: str, decode: Callable[[], _Surviving]) -> tuple[BatchResult, TableState, DataFrame]:
-        surviving = decode()
-        return _apply_table(replica, current, number, name, surviving, kept, started)
-
-    with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-        futures = {name: pool.submit(one, name, decode) for name, decode in tables}
-        done = {name: f.result() for name, f in futures.items()}
-
-    states = dict(current.tables)
-    for name, (counts, state, _) in done.items():
-        result.add(counts)
-        states[name] = state
-    _write_stats(spark, replica, number, run_id, consumer_id, started, result, [d[2] for d in done.values()])
-    if before_publish:
-        before_publish()
-    replica.publish(Version(number, states))
-    return result
-
-
 def _decode(parts: DataFrame, table: str, versions: Mapping[int, TableVersion]) -> _Surviving:
     """Only versions that an event surviving in this batch has may change the replica's schema. With
     several versions in the batch, keys and positions tell which those are."""
     if len(versions) == 1:
-        return _Surviving(decode_table(parts, table, versions), versions, 0)
+        return _Surviving(decode_table(parts, table, versions))
     light = decode_table(parts, table, versions, keys_only=True)
     newest = newest_per_key(light.events, light.keys)
     alive = {r[0] for r in newest.select("_version").distinct().collect()}
-    surviving = {i: v for i, v in versions.items() if i in alive}
-    if len(surviving) == len(versions):
-        return _Surviving(decode_table(parts, table, versions), versions, 0)
+    if alive == set(versions):
+        return _Surviving(decode_table(parts, table, versions))
     # No event of the other versions is the newest of its key: they only count.
+    surviving = {i: versions[i] for i in alive}
     dropped = light.events.where(~F.col("_version").isin(*alive))
-    return _Surviving(decode_table(parts, table, surviving), surviving, dropped.count(), dropped)
+    return _Surviving(decode_table(parts, table, surviving, only_these=True), dropped)
 
 
-def _apply_table(
-    replica: Replica,
-    current: Version,
-    number: int,
-    name: str,
-    surviving: _Surviving,
-    kept: list[DataFrame],
-    applied_at: datetime,
-) -> tuple[BatchResult, TableState, DataFrame]:
-    keys = surviving.decoded.keys
-    state = current.tables.get(name)
-    if state and state.keys != keys:
-        raise SchemaConflict(f"{name}: target key is {state.keys}, source key is {keys}")
-    schema = evolve_schema(state.schema if state else None, surviving.versions.values(), keys)
-    state = TableState(schema, keys, state.commits if state else ())
-
-    # Parsed once, used for the counts, the merge and the lag.
-    events = surviving.decoded.events.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.append(events)
-    summary = (
-        events.groupBy("_op")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(position()).alias("oldest"))
-        .collect()
-    )
-    result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in summary}))
-    for_lag = events.select("_op", "_src_commit_at")
-    if surviving.dropped is not None:
-        for_lag = for_lag.unionByName(surviving.dropped.select("_op", "_src_commit_at"))
-        result.ops.update({r["_op"]: r["n"] for r in surviving.dropped.groupBy("_op").agg(F.count(F.lit(1)).alias("n")).collect()})
-    n_events = sum(r["n"] for r in summary)
-    result.received = n_events + surviving.n_dropped
-    if not summary:
-        return result, state, for_lag
-
-    newest = newest_per_key(events, keys)
-    staged = align_to(newest, schema).select(
-        *cols(schema.names),
-        *META_COLUMNS[:-1],
-        F.lit(applied_at).cast("timestamp").alias("_applied_at"),
-    )
-    oldest = min(tuple(r["oldest"]) for r in summary)
-    stored = replica.stored(name, state, oldest)
-    n_staged, commit = replica.write_commit(name, staged, number, keys, stored, n_events)
-    result.applied = commit.rows if commit else 0
-    result.stale = n_staged - result.applied
-    result.deduped = result.received - n_staged
-    return result, state.plus(commit), for_lag
-
-
-def _write_stats(
-    spark: SparkSession,
-    replica: Replica,
-    number: int,
-    run_id: str,
-    consumer_id: str,
-    started: datetime,
-    result: BatchResult,
-    for_lag: list[DataFrame],
-) -> None:
-    """Becomes visible with the version it belongs to; readers skip numbers that are not published,
-    and a repeated batch overwrites them."""
-    applied_at = _now()
-    batch = spark.createDataFrame(
-        [
-            (
-                run_id,
-                consumer_id,
-                number,
-                started,
-                applied_at,
-                1,
-                result.received,
-                result.deduped,
-                result.applied,
-                result.stale,
-                dict(result.ops),
+@dataclass(frozen=True)
+class _Batch:
+    replica: Replica
+    current: Version
+    run_id: str
+    consumer_id: str
+    started: datetime
+    kept: list[DataFrame]  # to be released at the end
+
+    @property
+    def number(self) -> int:
+        return self.current.number + 1
+
+    def apply(
+        self,
+        decoders: Mapping[str, Callable[[], _Surviving]],
+        schemas: dict[int, SchemaText],
+        before_publish: Callable[[], None] | None = None,
+    ) -> BatchResult:
+        with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
+            futures = {
+                name: pool.submit(lambda n, d: self._apply_table(n, d()), name, decoder)
+                for name, decoder in decoders.items()
+            }
+            done = {name: f.result() for name, f in futures.items()}
+        result = BatchResult(version=self.number)
+        states = dict(self.current.tables)
+        for name, (counts, state, _) in done.items():
+            result.add(counts)
+            states[name] = state
+        self._write_stats(result, [events for _, _, events in done.values()])
+        if before_publish:
+            before_publish()
+        self.replica.publish(Version(self.number, states, schemas))
+        return result
+
+    def _apply_table(
+        self, name: str, surviving: _Surviving
+    ) -> tuple[BatchResult, TableState, DataFrame]:
+        """Counts, the table's next state, and its events for the lag."""
+        decoded, dropped = surviving.decoded, surviving.dropped
+        keys = decoded.keys
+        state = self.current.tables.get(name)
+        known = state.schema if state else None
+        if state and state.keys != keys:
+            raise SchemaConflict(f"{name}: target key is {state.keys}, source key is {keys}")
+        schema = evolve_schema(known, decoded.versions.values(), keys)
+        state = TableState(schema, keys, state.commits if state else ())
+
+        # Parsed once, used for the counts, the merge and the lag.
+        events = decoded.events.persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(events)
+        found = events.groupBy("_op").agg(
+            F.count(F.lit(1)).alias("n"), F.min(position()).alias("oldest")
+        ).collect()
+        result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in found}))
+        n_events = result.ops.total()
+        for_lag = events.select("_op", "_src_commit_at")
+        if dropped is not None:
+            for_lag = for_lag.unionByName(dropped.select("_op", "_src_commit_at"))
+            result.ops.update({r["_op"]: r["n"] for r in ops_counts(dropped).collect()})
+        result.received = result.ops.total()
+        if not found:
+            return result, state, for_lag
+
+        staged = align_to(newest_per_key(events, keys), schema).select(
+            *cols(schema.names),
+            *META_COLUMNS[:-1],
+            F.lit(self.started).cast("timestamp").alias("_applied_at"),
+        )
+        oldest = min(tuple(r["oldest"]) for r in found)
+        stored = self.replica.stored(name, state, oldest)
+        n_staged, commit = self.replica.write_commit(
+            name, staged, self.number, keys, stored, n_events
+        )
+        result.applied = commit.rows if commit else 0
+        result.stale = n_staged - result.applied
+        result.deduped = result.received - n_staged
+        return result, state.plus(commit), for_lag
+
+    def _write_stats(self, result: BatchResult, for_lag: Sequence[DataFrame]) -> None:
+        """Becomes visible with the version it belongs to: readers skip numbers that are not
+        published, and a repeated batch overwrites them."""
+        spark, path = self.replica.spark, f"{self.replica.path}/_stats"
+        applied_at = _now()
+        counts = (result.received, result.deduped, result.applied, result.stale, dict(result.ops))
+        who = (self.run_id, self.consumer_id, self.number)
+        row = (*who, self.started, applied_at, 1, *counts)
+        batch = spark.createDataFrame([row], BATCH_SCHEMA).coalesce(1)
+        batch.write.mode("overwrite").parquet(f"{path}/batches/_at={self.number}")
+        if for_lag:
+            events = reduce(DataFrame.unionByName, for_lag)
+            lag = lag_histogram(events, F.lit(applied_at).cast("timestamp"))
+            identity = [
+                F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(who, LAG_SCHEMA.fields)
+            ]
+            lag.select(*identity, "lag_ms", "n").write.mode("overwrite").parquet(
+                f"{path}/lag/_at={self.number}"
             )
-        ],
-        BATCH_SCHEMA,
-    )
-    batch.coalesce(1).write.mode("overwrite").parquet(f"{replica.path}/_stats/batches/_at={number}")
-    if for_lag:
-        events = reduce(DataFrame.unionByName, for_lag)
-        lag = lag_histogram(events, F.lit(applied_at).cast("timestamp"))
-        lag.select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(consumer_id).alias("consumer_id"),
-            F.lit(number).cast("bigint").alias("version"),
-            "lag_ms",
-            "n",
-        ).write.mode("overwrite").parquet(f"{replica.path}/_stats/lag/_at={number}")
 
 
 def batch_stats(replica: Replica) -> DataFrame:
@@ -255,7 +237,7 @@ def lag_stats(replica: Replica) -> DataFrame:
     return _stats(replica, "lag", LAG_SCHEMA)
 
 
-def _stats(replica: Replica, kind: str, schema) -> DataFrame:  # type: ignore[no-untyped-def]
+def _stats(replica: Replica, kind: str, schema: T.StructType) -> DataFrame:
     latest = replica.latest()
     read = replica.spark.read.schema(schema).option("recursiveFileLookup", "true")
     return read.parquet(f"{replica.path}/_stats/{kind}").where(F.col("version") <= latest)

@@ -16,6 +16,11 @@ OPS = ("c", "u", "d", "r")
 
 # More table versions than this in one batch means that something other than a schema varies.
 MAX_VERSIONS = 10_000
+# Messages looked up by one condition.
+LOOKUPS = 100
+
+# Table, and the schema parts of value and key.
+SchemaText = tuple[str, str | None, str | None]
 
 
 @dataclass(frozen=True)
@@ -58,50 +63,90 @@ def split_messages(raw: DataFrame) -> DataFrame:
     """Cuts each message at its payload: the schema part (the same text in every message of a table
     version) becomes ``_value_schema``, the rest ``_message``. ``_version`` is a hash of the schema
     texts and the topic."""
-    value, key = F.col("value").cast("string"), F.col("key").cast("string")
-    head = F.substring_index(value, PAYLOAD_MARK, 1)
-    regular = F.instr(value, PAYLOAD_MARK) > 0
-    rest = F.substring(value, F.length(head) + F.lit(len(PAYLOAD_MARK) + 1), F.length(value))
-    parts = raw.where(F.col("value").isNotNull()).select(
+    cut = raw.where(F.col("value").isNotNull()).select(
+        "topic",
+        "partition",
+        "offset",
+        F.col("value").cast("string").alias("_value"),
+        F.col("key").cast("string").alias("_key"),
+        # Once per message: the texts are long, and mostly schema.
+        F.split(F.col("value").cast("string"), PAYLOAD_MARK, 2).alias("_value_cut"),
+        F.split(F.col("key").cast("string"), PAYLOAD_MARK, 2).alias("_key_cut"),
+    )
+    payload = F.get(F.col("_value_cut"), F.lit(1))
+    parts = cut.select(
         "topic",
         "partition",
         "offset",
         table_of(F.col("topic")).alias("_table"),
-        F.when(regular, F.concat(head, F.lit("}")))
-        .otherwise(_schema_part(value))
-        .alias("_value_schema"),
-        F.when(F.instr(key, PAYLOAD_MARK) > 0, F.concat(F.substring_index(key, PAYLOAD_MARK, 1), F.lit("}")))
-        .otherwise(_schema_part(key))
-        .alias("_key_schema"),
-        F.when(regular, F.concat(F.lit('{"payload":'), rest)).otherwise(value).alias("_message"),
+        _schema_part("_value").alias("_value_schema"),
+        _schema_part("_key").alias("_key_schema"),
+        F.when(payload.isNotNull(), F.concat(F.lit('{"payload":'), payload))
+        .otherwise(F.col("_value"))
+        .alias("_message"),
     )
     return parts.withColumn("_version", F.xxhash64("topic", "_value_schema", "_key_schema"))
 
 
-def _schema_part(text: Column) -> Column:
-    return F.concat(F.lit('{"schema":'), F.get_json_object(text, "$.schema"), F.lit("}"))
+def _schema_part(text: str) -> Column:
+    """JSON text up to the end of the schema, the closing brace left out. Messages written with
+    blanks, or in another order, are parsed for it."""
+    parts = F.col(f"{text}_cut")
+    parsed = F.concat(F.lit('{"schema":'), F.get_json_object(text, "$.schema"))
+    return F.when(F.size(parts) == 2, F.get(parts, F.lit(0))).otherwise(parsed)
 
 
-def schema_versions(
-    parts: DataFrame, logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
-) -> dict[int, TableVersion]:
-    """Distinct table versions in a batch. Only the schema texts reach the driver, one per version."""
+def schema_texts(parts: DataFrame) -> dict[int, SchemaText]:
+    """Distinct schema texts in a batch, by version: the only part of it that reaches the driver, one
+    row per version."""
     texts = (
-        parts.select("_table", "_version", "_value_schema", "_key_schema")
+        parts.select("_version", "_table", "_value_schema", "_key_schema")
         .distinct()
         .limit(MAX_VERSIONS + 1)
         .collect()
     )
     if len(texts) > MAX_VERSIONS:
         raise SchemaConflict(f"more than {MAX_VERSIONS} schema versions in one batch")
-    if len({t["_version"] for t in texts}) != len(texts):
+    if len({t[0] for t in texts}) != len(texts):
         raise SchemaConflict("two schema versions share a hash")
-    return {
-        t["_version"]: parse_version(
-            t["_table"], t["_value_schema"], t["_key_schema"], logical_types
-        )
-        for t in texts
-    }
+    return {t[0]: (t[1], t[2], t[3]) for t in texts}
+
+
+def parse_versions(
+    texts: Mapping[int, SchemaText], logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
+) -> dict[int, TableVersion]:
+    return {i: parse_version(*text, logical_types) for i, text in texts.items()}
+
+
+def schema_versions(
+    parts: DataFrame, logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
+) -> dict[int, TableVersion]:
+    """Distinct table versions in a batch."""
+    return parse_versions(schema_texts(parts), logical_types)
+
+
+def versions_of_batch(
+    raw: DataFrame, parts: DataFrame, known: Mapping[int, SchemaText]
+) -> dict[int, SchemaText]:
+    """The same, given versions that are known already. Their messages need not be looked at again;
+    of the others, one message each is."""
+    seen = (
+        parts.groupBy("_version")
+        .agg(F.min(F.struct("topic", "partition", "offset")).alias("first"))
+        .limit(MAX_VERSIONS + 1)
+        .collect()
+    )
+    if len(seen) > MAX_VERSIONS:
+        raise SchemaConflict(f"more than {MAX_VERSIONS} schema versions in one batch")
+    texts = {r[0]: known[r[0]] for r in seen if r[0] in known}
+    new = [r["first"] for r in seen if r[0] not in known]
+    for start in range(0, len(new), LOOKUPS):
+        first = F.lit(False)
+        for m in new[start : start + LOOKUPS]:
+            same = [F.col(c).eqNullSafe(F.lit(m[c])) for c in ("topic", "partition", "offset")]
+            first = first | (same[0] & same[1] & same[2])
+        texts.update(schema_texts(split_messages(raw.where(first))))
+    return texts
 
 
 def versions_by_table(versions: Mapping[int, TableVersion]) -> dict[str, dict[int, TableVersion]]:
@@ -127,11 +172,13 @@ def decode_table(
     versions: Mapping[int, TableVersion],
     *,
     keys_only: bool = False,
+    only_these: bool = False,
     on_bad: str = "fail",
 ) -> DecodedTable:
     """Typed events of one table. Each message is parsed once, whatever the number of versions.
 
-    Decoding is strict: broken JSON, a value of the wrong type, an unknown kind of change or a
+    ``only_these`` leaves out messages of other versions; else they are an error, like the rest:
+    decoding is strict. Broken JSON, a value of the wrong type, an unknown kind of change or a
     missing image, key or position stops the job, unless ``on_bad='flag'``, which keeps such rows (broken
     JSON apart) and says why in ``_bad``.
     """
@@ -150,8 +197,11 @@ def decode_table(
             by_name[column.name][version_id] = column
 
     image_type = T.StructType([_wire_field(table, n, of.values()) for n, of in by_name.items()])
-    parsed = parts.where(F.col("_table") == table)
-    parsed = parsed.where(F.col("_version").isin(*versions)).select(
+    known = F.col("_version").isin(*versions)
+    of_table = parts.where(F.col("_table") == table)
+    if only_these:
+        of_table = of_table.where(known)
+    parsed = of_table.select(
         "topic",
         F.col("partition").alias("_partition"),
         F.col("offset").alias("_offset"),
@@ -175,6 +225,7 @@ def decode_table(
     )
     bad = (
         F.when(~F.coalesce(op.isin(*OPS), F.lit(False)), F.concat(F.lit("unsupported op "), F.coalesce(op, F.lit("null"))))
+        .when(~known, F.lit("unknown schema version"))
         .when(F.col("_image").isNull(), F.lit("no row image"))
         .when(_any_null([F.col("_image").getField(k) for k in keys]), F.lit("no key"))
         .when(_any_null([file_number, source.getField("pos")]), F.lit("no position"))

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import cols, position
+from tidemark.operators.decode import SchemaText
 from tidemark.operators.merge import drop_stale, live_view
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.schema import with_meta
@@ -58,6 +59,8 @@ class TableState:
 class Version:
     number: int = 0
     tables: dict[str, TableState] = field(default_factory=dict)
+    # Schema texts by message version, so that known ones need no look at the messages.
+    schemas: dict[int, SchemaText] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps(
@@ -69,21 +72,24 @@ class Version:
                         "commits": [[c.version, c.rows, list(c.newest)] for c in t.commits],
                     }
                     for name, t in self.tables.items()
-                }
+                },
+                "schemas": {str(i): list(text) for i, text in self.schemas.items()},
             }
         )
 
     @staticmethod
     def from_json(number: int, text: str) -> Version:
+        stored = json.loads(text)
         tables = {
             name: TableState(
                 T.StructType.fromJson(t["schema"]),
                 tuple(t["keys"]),
                 tuple(Commit(v, n, tuple(p)) for v, n, p in t["commits"]),
             )
-            for name, t in json.loads(text)["tables"].items()
+            for name, t in stored["tables"].items()
         }
-        return Version(number, tables)
+        schemas = {int(i): tuple(of) for i, of in stored["schemas"].items()}
+        return Version(number, tables, schemas)
 
 
 class Replica:
@@ -236,7 +242,7 @@ class Replica:
             tables[name] = TableState(state.schema, state.keys, (*state.commits[:-n], commit))
             folded.append(name)
         if folded:
-            self.publish(Version(number, tables))
+            self.publish(Version(number, tables, current.schemas))
         return folded
 
     def vacuum(self, keep_versions: int = 10) -> list[str]:

@@ -40,15 +40,16 @@ def parse_version(
     key_schema: str | None,
     logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES,
 ) -> TableVersion:
-    """The schema parts of a message's value and key (JSON) -> ``TableVersion``."""
+    """The schema parts of a message's value and key (JSON without the closing brace) ->
+    ``TableVersion``."""
     if not value_schema:
         raise SchemaConflict(f"{table}: a message carries no schema")
     if not key_schema:
         raise SchemaConflict(f"{table}: tables without a primary key are not supported")
-    envelope = json.loads(value_schema)["schema"]["fields"]
+    envelope = json.loads(value_schema + "}")["schema"]["fields"]
     row = next(f for f in envelope if f["field"] == "after")
     columns = tuple(column_type(table, f, logical_types) for f in row["fields"])
-    keys = tuple(f["field"] for f in json.loads(key_schema)["schema"]["fields"])
+    keys = tuple(f["field"] for f in json.loads(key_schema + "}")["schema"]["fields"])
     version = TableVersion(table, columns, keys)
     _check_names(version)
     return version
