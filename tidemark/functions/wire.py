@@ -23,9 +23,13 @@ from pyspark.sql import Column, functions as F, types as T
 DECIMAL = "org.apache.kafka.connect.data.Decimal"
 JSON = "io.debezium.data.Json"
 
-# Keys of the metadata a replica column carries.
+# Metadata of a replica column: what it is in the source. Columns of different kinds never mix, even
+# where Spark stores them alike (JSON and text, say).
 KIND = "kind"
 
+# Kinds that are not named like the Spark type.
+KINDS = {"timestamp_ntz": "timestamp", "timestamp": "timestamptz"}
+
 MICROS_PER_DAY = 86_400_000_000
 MAX_DECIMAL_DIGITS = 38
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -10,7 +11,7 @@ from datetime import datetime, timezone
 from functools import partial, reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import META_COLUMNS, cols, position
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict
@@ -26,11 +27,22 @@ from tidemark.operators.decode import (
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica, TableState, Version
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
-from tidemark.operators.stats import BATCH_SCHEMA, LAG_SCHEMA, lag_histogram, ops_counts
+from tidemark.operators.stats import (
+    BATCH_SCHEMA,
+    LAG_SCHEMA,
+    histogram_percentiles,
+    lag_histogram,
+    ops_counts,
+    run_ops,
+    run_summary,
+)
 
 # Tables of one batch are independent of each other until it is published.
 PARALLEL_TABLES = 4
 
+# Lag percentiles of a run report.
+REPORTED = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
+
 
 @dataclass
 class BatchResult:
@@ -209,22 +221,28 @@ class _Batch:
     def _write_stats(self, result: BatchResult, for_lag: Sequence[DataFrame]) -> None:
         """Becomes visible with the version it belongs to: readers skip numbers that are not
         published, and a repeated batch overwrites them."""
-        spark, path = self.replica.spark, f"{self.replica.path}/_stats"
-        applied_at = _now()
-        counts = (result.received, result.deduped, result.applied, result.stale, dict(result.ops))
+        path, applied_at = f"{self.replica.path}/_stats", _now()
         who = (self.run_id, self.consumer_id, self.number)
-        row = (*who, self.started, applied_at, 1, *counts)
-        batch = spark.createDataFrame([row], BATCH_SCHEMA).coalesce(1)
-        batch.write.mode("overwrite").parquet(f"{path}/batches/_at={self.number}")
+        counts = (result.received, result.deduped, result.applied, result.stale)
+        ops = F.create_map(*(F.lit(x) for op_n in result.ops.items() for x in op_n))
+        row = [F.lit(v) for v in (*who, self.started, applied_at, 1, *counts)]
+        batch = self.replica.spark.range(1).select(_as(BATCH_SCHEMA, [*row, ops]))
+        writes = [(batch.coalesce(1), "batches")]
         if for_lag:
             events = reduce(DataFrame.unionByName, for_lag)
             lag = lag_histogram(events, F.lit(applied_at).cast("timestamp"))
-            identity = [
-                F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(who, LAG_SCHEMA.fields)
-            ]
-            lag.select(*identity, "lag_ms", "n").write.mode("overwrite").parquet(
-                f"{path}/lag/_at={self.number}"
-            )
+            columns = [*(F.lit(v) for v in who), F.col("lag_ms"), F.col("n")]
+            writes.append((lag.select(_as(LAG_SCHEMA, columns)), "lag"))
+        with ThreadPoolExecutor(len(writes)) as pool:
+            for done in [
+                pool.submit(df.write.mode("overwrite").parquet, f"{path}/{kind}/_at={self.number}")
+                for df, kind in writes
+            ]:
+                done.result()
+
+
+def _as(schema: T.StructType, columns: Sequence[Column]) -> list[Column]:
+    return [c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields, strict=True)]
 
 
 def batch_stats(replica: Replica) -> DataFrame:
@@ -237,6 +255,33 @@ def lag_stats(replica: Replica) -> DataFrame:
     return _stats(replica, "lag", LAG_SCHEMA)
 
 
+def run_report(
+    replica: Replica, run_id: str, reports: DataFrame | None = None
+) -> dict[str, object]:
+    """What a run did, as one small document: totals, events per kind, lag percentiles, and the
+    outcome of ``verify`` if given."""
+    batches = batch_stats(replica).where(F.col("run_id") == run_id)
+    lags = lag_stats(replica).where(F.col("run_id") == run_id)
+    totals = run_summary(batches).drop("run_id", "started_at", "updated_at").first()
+    report: dict[str, object] = {
+        "run_id": run_id,
+        "totals": totals.asDict() if totals else {},
+        "events_by_op": {r["op"]: r["n"] for r in run_ops(batches).collect()},
+        "lag_ms": histogram_percentiles(lags, REPORTED).first().asDict(),  # type: ignore[union-attr]
+    }
+    if reports is not None:
+        rows = [r.asDict() for r in reports.collect()]  # one per table
+        report["tables"] = rows
+        report["all_ok"] = all(r["ok"] for r in rows)
+    return report
+
+
+def write_report(replica: Replica, report: Mapping[str, object], path: str) -> None:
+    """The report as a JSON file."""
+    text = [(json.dumps(report, default=str),)]
+    replica.spark.createDataFrame(text, "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def _stats(replica: Replica, kind: str, schema: T.StructType) -> DataFrame:
     latest = replica.latest()
     read = replica.spark.read.schema(schema).option("recursiveFileLookup", "true")

@@ -160,6 +160,13 @@ class Replica:
         state = self.version(version).tables[table]
         return live_view(self._read(table, state), state.schema.names)
 
+    def create_views(self, prefix: str = "") -> list[str]:
+        """The live rows of every table as a temporary view, all of the same version."""
+        current = self.version()
+        for table, state in current.tables.items():
+            live_view(self._read(table, state), state.schema.names).createOrReplaceTempView(prefix + table)
+        return [prefix + t for t in sorted(current.tables)]
+
     def _read(
         self, table: str, state: TableState, commits: Sequence[Commit] | None = None
     ) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.functions.columns import EVENT_COLUMNS, META_COLUMNS, META_FIELDS, cols, quoted
 from tidemark.functions.wire import (
     KIND,
+    KINDS,
     LOGICAL_TYPES,
     MAX_DECIMAL_DIGITS,
     ColumnType,
@@ -55,6 +56,18 @@ def parse_version(
     return version
 
 
+def version_of(table: str, schema: T.StructType, keys: Sequence[str]) -> TableVersion:
+    """The version of a table that is read with its types already, such as a snapshot."""
+    columns = []
+    for f in schema.fields:
+        kind = (f.metadata or {}).get(KIND) or KINDS.get(f.dataType.typeName(), f.dataType.typeName())
+        rule = f.dataType.simpleString()
+        columns.append(ColumnType(f.name, f.dataType, f.dataType, kind, rule, lambda v: v))
+    version = TableVersion(table, tuple(columns), tuple(keys))
+    _check_names(version)
+    return version
+
+
 def _check_names(version: TableVersion) -> None:
     taken = {n.lower() for n in (*META_COLUMNS, *EVENT_COLUMNS)}
     seen: set[str] = set()

@@ -269,10 +269,10 @@ def caught_up(markers: DataFrame, replica_markers: DataFrame, lag: DataFrame, ke
         F.count(F.lit(1)).alias("markers"),
         F.count_if(F.col("_arrived").isNull()).alias("waiting"),
     )
-    # Both sides are single rows.
-    return waiting.join(F.broadcast(lag)).select(
-        "markers",
-        "waiting",
-        "lag",
-        ((F.col("waiting") == 0) & (F.col("lag") == 0)).alias("caught_up"),
+    # Two single rows into one.
+    none = F.lit(0).cast("bigint")
+    both = waiting.withColumn("lag", none).unionByName(
+        lag.select(none.alias("markers"), none.alias("waiting"), "lag")
     )
+    totals = both.agg(*(F.sum(c).alias(c) for c in ("markers", "waiting", "lag")))
+    return totals.withColumn("caught_up", (F.col("waiting") == 0) & (F.col("lag") == 0))

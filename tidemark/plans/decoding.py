@@ -126,13 +126,12 @@ def tombstones_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = F.when(deleted, F.array(F.col("value"), F.lit(None))).otherwise(F.array("value"))
     with_tombstones = messages.withColumn("value", F.explode(copies))
     events = decoded(with_tombstones)["orders"].events
-    n = ops_counts(events).withColumnRenamed("_op", "op")
     empty = with_tombstones.where(F.col("value").isNull())
-    tombstones = empty.agg(F.count(F.lit(1)).alias("_tombstones"))
-    return n.join(F.broadcast(tombstones)).select(
-        "op",
-        "n",
-        F.when(F.col("op") == "d", F.col("_tombstones")).otherwise(F.lit(0)).alias("tombstones"),
+    both = events.select(F.col("_op").alias("op"), F.lit(True).alias("_is_event")).unionByName(
+        empty.select(F.lit("d").alias("op"), F.lit(False).alias("_is_event"))
+    )
+    return both.groupBy("op").agg(
+        F.count_if("_is_event").alias("n"), F.count_if(~F.col("_is_event")).alias("tombstones")
     )
 
 

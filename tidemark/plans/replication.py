@@ -6,10 +6,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.apply import apply_batch, batch_stats, lag_stats
+from tidemark.operators.apply import apply_batch, apply_events, batch_stats, lag_stats
 from tidemark.operators.merge import guarded_merge, live_view, merge_counts
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica
+from tidemark.operators.schema import version_of
 from tidemark.operators.stats import run_ops, run_summary
 from tidemark.operators.verify import verify
 from tidemark.plans.decoding import (
@@ -32,10 +33,11 @@ from tidemark.plans.feeds import (
     activity,
     newest_sql,
     ordering,
+    table,
 )
 from tidemark.plans.registry import query
 from tidemark.plans.workspace import fresh_dir
-from tidemark.sources.changes import read_changes
+from tidemark.sources.changes import read_changes, snapshot_events
 from tidemark.sources.feeds import encode
 from tidemark.streaming.runner import run_state_stream, run_stream
 
@@ -221,6 +223,44 @@ def run_lag_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lags.groupBy("consumer_id").agg(F.sum("n").alias("events"))
 
 
+@query(
+    """WITH balances AS (
+      SELECT c_custkey, c_mktsegment, CAST(round(c_acctbal, 2) AS DECIMAL(12,2)) AS balance, 1 AS f, CAST(0 AS BIGINT) AS p
+      FROM customer
+      UNION ALL
+      SELECT o_custkey, o_orderpriority, CAST(round(o_totalprice, 2) AS DECIMAL(12,2)), CAST(year(o_orderdate) AS INTEGER), o_orderkey
+      FROM orders)
+    SELECT c_custkey, c_mktsegment, balance, f, p FROM balances
+    QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY f DESC, p DESC) = 1"""
+)
+def snapshot_then_stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream is applied first; the snapshot it started from comes later and only adds the rows
+    the stream did not touch."""
+    keys = ("c_custkey",)
+    orders = table(spark, sf_dir, "orders")
+    stream = orders.select(
+        F.col("o_custkey").alias("c_custkey"),
+        F.col("o_orderpriority").alias("c_mktsegment"),
+        F.round("o_totalprice", 2).cast("decimal(12,2)").alias("balance"),
+        F.lit("u").alias("_op"),
+        F.year("o_orderdate").alias("_src_file"),
+        F.col("o_orderkey").alias("_src_pos"),
+        F.lit(0).alias("_src_row"),
+        F.col("o_orderdate").cast("timestamp").alias("_src_commit_at"),
+    )
+    before = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        "c_mktsegment",
+        F.round("c_acctbal", 2).cast("decimal(12,2)").alias("balance"),
+    )
+    replica = new_replica(spark, "snapshot")
+    apply_batch(replica, encode(stream, "customer", keys))
+    events = snapshot_events(before, keys, (1, 0, 0))
+    apply_events(replica, {"customer": (events, version_of("customer", before.schema, keys))})
+    rows = replica.read("customer")
+    return rows.select("c_custkey", "c_mktsegment", "balance", *places()[:2])
+
+
 # ---- schema changes
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import META_COLUMNS, EVENT_COLUMNS, cols, quoted
+from tidemark.functions.columns import EVENT_COLUMNS, META_COLUMNS, cols, quoted
 from tidemark.functions.wire import DECIMAL
 
 # Spark type -> (primitive wire type, logical type).
