@@ -191,18 +191,50 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     assert sorted(latest_state(events, ["k"]).collect()) == sorted(newest.collect())
 
 
-@pytest.mark.parametrize("n_events", [None, 100])
-def test_the_guard_shuffles_each_side_once(spark, n_events):
+@pytest.mark.parametrize("key_bytes", [None, 100])
+def test_the_guard_shuffles_each_side_once(spark, key_bytes):
     """Without broadcasts, as with large tables: the staged rows stay where the ranking put them."""
     sql = "select id as k, 1 as _src_file, {} as _src_pos, 0 as _src_row, 'x' as wide from range({})"
     stored = spark.sql(sql.format("if(id < 20, 5, 50)", 100)).union(spark.sql(sql.format("7", 10)))
     staged = newest_per_key(spark.sql(sql.format("10", 60)), ["k"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        fresh = drop_stale(staged, stored, ["k"], n_events)
+        fresh = drop_stale(staged, stored, ["k"], key_bytes)
         assert sorted(r.k for r in fresh.collect()) == list(range(20))
-        if n_events is None:
+        if key_bytes is None:
             plan = plan_of(fresh).split("Initial Plan")[0]
             assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_commits_are_never_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.replica.BUCKETED_ROWS", 40)
+    replica = Replica(spark, str(tmp_path / "replica"), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        first = [change("c", item(i, "old"), 100 + i) for i in range(50)]
+        apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
+        (commit,) = replica.version().tables["items"].commits
+        assert commit.buckets == 4 and commit.rows == 50
+        later = [change("u", item(i, "new", tier="gold"), 200 + i, fields=V2) for i in range(5)]
+        stale = [change("u", item(i, "stale"), 60 + i) for i in range(40, 50)]
+        result = apply_batch(replica, spark.createDataFrame(later + stale, RAW_SCHEMA))
+        assert (result.applied, result.stale) == (5, 10)
+        live = replica.live("items")
+        assert live.groupBy("name", "tier").count().orderBy("name").collect() == [
+            ("new", "gold", 5), ("old", None, 45)
+        ]
+        plan = plan_of(live).split("Initial Plan")[0]
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning") == 1  # the small commit
+        replay = apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
+        assert (replay.applied, replay.stale) == (0, 50)
+        before = sorted(replica.read("items").collect(), key=lambda r: r.id)
+        for i in range(4):
+            apply_batch(replica, spark.createDataFrame([change("u", item(i), 300, fields=V2)], RAW_SCHEMA))
+        replica.fold()
+        again = sorted(replica.read("items").collect(), key=lambda r: r.id)
+        assert again[4:] == before[4:] and [r._src_pos for r in again[:4]] == [300] * 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -24,6 +24,7 @@ from tidemark.operators.decode import (
     versions_by_table,
     versions_of_batch,
 )
+from tidemark.operators.merge import key_size
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica, TableState, Version
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
@@ -191,7 +192,9 @@ class _Batch:
         events = decoded.events.persist(StorageLevel.MEMORY_AND_DISK)
         self.kept.append(events)
         found = events.groupBy("_op").agg(
-            F.count(F.lit(1)).alias("n"), F.min(position()).alias("oldest")
+            F.count(F.lit(1)).alias("n"),
+            F.min(position()).alias("oldest"),
+            key_size(events, keys).alias("key_bytes"),
         ).collect()
         result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in found}))
         n_events = result.ops.total()
@@ -210,8 +213,9 @@ class _Batch:
         )
         oldest = min(tuple(r["oldest"]) for r in found)
         stored = self.replica.stored(name, state, oldest)
+        key_bytes = sum(r["key_bytes"] for r in found)
         n_staged, commit = self.replica.write_commit(
-            name, staged, self.number, keys, stored, n_events
+            name, state, staged, self.number, n_events, stored, key_bytes
         )
         result.applied = commit.rows if commit else 0
         result.stale = n_staged - result.applied

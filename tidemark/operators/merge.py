@@ -4,32 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import POSITION, cols, position, quoted, same_keys
 
 
-# Keys and positions of this many events fit a broadcast (about 100 bytes each at most).
-BROADCAST_EVENTS = 500_000
+# Keys of a batch are broadcast up to this size.
+BROADCAST_BYTES = 64 << 20
 
 
 def drop_stale(
-    staged: DataFrame, stored: DataFrame, keys: Sequence[str], n_events: int | None = None
+    staged: DataFrame, stored: DataFrame, keys: Sequence[str], key_bytes: int | None = None
 ) -> DataFrame:
     """Staged rows without those whose key is stored at the same or a newer position.
 
     ``staged`` has one row per key; ``stored`` may hold several versions of a key, and only its keys
-    and positions are read. If ``staged`` comes from at most ``n_events`` events and that is few,
-    its keys are broadcast to cut ``stored`` down before anything is shuffled.
+    and positions are read. If the keys of ``staged`` are known to take few bytes (``key_bytes``),
+    they are broadcast to cut ``stored`` down before anything is shuffled.
     """
     stored = stored.select(*cols(keys), *POSITION)
-    if n_events is not None and n_events <= BROADCAST_EVENTS:
+    if key_bytes is not None and key_bytes <= BROADCAST_BYTES:
         wanted = F.broadcast(staged.select(*cols(keys)))
         stored = stored.join(wanted, list(keys), "left_semi")
     newer = same_keys("s", "t", keys) & (position("t") >= position("s"))
     return staged.alias("s").join(stored.alias("t"), newer, "left_anti")
 
 
+def key_size(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Sum of the bytes the keys of all rows take."""
+    size = F.lit(16 * len(keys)).cast("bigint")
+    for k in keys:
+        if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)):
+            size = size + F.octet_length(F.col(quoted(k)))
+    return F.sum(size)
+
+
 def guarded_merge(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The whole target after the upsert: absent keys are inserted, rows with an older position are
     replaced in every column, all others stay. Both sides have one row per key and the same columns."""

@@ -10,18 +10,25 @@ A commit costs what its batch costs, not what the table holds: nothing is rewrit
 commits are reduced to the newest row per key and override the first. ``fold`` joins small commits
 into larger ones, so that each row is rewritten a logarithmic number of times.
 
+With ``buckets``, large commits are written as bucketed tables, one bucket per hash of the key. Reading
+such a table, or guarding a batch against it, then shuffles the small side only. The number should be
+that of ``spark.sql.shuffle.partitions``, so that a commit has one file per bucket.
+
 One writer per replica at a time; a second one that publishes the same version fails.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.functions.columns import cols, position
+from tidemark.functions.columns import cols, position, quoted
 from tidemark.operators.decode import SchemaText
 from tidemark.operators.merge import drop_stale, live_view
 from tidemark.operators.reduce import newest_per_key
@@ -32,6 +39,9 @@ Position = tuple[int, int, int]
 # Fold once this many commits of about one size have gathered.
 FOLD_AT = 4
 
+# Smaller commits are not worth a file per bucket: they are broadcast, or cheap to shuffle.
+BUCKETED_ROWS = 5_000_000
+
 
 class ConcurrentWrite(RuntimeError):
     """Another writer published this version first."""
@@ -42,6 +52,7 @@ class Commit:
     version: int
     rows: int
     newest: Position
+    buckets: int = 0  # 0: plain files
 
 
 @dataclass(frozen=True)
@@ -69,7 +80,7 @@ class Version:
                     name: {
                         "schema": t.schema.jsonValue(),
                         "keys": list(t.keys),
-                        "commits": [[c.version, c.rows, list(c.newest)] for c in t.commits],
+                        "commits": [[c.version, c.rows, list(c.newest), c.buckets] for c in t.commits],
                     }
                     for name, t in self.tables.items()
                 },
@@ -84,7 +95,7 @@ class Version:
             name: TableState(
                 T.StructType.fromJson(t["schema"]),
                 tuple(t["keys"]),
-                tuple(Commit(v, n, tuple(p)) for v, n, p in t["commits"]),
+                tuple(Commit(v, n, tuple(p), b) for v, n, p, b in t["commits"]),
             )
             for name, t in stored["tables"].items()
         }
@@ -95,9 +106,10 @@ class Version:
 class Replica:
     """Handle on a replica. Holds no state of its own; every call reads the published version."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 0) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
         self._versions = f"{self.path}/_versions"
 
     # ---- versions
@@ -114,7 +126,7 @@ class Replica:
         if not fs.exists(path(self._versions)):
             return 0
         names = (s.getPath().getName() for s in fs.listStatus(path(self._versions)))
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] != "_"), default=0)
+        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] not in "._"), default=0)
 
     def version(self, number: int | None = None) -> Version:
         number = self.latest() if number is None else number
@@ -185,8 +197,26 @@ class Replica:
 
     def _files(self, table: str, state: TableState, commits: Iterable[Commit]) -> DataFrame:
         # The schema is given, so files from before a column was added or widened read as today's.
-        paths = [self._commit_path(table, c.version) for c in commits]
-        return self.spark.read.schema(with_meta(state.schema)).parquet(*paths)
+        plain = [self._commit_path(table, c.version) for c in commits if not c.buckets]
+        frames = [self._bucketed(table, state, c) for c in commits if c.buckets]
+        if plain:
+            frames.append(self.spark.read.schema(with_meta(state.schema)).parquet(*plain))
+        return reduce(DataFrame.unionByName, frames)
+
+    def _bucketed(self, table: str, state: TableState, commit: Commit) -> DataFrame:
+        """A bucketed commit. Only a table of the catalog can tell Spark of buckets, so one is declared
+        over the files."""
+        schema, path = with_meta(state.schema), self._commit_path(table, commit.version)
+        declared = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        by = ", ".join(quoted(k) for k in state.keys)
+        name = "tidemark_" + hashlib.md5(f"{path} {declared}".encode()).hexdigest()
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({declared}) USING parquet"
+            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {commit.buckets} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(name).select(
+            *(F.col(quoted(f.name)).alias(f.name, metadata=f.metadata) for f in schema.fields)
+        )
 
     def stored(self, table: str, state: TableState, since: Position) -> DataFrame | None:
         """Rows that an event at ``since`` or later could lose against: those stored at that position
@@ -209,11 +239,12 @@ class Replica:
     def write_commit(
         self,
         table: str,
+        state: TableState,
         rows: DataFrame,
         version: int,
-        keys: Sequence[str] = (),
+        rows_at_most: int,
         stored: DataFrame | None = None,
-        n_events: int | None = None,
+        key_bytes: int | None = None,
     ) -> tuple[int, Commit | None]:
         """Writes ``rows``, without those that ``stored`` makes stale, as a commit nobody sees yet.
         Returns how many rows came in, and the commit, or None if no row was left.
@@ -224,15 +255,29 @@ class Replica:
         came, wrote = Observation(), Observation()
         rows = rows.observe(came, F.count(F.lit(1)).alias("n"))
         if stored is not None:
-            rows = drop_stale(rows, stored, keys, n_events)
+            rows = drop_stale(rows, stored, state.keys, key_bytes)
         rows = rows.observe(
             wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest")
         )
-        rows.write.mode("overwrite").parquet(self._commit_path(table, version))
+        path = self._commit_path(table, version)
+        buckets = self._buckets_for(state, rows_at_most)
+        writer = rows.write.mode("overwrite").format("parquet")
+        if buckets:
+            by = list(state.keys)
+            draft = "tidemark_draft_" + uuid.uuid4().hex
+            writer.bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(draft)
+            self.spark.sql(f"DROP TABLE {draft}")  # leaves the files
+        else:
+            writer.save(path)
         got = wrote.get
-        commit = Commit(version, got["n"], tuple(got["newest"])) if got["n"] else None
+        commit = Commit(version, got["n"], tuple(got["newest"]), buckets) if got["n"] else None
         return came.get["n"], commit
 
+    def _buckets_for(self, state: TableState, rows: int) -> int:
+        # A decimal that widens falls into another bucket, so decimal keys have none.
+        stable = not any(isinstance(state.schema[k].dataType, T.DecimalType) for k in state.keys)
+        return self.buckets if stable and rows >= BUCKETED_ROWS else 0
+
     def fold(self) -> list[str]:
         """Joins commits of a table where enough of about one size have gathered. Returns the
         tables it rewrote a part of."""
@@ -244,7 +289,8 @@ class Replica:
             if n < FOLD_AT:
                 continue
             old = state.commits[-n:]
-            _, commit = self.write_commit(name, self._read(name, state, old), number)
+            rows = self._read(name, state, old)
+            _, commit = self.write_commit(name, state, rows, number, sum(c.rows for c in old))
             assert commit is not None
             tables[name] = TableState(state.schema, state.keys, (*state.commits[:-n], commit))
             folded.append(name)
@@ -253,11 +299,17 @@ class Replica:
         return folded
 
     def vacuum(self, keep_versions: int = 10) -> list[str]:
-        """Deletes commits that none of the last versions names. Returns their directories."""
+        """Deletes all but the last versions, and the commits none of them names. Returns the
+        directories of these."""
         latest = self.latest()
-        kept = [self.version(n) for n in range(max(1, latest - keep_versions + 1), latest + 1)]
+        oldest = max(1, latest - keep_versions + 1)
+        kept = [self.version(n) for n in range(oldest, latest + 1)]
         named = {(t, c.version) for v in kept for t, s in v.tables.items() for c in s.commits}
         fs, path = self._file_system()
+        for entry in fs.listStatus(path(self._versions)):
+            name = entry.getPath().getName()
+            if name.endswith(".json") and name[0] not in "._" and int(name[:-5]) < oldest:
+                fs.delete(entry.getPath(), False)
         gone = []
         for table in kept[-1].tables if kept else ():
             for entry in fs.listStatus(path(f"{self.path}/{table}")):

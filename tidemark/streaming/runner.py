@@ -38,7 +38,7 @@ def run_stream(
 
     def handle(batch: DataFrame, _: int) -> None:
         result = apply_batch(
-            Replica(batch.sparkSession, replica.path),
+            Replica(batch.sparkSession, replica.path, replica.buckets),
             batch,
             run_id=run_id,
             consumer_id=consumer_id,
