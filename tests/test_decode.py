@@ -196,7 +196,7 @@ def test_messages_with_blanks_decode_alike(spark):
 
 
 def test_unknown_ops_stop(spark):
-    with pytest.raises(Exception, match="unsupported op t at x.shop.items:0:1"):
+    with pytest.raises(Exception, match="unsupported op t at x.db.items:0:1"):
         rows(spark, change("t", item(1), 1))
     with pytest.raises(Exception, match="unsupported op t"):
         validate_ops(raw(spark, change("t", item(1), 1))).collect()
@@ -279,4 +279,4 @@ def test_reading_messages(spark, tmp_path):
     assert read_changes(spark, str(tmp_path / "some")).schema == RAW_SCHEMA
     raw(spark, change("c", item(1), 1)).write.json(str(tmp_path / "json"))
     assert read_changes(spark, str(tmp_path / "json"), file_format="json").count() == 1
-    assert topic_pattern("cdc", "shop") == r"^cdc\.shop\..*"
+    assert topic_pattern("feed", "db") == r"^feed\.db\..*"

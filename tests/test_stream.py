@@ -9,7 +9,7 @@ from tidemark.operators.apply import (
     run_report,
     write_report,
 )
-from tidemark.operators.merge import drop_stale
+from tidemark.operators.merge import drop_stale, stored_for
 from tidemark.operators.reduce import latest_state, newest_per_key
 from tidemark.operators.replica import Replica
 from tidemark.operators.schema import version_of
@@ -191,7 +191,7 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark):
     assert sorted(latest_state(events, ["k"]).collect()) == sorted(newest.collect())
 
 
-@pytest.mark.parametrize("key_bytes", [None, 100])
+@pytest.mark.parametrize("key_bytes", [1 << 40, 100])
 def test_the_guard_shuffles_each_side_once(spark, key_bytes):
     """Without broadcasts, as with large tables: the staged rows stay where the ranking put them."""
     sql = "select id as k, 1 as _src_file, {} as _src_pos, 0 as _src_row, 'x' as wide from range({})"
@@ -199,11 +199,14 @@ def test_the_guard_shuffles_each_side_once(spark, key_bytes):
     staged = newest_per_key(spark.sql(sql.format("10", 60)), ["k"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        fresh = drop_stale(staged, stored, ["k"], key_bytes)
+        fresh = drop_stale(staged, stored_for(staged, stored, ["k"], key_bytes), ["k"])
         assert sorted(r.k for r in fresh.collect()) == list(range(20))
-        if key_bytes is None:
-            plan = plan_of(fresh).split("Initial Plan")[0]
-            assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in plan
+        plan = plan_of(fresh).split("Initial Plan")[0]
+        assert "SortMergeJoin" in plan
+        if key_bytes == 100:
+            assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+        else:
+            assert plan.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

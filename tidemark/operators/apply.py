@@ -24,7 +24,7 @@ from tidemark.operators.decode import (
     versions_by_table,
     versions_of_batch,
 )
-from tidemark.operators.merge import key_size
+from tidemark.operators.merge import key_size, stored_for
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica, TableState, Version
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
@@ -213,9 +213,10 @@ class _Batch:
         )
         oldest = min(tuple(r["oldest"]) for r in found)
         stored = self.replica.stored(name, state, oldest)
-        key_bytes = sum(r["key_bytes"] for r in found)
+        if stored is not None:
+            stored = stored_for(staged, stored, keys, sum(r["key_bytes"] for r in found))
         n_staged, commit = self.replica.write_commit(
-            name, state, staged, self.number, n_events, stored, key_bytes
+            name, state, staged, self.number, n_events, stored
         )
         result.applied = commit.rows if commit else 0
         result.stale = n_staged - result.applied

@@ -13,23 +13,28 @@ from tidemark.functions.columns import POSITION, cols, position, quoted, same_ke
 BROADCAST_BYTES = 64 << 20
 
 
-def drop_stale(
-    staged: DataFrame, stored: DataFrame, keys: Sequence[str], key_bytes: int | None = None
-) -> DataFrame:
+def drop_stale(staged: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows without those whose key is stored at the same or a newer position.
 
     ``staged`` has one row per key; ``stored`` may hold several versions of a key, and only its keys
-    and positions are read. If the keys of ``staged`` are known to take few bytes (``key_bytes``),
-    they are broadcast to cut ``stored`` down before anything is shuffled.
+    and positions are read.
     """
     stored = stored.select(*cols(keys), *POSITION)
-    if key_bytes is not None and key_bytes <= BROADCAST_BYTES:
-        wanted = F.broadcast(staged.select(*cols(keys)))
-        stored = stored.join(wanted, list(keys), "left_semi")
     newer = same_keys("s", "t", keys) & (position("t") >= position("s"))
     return staged.alias("s").join(stored.alias("t"), newer, "left_anti")
 
 
+def stored_for(
+    staged: DataFrame, stored: DataFrame, keys: Sequence[str], key_bytes: int
+) -> DataFrame:
+    """Keys and positions of ``stored`` that ``staged`` can meet. If the keys of ``staged`` are known
+    to take few bytes, they are broadcast to cut ``stored`` down before anything is shuffled."""
+    stored = stored.select(*cols(keys), *POSITION)
+    if key_bytes > BROADCAST_BYTES:
+        return stored
+    return stored.join(F.broadcast(staged.select(*cols(keys))), list(keys), "left_semi")
+
+
 def key_size(df: DataFrame, keys: Sequence[str]) -> Column:
     """Sum of the bytes the keys of all rows take."""
     size = F.lit(16 * len(keys)).cast("bigint")

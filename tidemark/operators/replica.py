@@ -172,6 +172,17 @@ class Replica:
         state = self.version(version).tables[table]
         return live_view(self._read(table, state), state.schema.names)
 
+    def catalog(self) -> DataFrame:
+        """Columns of all tables: (table, position, column, type, is_key). The replica's own are
+        left out."""
+        rows = [
+            (table, n, f.name, f.dataType.simpleString(), f.name in state.keys)
+            for table, state in sorted(self.version().tables.items())
+            for n, f in enumerate(state.schema.fields)
+        ]
+        names = "table string, position int, column string, type string, is_key boolean"
+        return self.spark.createDataFrame(rows, names)
+
     def create_views(self, prefix: str = "") -> list[str]:
         """The live rows of every table as a temporary view, all of the same version."""
         current = self.version()
@@ -244,7 +255,6 @@ class Replica:
         version: int,
         rows_at_most: int,
         stored: DataFrame | None = None,
-        key_bytes: int | None = None,
     ) -> tuple[int, Commit | None]:
         """Writes ``rows``, without those that ``stored`` makes stale, as a commit nobody sees yet.
         Returns how many rows came in, and the commit, or None if no row was left.
@@ -255,7 +265,7 @@ class Replica:
         came, wrote = Observation(), Observation()
         rows = rows.observe(came, F.count(F.lit(1)).alias("n"))
         if stored is not None:
-            rows = drop_stale(rows, stored, state.keys, key_bytes)
+            rows = drop_stale(rows, stored, state.keys)
         rows = rows.observe(
             wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest")
         )

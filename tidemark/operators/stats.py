@@ -22,8 +22,8 @@ def lag_ms(commit_at: Column, applied_at: Column) -> Column:
 
 
 def lag_histogram(events: DataFrame, applied_at: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Events per whole millisecond of lag, superseded and stale ones included. Snapshot rows
-    have no meaningful commit time and do not count."""
+    """Events per whole millisecond of lag, superseded and stale ones included. Rows of a snapshot
+    were committed long before it was taken, so their age says nothing and they do not count."""
     streamed = events.where(F.col("_op") != "r")
     lag = lag_ms(F.col("_src_commit_at"), applied_at).alias("lag_ms")
     return streamed.groupBy(*by, lag).agg(F.count(F.lit(1)).alias("n"))

@@ -1,8 +1,8 @@
 """Is the replica equal to its source? Row by row, at scale.
 
-    missing     in the source, not live in the replica (lost change or resurrected delete)
-    extra       live in the replica, gone from the source (lost delete)
-    mismatched  same key, different values (lost or misordered update)
+Three things can be wrong with a key. It is *missing* if only the source has it: a change got lost, or a
+deletion was applied that is not true any more. It is *extra* if only the replica has it: a deletion got
+lost. It is *mismatched* if both have it with different values: an update got lost or came in the wrong order.
 
 Rows are compared by the SHA-256 of their text form, so what is shuffled is keys and hashes, not rows.
 """

@@ -98,7 +98,8 @@ c AS (SELECT count(s.h) AS source_rows, count(t.h) AS target_rows,
 @query(
     f"""WITH {_COMPARED}
     SELECT 'orders' AS "table", c.*, 0::BIGINT AS source_duplicates, 0::BIGINT AS target_duplicates,
-           {_sums_sql('s')} AS source_sha256, {_sums_sql('t')} AS target_sha256, false AS ok FROM c"""
+           {_sums_sql('s')} AS source_sha256, {_sums_sql('t')} AS target_sha256, false AS ok FROM c""",
+    name="compare_tables",
 )
 def compare_perturbed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_tables(
@@ -140,7 +141,8 @@ def compare_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                  coalesce(s.k, t.k) AS k, s.line AS source_row, t.line AS target_row
           FROM s FULL JOIN t ON s.k = t.k WHERE s.line IS DISTINCT FROM t.line)
     SELECT kind, CAST(k AS VARCHAR) AS key, source_row, target_row FROM d
-    QUALIFY row_number() OVER (PARTITION BY kind ORDER BY k) <= 2"""
+    QUALIFY row_number() OVER (PARTITION BY kind ORDER BY k) <= 2""",
+    name="diff_examples",
 )
 def difference_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff_examples(_orders(spark, sf_dir), _perturbed(spark, sf_dir), ["o_orderkey"])
@@ -148,7 +150,8 @@ def difference_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {_COMPARED}
-    SELECT 2::BIGINT AS tables, (SELECT missing + extra + mismatched = 0 FROM c) AS all_ok"""
+    SELECT 2::BIGINT AS tables, (SELECT missing + extra + mismatched = 0 FROM c) AS all_ok""",
+    name="verdict",
 )
 def verdict_of_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _orders(spark, sf_dir)
@@ -237,17 +240,17 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op, count(*) AS n
-          FROM events GROUP BY ALL""")
+          FROM events GROUP BY ALL""", name="ops_counts")
 def events_per_op(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops_counts(activity(spark, sf_dir)).withColumnRenamed("_op", "op")
 
 
-@query(f"SELECT {_LAG}, count(*) AS n FROM events WHERE event_type <> 'signup' GROUP BY ALL")
+@query(f"SELECT {_LAG}, count(*) AS n FROM events WHERE event_type <> 'signup' GROUP BY ALL", name="lag_histogram")
 def lag_histogram_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lag_histogram(_streamed(spark, sf_dir), _applied_at())
 
 
-@query(f"SELECT {_LAG}, count(*) AS n FROM events WHERE event_type <> 'signup' GROUP BY ALL")
+@query(f"SELECT {_LAG}, count(*) AS n FROM events WHERE event_type <> 'signup' GROUP BY ALL", name="merge_histograms")
 def merged_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One histogram per consumer, then all together."""
     per_consumer = lag_histogram(_streamed(spark, sf_dir), _applied_at(), by=["event_type"])
@@ -305,7 +308,7 @@ def _offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Views were never committed, signups' commit was reset, errors are not consumed yet."""
     kind = F.col("event_type")
     events = table(spark, sf_dir, "events").select(
-        F.concat(F.lit("cdc.shop."), kind).alias("topic"),
+        F.concat(F.lit("feed.db."), kind).alias("topic"),
         F.dayofmonth("ts").alias("partition"),
         "event_id",
         "event_type",
@@ -325,9 +328,9 @@ def _offsets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 _OFFSETS = """
-high AS (SELECT 'cdc.shop.' || event_type AS topic, CAST(day(ts) AS INTEGER) AS partition, max(event_id) + 1 AS high
+high AS (SELECT 'feed.db.' || event_type AS topic, CAST(day(ts) AS INTEGER) AS partition, max(event_id) + 1 AS high
          FROM events GROUP BY ALL),
-committed AS (SELECT 'cdc.shop.' || event_type AS topic, CAST(day(ts) AS INTEGER) AS partition,
+committed AS (SELECT 'feed.db.' || event_type AS topic, CAST(day(ts) AS INTEGER) AS partition,
                 CASE event_type WHEN 'signup' THEN -1 WHEN 'error' THEN min(event_id) ELSE max(event_id) + 1 END AS committed
               FROM events WHERE event_type <> 'view' GROUP BY event_type, day(ts)),
 lags AS (SELECT topic, partition, greatest(0, high - greatest(0, coalesce(committed, 0))) AS lag
@@ -339,9 +342,9 @@ def lag_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_lag(*_offsets(spark, sf_dir))
 
 
-@query(f"WITH {_OFFSETS} SELECT CAST(sum(lag) AS BIGINT) AS lag FROM lags WHERE topic LIKE 'cdc.shop.s%'")
+@query(f"WITH {_OFFSETS} SELECT CAST(sum(lag) AS BIGINT) AS lag FROM lags WHERE topic LIKE 'feed.db.s%'", name="consumer_lag")
 def consumer_lag_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consumer_lag(*_offsets(spark, sf_dir), topic_prefix="cdc.shop.s")
+    return consumer_lag(*_offsets(spark, sf_dir), topic_prefix="feed.db.s")
 
 
 @query(
@@ -358,7 +361,8 @@ def catch_up_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT count(*) AS markers, 0::BIGINT AS waiting, 0::BIGINT AS lag, true AS caught_up FROM events"
+    "SELECT count(*) AS markers, 0::BIGINT AS waiting, 0::BIGINT AS lag, true AS caught_up FROM events",
+    name="caught_up",
 )
 def catch_up_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"))

@@ -185,7 +185,8 @@ def two_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
            || 'o_orderdate timestamp_ntz, o_day date'
            || CASE WHEN op = 'c' THEN '' ELSE ', tier string' END AS columns,
            count(*) AS messages
-    FROM ordering GROUP BY ALL"""
+    FROM ordering GROUP BY ALL""",
+    name="schema_versions",
 )
 def versions_in_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = split_messages(two_versions(spark, sf_dir))
@@ -217,12 +218,12 @@ def decode_two_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'cdc.shop.' || event_type AS topic, event_type AS "table", count(*) AS n
+    """SELECT 'feed.db.' || event_type AS topic, event_type AS "table", count(*) AS n
        FROM events GROUP BY event_type"""
 )
 def table_of_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    topic = F.concat(F.lit("cdc.shop."), F.col("event_type"))
+    topic = F.concat(F.lit("feed.db."), F.col("event_type"))
     return events.groupBy(topic.alias("topic")).agg(F.count(F.lit(1)).alias("n")).select(
         "topic", table_of(F.col("topic")).alias("table"), "n"
     )
@@ -246,7 +247,8 @@ def position_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT c_custkey, c_name, CAST(round(c_acctbal, 2) AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment,
               'r' AS op, 1 AS f, CAST(0 AS BIGINT) AS p, 0 AS r, false AS deleted
-       FROM customer"""
+       FROM customer""",
+    name="snapshot_events",
 )
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(
@@ -297,7 +299,7 @@ SHIPPING_STATE = f"{', '.join(SHIPPING_COLUMNS)}, f, p, r, op = 'd' AS deleted"
 ORDERING_STATE = f"{', '.join(ORDER_COLUMNS)}, f, p, r, op = 'd' AS deleted"
 
 
-@query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {newest_sql('activity', 'user_id')}")
+@query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {newest_sql('activity', 'user_id')}", name="newest_per_key")
 def newest_per_key_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _activity_state(newest_per_key(activity(spark, sf_dir), ACTIVITY_KEYS))
 

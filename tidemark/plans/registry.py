@@ -12,11 +12,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query, under its own name unless the operator it shows has that name already."""
+
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql
+            ORACLES[name or f.__name__] = sql
         return f
 
     return register

@@ -149,7 +149,8 @@ def soft_delete_blocks_resurrection(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 @query(
-    f"WITH {ORDERING_SQL} SELECT {', '.join(ORDER_COLUMNS)} FROM {NEWEST_ORDERS} WHERE op <> 'd'"
+    f"WITH {ORDERING_SQL} SELECT {', '.join(ORDER_COLUMNS)} FROM {NEWEST_ORDERS} WHERE op <> 'd'",
+    name="live_view",
 )
 def live_view_of_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     replica = new_replica(spark, "live")
@@ -201,7 +202,8 @@ def batch_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {_BATCHES}
     SELECT 'r1' AS run_id, CAST(2 AS BIGINT) AS consumers, count(*) AS batches,
-           {_COUNTS.format('sum(received)', 'sum(deduped)', 'sum(applied)', 'sum(stale)')} FROM counted"""
+           {_COUNTS.format('sum(received)', 'sum(deduped)', 'sum(applied)', 'sum(stale)')} FROM counted""",
+    name="run_summary",
 )
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = run_summary(batch_stats(_by_event_type(spark, sf_dir)))
@@ -306,6 +308,20 @@ def evolve_widen_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replica.read("orders").select("o_orderkey", "o_totalprice", *places())
 
 
+@query(
+    """SELECT 'orders' AS "table", CAST(row_number() OVER () - 1 AS INTEGER) AS position, name AS "column", type,
+              name = 'o_orderkey' AS is_key
+    FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
+                 ('o_totalprice', 'decimal(12,2)'), ('o_orderdate', 'timestamp_ntz'), ('o_day', 'date'),
+                 ('tier', 'string')) AS t(name, type)"""
+)
+def replica_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the replica looks like after a column was added."""
+    replica = new_replica(spark, "catalog")
+    apply_batch(replica, two_versions(spark, sf_dir))
+    return replica.catalog()
+
+
 # ---- several tables
 
 

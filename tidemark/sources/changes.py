@@ -23,7 +23,7 @@ RAW_SCHEMA = T.StructType(
 
 
 def topic_pattern(prefix: str, database: str) -> str:
-    """Topics are named <prefix>.<database>.<table>."""
+    """Pattern of the topics of all tables of a database; a topic's last part is the table."""
     return rf"^{prefix}\.{database}\..*"
 
 

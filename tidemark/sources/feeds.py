@@ -61,7 +61,7 @@ def wire_value(column: Column, data_type: T.DataType) -> Column:
     return column
 
 
-def encode(events: DataFrame, table: str, keys: Sequence[str], prefix: str = "cdc.shop") -> DataFrame:
+def encode(events: DataFrame, table: str, keys: Sequence[str], prefix: str = "feed.db") -> DataFrame:
     """Events (source columns, ``_op``, position, ``_src_commit_at``) -> messages as the Kafka source
     gives them. Partition and offset are derived from key and position."""
     extra = {*META_COLUMNS, *EVENT_COLUMNS}
