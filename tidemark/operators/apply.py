@@ -13,7 +13,7 @@ from functools import partial, reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.columns import META_COLUMNS, cols, position
+from tidemark.functions.columns import META_COLUMNS, cols
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict
 from tidemark.operators.decode import (
     DecodedTable,
@@ -191,11 +191,7 @@ class _Batch:
         # Parsed once, used for the counts, the merge and the lag.
         events = decoded.events.persist(StorageLevel.MEMORY_AND_DISK)
         self.kept.append(events)
-        found = events.groupBy("_op").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(position()).alias("oldest"),
-            key_size(events, keys).alias("key_bytes"),
-        ).collect()
+        found = _summary(events, keys).collect()
         result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in found}))
         n_events = result.ops.total()
         for_lag = events.select("_op", "_src_commit_at")
@@ -211,8 +207,8 @@ class _Batch:
             *META_COLUMNS[:-1],
             F.lit(self.started).cast("timestamp").alias("_applied_at"),
         )
-        oldest = min(tuple(r["oldest"]) for r in found)
-        stored = self.replica.stored(name, state, oldest)
+        oldest_file, oldest_pos = min(r["oldest"] for r in found)
+        stored = self.replica.stored(name, state, (oldest_file, oldest_pos, 0))
         if stored is not None:
             stored = stored_for(staged, stored, keys, sum(r["key_bytes"] for r in found))
         n_staged, commit = self.replica.write_commit(
@@ -246,6 +242,21 @@ class _Batch:
                 done.result()
 
 
+def _summary(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per kind of change: events, where the log starts, bytes of the keys. By log file first: a
+    minimum of numbers is hashed, one of structs would sort all events."""
+    by_file = events.groupBy("_op", "_src_file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_src_pos").alias("_src_pos"),
+        key_size(events, keys).alias("key_bytes"),
+    )
+    return by_file.groupBy("_op").agg(
+        F.sum("n").alias("n"),
+        F.min(F.struct("_src_file", "_src_pos")).alias("oldest"),
+        F.sum("key_bytes").alias("key_bytes"),
+    )
+
+
 def _as(schema: T.StructType, columns: Sequence[Column]) -> list[Column]:
     return [c.cast(f.dataType).alias(f.name) for c, f in zip(columns, schema.fields, strict=True)]
 

@@ -130,12 +130,12 @@ def versions_of_batch(
 ) -> dict[int, SchemaText]:
     """The same, given versions that are known already. Their messages need not be looked at again;
     of the others, one message each is."""
-    seen = (
-        parts.groupBy("_version")
-        .agg(F.min(F.struct("topic", "partition", "offset")).alias("first"))
-        .limit(MAX_VERSIONS + 1)
-        .collect()
+    # By partition first: a minimum of numbers is hashed, one of structs would sort all messages.
+    by_partition = parts.groupBy("_version", "topic", "partition").agg(
+        F.min("offset").alias("offset")
     )
+    first = F.min(F.struct("topic", "partition", "offset")).alias("first")
+    seen = by_partition.groupBy("_version").agg(first).limit(MAX_VERSIONS + 1).collect()
     if len(seen) > MAX_VERSIONS:
         raise SchemaConflict(f"more than {MAX_VERSIONS} schema versions in one batch")
     texts = {r[0]: known[r[0]] for r in seen if r[0] in known}

@@ -23,8 +23,9 @@ EXACT_DIGEST_ROWS = 1_000_000
 # Aimed-at number of entries that one group of the bucketed digest sorts.
 BUCKET_ENTRIES = 10_000
 
-_CHUNK = 14  # hex digits of a row hash that make one summand
-_CHUNKS = 4
+# A row hash is handled as numbers: so many of so many hex digits each.
+_PARTS = 4
+_PART_DIGITS = 14
 
 
 # ---- comparison
@@ -37,17 +38,16 @@ def compare_tables(
     target lacks counts as NULL. Rows that share a key count once, as in a keyed table; how many
     more there are is reported."""
     joined = _joined_by_key(source, target, keys)
-    s, t = F.col("s._hash"), F.col("t._hash")
     counted = joined.agg(
-        F.count(s).alias("source_rows"),
-        F.count(t).alias("target_rows"),
-        F.count_if(t.isNull()).alias("missing"),
-        F.count_if(s.isNull()).alias("extra"),
-        F.count_if(s != t).alias("mismatched"),
+        F.count("s._copies").alias("source_rows"),
+        F.count("t._copies").alias("target_rows"),
+        F.count_if(_missing()).alias("missing"),
+        F.count_if(_extra()).alias("extra"),
+        F.count_if(_mismatched()).alias("mismatched"),
         F.coalesce(F.sum(F.col("s._copies") - 1), F.lit(0)).alias("source_duplicates"),
         F.coalesce(F.sum(F.col("t._copies") - 1), F.lit(0)).alias("target_duplicates"),
-        *_hash_sums(s, "s"),
-        *_hash_sums(t, "t"),
+        *_sums("s."),
+        *_sums("t."),
     )
     report = counted.select(
         F.lit(table).alias("table"),
@@ -58,8 +58,8 @@ def compare_tables(
         "mismatched",
         "source_duplicates",
         "target_duplicates",
-        _digest_of_sums("source_rows", "s").alias("source_sha256"),
-        _digest_of_sums("target_rows", "t").alias("target_sha256"),
+        _digest_of_sums("source_rows", "s.").alias("source_sha256"),
+        _digest_of_sums("target_rows", "t.").alias("target_sha256"),
     )
     differences = F.col("missing") + F.col("extra") + F.col("mismatched")
     return report.withColumn(
@@ -72,11 +72,10 @@ def diff_examples(
 ) -> DataFrame:
     """The first ``n`` differences of each kind by key: (kind, key, source_row, target_row)."""
     joined = _joined_by_key(source, target, keys)
-    s, t = F.col("s._hash"), F.col("t._hash")
     kind = (
-        F.when(t.isNull(), F.lit("missing"))
-        .when(s.isNull(), F.lit("extra"))
-        .when(s != t, F.lit("mismatched"))
+        F.when(_missing(), F.lit("missing"))
+        .when(_extra(), F.lit("extra"))
+        .when(_mismatched(), F.lit("mismatched"))
     )
     key_columns = [
         F.coalesce(F.col(f"s.{quoted(k)}"), F.col(f"t.{quoted(k)}")).alias(k) for k in keys
@@ -108,15 +107,29 @@ def diff_examples(
     )
 
 
+def _missing() -> Column:
+    return F.col("t._copies").isNull()
+
+
+def _extra() -> Column:
+    return F.col("s._copies").isNull()
+
+
+def _mismatched() -> Column:
+    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in _part_names()]
+    return reduce(Column.__or__, differ)
+
+
 def _joined_by_key(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     aligned = _with_columns_of(target, source)
     sides = []
     for name, df in (("s", source), ("t", aligned)):
         row_hash = F.sha2(row_text(df, source.columns), 256).alias("_hash")
-        hashed = _keyed(df, source, target, keys, row_hash)
-        # Partial aggregation collapses copies of a key before the shuffle the join needs anyway.
+        hashed = _keyed(df, source, target, keys, row_hash).select(*cols(keys), *_parts_of("_hash"))
+        # Partial aggregation collapses copies of a key before the shuffle the join needs anyway. On
+        # numbers it hashes; on texts it would sort.
         one_per_key = hashed.groupBy(*cols(keys)).agg(
-            F.min("_hash").alias("_hash"), F.count(F.lit(1)).alias("_copies")
+            *(F.min(p).alias(p) for p in _part_names()), F.count(F.lit(1)).alias("_copies")
         )
         sides.append(one_per_key.alias(name))
     return sides[0].join(sides[1], same_keys("s", "t", keys), "full_outer")
@@ -158,9 +171,9 @@ def table_digest(df: DataFrame, mode: str = "sums", k: int | None = None) -> Dat
     """
     line = row_text(df)
     if mode == "sums":
-        hashed = df.select(F.sha2(line, 256).alias("_hash"))
-        sums = hashed.agg(F.count("_hash").alias("rows"), *_hash_sums(F.col("_hash"), "h"))
-        return sums.select("rows", _digest_of_sums("rows", "h").alias("sha256"))
+        hashed = df.select(F.sha2(line, 256).alias("_hash")).select(*_parts_of("_hash"))
+        sums = hashed.agg(F.count(F.lit(1)).alias("rows"), *_sums(""))
+        return sums.select("rows", _digest_of_sums("rows", "").alias("sha256"))
     if mode == "bucketed":
         return _bucketed_digest(df.select(F.sha2(line, 256).alias("_prefix")), df, k)
     if mode != "exact":
@@ -203,18 +216,28 @@ def _bucketed_digest(hashes: DataFrame, df: DataFrame, k: int | None) -> DataFra
     )
 
 
-def _hash_sums(row_hash: Column, prefix: str) -> list[Column]:
-    sums = []
-    for i in range(_CHUNKS):
-        chunk = F.conv(F.substring(row_hash, 1 + i * _CHUNK, _CHUNK), 16, 10)
-        total = F.sum(chunk.cast("decimal(20,0)"))
-        sums.append(F.coalesce(total, F.lit(0).cast("decimal(30,0)")).alias(f"_{prefix}{i}"))
-    return sums
+def _part_names() -> list[str]:
+    return [f"_h{i}" for i in range(_PARTS)]
+
+
+def _parts_of(row_hash: str) -> list[Column]:
+    return [
+        F.conv(F.substring(row_hash, 1 + i * _PART_DIGITS, _PART_DIGITS), 16, 10).cast("bigint").alias(p)
+        for i, p in enumerate(_part_names())
+    ]
+
+
+def _sums(side: str) -> list[Column]:
+    zero = F.lit(0).cast("decimal(30,0)")
+    return [
+        F.coalesce(F.sum(F.col(side + p).cast("decimal(20,0)")), zero).alias(side + p)
+        for p in _part_names()
+    ]
 
 
-def _digest_of_sums(rows: str, prefix: str) -> Column:
+def _digest_of_sums(rows: str, side: str) -> Column:
     parts = [F.col(rows).cast("string")]
-    parts += [F.col(f"_{prefix}{i}").cast("string") for i in range(_CHUNKS)]
+    parts += [F.col(quoted(side + p)).cast("string") for p in _part_names()]
     return F.sha2(F.concat_ws(":", *parts), 256)
 
 
