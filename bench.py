@@ -33,7 +33,7 @@ from tidemark.plans.feeds import (
     ordering,
     shipping,
 )
-from tidemark.plans.replication import message_files, new_replica
+from tidemark.plans.replication import files_of, new_replica
 from tidemark.plans.workspace import fresh_dir
 from tidemark.sources.changes import read_changes
 from tidemark.streaming.runner import run_stream
@@ -59,7 +59,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     paths = {
-        name: message_files(spark, make(spark, SF_DIR), 2 * int(CPUS))
+        name: files_of(make(spark, SF_DIR), "messages")
         for name, make in (
             ("activity", activity_messages),
             ("orders", order_messages),

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tests.messages import ID, V1, V2, change, decimal_field, item, unscaled
+from tests.messages import ID, V1, V2, change, column, decimal_field, item, unscaled
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict, column_type
 from tidemark.operators.decode import (
     decode_rows,
@@ -237,6 +237,22 @@ def test_tables_without_a_key_are_rejected(spark):
         decoded(spark, change("c", item(1), 1, keys=()))
 
 
+def test_messages_without_a_schema_are_rejected(spark):
+    topic, key, value, p, o = change("c", item(1), 1)
+    cut = value.index(',"payload":')
+    for bare in ('{"schema":null' + value[cut:], "{" + value[cut + 1 :]):
+        with pytest.raises(SchemaConflict, match="no schema"):
+            decoded(spark, (topic, key, bare, p, o))
+
+
+def test_a_column_may_be_named_payload(spark):
+    fields = (*V1, column("payload", "string"))
+    image = item(1, payload=',"payload":{}')
+    for blanks in (False, True):
+        (r,) = rows(spark, change("c", image, 1, fields=fields, blanks=blanks))
+        assert (r.payload, r.name) == (',"payload":{}', "a")
+
+
 def test_reserved_names_are_rejected(spark):
     field = {"type": "string", "field": "_deleted"}
     with pytest.raises(SchemaConflict, match="_deleted"):

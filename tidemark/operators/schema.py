@@ -43,14 +43,15 @@ def parse_version(
 ) -> TableVersion:
     """The schema parts of a message's value and key (JSON without the closing brace) ->
     ``TableVersion``."""
-    if not value_schema:
-        raise SchemaConflict(f"{table}: a message carries no schema")
-    if not key_schema:
+    described = json.loads(value_schema + "}")["schema"] if value_schema else None
+    key = json.loads(key_schema + "}")["schema"] if key_schema else None
+    row = [f for f in described["fields"] if f["field"] == "after"] if described else []
+    if not row:
+        raise SchemaConflict(f"{table}: a message carries no schema of its rows")
+    if not key:
         raise SchemaConflict(f"{table}: tables without a primary key are not supported")
-    envelope = json.loads(value_schema + "}")["schema"]["fields"]
-    row = next(f for f in envelope if f["field"] == "after")
-    columns = tuple(column_type(table, f, logical_types) for f in row["fields"])
-    keys = tuple(f["field"] for f in json.loads(key_schema + "}")["schema"]["fields"])
+    columns = tuple(column_type(table, f, logical_types) for f in row[0]["fields"])
+    keys = tuple(f["field"] for f in key["fields"])
     version = TableVersion(table, columns, keys)
     _check_names(version)
     return version

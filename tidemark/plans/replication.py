@@ -388,21 +388,23 @@ def verify_missing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams
 
 
-def message_files(spark: SparkSession, messages: DataFrame, files: int = 4) -> str:
-    """Messages as a directory a file stream can read."""
-    path = fresh_dir(spark, "messages")
-    messages.repartition(files).write.parquet(path)
+def files_of(df: DataFrame, name: str) -> str:
+    """Rows as a directory a file stream can read, in no particular order."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    spread = df.repartition(2 * spark.sparkContext.defaultParallelism)
+    spread.write.option("maxRecordsPerFile", 1_000_000).parquet(path)
     return path
 
 
 @query(f"WITH {ORDERING_SQL} SELECT {ORDERING_STATE} FROM {NEWEST_ORDERS}")
 def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in no order, two files per micro-batch, until nothing is left."""
+    """Messages in no order, batch by batch, until nothing is left."""
     source = read_changes(
         spark,
-        message_files(spark, order_messages(spark, sf_dir)),
+        files_of(order_messages(spark, sf_dir), "messages"),
         streaming=True,
-        max_per_trigger=2,
+        max_per_trigger=spark.sparkContext.defaultParallelism,
     )
     replica = new_replica(spark, "streamed")
     run_stream(source, replica, fresh_dir(spark, "progress")).awaitTermination()
@@ -412,10 +414,13 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {NEWEST_ACTIVITY}")
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state kept by the streaming query itself."""
-    path, out = fresh_dir(spark, "events"), fresh_dir(spark, "state")
-    events = activity(spark, sf_dir)
-    events.repartition(4).write.parquet(path)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    events, out = activity(spark, sf_dir), fresh_dir(spark, "state")
+    at_once = spark.sparkContext.defaultParallelism
+    stream = (
+        spark.readStream.schema(events.schema)
+        .option("maxFilesPerTrigger", at_once)
+        .parquet(files_of(events, "events"))
+    )
     run_state_stream(stream, ACTIVITY_KEYS, out, fresh_dir(spark, "progress")).awaitTermination()
     changed = spark.read.schema(events.schema).parquet(f"{out}/_batch=*")
     return newest_per_key(changed, ACTIVITY_KEYS).select(*ACTIVITY_COLUMNS, *places())
