@@ -161,11 +161,22 @@ def test_decimals_are_exact(spark, text):
         assert r.big == Decimal(text)
 
 
-def test_too_many_digits_stop(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_that_do_not_fit_stop(spark, ansi):
     import decimal
 
-    with decimal.localcontext(prec=60), pytest.raises(Exception, match="38|OUT_OF_RANGE"):
-        rows(spark, wide(big=unscaled("1" + "0" * 30, 10)))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with decimal.localcontext(prec=60):
+            for text in ("1" + "0" * 28, "1" + "0" * 40, "-1" + "0" * 28):
+                with pytest.raises(Exception, match="does not fit decimal|OUT_OF_RANGE"):
+                    rows(spark, wide(big=unscaled(text, 10)))
+            with pytest.raises(Exception, match="does not fit timestamp"):
+                rows(spark, wide(at="yesterday-ish"))
+            (r,) = rows(spark, wide(big=unscaled("1.5", 10)))
+            assert r.big == Decimal("1.5")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_nulls_stay_null(spark):

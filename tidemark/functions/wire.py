@@ -87,34 +87,41 @@ def canonical_json(value: Column) -> Column:
 
 
 def decimal_from_bytes(precision: int, scale: int) -> Convert:
-    """Base64 of a big-endian two's complement integer -> decimal(precision, scale)."""
+    """Big-endian two's complement integer -> decimal(precision, scale). Up to 18 digits it fits eight
+    bytes, beyond that sixteen; anything longer does not fit."""
+    target = T.DecimalType(precision, scale)
 
     def convert(value: Column) -> Column:
-        digits = F.hex(F.unbase64(value))
+        digits = F.hex(value)
         sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
         short = F.conv(F.lpad(digits, 16, sign), 16, -10)
-        wide = F.lpad(digits, 32, sign)
-        high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(20,0)")
-        low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(20,0)")
+        unscaled = F.when(F.length(digits) <= 16, short)
+        if precision > 18:
+            unscaled = unscaled.when(F.length(digits) <= 32, wide(F.lpad(digits, 32, sign)))
+        number = F.concat(unscaled, F.lit(f"E{-scale}"))
+        return _strictly(value, number.try_cast(target), target)
+
+    def wide(digits: Column) -> Column:
+        high = F.conv(F.substring(digits, 1, 16), 16, -10).cast("decimal(20,0)")
+        low = F.conv(F.substring(digits, 17, 16), 16, 10).cast("decimal(20,0)")
         two_64 = F.lit("18446744073709551616").cast("decimal(20,0)")
         # Borrow from the low half when negative: high * 2^64 alone may leave the 38 digits.
         borrow = high < 0
         high = F.when(borrow, high + 1).otherwise(high)
         low = F.when(borrow, low - two_64).otherwise(low)
-        unscaled = (
-            F.when(F.length(digits) <= 16, short)
-            .when(F.length(digits) <= 32, (high * two_64 + low).cast("string"))
-            .when(
-                digits.isNotNull(),
-                F.raise_error(F.lit(f"decimal needs more than {MAX_DECIMAL_DIGITS} digits")).cast("string"),
-            )
-        )
-        return F.concat(unscaled, F.lit(f"E{-scale}")).cast(T.DecimalType(precision, scale))
+        return (high * two_64 + low).cast("string")
 
     return convert
 
 
-# Primitive wire type -> Spark type.
+def _strictly(value: Column, converted: Column, target: T.DataType) -> Column:
+    """A value that cannot be converted stops the job, also in a session without ANSI mode."""
+    shown = F.hex(value) if isinstance(target, T.DecimalType) else value
+    failure = F.raise_error(F.concat(shown, F.lit(f" does not fit {target.simpleString()}")))
+    return F.coalesce(converted, F.when(value.isNotNull(), failure.cast(target)))
+
+
+# Primitive wire type -> Spark type. The JSON reader decodes base64 into bytes itself.
 PRIMITIVES: dict[str, T.DataType] = {
     "int8": T.ShortType(),
     "int16": T.ShortType(),
@@ -145,7 +152,10 @@ LOGICAL_TYPES: dict[str, LogicalType] = {
         T.LongType(), T.TimestampNTZType(), "timestamp", _nanos_to_ntz
     ),
     "io.debezium.time.ZonedTimestamp": LogicalType(
-        T.StringType(), T.TimestampType(), "timestamptz", lambda v: v.cast("timestamp")
+        T.StringType(),
+        T.TimestampType(),
+        "timestamptz",
+        lambda v: _strictly(v, v.try_cast("timestamp"), T.TimestampType()),
     ),
     "io.debezium.time.MicroTime": LogicalType(T.LongType(), T.StringType(), "time", _time_of_day),
     "io.debezium.time.Year": LogicalType(T.IntegerType(), T.IntegerType(), "integer", _same),
@@ -171,7 +181,7 @@ def column_type(
         target = T.DecimalType(precision, scale)
         return ColumnType(
             name,
-            T.StringType(),
+            T.BinaryType(),
             target,
             "decimal",
             f"decimal({precision},{scale})",
@@ -184,8 +194,6 @@ def column_type(
     if primitive not in PRIMITIVES:
         raise SchemaConflict(f"{table}.{name}: {primitive} columns are not supported")
     target = PRIMITIVES[primitive]
-    if primitive == "bytes":
-        return ColumnType(name, T.StringType(), target, "binary", "bytes", F.unbase64)
     return ColumnType(name, target, target, target.typeName(), target.typeName(), _same)
 
 
