@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.apply import apply_batch
 from tidemark.operators.decode import decode_rows, schema_versions, split_messages
-from tidemark.operators.merge import live_view
+from tidemark.operators.merge import guarded_merge, live_view
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.verify import compare_tables, table_digest, verdict, verify
 from tidemark.plans import checking
@@ -33,7 +33,7 @@ from tidemark.plans.feeds import (
     ordering,
     shipping,
 )
-from tidemark.plans.replication import files_of, new_replica
+from tidemark.plans.replication import files_of, new_replica, only
 from tidemark.plans.workspace import fresh_dir
 from tidemark.sources.changes import read_changes
 from tidemark.streaming.runner import run_stream
@@ -96,6 +96,14 @@ def main() -> None:
         lambda: noop(newest_per_key(shipping(spark, SF_DIR), SHIPPING_KEYS)),
         counts["shipping"],
     )
+    events = ordering(spark, SF_DIR)
+    target = newest_per_key(only(events, "c", "u"), ORDERING_KEYS)
+    staged = newest_per_key(only(events, "c", "d"), ORDERING_KEYS)
+    timed(
+        "guarded_merge",
+        lambda: noop(guarded_merge(target, staged, ORDERING_KEYS)),
+        counts["orders"],
+    )
     timed(
         "apply_multi_table_batch",
         lambda: apply_batch(new_replica(spark, "bench"), everything),
@@ -126,11 +134,16 @@ def main() -> None:
         ),
         2 * orders.count(),
     )
-    timed("lag_percentiles", lambda: checking.lag_percentiles(spark, SF_DIR).collect(), counts["activity"])
+    timed(
+        "lag_percentiles",
+        lambda: checking.lag_percentiles(spark, SF_DIR).collect(),
+        counts["activity"],
+    )
 
     def stream() -> None:
         messages = read_changes(spark, paths["orders"], streaming=True, max_per_trigger=4)
-        run_stream(messages, new_replica(spark, "bench"), fresh_dir(spark, "progress")).awaitTermination()
+        replica, progress = new_replica(spark, "bench"), fresh_dir(spark, "progress")
+        run_stream(messages, replica, progress).awaitTermination()
 
     timed("stream_replica", stream, counts["orders"], repeats=2)
 

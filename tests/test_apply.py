@@ -204,6 +204,21 @@ def test_a_second_writer_fails_loudly(replica):
         replica.publish(Version(1, {}))
 
 
+def test_a_writer_that_comes_second_harms_nothing(replica):
+    send(replica, change("c", item(1), 1))
+    other = Replica(replica.spark, replica.path)
+
+    def overtaken():
+        send(other, change("u", item(1, "first"), 2))
+
+    with pytest.raises(ConcurrentWrite):
+        send(replica, change("u", item(1, "second"), 3), before_publish=overtaken)
+    assert items(replica) == {1: ("first", "1.00", False, 2)}
+    send(replica, change("u", item(1, "second"), 3))
+    assert items(replica) == {1: ("second", "1.00", False, 3)}
+    assert len(replica.vacuum(keep_versions=10)) == 1
+
+
 def test_a_batch_of_tombstones(replica):
     topic, key, _, p, o = change("d", item(1), 1)
     assert send(replica, (topic, key, None, p, o)) == (0, 0, 0)
@@ -241,7 +256,7 @@ def test_fold_keeps_the_rows(replica):
 
 def test_folding_leaves_large_commits_alone():
     def sizes(*rows):
-        return [Commit(i, n, (1, i, 0)) for i, n in enumerate(rows)]
+        return [Commit(str(i), n, (1, i, 0)) for i, n in enumerate(rows)]
 
     assert _foldable(sizes()) == 0
     assert _foldable(sizes(1000, 10, 10)) == 2

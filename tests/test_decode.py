@@ -13,7 +13,7 @@ from tidemark.operators.decode import (
     split_messages,
     validate_ops,
 )
-from tidemark.sources.changes import RAW_SCHEMA, read_changes, topic_pattern
+from tidemark.sources.changes import RAW_SCHEMA, read_changes, read_table, topic_pattern
 
 
 def raw(spark, *messages):
@@ -300,6 +300,14 @@ def test_more_logical_types_can_be_given(spark):
     assert decode_rows(parts, schema_versions(parts, more))["items"].events.first().loud == "X"
 
 
+def test_reading_source_tables(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert read_table(spark, str(tmp_path / "t")).count() == 3
+    spark.range(3).write.csv(str(tmp_path / "csv"))
+    options = {"format": "csv", "path": str(tmp_path / "csv"), "inferSchema": "true"}
+    assert read_table(spark, options).count() == 3
+
+
 def test_reading_messages(spark, tmp_path):
     assert read_changes(spark, str(tmp_path / "none")).count() == 0
     raw(spark, change("c", item(1), 1)).write.parquet(str(tmp_path / "some"))

@@ -54,9 +54,8 @@ def validate_ops(
         return raw.where(known), raw.withColumn("op", op).where(~known)
     if on_bad != "fail":
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
-    return raw.withColumn(
-        "value", F.when(known, F.col("value")).otherwise(_stop(F.concat(F.lit("unsupported op "), F.coalesce(op, F.lit("null"))), "string"))
-    )
+    checked = F.when(known, F.col("value")).otherwise(_stop(_unsupported(op), "string"))
+    return raw.withColumn("value", checked)
 
 
 def split_messages(raw: DataFrame) -> DataFrame:
@@ -224,7 +223,7 @@ def decode_table(
         F.nullif(source.getField("ts_us"), F.lit(0)), source.getField("ts_ms") * 1000
     )
     bad = (
-        F.when(~F.coalesce(op.isin(*OPS), F.lit(False)), F.concat(F.lit("unsupported op "), F.coalesce(op, F.lit("null"))))
+        F.when(~F.coalesce(op.isin(*OPS), F.lit(False)), _unsupported(op))
         .when(~known, F.lit("unknown schema version"))
         .when(F.col("_image").isNull(), F.lit("no row image"))
         .when(_any_null([F.col("_image").getField(k) for k in keys]), F.lit("no key"))
@@ -311,6 +310,10 @@ def _any_null(values: Sequence[Column]) -> Column:
     return result
 
 
+def _unsupported(op: Column) -> Column:
+    return F.concat(F.lit("unsupported op "), F.coalesce(op, F.lit("null")))
+
+
 def _stop(message: Column, data_type: str) -> Column:
     return F.raise_error(message).cast(data_type)
 

@@ -67,10 +67,8 @@ def merge_counts(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
     s = staged.select(*cols(keys), *POSITION).alias("s")
     t = target.select(*cols(keys), *POSITION).alias("t")
     joined = s.join(t, same_keys("s", "t", keys), "left")
-    stale = F.coalesce(position("t") >= position("s"), F.lit(False)) & F.col("t._src_file").isNotNull()
-    return joined.agg(
-        F.count_if(~stale).alias("applied"), F.count_if(stale).alias("stale")
-    )
+    stale = F.col("t._src_file").isNotNull() & (position("t") >= position("s"))
+    return joined.agg(F.count_if(~stale).alias("applied"), F.count_if(stale).alias("stale"))
 
 
 def live_view(replica: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -36,6 +36,5 @@ def latest_state(
     kept = [c for c in events.columns if c not in keys]
     newest = F.max_by(F.struct(*cols(kept)), F.struct(*cols(position)))
     grouped = events.groupBy(*cols(keys)).agg(newest.alias("_newest"))
-    return grouped.select(*cols(keys), *(F.col("_newest").getField(c).alias(c) for c in kept)).select(
-        *cols(events.columns)
-    )
+    unpacked = [F.col("_newest").getField(c).alias(c) for c in kept]
+    return grouped.select(*cols(keys), *unpacked).select(*cols(events.columns))

@@ -1,10 +1,10 @@
 """A replica of several tables as Parquet files, with one visible version of all of them.
 
-Layout: ``<path>/<table>/_commit=<version>/*.parquet`` holds the rows one version added to a table
-(one row per key, each newer than every earlier commit's row of that key), and
+Layout: ``<path>/<table>/_commit=<version>-<random>/*.parquet`` holds the rows one version added to a
+table (one row per key, each newer than every earlier commit's row of that key), and
 ``<path>/_versions/<version>.json`` names, per table, its schema, key and commits. Writing that file
-is what makes a version visible, for all tables at once. A job that dies before leaves
-directories no version names; its successor overwrites them.
+is what makes a version visible, for all tables at once. A job that dies before leaves directories no
+version names, which ``vacuum`` deletes.
 
 A commit costs what its batch costs, not what the table holds: nothing is rewritten. To read, the later
 commits are reduced to the newest row per key and override the first. ``fold`` joins small commits
@@ -14,7 +14,8 @@ With ``buckets``, large commits are written as bucketed tables, one bucket per h
 such a table, or guarding a batch against it, then shuffles the small side only. The number should be
 that of ``spark.sql.shuffle.partitions``, so that a commit has one file per bucket.
 
-One writer per replica at a time; a second one that publishes the same version fails.
+One writer per replica at a time. A second one fails when it publishes the same version, and harms
+nothing, as it wrote to directories of its own.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import astuple, dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -49,7 +50,7 @@ class ConcurrentWrite(RuntimeError):
 
 @dataclass(frozen=True)
 class Commit:
-    version: int
+    name: str  # of its directory
     rows: int
     newest: Position
     buckets: int = 0  # 0: plain files
@@ -61,9 +62,8 @@ class TableState:
     keys: tuple[str, ...]
     commits: tuple[Commit, ...] = ()
 
-    def plus(self, commit: Commit | None, schema: T.StructType | None = None) -> TableState:
-        commits = (*self.commits, commit) if commit else self.commits
-        return TableState(schema or self.schema, self.keys, commits)
+    def plus(self, commit: Commit | None) -> TableState:
+        return replace(self, commits=(*self.commits, commit)) if commit else self
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ class Version:
                     name: {
                         "schema": t.schema.jsonValue(),
                         "keys": list(t.keys),
-                        "commits": [[c.version, c.rows, list(c.newest), c.buckets] for c in t.commits],
+                        "commits": [astuple(c) for c in t.commits],
                     }
                     for name, t in self.tables.items()
                 },
@@ -92,12 +92,12 @@ class Version:
     def from_json(number: int, text: str) -> Version:
         stored = json.loads(text)
         tables = {
-            name: TableState(
+            table: TableState(
                 T.StructType.fromJson(t["schema"]),
                 tuple(t["keys"]),
-                tuple(Commit(v, n, tuple(p), b) for v, n, p, b in t["commits"]),
+                tuple(Commit(name, n, tuple(p), b) for name, n, p, b in t["commits"]),
             )
-            for name, t in stored["tables"].items()
+            for table, t in stored["tables"].items()
         }
         schemas = {int(i): tuple(of) for i, of in stored["schemas"].items()}
         return Version(number, tables, schemas)
@@ -110,23 +110,32 @@ class Replica:
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        fs, of = self._file_system()
+        self.path = fs.makeQualified(of(self.path)).toString()
         self._versions = f"{self.path}/_versions"
 
     # ---- versions
 
     def _file_system(self):  # type: ignore[no-untyped-def]
+        """The Hadoop file system the replica is on, and the constructor of its paths."""
         jvm = self.spark.sparkContext._jvm
         hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path
-        return path(self._versions).getFileSystem(hadoop), path
+        return path(self.path).getFileSystem(hadoop), path
 
     def latest(self) -> int:
         """Number of the visible version; 0 before the first."""
         fs, path = self._file_system()
         if not fs.exists(path(self._versions)):
             return 0
-        names = (s.getPath().getName() for s in fs.listStatus(path(self._versions)))
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[0] not in "._"), default=0)
+        return max((n for n, _ in self._published(fs, path)), default=0)
+
+    def _published(self, fs, path):  # type: ignore[no-untyped-def]
+        """Numbers and paths of the version files."""
+        for entry in fs.listStatus(path(self._versions)):
+            stem, _, suffix = entry.getPath().getName().partition(".")
+            if suffix == "json" and stem.isdigit():
+                yield int(stem), entry.getPath()
 
     def version(self, number: int | None = None) -> Version:
         number = self.latest() if number is None else number
@@ -187,7 +196,8 @@ class Replica:
         """The live rows of every table as a temporary view, all of the same version."""
         current = self.version()
         for table, state in current.tables.items():
-            live_view(self._read(table, state), state.schema.names).createOrReplaceTempView(prefix + table)
+            live = live_view(self._read(table, state), state.schema.names)
+            live.createOrReplaceTempView(prefix + table)
         return [prefix + t for t in sorted(current.tables)]
 
     def _read(
@@ -208,7 +218,7 @@ class Replica:
 
     def _files(self, table: str, state: TableState, commits: Iterable[Commit]) -> DataFrame:
         # The schema is given, so files from before a column was added or widened read as today's.
-        plain = [self._commit_path(table, c.version) for c in commits if not c.buckets]
+        plain = [self._commit_path(table, c.name) for c in commits if not c.buckets]
         frames = [self._bucketed(table, state, c) for c in commits if c.buckets]
         if plain:
             frames.append(self.spark.read.schema(with_meta(state.schema)).parquet(*plain))
@@ -217,13 +227,15 @@ class Replica:
     def _bucketed(self, table: str, state: TableState, commit: Commit) -> DataFrame:
         """A bucketed commit. Only a table of the catalog can tell Spark of buckets, so one is declared
         over the files."""
-        schema, path = with_meta(state.schema), self._commit_path(table, commit.version)
+        schema = with_meta(state.schema)
+        path = self._commit_path(table, commit.name).replace("'", "\\'")
         declared = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
         by = ", ".join(quoted(k) for k in state.keys)
         name = "tidemark_" + hashlib.md5(f"{path} {declared}".encode()).hexdigest()
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({declared}) USING parquet"
-            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {commit.buckets} BUCKETS LOCATION '{path}'"
+            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {commit.buckets} BUCKETS"
+            f" LOCATION '{path}'"
         )
         return self.spark.table(name).select(
             *(F.col(quoted(f.name)).alias(f.name, metadata=f.metadata) for f in schema.fields)
@@ -244,8 +256,8 @@ class Replica:
 
     # ---- writing
 
-    def _commit_path(self, table: str, version: int) -> str:
-        return f"{self.path}/{table}/_commit={version}"
+    def _commit_path(self, table: str, name: str) -> str:
+        return f"{self.path}/{table}/_commit={name}"
 
     def write_commit(
         self,
@@ -269,9 +281,10 @@ class Replica:
         rows = rows.observe(
             wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest")
         )
-        path = self._commit_path(table, version)
+        name = f"{version}-{uuid.uuid4().hex}"
+        path = self._commit_path(table, name)
         buckets = self._buckets_for(state, rows_at_most)
-        writer = rows.write.mode("overwrite").format("parquet")
+        writer = rows.write.format("parquet")
         if buckets:
             by = list(state.keys)
             draft = "tidemark_draft_" + uuid.uuid4().hex
@@ -279,9 +292,8 @@ class Replica:
             self.spark.sql(f"DROP TABLE {draft}")  # leaves the files
         else:
             writer.save(path)
-        got = wrote.get
-        commit = Commit(version, got["n"], tuple(got["newest"]), buckets) if got["n"] else None
-        return came.get["n"], commit
+        n, newest = wrote.get["n"], wrote.get["newest"]
+        return came.get["n"], Commit(name, n, tuple(newest), buckets) if n else None
 
     def _buckets_for(self, state: TableState, rows: int) -> int:
         # A decimal that widens falls into another bucket, so decimal keys have none.
@@ -302,7 +314,7 @@ class Replica:
             rows = self._read(name, state, old)
             _, commit = self.write_commit(name, state, rows, number, sum(c.rows for c in old))
             assert commit is not None
-            tables[name] = TableState(state.schema, state.keys, (*state.commits[:-n], commit))
+            tables[name] = replace(state, commits=(*state.commits[:-n], commit))
             folded.append(name)
         if folded:
             self.publish(Version(number, tables, current.schemas))
@@ -314,19 +326,19 @@ class Replica:
         latest = self.latest()
         oldest = max(1, latest - keep_versions + 1)
         kept = [self.version(n) for n in range(oldest, latest + 1)]
-        named = {(t, c.version) for v in kept for t, s in v.tables.items() for c in s.commits}
+        named = {(t, c.name) for v in kept for t, s in v.tables.items() for c in s.commits}
         fs, path = self._file_system()
-        for entry in fs.listStatus(path(self._versions)):
-            name = entry.getPath().getName()
-            if name.endswith(".json") and name[0] not in "._" and int(name[:-5]) < oldest:
-                fs.delete(entry.getPath(), False)
+        for number, file in list(self._published(fs, path)) if kept else ():
+            if number < oldest:
+                fs.delete(file, False)
         gone = []
         for table in kept[-1].tables if kept else ():
             for entry in fs.listStatus(path(f"{self.path}/{table}")):
-                number = int(entry.getPath().getName().removeprefix("_commit="))
-                if number <= latest and (table, number) not in named:
+                name = entry.getPath().getName().removeprefix("_commit=")
+                # Those of a later version are being written.
+                if int(name.partition("-")[0]) <= latest and (table, name) not in named:
                     fs.delete(entry.getPath(), True)
-                    gone.append(f"{table}/_commit={number}")
+                    gone.append(f"{table}/{name}")
         return gone
 
 

@@ -61,7 +61,8 @@ def version_of(table: str, schema: T.StructType, keys: Sequence[str]) -> TableVe
     """The version of a table that is read with its types already, such as a snapshot."""
     columns = []
     for f in schema.fields:
-        kind = (f.metadata or {}).get(KIND) or KINDS.get(f.dataType.typeName(), f.dataType.typeName())
+        name = f.dataType.typeName()
+        kind = (f.metadata or {}).get(KIND) or KINDS.get(name, name)
         rule = f.dataType.simpleString()
         columns.append(ColumnType(f.name, f.dataType, f.dataType, kind, rule, lambda v: v))
     version = TableVersion(table, tuple(columns), tuple(keys))
@@ -111,7 +112,7 @@ def evolve_schema(
 
     New columns are added, nullable. Decimals widen and never narrow, so replaying events of an
     older version changes nothing. Columns a version lacks stay. Everything else raises
-    ``SchemaConflict``. The result does not depend on the order of the versions, but for the order of columns.
+    ``SchemaConflict``. Only the order of columns depends on the order of the versions.
     """
     fields = {f.name: f for f in current.fields} if current else {}
     for version in versions:
@@ -126,7 +127,9 @@ def evolve_schema(
             if have is None:
                 clash = [n for n in fields if n.lower() == column.name.lower()]
                 if clash:
-                    raise SchemaConflict(f"{version.table}.{column.name}: differs from {clash[0]} only in case")
+                    raise SchemaConflict(
+                        f"{version.table}.{column.name}: differs from {clash[0]} only in case"
+                    )
                 fields[column.name] = come
             else:
                 fields[column.name] = T.StructField(

@@ -95,15 +95,14 @@ def diff_examples(
             .agg(F.min("_line").alias("_line"))
         )
     both = ["_kind", *keys]
-    s_lines, t_lines = (df.withColumnRenamed("_line", side) for df, side in zip(lines, ("source_row", "target_row")))
-    return (
-        first.drop("_nth").join(s_lines, both, "left").join(t_lines, both, "left")
-        .select(
-            F.col("_kind").alias("kind"),
-            F.concat_ws(",", *(field_text(first.schema[k]) for k in keys)).alias("key"),
-            "source_row",
-            "target_row",
-        )
+    found = first.drop("_nth")
+    for df, side in zip(lines, ("source_row", "target_row"), strict=True):
+        found = found.join(df.withColumnRenamed("_line", side), both, "left")
+    return found.select(
+        F.col("_kind").alias("kind"),
+        F.concat_ws(",", *(field_text(first.schema[k]) for k in keys)).alias("key"),
+        "source_row",
+        "target_row",
     )
 
 
@@ -221,10 +220,8 @@ def _part_names() -> list[str]:
 
 
 def _parts_of(row_hash: str) -> list[Column]:
-    return [
-        F.conv(F.substring(row_hash, 1 + i * _PART_DIGITS, _PART_DIGITS), 16, 10).cast("bigint").alias(p)
-        for i, p in enumerate(_part_names())
-    ]
+    digits = [F.substring(row_hash, 1 + i * _PART_DIGITS, _PART_DIGITS) for i in range(_PARTS)]
+    return [F.conv(d, 16, 10).cast("bigint").alias(p) for d, p in zip(digits, _part_names())]
 
 
 def _sums(side: str) -> list[Column]:
@@ -265,7 +262,9 @@ def verify(
     return reduce(DataFrame.unionByName, reports)
 
 
-def partition_lag(high: DataFrame, committed: DataFrame, topic_prefix: str | None = None) -> DataFrame:
+def partition_lag(
+    high: DataFrame, committed: DataFrame, topic_prefix: str | None = None
+) -> DataFrame:
     """Messages per topic partition that are not committed yet. No commit (absent, or negative)
     counts as 0."""
     if topic_prefix is not None:
@@ -279,13 +278,17 @@ def partition_lag(high: DataFrame, committed: DataFrame, topic_prefix: str | Non
     )
 
 
-def consumer_lag(high: DataFrame, committed: DataFrame, topic_prefix: str | None = None) -> DataFrame:
+def consumer_lag(
+    high: DataFrame, committed: DataFrame, topic_prefix: str | None = None
+) -> DataFrame:
     """One row: messages not committed yet over all partitions."""
     lags = partition_lag(high, committed, topic_prefix)
     return lags.agg(F.coalesce(F.sum("lag"), F.lit(0).cast("bigint")).alias("lag"))
 
 
-def caught_up(markers: DataFrame, replica_markers: DataFrame, lag: DataFrame, key: str = "id") -> DataFrame:
+def caught_up(
+    markers: DataFrame, replica_markers: DataFrame, lag: DataFrame, key: str = "id"
+) -> DataFrame:
     """One row: has every marker arrived, and is nothing left to consume?"""
     arrived = replica_markers.select(F.col(quoted(key)), F.lit(True).alias("_arrived"))
     waiting = markers.join(arrived, key, "left").agg(

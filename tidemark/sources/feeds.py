@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.columns import EVENT_COLUMNS, META_COLUMNS, cols, quoted
-from tidemark.functions.wire import DECIMAL
+from tidemark.functions.wire import DECIMAL, epoch_to_ntz
 
 # Spark type -> (primitive wire type, logical type).
 _WIRE = {
@@ -56,8 +56,7 @@ def wire_value(column: Column, data_type: T.DataType) -> Column:
         epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
         return F.timestamp_diff("MICROSECOND", epoch, column)
     if isinstance(data_type, T.TimestampType):
-        zulu = F.timestamp_add("MICROSECOND", F.unix_micros(column), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
-        return F.date_format(zulu, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+        return F.date_format(epoch_to_ntz(F.unix_micros(column)), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return column
 
 
