@@ -234,14 +234,33 @@ def test_older_versions_stay_readable(replica):
 def test_stored_rows_are_read_only_for_late_events(replica):
     send(replica, change("c", item(1), 100))
     state = replica.version().tables["items"]
-    assert replica.stored("items", state, (3, 101, 0)) is None
-    late = replica.stored("items", state, (3, 100, 0))
+    assert replica.stored("items", state, [], (3, 101, 0)) is None
+    late = replica.stored("items", state, state.commits, (3, 100, 0))
     assert late.count() == 1
     plan = late.select("id", "_src_file", "_src_pos", "_src_row")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(_src_pos,100)" in plan
     assert "name" not in plan.split("ReadSchema")[-1]
 
 
+def test_a_small_batch_against_many_rows(replica):
+    """Its keys are looked up first."""
+    send(replica, *(change("c", item(i, "old"), 100 + i) for i in range(60)))
+    batch = [change("u", item(1, "new"), 500), change("u", item(2, "older"), 50), change("c", item(99), 90)]
+    assert send(replica, *batch) == (2, 1, 0)
+    assert {items(replica)[i][0] for i in (1, 2, 99)} == {"new", "old", "a"}
+
+
+def test_an_ordered_log_reads_nothing_back(replica, monkeypatch):
+    seen = []
+    stored = Replica.stored
+    monkeypatch.setattr(Replica, "stored", lambda *a: seen.append(stored(*a)) or seen[-1])
+    send(replica, change("c", item(1), 100))
+    send(replica, change("u", item(1, "b"), 200), change("c", item(2), 210))
+    send(replica, change("d", item(1, "b"), 300))
+    assert seen == [None, None, None]
+    assert items(replica)[1][2] is True
+
+
 def test_fold_keeps_the_rows(replica):
     for i in range(9):
         send(replica, change("c", item(i), 100 + i), change("u", item(0, f"v{i}"), 200 + i))

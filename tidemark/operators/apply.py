@@ -41,6 +41,9 @@ from tidemark.operators.stats import (
 # Tables of one batch are independent of each other until it is published.
 PARALLEL_TABLES = 4
 
+# Look up the keys of a batch first if there are so many times more stored rows than events.
+MUCH_LARGER = 4
+
 # Lag percentiles of a run report.
 REPORTED = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 
@@ -208,8 +211,11 @@ class _Batch:
             F.lit(self.started).cast("timestamp").alias("_applied_at"),
         )
         oldest_file, oldest_pos = min(r["oldest"] for r in found)
-        stored = self.replica.stored(name, state, (oldest_file, oldest_pos, 0))
-        if stored is not None:
+        since = (oldest_file, oldest_pos, 0)
+        commits = [c for c in state.commits if c.newest >= since]
+        stored = self.replica.stored(name, state, commits, since)
+        n_stored = sum(c.rows for c in commits)
+        if stored is not None and n_stored > MUCH_LARGER * n_events:
             stored = stored_for(staged, stored, keys, sum(r["key_bytes"] for r in found))
         n_staged, commit = self.replica.write_commit(
             name, state, staged, self.number, n_events, stored

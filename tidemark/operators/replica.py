@@ -241,14 +241,15 @@ class Replica:
             *(F.col(quoted(f.name)).alias(f.name, metadata=f.metadata) for f in schema.fields)
         )
 
-    def stored(self, table: str, state: TableState, since: Position) -> DataFrame | None:
+    def stored(
+        self, table: str, state: TableState, commits: Sequence[Commit], since: Position
+    ) -> DataFrame | None:
         """Rows that an event at ``since`` or later could lose against: those stored at that position
-        or after. None if there are none, which is the normal case of an ordered log. The condition
-        on the position reaches the Parquet files."""
-        commits = [c for c in state.commits if c.newest >= since]
+        or after. ``commits`` are those that reach it; None if there are none, which is the normal
+        case of an ordered log. The condition on the position reaches the Parquet files."""
         if not commits:
             return None
-        file_number, offset, row = (F.lit(n) for n in since)
+        file_number, offset, _ = (F.lit(n) for n in since)
         reaches = (F.col("_src_file") > file_number) | (
             (F.col("_src_file") == file_number) & (F.col("_src_pos") >= offset)
         )
