@@ -30,6 +30,14 @@ def _stride(length: int) -> tuple[int, int]:
     return s, length - s + 1
 
 
+def _inner_grams(windows: DataFrame, length: int) -> DataFrame:
+    """The hashed g-grams of windows of ``length`` words."""
+    _, g = _stride(length)
+    inner = F.transform(
+        F.sequence(F.lit(0), F.lit(length - g)), lambda i: F.xxhash64(F.slice("ws", i + 1, F.lit(g))))
+    return windows.where(F.col("len") == length).select("len", F.explode(inner).alias("gram"))
+
+
 def _probes(w: Column, n: Column, length: int) -> Column:
     """The g-grams of a document at multiples of s, each with the words that windows around it can hold."""
     s, g = _stride(length)
@@ -58,12 +66,7 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     """
     windows = stored(item_windows(benchmark, n), "windows")
     lengths = sorted(r[0] for r in windows.select("len").distinct().collect())
-    grams = []
-    for length in lengths:
-        _, g = _stride(length)
-        starts = F.sequence(F.lit(0), F.lit(length - g))
-        inner = F.transform(starts, lambda i, g=g: F.xxhash64(F.slice("ws", i + 1, F.lit(g))))
-        grams.append(windows.where(F.col("len") == length).select("len", F.explode(inner).alias("gram")))
+    grams = [_inner_grams(windows, x) for x in lengths]
     d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words(F.col("text")).alias("w"))
     d = d.withColumn("n_words", F.size("w"))
     no_probe = F.struct(
@@ -157,12 +160,12 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
        'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
-iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS window
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS win
        FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0)),
-dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS window
+dw AS (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS win
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
              FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n)),
-hit AS (SELECT doc_id, p, n, item_id FROM dw JOIN iw USING (n, window)),
+hit AS (SELECT doc_id, p, n, item_id FROM dw JOIN iw USING (n, win)),
 places AS (SELECT doc_id, count(DISTINCT place) AS n_hit
            FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM (SELECT DISTINCT doc_id, p, n FROM hit)) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids

@@ -209,16 +209,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 ORACLE = """
 WITH RECURSIVE
 d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents),
+        'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
         ELSE array_to_string(w[p:p + 4], ' ') END AS shingle
       FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 hashed AS (SELECT doc_id, hash(shingle) AS h FROM s),
-shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
            FROM hashed x JOIN hashed y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY 1, 2),
 links AS MATERIALIZED (SELECT a, b FROM shared JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id
-          WHERE 100 * both >= 85 * (p.n + q.n - both)),
+          WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)),
 edges AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
