@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def lower_ascii(text: Column) -> Column:
@@ -18,7 +19,7 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of ASCII letters (lower-cased), digits and all characters beyond ASCII. Null has none."""
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BETWEEN, -1), "")
 
 
 def matches(docs: DataFrame, patterns: dict[str, str], may: dict[str, Column], context: int = 0) -> DataFrame:
