@@ -120,10 +120,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(x.astype(np.float32), (found["quality"].to_numpy() == 1).astype(np.float64))
 
 
+def score_name(columns: list[str]) -> str:
+    """A name for the score that no column has."""
+    name = "_score"
+    while name in columns:
+        name += "_"
+    return name
+
+
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs, and _score: likelihood of label 1 by the whole text and nothing else."""
+    """Columns ``keep`` of docs, and the score: likelihood of label 1 by the whole text and nothing else."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = "text" if "text" in keep else "_text"
+    name = score_name(keep)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -132,10 +141,10 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                 part = batch.slice(at, BLOCK)
                 scores = m.score(_counts(part.column(text).to_pylist()))
                 columns = {c: part.column(c) for c in keep}
-                yield pa.record_batch(columns | {"_score": pa.array(scores, pa.float64())})
+                yield pa.record_batch(columns | {name: pa.array(scores, pa.float64())})
 
     rows = docs.select(*keep) if text in keep else docs.select(*keep, F.col("text").alias(text))
-    return rows.mapInArrow(vote, T.StructType([*docs.select(*keep).schema, T.StructField("_score", T.DoubleType())]))
+    return rows.mapInArrow(vote, T.StructType([*docs.select(*keep).schema, T.StructField(name, T.DoubleType())]))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -155,4 +164,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with a score of at least ``KEEP``, with all columns."""
-    return score(docs, train(docs, labels), docs.columns).where(F.col("_score") >= KEEP).drop("_score")
+    name = score_name(docs.columns)
+    return score(docs, train(docs, labels), docs.columns).where(F.col(name) >= KEEP).drop(name)

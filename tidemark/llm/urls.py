@@ -20,6 +20,8 @@ RULES = (
 )
 #: False positive rate of the first level and of the others.
 FIRST_RATE, RATE = 0.05, 0.5
+#: Hashes of a level at most.
+MOST_HASHES = 8
 #: Most bits of all levels together that are sent to every executor (64 MB).
 CASCADE_BITS = 1 << 29
 #: Labels of a host that mark it as one of adverts and trackers.
@@ -48,6 +50,7 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 @dataclass
 class Level:
+    number: int
     bits: int
     hashes: int
     words: np.ndarray
@@ -59,31 +62,36 @@ def _halves(key: Column) -> list[Column]:
     return [F.shiftrightunsigned(F.xxhash64(key), 20).alias("h1"), F.shiftrightunsigned(second, 20).alias("h2")]
 
 
-def _place(i: int | Column, bits: int) -> Column:
+def _place(i: int, bits: int) -> Column:
     return F.pmod(F.col("h1") + (F.col("h2").bitwiseOR(F.lit(1))) * i, F.lit(bits))
 
 
-def _size(n: int, rate: float) -> tuple[int, int]:
-    hashes = max(1, round(-log(rate) / log(2)))
-    return max(64, ceil(n * hashes / log(2) / 64) * 64), hashes
+def _turns(level: int, hashes: int) -> range:
+    """Each level takes other hashes, so keys that one can't tell apart differ in a later one."""
+    return range(MOST_HASHES * level, MOST_HASHES * level + hashes)
 
 
-def _encode(keys: DataFrame, n: int, rate: float) -> Level:
+def _size(n: int, rate: float, level: int = 0) -> tuple[int, int]:
+    hashes = max(1, min(MOST_HASHES, round(-log(rate) / log(2))))
+    return (ceil(n * hashes / log(2) / 64) + level) * 64, hashes
+
+
+def _encode(keys: DataFrame, n: int, rate: float, level: int) -> Level:
     """A Bloom filter of keys (h1, h2). Its words are put together by a grouped OR; only non-zero ones reach the driver."""
-    bits, hashes = _size(n, rate)
-    at = keys.select(F.explode(F.array(*[_place(i, bits) for i in range(hashes)])).alias("at"))
+    bits, hashes = _size(n, rate, level)
+    at = keys.select(F.explode(F.array(*[_place(i, bits) for i in _turns(level, hashes)])).alias("at"))
     word = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("bits"))
     found = word.toPandas()
     words = np.zeros(bits // 64, np.int64)
     words[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return Level(bits, hashes, words.view(np.uint64))
+    return Level(level, bits, hashes, words.view(np.uint64))
 
 
 def _holds(level: Level, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     out = np.ones(len(h1), bool)
     step = h2 | np.int64(1)
-    for i in range(level.hashes):
+    for i in _turns(level.number, level.hashes):
         at = (h1 + step * i) % level.bits
         out &= (level.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
     return out
@@ -111,7 +119,7 @@ class Cascade:
 
     def __init__(self, spark: SparkSession, levels: list[Level]):
         self.levels = levels
-        self.shared = spark.sparkContext.broadcast([(x.bits, x.hashes, x.words) for x in levels])
+        self.shared = spark.sparkContext.broadcast(levels)
 
     def listed(self, key: Column) -> Column:
         """Whether ``key``, one of the universe, is listed. A null key isn't."""
@@ -121,12 +129,19 @@ class Cascade:
 def _lookup(shared):
     @F.pandas_udf("boolean")
     def look(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        levels = [Level(*x) for x in shared.value]
-        return pd.Series(_member(levels, h1.to_numpy(np.int64), h2.to_numpy(np.int64))[0])
+        return pd.Series(_member(shared.value, h1.to_numpy(np.int64), h2.to_numpy(np.int64))[0])
 
     return look
 
 
+def _held(shared):
+    @F.pandas_udf("boolean")
+    def held(h1: pd.Series, h2: pd.Series) -> pd.Series:
+        return pd.Series(_holds(shared.value, h1.to_numpy(np.int64), h2.to_numpy(np.int64)))
+
+    return held
+
+
 def cascade(universe: DataFrame, listed: DataFrame) -> Cascade | None:
     """A cascade over the keys (column ``key``) of both tables; repeated and null keys don't matter. None if the
     bits for all levels may exceed ``CASCADE_BITS``: then a join is the way."""
@@ -140,9 +155,9 @@ def cascade(universe: DataFrame, listed: DataFrame) -> Cascade | None:
     levels: list[Level] = []
     encode, other = keys.where("mine = 1"), keys.where("mine = 0")
     while n:
-        levels.append(_encode(encode, n, RATE if levels else FIRST_RATE))
-        shared = spark.sparkContext.broadcast([(x.bits, x.hashes, x.words) for x in levels[-1:]])
-        false = stored(other.where(_lookup(shared)("h1", "h2")), "held-falsely")
+        levels.append(_encode(encode, n, RATE if levels else FIRST_RATE, len(levels)))
+        shared = spark.sparkContext.broadcast(levels[-1])
+        false = stored(other.where(_held(shared)("h1", "h2")), "held-falsely")
         encode, other, n = false, encode, false.count()
     return Cascade(spark, levels)
 
