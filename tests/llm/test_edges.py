@@ -285,16 +285,16 @@ def test_packing(docs, nothing):
 
 def test_exchange_reaches_the_bound(spark, monkeypatch):
     """Halves and rests that fit in pairs only across parts."""
-    monkeypatch.setattr(packing, "PART", 8)
+    monkeypatch.setattr(packing, "PART", 40)
     r = random.Random(2)
-    sizes = [x for _ in range(60) for x in (lambda a: (a, 1024 - a))(r.randint(300, 700))]
+    sizes = [x for _ in range(400) for x in (lambda a: (a, 1024 - a))(r.randint(300, 700))]
     df = spark.createDataFrame(list(enumerate(sizes)), "row long, length long").repartition(3)
     placed = packing.place(df).collect()
     used = {}
     for p in placed:
         used.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
     alone = packing._pack(df, 0).where("offset = 0").count()
-    assert len(placed) == len(sizes) and 60 <= len(used) < alone
+    assert len(placed) == len(sizes) and 400 <= len(used) < alone
     assert all(sum(n for _, n in v) <= 1024 for v in used.values())
 
 
