@@ -1,10 +1,10 @@
 """Is the replica equal to its source? Row by row, at scale.
 
-Three things can be wrong with a key. It is *missing* if only the source has it: a change got lost, or a
-deletion was applied that is not true any more. It is *extra* if only the replica has it: a deletion got
-lost. It is *mismatched* if both have it with different values: an update got lost or came in the wrong order.
+For each key, the rows of both sides are compared as multisets: *missing* keys are only in the source, *extra* ones only
+in the replica, *mismatched* ones in both with other rows, or with more copies of one.
 
-Rows are compared by the SHA-256 of their text form, so what is shuffled is keys and hashes, not rows.
+What is shuffled is keys and SHA-256 hashes of rows. The hashed form gives each field's length and tells NULL from
+any text, so different rows have different forms.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def _extra() -> Column:
 
 
 def _mismatched() -> Column:
-    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in _part_names()]
+    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in ("_copies", *_whole_names())]
     return reduce(Column.__or__, differ)
 
 
@@ -124,11 +124,16 @@ def _joined_by_key(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     sides = []
     for name, df in (("s", source), ("t", aligned)):
         row_hash = F.sha2(row_text(df, source.columns), 256).alias("_hash")
-        hashed = _keyed(df, source, target, keys, row_hash).select(*cols(keys), *_parts_of("_hash"))
+        whole = F.sha2(_distinct_form(df, source.columns), 256).alias("_whole")
+        hashed = _keyed(df, source, target, keys, row_hash, whole).select(
+            *cols(keys), *_parts_of("_hash"), *_whole_parts("_whole")
+        )
         # Partial aggregation collapses copies of a key before the shuffle the join needs anyway. On
         # numbers it hashes; on texts it would sort.
         one_per_key = hashed.groupBy(*cols(keys)).agg(
-            *(F.min(p).alias(p) for p in _part_names()), F.count(F.lit(1)).alias("_copies")
+            *(F.min(p).alias(p) for p in _part_names()),
+            *(F.sum(p).alias(p) for p in _whole_names()),
+            F.count(F.lit(1)).alias("_copies"),
         )
         sides.append(one_per_key.alias(name))
     return sides[0].join(sides[1], same_keys("s", "t", keys), "full_outer")
@@ -215,6 +220,26 @@ def _bucketed_digest(hashes: DataFrame, df: DataFrame, k: int | None) -> DataFra
     )
 
 
+def _distinct_form(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A text that no other row has: each field with its length, or a mark of its own for NULL."""
+    fields = []
+    for c in columns:
+        text = field_text(df.schema[c])
+        sized = F.concat(F.char_length(text).cast("string"), F.lit(":"), text)
+        fields.append(F.when(F.col(quoted(c)).isNull(), F.lit("-")).otherwise(sized))
+    return F.concat_ws(",", *fields)
+
+
+def _whole_names() -> list[str]:
+    return [f"_w{i}" for i in range(4)]
+
+
+def _whole_parts(row_hash: str) -> list[Column]:
+    """All 64 digits of a row hash, as four numbers that can be summed."""
+    digits = [F.substring(row_hash, 1 + i * 16, 16) for i in range(4)]
+    return [F.conv(d, 16, 10).cast("decimal(20,0)").alias(p) for d, p in zip(digits, _whole_names())]
+
+
 def _part_names() -> list[str]:
     return [f"_h{i}" for i in range(_PARTS)]
 
@@ -253,11 +278,13 @@ def verify(
     replica: Replica, sources: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]
 ) -> DataFrame:
     """A report per source table, in name order. A table the replica does not have counts as empty."""
-    here = set(replica.tables())
+    # One version for all tables, whatever is published meanwhile.
+    version = replica.latest()
+    here = replica.version(version).tables
     reports = []
     for table in sorted(sources):
         source = sources[table]
-        target = replica.live(table) if table in here else source.limit(0)
+        target = replica.live(table, version) if table in here else source.limit(0)
         reports.append(compare_tables(source, target, keys[table], table))
     return reduce(DataFrame.unionByName, reports)
 

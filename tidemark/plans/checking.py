@@ -188,6 +188,29 @@ def normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise(typed)
 
 
+_FOUND = ("missing", "extra", "mismatched", "source_duplicates", "target_duplicates", "ok")
+
+
+@query("""SELECT 0 AS missing, 0 AS extra, count(*) AS mismatched, 0 AS source_duplicates, count(*) AS target_duplicates,
+          count(*) = 0 AS ok FROM orders WHERE o_orderstatus = 'P'""")
+def compare_detects_target_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that has pending orders twice."""
+    source = _orders(spark, sf_dir)
+    target = source.unionByName(source.where("o_orderstatus = 'P'"))
+    return compare_tables(source, target, ["o_orderkey"]).select(*_FOUND)
+
+
+@query("""SELECT 0 AS missing, 0 AS extra, count(*) AS mismatched, 0 AS source_duplicates, 0 AS target_duplicates,
+          count(*) = 0 AS ok FROM orders""")
+def compare_detects_shifted_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same characters, cut into fields at another place."""
+    status, priority, mark = F.col("o_orderstatus"), F.col("o_orderpriority"), F.lit("\x1f")
+    orders = table(spark, sf_dir, "orders")
+    source = orders.select("o_orderkey", F.concat(status, mark, priority).alias("a"), F.lit("x").alias("b"))
+    target = orders.select("o_orderkey", status.alias("a"), F.concat(priority, mark, F.lit("x")).alias("b"))
+    return compare_tables(source, target, ["o_orderkey"]).select(*_FOUND)
+
+
 # ---- digests
 
 
