@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial, reduce
+from typing import TypeVar
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import META_COLUMNS, cols
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict
 from tidemark.operators.decode import (
+    MAX_VERSIONS,
     DecodedTable,
     SchemaText,
     decode_table,
@@ -44,6 +47,12 @@ PARALLEL_TABLES = 4
 # Look up the keys of a batch first if there are so many times more stored rows than events.
 MUCH_LARGER = 4
 
+# Batches whose statistics become one directory, so that a long run leaves few files.
+STATS_JOINED = 100
+_JOINED = "-joined"
+
+T_ = TypeVar("T_")
+
 # Lag percentiles of a run report.
 REPORTED = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 
@@ -75,18 +84,20 @@ def apply_batch(
     consumer_id: str = "sink-1",
     logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES,
     before_publish: Callable[[], None] | None = None,
+    max_versions: int = MAX_VERSIONS,
 ) -> BatchResult:
     """Decode, keep the newest event per key, evolve the schemas, write what is newer than the
     replica's rows, and publish data and statistics of all tables as one version.
 
-    Applying a batch twice, or batches in another order, leads to the same replica.
+    Applying a batch twice, or batches in another order, leads to the same replica. More than ``max_versions`` versions of
+    tables in one batch are an error, as then something other than schemas varies.
     """
     started = _now()
     parts = split_messages(raw).drop("_value_schema", "_key_schema")
     kept = [parts.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         current = replica.version()
-        texts = versions_of_batch(raw.where(F.col("value").isNotNull()), parts, current.schemas)
+        texts = versions_of_batch(raw.where(F.col("value").isNotNull()), parts, current.schemas, max_versions)
         tables = versions_by_table(parse_versions(texts, logical_types))
         decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
         batch = _Batch(replica, current, run_id, consumer_id, started, kept)
@@ -161,21 +172,17 @@ class _Batch:
         schemas: dict[int, SchemaText],
         before_publish: Callable[[], None] | None = None,
     ) -> BatchResult:
-        with ThreadPoolExecutor(PARALLEL_TABLES) as pool:
-            futures = {
-                name: pool.submit(lambda n, d: self._apply_table(n, d()), name, decoder)
-                for name, decoder in decoders.items()
-            }
-            done = {name: f.result() for name, f in futures.items()}
+        calls = [partial(lambda n, d: self._apply_table(n, d()), n, d) for n, d in decoders.items()]
+        done = dict(zip(decoders, _all(self.replica.spark, calls), strict=True))
         result = BatchResult(version=self.number)
         states = dict(self.current.tables)
         for name, (counts, state, _) in done.items():
             result.add(counts)
             states[name] = state
-        self._write_stats(result, [events for _, _, events in done.values()])
+        stats = self._write_stats(result, [events for _, _, events in done.values()])
         if before_publish:
             before_publish()
-        self.replica.publish(Version(self.number, states, schemas))
+        self.replica.publish(Version(self.number, states, schemas, stats))
         return result
 
     def _apply_table(
@@ -225,27 +232,40 @@ class _Batch:
         result.deduped = result.received - n_staged
         return result, state.plus(commit), for_lag
 
-    def _write_stats(self, result: BatchResult, for_lag: Sequence[DataFrame]) -> None:
-        """Becomes visible with the version it belongs to: readers skip numbers that are not
-        published, and a repeated batch overwrites them."""
-        path, applied_at = f"{self.replica.path}/_stats", _now()
+    def _write_stats(self, result: BatchResult, for_lag: Sequence[DataFrame]) -> tuple[str, ...]:
+        """Writes the batch's statistics to a directory of this attempt, and returns those of the next version, which alone
+        makes them visible. Every ``STATS_JOINED`` batches, theirs become one directory."""
+        name, applied_at = f"{self.number}-{uuid.uuid4().hex}", _now()
         who = (self.run_id, self.consumer_id, self.number)
         counts = (result.received, result.deduped, result.applied, result.stale)
         ops = F.create_map(*(F.lit(x) for op_n in result.ops.items() for x in op_n))
         row = [F.lit(v) for v in (*who, self.started, applied_at, 1, *counts)]
-        batch = self.replica.spark.range(1).select(_as(BATCH_SCHEMA, [*row, ops]))
-        writes = [(batch.coalesce(1), "batches")]
+        spark = self.replica.spark
+        batch = spark.range(1).select(_as(BATCH_SCHEMA, [*row, ops])).coalesce(1)
+        lags = spark.createDataFrame([], LAG_SCHEMA)
         if for_lag:
             events = reduce(DataFrame.unionByName, for_lag)
             lag = lag_histogram(events, F.lit(applied_at).cast("timestamp"))
-            columns = [*(F.lit(v) for v in who), F.col("lag_ms"), F.col("n")]
-            writes.append((lag.select(_as(LAG_SCHEMA, columns)), "lag"))
-        with ThreadPoolExecutor(len(writes)) as pool:
-            for done in [
-                pool.submit(df.write.mode("overwrite").parquet, f"{path}/{kind}/_at={self.number}")
-                for df, kind in writes
-            ]:
-                done.result()
+            lags = lag.select(_as(LAG_SCHEMA, [*(F.lit(v) for v in who), F.col("lag_ms"), F.col("n")]))
+        single = [n for n in self.current.stats if not n.endswith(_JOINED)]
+        if len(single) + 1 >= STATS_JOINED:
+            name += _JOINED
+            batch = _named(self.replica, single, "batches", BATCH_SCHEMA).unionByName(batch).coalesce(1)
+            lags = _named(self.replica, single, "lag", LAG_SCHEMA).unionByName(lags)
+        path = self.replica.stats_path(name)
+        _all(spark, [
+            partial(df.write.parquet, f"{path}/{kind}") for df, kind in ((batch, "batches"), (lags, "lag"))
+        ])
+        gone = set(single) if name.endswith(_JOINED) else set()
+        return (*(n for n in self.current.stats if n not in gone), name)
+
+
+def _all(spark: SparkSession, calls: Sequence[Callable[[], T_]], threads: int = PARALLEL_TABLES) -> list[T_]:
+    """Results of calls that run side by side. Their jobs belong to the caller's job group and pool, so
+    that stopping a query stops them."""
+    with ThreadPoolExecutor(threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        return [f.result() for f in futures]
 
 
 def _summary(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -305,9 +325,13 @@ def write_report(replica: Replica, report: Mapping[str, object], path: str) -> N
 
 
 def _stats(replica: Replica, kind: str, schema: T.StructType) -> DataFrame:
-    latest = replica.latest()
-    read = replica.spark.read.schema(schema).option("recursiveFileLookup", "true")
-    return read.parquet(f"{replica.path}/_stats/{kind}").where(F.col("version") <= latest)
+    return _named(replica, replica.version().stats, kind, schema)
+
+
+def _named(replica: Replica, names: Sequence[str], kind: str, schema: T.StructType) -> DataFrame:
+    if not names:
+        return replica.spark.createDataFrame([], schema)
+    return replica.spark.read.schema(schema).parquet(*(f"{replica.stats_path(n)}/{kind}" for n in names))
 
 
 def _now() -> datetime:

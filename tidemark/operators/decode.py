@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from tidemark.operators.schema import TableVersion, evolve_schema, parse_version
 PAYLOAD_MARK = ',"payload":'
 OPS = ("c", "u", "d", "r")
 
-# More table versions than this in one batch means that something other than a schema varies.
+# Default of ``max_versions``.
 MAX_VERSIONS = 10_000
 # Messages looked up by one condition.
 LOOKUPS = 100
@@ -95,22 +96,27 @@ def _schema_part(text: str) -> Column:
     return F.when(F.size(parts) == 2, F.get(parts, F.lit(0))).otherwise(parsed)
 
 
-def schema_texts(parts: DataFrame) -> dict[int, SchemaText]:
+def schema_texts(parts: DataFrame, max_versions: int = MAX_VERSIONS) -> dict[int, SchemaText]:
     """Distinct schema texts in a batch, by version: the only part of it that reaches the driver, one
-    row per version."""
+    row per version. More than ``max_versions`` are an error."""
     texts = (
         parts.select("_version", "_table", "_value_schema", "_key_schema")
         .distinct()
-        .limit(MAX_VERSIONS + 1)
+        .limit(max_versions + 1)
         .collect()
     )
-    if len(texts) > MAX_VERSIONS:
-        raise SchemaConflict(f"more than {MAX_VERSIONS} schema versions in one batch")
+    if len(texts) > max_versions:
+        raise _too_many(max_versions, [t[1] for t in texts])
     if len({t[0] for t in texts}) != len(texts):
         raise SchemaConflict("two schema versions share a hash")
     return {t[0]: (t[1], t[2], t[3]) for t in texts}
 
 
+def _too_many(max_versions: int, names: Iterable[str]) -> SchemaConflict:
+    most = ", ".join(f"{name} ({n})" for name, n in Counter(names).most_common(3))
+    return SchemaConflict(f"more than {max_versions} schema versions in one batch, most of {most}")
+
+
 def parse_versions(
     texts: Mapping[int, SchemaText], logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
 ) -> dict[int, TableVersion]:
@@ -125,7 +131,10 @@ def schema_versions(
 
 
 def versions_of_batch(
-    raw: DataFrame, parts: DataFrame, known: Mapping[int, SchemaText]
+    raw: DataFrame,
+    parts: DataFrame,
+    known: Mapping[int, SchemaText],
+    max_versions: int = MAX_VERSIONS,
 ) -> dict[int, SchemaText]:
     """The same, given versions that are known already. Their messages need not be looked at again;
     of the others, one message each is."""
@@ -134,9 +143,9 @@ def versions_of_batch(
         F.min("offset").alias("offset")
     )
     first = F.min(F.struct("topic", "partition", "offset")).alias("first")
-    seen = by_partition.groupBy("_version").agg(first).limit(MAX_VERSIONS + 1).collect()
-    if len(seen) > MAX_VERSIONS:
-        raise SchemaConflict(f"more than {MAX_VERSIONS} schema versions in one batch")
+    seen = by_partition.groupBy("_version").agg(first).limit(max_versions + 1).collect()
+    if len(seen) > max_versions:
+        raise _too_many(max_versions, [r["first"]["topic"] for r in seen])
     texts = {r[0]: known[r[0]] for r in seen if r[0] in known}
     new = [r["first"] for r in seen if r[0] not in known]
     for start in range(0, len(new), LOOKUPS):
@@ -230,12 +239,15 @@ def decode_table(
         .when(_any_null([file_number, source.getField("pos")]), F.lit("no position"))
         .when(commit_micros.isNull(), F.lit("no commit time"))
     )
-    pos = source.getField("pos")
     if on_bad == "fail":
-        # In the position, because no consumer of events can do without it.
+        # Every value comes out of one of the two, so a consumer can't read one without the check.
         where = F.concat_ws(":", "topic", "_partition", "_offset")
-        pos = F.when(bad.isNull(), pos).otherwise(
-            _stop(F.concat(bad, F.lit(" at "), where), "bigint")
+        why = F.concat(bad, F.lit(" at "), where)
+        imaged = imaged.withColumns(
+            {
+                c: F.when(bad.isNull(), F.col(c)).otherwise(_stop(why, imaged.schema[c].dataType))
+                for c in ("_image", "_p")
+            }
         )
     elif on_bad != "flag":
         raise ValueError(f"on_bad must be 'fail' or 'flag', not {on_bad!r}")
@@ -246,7 +258,7 @@ def decode_table(
         ),
         op.alias("_op"),
         file_number.alias("_src_file"),
-        pos.alias("_src_pos"),
+        source.getField("pos").alias("_src_pos"),
         F.coalesce(source.getField("row"), F.lit(0)).alias("_src_row"),
         F.timestamp_micros(commit_micros).alias("_src_commit_at"),
         (op == "d").alias("_deleted"),
@@ -314,6 +326,6 @@ def _unsupported(op: Column) -> Column:
     return F.concat(F.lit("unsupported op "), F.coalesce(op, F.lit("null")))
 
 
-def _stop(message: Column, data_type: str) -> Column:
+def _stop(message: Column, data_type: T.DataType | str) -> Column:
     return F.raise_error(message).cast(data_type)
 

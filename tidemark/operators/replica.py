@@ -15,13 +15,14 @@ such a table, or guarding a batch against it, then shuffles the small side only.
 that of ``spark.sql.shuffle.partitions``, so that a commit has one file per bucket.
 
 One writer per replica at a time. A second one fails when it publishes the same version, and harms
-nothing, as it wrote to directories of its own.
+nothing, as data, statistics and the draft of its version have names of its own.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import astuple, dataclass, field, replace
@@ -72,6 +73,8 @@ class Version:
     tables: dict[str, TableState] = field(default_factory=dict)
     # Schema texts by message version, so that known ones need no look at the messages.
     schemas: dict[int, SchemaText] = field(default_factory=dict)
+    # Directories of statistics that belong to this version.
+    stats: tuple[str, ...] = ()
 
     def to_json(self) -> str:
         return json.dumps(
@@ -85,6 +88,7 @@ class Version:
                     for name, t in self.tables.items()
                 },
                 "schemas": {str(i): list(text) for i, text in self.schemas.items()},
+                "stats": list(self.stats),
             }
         )
 
@@ -100,7 +104,7 @@ class Version:
             for table, t in stored["tables"].items()
         }
         schemas = {int(i): tuple(of) for i, of in stored["schemas"].items()}
-        return Version(number, tables, schemas)
+        return Version(number, tables, schemas, tuple(stored["stats"]))
 
 
 class Replica:
@@ -150,16 +154,31 @@ class Replica:
             opened.close()
 
     def publish(self, version: Version) -> None:
-        """Makes ``version`` the visible one, in a single rename that fails if it exists."""
+        """Makes ``version`` the visible one, in a single step that fails if it exists. The draft is
+        this attempt's own, so what becomes visible is what this caller wrote."""
         fs, path = self._file_system()
         final = path(f"{self._versions}/{version.number:020d}.json")
-        draft = path(f"{self._versions}/_{version.number:020d}.draft")
+        draft = path(f"{self._versions}/_{version.number:020d}.{uuid.uuid4().hex}")
         fs.mkdirs(path(self._versions))
-        out = fs.create(draft, True)
+        out = fs.create(draft, False)
         out.write(bytearray(version.to_json().encode()))
         out.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            raise ConcurrentWrite(f"version {version.number} of {self.path} exists")
+        try:
+            if not self._moved(fs, draft, final):
+                raise ConcurrentWrite(f"version {version.number} of {self.path} exists")
+        finally:
+            fs.delete(draft, False)
+
+    def _moved(self, fs, draft, final) -> bool:  # type: ignore[no-untyped-def]
+        """Whether the draft got its final name. A rename of HDFS never replaces a file; a local one does,
+        so there the name is given by a link."""
+        if fs.getScheme() != "file":
+            return not fs.exists(final) and fs.rename(draft, final)
+        try:
+            os.link(draft.toUri().getPath(), final.toUri().getPath())
+        except FileExistsError:
+            return False
+        return True
 
     # ---- reading
 
@@ -318,12 +337,12 @@ class Replica:
             tables[name] = replace(state, commits=(*state.commits[:-n], commit))
             folded.append(name)
         if folded:
-            self.publish(Version(number, tables, current.schemas))
+            self.publish(replace(current, number=number, tables=tables))
         return folded
 
     def vacuum(self, keep_versions: int = 10) -> list[str]:
-        """Deletes all but the last versions, and the commits none of them names. Returns the
-        directories of these."""
+        """Deletes all but the last versions, and the commits and statistics none of them names. Returns
+        the directories of these."""
         latest = self.latest()
         oldest = max(1, latest - keep_versions + 1)
         kept = [self.version(n) for n in range(oldest, latest + 1)]
@@ -340,8 +359,18 @@ class Replica:
                 if int(name.partition("-")[0]) <= latest and (table, name) not in named:
                     fs.delete(entry.getPath(), True)
                     gone.append(f"{table}/{name}")
+        named = {(name, "") for v in kept for name in v.stats}
+        at = path(self.stats_path())
+        for entry in fs.listStatus(at) if kept and fs.exists(at) else ():
+            name = entry.getPath().getName()
+            if int(name.partition("-")[0]) <= latest and (name, "") not in named:
+                fs.delete(entry.getPath(), True)
+                gone.append(f"_stats/{name}")
         return gone
 
+    def stats_path(self, name: str = "") -> str:
+        return f"{self.path}/_stats/{name}".rstrip("/")
+
 
 def _foldable(commits: Sequence[Commit]) -> int:
     """How many of the last commits to join: going back while the next older one is not larger than all

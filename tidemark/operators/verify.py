@@ -18,14 +18,8 @@ from tidemark.functions.columns import cols, quoted, same_keys
 from tidemark.functions.text import field_text, row_text
 from tidemark.operators.replica import Replica
 
-# The exact digest hashes all rows one after the other, in one task.
-EXACT_DIGEST_ROWS = 1_000_000
-# Aimed-at number of entries that one group of the bucketed digest sorts.
-BUCKET_ENTRIES = 10_000
-
-# A row hash is handled as numbers: so many of so many hex digits each.
-_PARTS = 4
-_PART_DIGITS = 14
+# Hex digits of a hash that the groups of the bucketed digest share, at the lowest level.
+_DEPTH = 8
 
 
 # ---- comparison
@@ -115,7 +109,7 @@ def _extra() -> Column:
 
 
 def _mismatched() -> Column:
-    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in ("_copies", *_whole_names())]
+    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in ("_copies", *_part_names("_w"))]
     return reduce(Column.__or__, differ)
 
 
@@ -126,13 +120,13 @@ def _joined_by_key(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
         row_hash = F.sha2(row_text(df, source.columns), 256).alias("_hash")
         whole = F.sha2(_distinct_form(df, source.columns), 256).alias("_whole")
         hashed = _keyed(df, source, target, keys, row_hash, whole).select(
-            *cols(keys), *_parts_of("_hash"), *_whole_parts("_whole")
+            *cols(keys), *_parts_of("_hash", "_h"), *_parts_of("_whole", "_w")
         )
         # Partial aggregation collapses copies of a key before the shuffle the join needs anyway. On
         # numbers it hashes; on texts it would sort.
         one_per_key = hashed.groupBy(*cols(keys)).agg(
-            *(F.min(p).alias(p) for p in _part_names()),
-            *(F.sum(p).alias(p) for p in _whole_names()),
+            *(F.min(p).alias(p) for p in _part_names("_h")),
+            *(_sum(p).alias(p) for p in _part_names("_w")),
             F.count(F.lit(1)).alias("_copies"),
         )
         sides.append(one_per_key.alias(name))
@@ -165,41 +159,29 @@ def _with_columns_of(target: DataFrame, source: DataFrame) -> DataFrame:
 # ---- digests
 
 
-def table_digest(df: DataFrame, mode: str = "sums", k: int | None = None) -> DataFrame:
+def table_digest(df: DataFrame, mode: str = "sums") -> DataFrame:
     """One row (``rows``, ``sha256``) that does not depend on the order of rows.
 
-    ``sums``      adds up parts of the row hashes; needs no shuffle of rows, any size
-    ``bucketed``  hashes sorted row hashes, grouped by their first ``k`` hex digits, then the groups'
-                  hashes, two digits shorter at a time; ``k`` follows from the row count
-    ``exact``     SHA-256 over the sorted lines, one after the other; for up to a million rows
+    ``sums``      adds up the row hashes, as four numbers each; needs no shuffle of rows
+    ``bucketed``  hashes sorted row hashes, grouped by their first eight hex digits, then the groups'
+                  hashes, two digits shorter at a time
+
+    Both are the same formula at every size: 10^12 rows make some 230 entries a group.
     """
-    line = row_text(df)
+    hashed = df.select(F.sha2(row_text(df), 256).alias("_hash"))
     if mode == "sums":
-        hashed = df.select(F.sha2(line, 256).alias("_hash")).select(*_parts_of("_hash"))
-        sums = hashed.agg(F.count(F.lit(1)).alias("rows"), *_sums(""))
+        sums = hashed.select(*_parts_of("_hash", "_h")).agg(F.count(F.lit(1)).alias("rows"), *_sums(""))
         return sums.select("rows", _digest_of_sums("rows", "").alias("sha256"))
-    if mode == "bucketed":
-        return _bucketed_digest(df.select(F.sha2(line, 256).alias("_prefix")), df, k)
-    if mode != "exact":
+    if mode != "bucketed":
         raise ValueError(f"unknown digest mode {mode!r}")
-    if df.limit(EXACT_DIGEST_ROWS + 1).count() > EXACT_DIGEST_ROWS:
-        raise ValueError(f"more than {EXACT_DIGEST_ROWS} rows: use mode 'sums' or 'bucketed'")
-    lines = df.select(line.alias("_line")).agg(F.sort_array(F.collect_list("_line")).alias("_all"))
-    text = F.concat_ws("", F.transform("_all", lambda one: F.concat(one, F.lit("\n"))))
-    return lines.select(
-        F.size("_all").cast("bigint").alias("rows"), F.sha2(text, 256).alias("sha256")
-    )
+    return _bucketed_digest(hashed.withColumnRenamed("_hash", "_prefix"))
 
 
-def _bucketed_digest(hashes: DataFrame, df: DataFrame, k: int | None) -> DataFrame:
-    if k is None:
-        rows, k = df.count(), 2
-        while rows > BUCKET_ENTRIES * 16**k:
-            k += 2
+def _bucketed_digest(hashes: DataFrame) -> DataFrame:
     # Equal rows become one entry with a count, so that many copies do not fill a group.
     level = hashes.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_rows"))
     level = level.withColumn("_entry", F.concat_ws(":", "_prefix", "_rows"))
-    for digits in range(k, -1, -2):
+    for digits in range(_DEPTH, -1, -2):
         level = (
             level.groupBy(F.substring("_prefix", 1, digits).alias("_prefix"))
             .agg(
@@ -230,36 +212,34 @@ def _distinct_form(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws(",", *fields)
 
 
-def _whole_names() -> list[str]:
-    return [f"_w{i}" for i in range(4)]
+def _part_names(prefix: str) -> list[str]:
+    return [f"{prefix}{i}" for i in range(4)]
 
 
-def _whole_parts(row_hash: str) -> list[Column]:
+def _parts_of(row_hash: str, prefix: str) -> list[Column]:
     """All 64 digits of a row hash, as four numbers that can be summed."""
     digits = [F.substring(row_hash, 1 + i * 16, 16) for i in range(4)]
-    return [F.conv(d, 16, 10).cast("decimal(20,0)").alias(p) for d, p in zip(digits, _whole_names())]
-
-
-def _part_names() -> list[str]:
-    return [f"_h{i}" for i in range(_PARTS)]
-
-
-def _parts_of(row_hash: str) -> list[Column]:
-    digits = [F.substring(row_hash, 1 + i * _PART_DIGITS, _PART_DIGITS) for i in range(_PARTS)]
-    return [F.conv(d, 16, 10).cast("bigint").alias(p) for d, p in zip(digits, _part_names())]
+    return [
+        F.conv(d, 16, 10).cast("decimal(20,0)").alias(p)
+        for d, p in zip(digits, _part_names(prefix), strict=True)
+    ]
 
 
 def _sums(side: str) -> list[Column]:
-    zero = F.lit(0).cast("decimal(30,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
     return [
-        F.coalesce(F.sum(F.col(side + p).cast("decimal(20,0)")), zero).alias(side + p)
-        for p in _part_names()
+        F.coalesce(_sum(side + p), zero).alias(side + p) for p in _part_names("_h")
     ]
 
 
+def _sum(part: str) -> Column:
+    """In 38 digits, so for 10^18 rows."""
+    return F.sum(F.col(part).cast("decimal(28,0)"))
+
+
 def _digest_of_sums(rows: str, side: str) -> Column:
     parts = [F.col(rows).cast("string")]
-    parts += [F.col(quoted(side + p)).cast("string") for p in _part_names()]
+    parts += [F.col(quoted(side + p)).cast("string") for p in _part_names("_h")]
     return F.sha2(F.concat_ws(":", *parts), 256)
 
 

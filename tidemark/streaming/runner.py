@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType
 from tidemark.operators.apply import BatchResult, apply_batch
+from tidemark.operators.decode import MAX_VERSIONS
 from tidemark.operators.replica import Replica
 from tidemark.operators.reduce import latest_state
 
@@ -27,13 +28,15 @@ def run_stream(
     logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES,
     before_publish: Callable[[], None] | None = None,
     after_publish: Callable[[BatchResult], None] | None = None,
+    max_versions: int = MAX_VERSIONS,
 ) -> StreamingQuery:
     """Applies a stream of messages (see ``read_changes``) to a replica, batch by batch.
 
     Data first, progress second: the checkpoint moves on after a batch is published. A job that dies
     in between gets the batch again, finds every event stale, and changes nothing. The guard does
     not rely on batch numbers, so even a lost checkpoint is harmless. ``trigger`` defaults to
-    taking what is there and stopping; the two callbacks let tests fail a batch at a given point.
+    taking what is there and stopping; the two callbacks let tests fail a batch at a given point; ``max_versions`` is that of
+    ``apply_batch``.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -44,6 +47,7 @@ def run_stream(
             consumer_id=consumer_id,
             logical_types=logical_types,
             before_publish=before_publish,
+            max_versions=max_versions,
         )
         if after_publish:
             after_publish(result)
