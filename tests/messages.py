@@ -1,82 +1,76 @@
-"""Hand-made change messages of a small table ``items``."""
+"""Change messages about readings of meters, written by hand. A reading's key is its meter and its slot of the day."""
 
 import base64
 import json
+from datetime import datetime, timezone
 from decimal import Decimal
+from itertools import count
 
-COMMIT_US = 1_790_000_000_000_000
+COMMITTED = datetime(2025, 3, 30, 1, 15, tzinfo=timezone.utc)
+COMMIT_US = int(COMMITTED.timestamp()) * 1_000_000
 
-def column(name, wire, logical=None, optional=False, **parameters):
-    """How a message describes a column."""
-    described = {"field": name, "type": wire, "optional": optional}
-    if logical:
-        described["name"] = logical
-    if parameters:
-        described["parameters"] = {k.replace("__", "."): str(v) for k, v in parameters.items()}
-    return described
 
+def column(name, wire, logical=None, optional=True, **parameters):
+    """How a message describes a column."""
+    return {
+        "type": wire,
+        "optional": optional,
+        **({"name": logical} if logical else {}),
+        **({"parameters": {k: str(v) for k, v in parameters.items()}} if parameters else {}),
+        "field": name,
+    }
 
-def decimal_field(name="price", precision=10, scale=2):
-    digits = {"connect__decimal__precision": precision} if precision else {}
-    return column(name, "bytes", "org.apache.kafka.connect.data.Decimal", scale=scale, **digits)
 
+def number(name, scale, precision=None):
+    """A decimal column. Sources that know no precision don't tell it."""
+    told = {"connect.decimal.precision": precision} if precision else {}
+    return column(name, "bytes", "org.apache.kafka.connect.data.Decimal", scale=scale, **told)
 
-ID = column("id", "int64")
-NAME = column("name", "string")
-UPDATED = column("updated_at", "int64", "io.debezium.time.MicroTimestamp")
-BORN = column("born", "int32", "io.debezium.time.Date", optional=True)
 
-# Two versions of the table: the later one has a column more.
-V1 = (ID, NAME, decimal_field(), UPDATED, BORN)
-V2 = (*V1, column("tier", "string", optional=True))
+METER = column("meter", "string", optional=False)
+SLOT = column("slot", "int32", optional=False)
+KEY = (METER, SLOT)
+KWH = number("kwh", 3, 9)
+STATE = column("state", "string", "io.debezium.data.Enum")
+TAKEN = column("taken", "string", "io.debezium.time.ZonedTimestamp")
+OK = column("ok", "boolean")
+FIRST = (METER, SLOT, KWH, STATE, TAKEN, OK)
+LATER = (METER, SLOT, column("note", "string"), KWH, STATE, TAKEN, OK)
 
 
-def unscaled(text, scale=2):
-    number = int(Decimal(text).scaleb(scale))
-    width = number.bit_length() // 8 + 1
-    return base64.b64encode(number.to_bytes(width, "big", signed=True)).decode()
+def digits(value, scale=3):
+    """A decimal as a message has it: its digits as a signed number, in as few bytes as hold it."""
+    whole = int(Decimal(value) * 10**scale)
+    for width in count(1):
+        try:
+            return base64.b64encode(whole.to_bytes(width, signed=True)).decode()
+        except OverflowError:
+            continue
 
 
-def item(i, name="a", price="1.00", **more):
-    return {
-        "id": i,
-        "name": name,
-        "price": unscaled(price),
-        "updated_at": COMMIT_US + i,
-        "born": 20455,
-        **more,
-    }
+def reading(slot, state="raw", kwh="0.375", meter="north", **more):
+    taken = COMMITTED.replace(minute=slot % 60).isoformat()
+    return {"meter": meter, "slot": slot, "kwh": digits(kwh), "state": state, "taken": taken, "ok": slot % 2 == 0} | more
 
 
-def change(op, image, pos, *, row=0, file=3, fields=V1, table="items", keys=(ID,), ts_us=COMMIT_US, blanks=False, offset=None, **source):
+def change(op, image, pos, *, row=0, file=11, fields=FIRST, table="readings", keys=KEY, ts_us=COMMIT_US, blanks=False,
+           offset=None, **source):
     """(topic, key, value, partition, offset) of one change."""
-    struct = {"type": "struct", "fields": list(fields), "optional": True}
-    schema = {
-        "type": "struct",
-        "fields": [
-            {**struct, "field": "before"},
-            {**struct, "field": "after"},
-            {"type": "struct", "fields": [], "field": "source"},
-            {"type": "string", "field": "op"},
-        ],
-        "name": f"x.db.{table}.Envelope",
-    }
-    block = {"file": f"mysql-bin.{file:06d}", "pos": pos, "row": row, "ts_us": ts_us, "ts_ms": COMMIT_US // 1000}
-    payload = {
-        "before": image if op == "d" else None,
-        "after": None if op == "d" else image,
-        "op": op,
-        "source": {**block, **source},
-    }
-    gaps = (", ", ": ") if blanks else (",", ":")
-    key = None
-    if keys:
-        key = json.dumps(
-            {
-                "schema": {"type": "struct", "fields": list(keys)},
-                "payload": {k["field"]: image[k["field"]] for k in keys if image},
-            },
-            separators=gaps,
-        )
-    value = json.dumps({"schema": schema, "payload": payload}, separators=gaps)
-    return (f"x.db.{table}", key, value, 0, pos if offset is None else offset)
+
+    def text(fields, payload):
+        schema = {"type": "struct", "fields": fields}
+        separators = (" , ", " : ") if blanks else (",", ":")
+        return json.dumps({"schema": schema, "payload": payload}, separators=separators)
+
+    place = {"file": f"binlog.{file:06d}", "pos": pos, "row": row, "ts_us": ts_us, "ts_ms": COMMIT_US // 1000}
+    images = {"before": image, "after": None} if op == "d" else {"before": None, "after": image}
+    parts = [{"type": "struct", "fields": list(fields), "optional": True, "field": side} for side in images]
+    parts += [{"type": "struct", "fields": [], "field": "source"}, {"type": "string", "field": "op"}]
+    own = {k["field"]: image[k["field"]] for k in keys} if image else {}
+    return (
+        f"plant.db.{table}",
+        text(list(keys), own) if keys else None,
+        text(parts, {**images, "source": place | source, "op": op}),
+        0,
+        pos if offset is None else offset,
+    )

@@ -1,11 +1,13 @@
+import json
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from tests.messages import BORN, ID, NAME, UPDATED, V1, V2, change, decimal_field, item, unscaled
+from tests.messages import COMMIT_US, FIRST, KWH, LATER, METER, SLOT, STATE, change, digits, number, reading
 from tidemark.functions.wire import SchemaConflict
+from tidemark.operators import apply as applying
 from tidemark.operators.apply import apply_batch, batch_stats, lag_stats
 from tidemark.operators.replica import ConcurrentWrite, Commit, Replica, Version, _foldable
 from tidemark.sources.changes import RAW_SCHEMA
@@ -23,254 +25,299 @@ def send(replica, *messages, **options):
     return r.applied, r.stale, r.deduped
 
 
-def items(replica):
-    rows = replica.read("items").collect()
-    return {r.id: (r.name, str(r.price), r._deleted, r._src_pos) for r in rows}
-
-
-def test_creates_a_table_and_inserts(replica):
-    assert send(replica, change("r", item(1), 100), change("c", item(2), 200)) == (2, 0, 0)
-    assert items(replica) == {1: ("a", "1.00", False, 100), 2: ("a", "1.00", False, 200)}
-    assert replica.keys("items") == ("id",)
-    fields = {f.name: f.nullable for f in replica.schema("items").fields}
-    assert not fields["id"] and fields["name"] and not fields["_src_pos"]
-    assert list(fields) == ["id", "name", "price", "updated_at", "born", "_src_file", "_src_pos",
-                            "_src_row", "_src_commit_at", "_deleted", "_applied_at"]
-
-
-def test_newest_in_a_batch_wins(replica):
-    late = change("u", item(1, "v2"), 200, offset=3)
-    assert send(replica, change("c", item(1, "v1"), 100), change("u", item(1, "v3"), 300, offset=2), late) == (1, 0, 2)
-    assert items(replica)[1][0] == "v3"
-
-
-def test_replays_are_noops(replica):
-    batch = [change("c", item(1, "v1"), 100), change("u", item(1, "v2"), 200)]
-    send(replica, *batch)
-    before = replica.read("items").collect()
-    assert send(replica, *batch) == (0, 1, 1)
-    assert replica.read("items").collect() == before
-
-
-def test_older_never_overwrites_newer(replica):
-    send(replica, change("u", item(1, "new"), 500))
-    assert send(replica, change("u", item(1, "old"), 400)) == (0, 1, 0)
-    assert items(replica)[1][0] == "new"
-
-
-def test_a_soft_delete_blocks_resurrection(replica):
-    send(replica, change("c", item(1), 100))
-    send(replica, change("d", item(1), 200))
-    assert send(replica, change("c", item(1), 100)) == (0, 1, 0)
-    assert items(replica)[1][2] is True
-    assert replica.live("items").count() == 0
-    send(replica, change("c", item(1, "back"), 300))
-    assert replica.live("items").first().name == "back"
-
-
-def test_a_delete_of_an_unseen_key_is_kept(replica):
-    send(replica, change("d", item(9), 50))
-    assert send(replica, change("c", item(9), 40)) == (0, 1, 0)
-    assert items(replica)[9][2] is True
-
-
-def test_rows_of_one_event_order_by_row_number(replica):
-    send(replica, change("u", item(1, "first"), 900, row=0))
-    send(replica, change("u", item(1, "second"), 900, row=1))
-    assert items(replica)[1][0] == "second"
-
-
-def test_order_over_log_files(replica):
-    send(replica, change("u", item(1, "new"), 4, file=4))
-    assert send(replica, change("u", item(1, "old"), 99999, file=3)) == (0, 1, 0)
-
-
-def test_copies_of_one_event_in_a_batch(replica):
-    one = change("c", item(1), 100)
-    assert send(replica, one, one, one) == (1, 0, 2)
-
-
-def test_an_added_column(replica):
-    send(replica, change("c", item(1), 100))
-    send(
-        replica,
-        change("u", item(1, tier="gold"), 200, fields=V2),
-        change("c", item(2, tier="silver"), 300, fields=V2),
-        )
-    send(replica, change("c", item(3), 400, fields=V2))
-    assert {r.id: r.tier for r in replica.read("items").collect()} == {1: "gold", 2: "silver", 3: None}
-
-
-def test_versions_mixed_in_one_batch(replica):
-    assert send(replica, change("c", item(1), 100), change("c", item(2, tier="gold"), 200, fields=V2)) == (2, 0, 0)
-    assert {r.id: r.tier for r in replica.read("items").collect()} == {1: None, 2: "gold"}
-
-
-def test_a_column_a_newer_event_lacks_becomes_null(replica):
-    send(replica, change("c", item(1, tier="gold"), 100, fields=V2))
-    send(replica, change("u", item(1), 200))
-    assert replica.read("items").first().tier is None
-
-
-def test_a_column_only_superseded_events_have_is_not_added(replica):
-    assert send(replica, change("c", item(1, tier="x"), 100, fields=V2), change("u", item(1), 200)) == (1, 0, 1)
-    assert "tier" not in replica.schema("items").names
-
-
-def test_a_conflict_only_superseded_events_have_does_not_stop(replica):
-    other = tuple({"type": "int32", "field": "name"} if f is NAME else f for f in V1)
-    old = change("c", {**item(1), "name": 5}, 100, fields=other)
-    assert send(replica, old, change("u", item(1), 200)) == (1, 0, 1)
-    assert items(replica)[1][0] == "a"
-
-
-def wide(precision, scale=2):
-    return (ID, NAME, decimal_field(precision=precision, scale=scale), UPDATED, BORN)
-
-
-def test_a_decimal_widens(replica):
-    send(replica, change("c", item(1), 100), change("c", item(2), 110))
-    send(replica, change("u", item(1, price="123456789012.34"), 200, fields=wide(14)))
-    prices = {r.id: r.price for r in replica.read("items").collect()}
-    assert prices == {1: Decimal("123456789012.34"), 2: Decimal("1.00")}
-    assert replica.schema("items")["price"].dataType.simpleString() == "decimal(14,2)"
-
-
-def test_a_replay_of_an_older_version_does_not_narrow(replica):
-    first = change("c", item(1), 100)
-    send(replica, first)
-    send(replica, change("u", item(1, price="123456789012.34"), 200, fields=wide(14)))
-    assert send(replica, first) == (0, 1, 0)
-    assert items(replica)[1][1] == "123456789012.34"
-
-
-def test_another_scale_keeps_all_digits(replica):
-    send(replica, change("c", item(1, price="99999999.99"), 100))
-    four = {**item(2), "price": unscaled("1.2345", 4)}
-    send(replica, change("c", four, 200, fields=wide(10, 4)))
-    prices = {r.id: r.price for r in replica.read("items").collect()}
-    assert prices == {1: Decimal("99999999.9900"), 2: Decimal("1.2345")}
-
-
-def test_an_incompatible_type_stops(replica):
-    send(replica, change("c", item(1), 100))
-    for bad in ({"type": "int32", "field": "name"}, {"type": "string", "name": "io.debezium.data.Json", "field": "name"}):
-        fields = tuple(bad if f is NAME else f for f in V1)
-        value = 5 if bad["type"] == "int32" else "{}"
-        with pytest.raises(SchemaConflict, match=r"items\.name: target is string.*, source is"):
-            send(replica, change("u", {**item(1), "name": value}, 200, fields=fields))
-    assert items(replica)[1][3] == 100 and replica.latest() == 1
+def held(replica):
+    return {r.slot: (r.state, r._deleted, r._src_pos) for r in replica.read("readings").collect()}
+
+
+# ---- positions decide, however changes arrive
+
+#: Per slot: its changes as (op, state, log file, position, row), and the place in this list of the one that has to stay.
+HISTORY = {
+    0: ([("c", "raw", 11, 10, 0), ("u", "fixed", 11, 25, 0), ("u", "final", 11, 31, 0)], 2),
+    1: ([("c", "raw", 11, 11, 0), ("d", "raw", 11, 40, 0)], 1),
+    2: ([("d", "void", 11, 12, 0)], 0),
+    3: ([("u", "low", 11, 50, 0), ("u", "high", 11, 50, 1)], 1),
+    4: ([("u", "far", 11, 8_000, 0), ("u", "near", 12, 7, 0)], 1),
+    5: ([("d", "raw", 11, 60, 0), ("c", "again", 11, 61, 0)], 1),
+    6: ([("r", "snapshot", 10, 3, 0)], 0),
+}
+CHANGES = [
+    change(op, reading(slot, state), pos, row=row, file=file, offset=100 * slot + n)
+    for slot, (changes, _) in HISTORY.items()
+    for n, (op, state, file, pos, row) in enumerate(changes)
+]
+STAYS = {slot: changes[last] for slot, (changes, last) in HISTORY.items()}
+
+
+@pytest.mark.parametrize(
+    "batches",
+    [
+        [CHANGES],
+        [CHANGES[::-1], CHANGES],
+        [CHANGES[1::2], CHANGES[::2] * 3, CHANGES[4:8]],
+        [CHANGES[7:], CHANGES[:7]],
+    ],
+    ids=["at once", "backwards and again", "mixed with copies", "second half first"],
+)
+def test_every_delivery_ends_alike(replica, batches):
+    """Once a slot has the change that stays, whatever comes is stale, later copies and creations after a delete too."""
+    newest = {}
+    for batch in batches:
+        place = {m[4]: (m[4] // 100, HISTORY[m[4] // 100][0][m[4] % 100]) for m in batch}
+        best = {}
+        for slot, (*_, file, pos, row) in place.values():
+            best[slot] = max(best.get(slot, (0, 0, 0)), (file, pos, row))
+        won = {slot for slot, at in best.items() if at > newest.get(slot, (0, 0, 0))}
+        assert send(replica, *batch) == (len(won), len(best) - len(won), len(batch) - len(best))
+        newest |= {slot: best[slot] for slot in won}
+    assert held(replica) == {slot: (state, op == "d", pos) for slot, (op, state, _, pos, _) in STAYS.items()}
+    live = {r.slot: r.state for r in replica.live("readings").collect()}
+    assert live == {slot: state for slot, (op, state, *_) in STAYS.items() if op != "d"}
+
+
+def test_how_a_table_is_laid_out(replica):
+    send(replica, change("c", reading(2, meter="south"), 9), change("c", reading(2), 10))
+    assert replica.keys("readings") == ("meter", "slot") and replica.live("readings").count() == 2
+    own = ["_src_file", "_src_pos", "_src_row", "_src_commit_at", "_deleted", "_applied_at"]
+    fields = replica.schema("readings").fields
+    assert [f.name for f in fields] == [f["field"] for f in FIRST] + own
+    assert {f.name for f in fields if f.nullable} == {"kwh", "state", "taken", "ok"}
+
+
+# ---- columns follow the newest changes
+
+
+@pytest.mark.parametrize(
+    ("batches", "notes"),
+    [
+        # New column: rows from before have none, and a row of the new version may have none.
+        ([[(0, 1, None)], [(1, 2, "seen"), (2, 3, "")]], {0: None, 1: "seen", 2: ""}),
+        ([[(0, 1, None), (1, 2, "seen")]], {0: None, 1: "seen"}),
+        # A newer change that lacks the column clears it.
+        ([[(0, 1, "seen")], [(0, 2, None)]], {0: None}),
+        # Only a change that another one of its batch supersedes has the column.
+        ([[(0, 1, "seen"), (0, 2, None)]], "no column"),
+    ],
+)
+def test_a_column_that_comes_later(replica, batches, notes):
+    for batch in batches:
+        send(replica, *(
+            change("u", reading(slot), pos) if note is None else change("u", reading(slot, note=note), pos, fields=LATER)
+            for slot, pos, note in batch
+        ))
+    if notes == "no column":
+        assert "note" not in replica.schema("readings").names
+    else:
+        assert {r.slot: r.note for r in replica.read("readings").collect()} == notes
+
+
+def other(column, *, of=FIRST):
+    """The table with another column in the place of the one of the same name."""
+    return tuple(column if f["field"] == column["field"] else f for f in of)
+
+
+@pytest.mark.parametrize(
+    ("column", "kwh", "stored"),
+    [
+        (number("kwh", 3, 15), "123456789.5", {0: "0.375", 1: "123456789.500"}),  # more digits
+        (number("kwh", 5, 9), "0.00001", {0: "0.37500", 1: "0.00001"}),  # finer: none of the old digits is lost
+    ],
+)
+def test_decimals_only_widen(replica, column, kwh, stored):
+    old = change("c", reading(0), 5)
+    scale = int(column["parameters"]["scale"])
+    send(replica, old)
+    send(replica, change("c", reading(1) | {"kwh": digits(kwh, scale)}, 6, fields=other(column)))
+    assert send(replica, old) == (0, 1, 0)  # its type is the narrow one
+    assert {r.slot: str(r.kwh) for r in replica.read("readings").collect()} == stored
+
+
+@pytest.mark.parametrize(
+    ("column", "value"),
+    [
+        ({**STATE, "type": "int16", "name": None}, 3),
+        ({**STATE, "name": "io.debezium.data.Json"}, "[]"),
+        ({**KWH, "type": "float64", "name": None, "parameters": {}}, 0.5),
+    ],
+)
+def test_other_types_stop_unless_superseded(replica, column, value):
+    name = column["field"]
+    odd = change("u", reading(0) | {name: value}, 20, fields=other(column))
+    send(replica, odd, change("u", reading(0), 21))
+    with pytest.raises(SchemaConflict, match=rf"readings\.{name}: target is .*, source is"):
+        send(replica, change("u", reading(0) | {name: value}, 22, fields=other(column)))
+    assert held(replica)[0][2] == 21 and replica.latest() == 1
 
 
 def test_another_key_stops(replica):
-    send(replica, change("c", item(1), 100))
+    send(replica, change("c", reading(0), 1))
     with pytest.raises(SchemaConflict, match="key"):
-        send(replica, change("c", item(1), 200, keys=(ID, NAME)))
+        send(replica, change("c", reading(0), 2, keys=(METER, SLOT, STATE)))
 
 
-def test_a_composite_key(replica):
-    keys = (ID, NAME)
-    send(replica, change("c", item(1, "a"), 1, keys=keys), change("c", item(1, "b"), 2, keys=keys))
-    assert send(replica, change("u", item(1, "a", "2.00"), 3, keys=keys)) == (1, 0, 0)
-    assert {(r.name, str(r.price)) for r in replica.read("items").collect()} == {("a", "2.00"), ("b", "1.00")}
+def test_a_decimal_key_survives_widening(replica):
+    def keyed(column, pos):
+        image = reading(0) | {"kwh": digits("7.25", int(column["parameters"]["scale"]))}
+        return change("u", image, pos, fields=other(column), keys=(column,))
 
+    send(replica, keyed(KWH, 1))
+    assert send(replica, keyed(number("kwh", 4, 16), 2)) == (1, 0, 0)
+    assert send(replica, keyed(KWH, 1)) == (0, 1, 0)
+    assert [r.kwh for r in replica.read("readings").collect()] == [Decimal("7.25")]
 
-def test_a_decimal_key_survives_widening(replica):
-    def key(i, price, pos, fields):
-        return change("u", item(i, "x", price), pos, fields=fields, keys=(decimal_field(),))
 
-    send(replica, key(1, "1.00", 1, V1))
-    assert send(replica, key(2, "1.00", 2, wide(14))) == (1, 0, 0)
-    assert send(replica, key(1, "1.00", 1, V1)) == (0, 1, 0)
-    assert replica.read("items").count() == 1
+# ---- versions and writers
 
 
 def test_all_tables_or_none(replica):
     def stop():
         raise RuntimeError("killed")
 
-    both = [change("c", item(1), 1), change("c", item(1), 2, table="others")]
+    both = [change("c", reading(1), 1), change("c", reading(1), 2, table="others")]
     with pytest.raises(RuntimeError, match="killed"):
         send(replica, *both, before_publish=stop)
     assert replica.tables() == [] and replica.latest() == 0
     assert send(replica, *both) == (2, 0, 0)
-    assert replica.tables() == ["items", "others"]
+    assert replica.tables() == ["others", "readings"]
     assert batch_stats(replica).count() == 1
 
 
 def test_a_second_writer_fails_loudly(replica):
-    send(replica, change("c", item(1), 1))
+    send(replica, change("c", reading(1), 1))
     with pytest.raises(ConcurrentWrite):
         replica.publish(Version(1, {}))
 
 
 def test_a_writer_that_comes_second_harms_nothing(replica):
-    send(replica, change("c", item(1), 1))
+    send(replica, change("c", reading(1), 1))
     other = Replica(replica.spark, replica.path)
 
     def overtaken():
-        send(other, change("u", item(1, "first"), 2))
+        send(other, change("u", reading(1, "first"), 2))
+
+    with pytest.raises(ConcurrentWrite):
+        send(replica, change("u", reading(1, "second"), 3), before_publish=overtaken)
+    assert held(replica) == {1: ("first", False, 2)}
+    send(replica, change("u", reading(1, "second"), 3))
+    assert held(replica) == {1: ("second", False, 3)}
+    assert len(replica.vacuum(keep_versions=10)) == 2  # its rows and its statistics
+
+
+def losing(replica, *messages, **options):
+    """A batch that another writer's batch overtakes just before it is published."""
+    other_writer = Replica(replica.spark, replica.path)
+    winner = [change("u", reading(0, "winner"), 50), change("u", reading(1, "winner"), 51)]
+    with pytest.raises(ConcurrentWrite):
+        send(replica, *messages, before_publish=lambda: send(other_writer, *winner, run_id="won"), run_id="lost")
 
+
+def test_statistics_are_the_winners(replica):
+    send(replica, change("c", reading(0), 1), run_id="first")
+    losing(replica, change("u", reading(0, "loser"), 60))
+    assert {(r.run_id, r.version, r.received) for r in batch_stats(replica).collect()} == {("first", 1, 1), ("won", 2, 2)}
+    assert {r.run_id: r.n for r in lag_stats(replica).groupBy("run_id").agg({"n": "sum"}).toDF("run_id", "n").collect()} == {
+        "first": 1, "won": 2
+    }
+    assert sorted(p.split("/")[0] for p in replica.vacuum()) == ["_stats", "readings"]
+
+
+def test_a_failed_batch_leaves_no_statistics(replica):
+    def stop():
+        raise RuntimeError("killed")
+
+    for n in range(4):
+        send(replica, change("c", reading(n), n))
+    with pytest.raises(RuntimeError):
+        send(replica, change("c", reading(9), 9), before_publish=stop)
+    assert replica.fold() == ["readings"] and replica.latest() == 5
+    assert batch_stats(replica).count() == 4 and replica.read("readings").count() == 4
+
+
+def test_publishing_never_replaces(replica, monkeypatch):
+    """Another writer publishes between the writing of a draft and its getting its name."""
+    send(replica, change("c", reading(0), 1))
+    now, moved = replica.version(), Replica._moved
+    theirs, mine = Version(2, now.tables, now.schemas, ("theirs",)), Version(2, now.tables, now.schemas, ("mine",))
+
+    def late(self, *paths):
+        monkeypatch.setattr(Replica, "_moved", moved)
+        Replica(self.spark, self.path).publish(theirs)
+        return moved(self, *paths)
+
+    monkeypatch.setattr(Replica, "_moved", late)
     with pytest.raises(ConcurrentWrite):
-        send(replica, change("u", item(1, "second"), 3), before_publish=overtaken)
-    assert items(replica) == {1: ("first", "1.00", False, 2)}
-    send(replica, change("u", item(1, "second"), 3))
-    assert items(replica) == {1: ("second", "1.00", False, 3)}
-    assert len(replica.vacuum(keep_versions=10)) == 1
+        replica.publish(mine)
+    assert replica.version() == theirs
+
+
+def test_statistics_of_many_batches_become_one_directory(replica, monkeypatch):
+    monkeypatch.setattr(applying, "STATS_JOINED", 3)
+    named = []
+    for n in range(7):
+        send(replica, change("c", reading(n), n + 1))
+        named.append(len(replica.version().stats))
+    assert named == [1, 2, 1, 2, 3, 2, 3]
+    assert sorted(r.version for r in batch_stats(replica).collect()) == list(range(1, 8))
+    assert lag_stats(replica).agg({"n": "sum"}).first()[0] == 7
+
+
+def test_too_many_versions_are_named(replica):
+    with pytest.raises(SchemaConflict, match=r"more than 1 schema versions.*plant\.db\.readings"):
+        send(replica, change("c", reading(0), 1), change("c", reading(1), 2, fields=LATER), max_versions=1)
 
 
 def test_a_batch_of_tombstones(replica):
-    topic, key, _, p, o = change("d", item(1), 1)
+    topic, key, _, p, o = change("d", reading(1), 1)
     assert send(replica, (topic, key, None, p, o)) == (0, 0, 0)
 
 
 def test_older_versions_stay_readable(replica):
-    send(replica, change("c", item(1, "old"), 1))
-    send(replica, change("u", item(1, "new"), 2))
-    assert replica.read("items", version=1).first().name == "old"
-    assert replica.live("items").first().name == "new"
+    send(replica, change("c", reading(1, "old"), 1))
+    send(replica, change("u", reading(1, "new"), 2))
+    assert replica.read("readings", version=1).first().state == "old"
+    assert replica.live("readings").first().state == "new"
 
 
 def test_stored_rows_are_read_only_for_late_events(replica):
-    send(replica, change("c", item(1), 100))
-    state = replica.version().tables["items"]
-    assert replica.stored("items", state, [], (3, 101, 0)) is None
-    late = replica.stored("items", state, state.commits, (3, 100, 0))
+    send(replica, change("c", reading(1), 100))
+    state = replica.version().tables["readings"]
+    assert replica.stored("readings", state, [], (11, 101, 0)) is None
+    late = replica.stored("readings", state, state.commits, (11, 100, 0))
     assert late.count() == 1
-    plan = late.select("id", "_src_file", "_src_pos", "_src_row")._jdf.queryExecution().toString()
+    plan = late.select("slot", "_src_file", "_src_pos", "_src_row")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(_src_pos,100)" in plan
-    assert "name" not in plan.split("ReadSchema")[-1]
+    assert "state" not in plan.split("ReadSchema")[-1]
 
 
 def test_a_small_batch_against_many_rows(replica):
     """Its keys are looked up first."""
-    send(replica, *(change("c", item(i, "old"), 100 + i) for i in range(60)))
-    batch = [change("u", item(1, "new"), 500), change("u", item(2, "older"), 50), change("c", item(99), 90)]
+    send(replica, *(change("c", reading(i, "old"), 100 + i) for i in range(60)))
+    batch = [change("u", reading(1, "new"), 500), change("u", reading(2, "older"), 50), change("c", reading(99), 90)]
     assert send(replica, *batch) == (2, 1, 0)
-    assert {items(replica)[i][0] for i in (1, 2, 99)} == {"new", "old", "a"}
+    assert {held(replica)[i][0] for i in (1, 2, 99)} == {"new", "old", "raw"}
 
 
 def test_an_ordered_log_reads_nothing_back(replica, monkeypatch):
     seen = []
     stored = Replica.stored
     monkeypatch.setattr(Replica, "stored", lambda *a: seen.append(stored(*a)) or seen[-1])
-    send(replica, change("c", item(1), 100))
-    send(replica, change("u", item(1, "b"), 200), change("c", item(2), 210))
-    send(replica, change("d", item(1, "b"), 300))
+    send(replica, change("c", reading(1), 100))
+    send(replica, change("u", reading(1, "b"), 200), change("c", reading(2), 210))
+    send(replica, change("d", reading(1, "b"), 300))
     assert seen == [None, None, None]
-    assert items(replica)[1][2] is True
+    assert held(replica)[1][1] is True
 
 
 def test_fold_keeps_the_rows(replica):
     for i in range(9):
-        send(replica, change("c", item(i), 100 + i), change("u", item(0, f"v{i}"), 200 + i))
-    before = sorted(replica.read("items").collect())
-    assert replica.fold() == ["items"]
-    assert len(replica.version().tables["items"].commits) == 1
-    assert sorted(replica.read("items").collect()) == before
+        send(replica, change("c", reading(i), 100 + i), change("u", reading(0, f"v{i}"), 200 + i))
+    before = sorted(replica.read("readings").collect())
+    assert replica.fold() == ["readings"]
+    assert len(replica.version().tables["readings"].commits) == 1
+    assert sorted(replica.read("readings").collect()) == before
     assert replica.fold() == []
     assert len(replica.vacuum(keep_versions=1)) == 9
-    assert sorted(replica.read("items").collect()) == before
+    assert sorted(replica.read("readings").collect()) == before
 
 
 def test_folding_leaves_large_commits_alone():
@@ -284,10 +331,9 @@ def test_folding_leaves_large_commits_alone():
 
 
 def test_statistics(replica):
-    ts = 1_790_000_000_000_000
-    send(replica, change("r", item(1), 1), change("c", item(2), 2, ts_us=ts), change("d", item(2), 3, ts_us=ts),
+    send(replica, change("r", reading(1), 1), change("c", reading(2), 2, ts_us=COMMIT_US), change("d", reading(2), 3, ts_us=COMMIT_US),
          run_id="one", consumer_id="c1")
-    send(replica, change("c", item(2), 2, ts_us=ts), run_id="one", consumer_id="c2")
+    send(replica, change("c", reading(2), 2, ts_us=COMMIT_US), run_id="one", consumer_id="c2")
     first, second = batch_stats(replica).orderBy("version").collect()
     assert (first.received, first.deduped, first.applied, first.stale) == (3, 1, 2, 0)
     assert first.ops == {"r": 1, "c": 1, "d": 1}
@@ -308,9 +354,9 @@ def deliveries(draw):
     for pos in range(n):
         key = draw(st.integers(1, 3))
         op = draw(st.sampled_from("cud"))
-        fields = V2 if pos > n // 2 else V1
-        more = {"tier": f"t{pos}"} if fields is V2 else {}
-        log.append(change(op, item(key, f"v{pos}", **more), pos, fields=fields))
+        fields = LATER if pos > n // 2 else FIRST
+        more = {"note": f"t{pos}"} if fields is LATER else {}
+        log.append(change(op, reading(key, f"v{pos}", **more), pos, fields=fields))
     delivered = draw(st.permutations(log + draw(st.lists(st.sampled_from(log), max_size=3))))
     cut = draw(st.integers(1, len(delivered)))
     return log, [b for b in (delivered[:cut], delivered[cut:]) if b]
@@ -325,11 +371,9 @@ def test_delivery_does_not_matter(spark, tmp_path_factory, delivery):
         send(shuffled, *b)
     newest = {}
     for topic, key, value, p, o in log:
-        import json
-
         payload = json.loads(value)["payload"]
         image = payload["before"] or payload["after"]
-        newest[image["id"]] = (image["name"], image.get("tier"), payload["op"] == "d", o)
-    rows = shuffled.read("items")
-    got = {r.id: (r.name, r.asDict().get("tier"), r._deleted, r._src_pos) for r in rows.collect()}
+        newest[image["slot"]] = (image["state"], image.get("note"), payload["op"] == "d", o)
+    rows = shuffled.read("readings")
+    got = {r.slot: (r.state, r.asDict().get("note"), r._deleted, r._src_pos) for r in rows.collect()}
     assert got == newest

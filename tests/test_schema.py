@@ -3,50 +3,50 @@ from itertools import permutations
 import pytest
 from pyspark.sql import types as T
 
-from tests.messages import BORN, ID, NAME, UPDATED, V1, V2, decimal_field
+from tests.messages import FIRST, LATER, OK, SLOT, STATE, TAKEN, number
 from tidemark.functions.wire import SchemaConflict, column_type
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema, version_of
 
 
-def version(*fields, keys=("id",)):
-    return TableVersion("items", tuple(column_type("items", f) for f in fields), keys)
+def version(*fields, keys=("slot",)):
+    return TableVersion("readings", tuple(column_type("readings", f) for f in fields), keys)
 
 
 def test_keys_are_not_null_and_everything_else_is():
-    schema = evolve_schema(None, [version(*V1)])
+    schema = evolve_schema(None, [version(*FIRST)])
     assert {f.name: f.nullable for f in schema.fields} == {
-        "id": False, "name": True, "price": True, "updated_at": True, "born": True
+        "meter": True, "slot": False, "kwh": True, "state": True, "taken": True, "ok": True
     }
 
 
 def test_a_known_version_changes_nothing():
-    schema = evolve_schema(None, [version(*V2)])
-    assert evolve_schema(schema, [version(*V1), version(*V2)]) == schema
+    schema = evolve_schema(None, [version(*LATER)])
+    assert evolve_schema(schema, [version(*FIRST), version(*LATER)]) == schema
 
 
 def test_the_order_of_versions_does_not_matter():
     versions = [
-        version(ID, NAME, decimal_field(precision=10, scale=2)),
-        version(ID, NAME, decimal_field(precision=12, scale=4)),
-        version(ID, NAME, decimal_field(precision=9, scale=0), BORN),
+        version(SLOT, STATE, number("kwh", 2, 10)),
+        version(SLOT, STATE, number("kwh", 4, 12)),
+        version(SLOT, STATE, number("kwh", 0, 9), OK),
     ]
     results = {
         tuple(sorted((f.name, f.dataType.simpleString()) for f in evolve_schema(None, p).fields))
         for p in permutations(versions)
     }
     assert results == {
-        (("born", "date"), ("id", "bigint"), ("name", "string"), ("price", "decimal(13,4)"))
+        (("kwh", "decimal(13,4)"), ("ok", "boolean"), ("slot", "int"), ("state", "string"))
     }
 
 
 def test_decimals_without_precision_hold_the_others():
-    schema = evolve_schema(None, [version(ID, decimal_field()), version(ID, decimal_field(precision=None))])
-    assert schema["price"].dataType == T.DecimalType(38, 2)
+    schema = evolve_schema(None, [version(SLOT, number("kwh", 3, 9)), version(SLOT, number("kwh", 3))])
+    assert schema["kwh"].dataType == T.DecimalType(38, 3)
 
 
 def test_decimals_beyond_38_digits_conflict():
-    with pytest.raises(SchemaConflict, match=r"items\.price"):
-        evolve_schema(None, [version(ID, decimal_field(precision=38, scale=0)), version(ID, decimal_field(precision=38, scale=10))])
+    with pytest.raises(SchemaConflict, match=r"readings\.kwh"):
+        evolve_schema(None, [version(SLOT, number("kwh", 0, 38)), version(SLOT, number("kwh", 10, 38))])
 
 
 @pytest.mark.parametrize(
@@ -62,8 +62,8 @@ def test_decimals_beyond_38_digits_conflict():
 )
 def test_other_types_conflict(a, b):
     for x, y in ((a, b), (b, a)):
-        with pytest.raises(SchemaConflict, match=r"items\.x: target is .*, source is "):
-            evolve_schema(None, [version(ID, {**x, "field": "x"}), version(ID, {**y, "field": "x"})])
+        with pytest.raises(SchemaConflict, match=r"readings\.x: target is .*, source is "):
+            evolve_schema(None, [version(SLOT, {**x, "field": "x"}), version(SLOT, {**y, "field": "x"})])
 
 
 @pytest.mark.parametrize(
@@ -78,24 +78,24 @@ def test_other_types_conflict(a, b):
     ],
 )
 def test_types_stored_alike_agree(a, b):
-    evolve_schema(None, [version(ID, {**a, "field": "x"}), version(ID, {**b, "field": "x"})])
+    evolve_schema(None, [version(SLOT, {**a, "field": "x"}), version(SLOT, {**b, "field": "x"})])
 
 
 def test_align(spark):
-    schema = evolve_schema(None, [version(ID, NAME, decimal_field(precision=12, scale=3), UPDATED)])
-    df = align_to(spark.sql("select 1.25BD as price, 7L as id, true as _deleted, 'u' as _op, 1 as other"), schema)
-    assert df.columns == ["id", "name", "price", "updated_at", "_deleted", "_op"]
+    schema = evolve_schema(None, [version(SLOT, STATE, number("kwh", 3, 12), TAKEN)])
+    df = align_to(spark.sql("select 1.25BD as kwh, 7 as slot, true as _deleted, 'u' as _op, 1 as other"), schema)
+    assert df.columns == ["slot", "state", "kwh", "taken", "_deleted", "_op"]
     row = df.first()
-    assert (row.id, row.name, str(row.price)) == (7, None, "1.250")
+    assert (row.slot, row.state, str(row.kwh)) == (7, None, "1.250")
 
 
 def test_align_stops_at_values_that_do_not_fit(spark):
-    narrow = evolve_schema(None, [version(ID, decimal_field(precision=4, scale=2))])
+    narrow = evolve_schema(None, [version(SLOT, number("kwh", 2, 4))])
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        align_to(spark.sql("select 1L as id, 123456.78BD as price"), narrow).collect()
+        align_to(spark.sql("select 1 as slot, 123456.78BD as kwh"), narrow).collect()
 
 
 def test_a_table_read_with_its_types_fits_its_messages():
-    schema = evolve_schema(None, [version(*V1)])
+    schema = evolve_schema(None, [version(*FIRST)])
     plain = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-    assert evolve_schema(schema, [version_of("items", plain, ["id"])]) == schema
+    assert evolve_schema(schema, [version_of("readings", plain, ["slot"])]) == schema

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.messages import V2, change, item
+from tests.messages import LATER, change, item
 from tidemark.operators.apply import (
     apply_batch,
     apply_events,
@@ -48,9 +48,9 @@ def log(n):
         key = pos * 7 % 5
         op = "d" if pos % 6 == 0 else "u"
         late = pos > n // 2
-        image = item(key, f"v{pos}", **({"tier": f"t{pos}"} if late else {}))
-        fields = {"fields": V2} if late else {}
-        out.append(change(op, image, pos, table=("items", "others")[pos % 2], **fields))
+        image = reading(key, f"v{pos}", **({"note": f"t{pos}"} if late else {}))
+        fields = {"fields": LATER} if late else {}
+        out.append(change(op, image, pos, table=("readings", "others")[pos % 2], **fields))
     return out
 
 
@@ -61,15 +61,15 @@ def expected(messages):
     for topic, _, value, _, pos in messages:
         payload = json.loads(value)["payload"]
         image = payload["before"] or payload["after"]
-        key = (topic.rsplit(".", 1)[1], image["id"])
+        key = (topic.rsplit(".", 1)[1], image["slot"])
         if key not in state or state[key][-1] < pos:
-            state[key] = (image["name"], image.get("tier"), payload["op"] == "d", pos)
+            state[key] = (image["state"], image.get("note"), payload["op"] == "d", pos)
     return state
 
 
 def actual(replica):
     return {
-        (t, r.id): (r.name, r.tier, r._deleted, r._src_pos)
+        (t, r.slot): (r.state, r.note, r._deleted, r._src_pos)
         for t in replica.tables()
         for r in replica.read(t).collect()
     }
@@ -138,15 +138,15 @@ def test_reports(place, spark, tmp_path):
     messages = log(12)
     place.deliver(*messages)
     place.run(run_id="r7")
-    sources = {t: place.replica.live(t) for t in ("items", "others")}
-    reports = verify(place.replica, sources, {"items": ["id"], "others": ["id"]})
+    sources = {t: place.replica.live(t) for t in ("readings", "others")}
+    reports = verify(place.replica, sources, {"readings": ["meter", "slot"], "others": ["meter", "slot"]})
     report = run_report(place.replica, "r7", reports)
     assert report["totals"]["received"] == 12 and report["all_ok"]
     assert sum(report["events_by_op"].values()) == report["lag_ms"]["events"] == 12
     write_report(place.replica, report, str(tmp_path / "report"))
     assert '"run_id": "r7"' in spark.read.text(str(tmp_path / "report")).first()[0]
-    assert place.replica.create_views("now_") == ["now_items", "now_others"]
-    assert spark.table("now_items").columns == ["id", "name", "price", "updated_at", "born", "tier"]
+    assert place.replica.create_views("now_") == ["now_others", "now_readings"]
+    assert spark.table("now_readings").columns == ["meter", "slot", "kwh", "state", "taken", "ok", "note"]
 
 
 def test_state_kept_by_the_stream(spark, tmp_path):
@@ -163,14 +163,14 @@ def test_state_kept_by_the_stream(spark, tmp_path):
 
 def test_a_snapshot_of_typed_rows(spark, tmp_path):
     replica = Replica(spark, str(tmp_path / "replica"))
-    batch = spark.createDataFrame([change("u", item(1, "new"), 500)], RAW_SCHEMA)
+    batch = spark.createDataFrame([change("u", reading(1, "new"), 500)], RAW_SCHEMA)
     apply_batch(replica, batch)
-    rows = replica.live("items").union(replica.live("items").withColumn("id", F.col("id") + 1))
-    before = rows.withColumn("name", F.lit("old"))
-    events = snapshot_events(before, ["id"], (3, 100, 0))
-    result = apply_events(replica, {"items": (events, version_of("items", before.schema, ["id"]))})
+    rows = replica.live("readings").union(replica.live("readings").withColumn("slot", F.col("slot") + 1))
+    before = rows.withColumn("state", F.lit("old"))
+    events = snapshot_events(before, ["meter", "slot"], (11, 100, 0))
+    result = apply_events(replica, {"readings": (events, version_of("readings", before.schema, ["meter", "slot"]))})
     assert (result.applied, result.stale, result.ops) == (1, 1, {"r": 2})
-    assert {r.id: r.name for r in replica.live("items").collect()} == {1: "new", 2: "old"}
+    assert {r.slot: r.state for r in replica.live("readings").collect()} == {1: "new", 2: "old"}
 
 
 # ---- plans
@@ -216,16 +216,16 @@ def test_bucketed_commits_are_never_shuffled(spark, tmp_path, monkeypatch):
     replica = Replica(spark, str(tmp_path / "replica"), buckets=4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        first = [change("c", item(i, "old"), 100 + i) for i in range(50)]
+        first = [change("c", reading(i, "old"), 100 + i) for i in range(50)]
         apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
-        (commit,) = replica.version().tables["items"].commits
+        (commit,) = replica.version().tables["readings"].commits
         assert commit.buckets == 4 and commit.rows == 50
-        later = [change("u", item(i, "new", tier="gold"), 200 + i, fields=V2) for i in range(5)]
-        stale = [change("u", item(i, "stale"), 60 + i) for i in range(40, 50)]
+        later = [change("u", reading(i, "new", note="gold"), 200 + i, fields=LATER) for i in range(5)]
+        stale = [change("u", reading(i, "stale"), 60 + i) for i in range(40, 50)]
         result = apply_batch(replica, spark.createDataFrame(later + stale, RAW_SCHEMA))
         assert (result.applied, result.stale) == (5, 10)
-        live = replica.live("items")
-        assert live.groupBy("name", "tier").count().orderBy("name").collect() == [
+        live = replica.live("readings")
+        assert live.groupBy("state", "note").count().orderBy("state").collect() == [
             ("new", "gold", 5), ("old", None, 45)
         ]
         plan = plan_of(live).split("Initial Plan")[0]
@@ -233,11 +233,11 @@ def test_bucketed_commits_are_never_shuffled(spark, tmp_path, monkeypatch):
         assert plan.count("Exchange hashpartitioning") == 1  # the small commit
         replay = apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
         assert (replay.applied, replay.stale) == (0, 50)
-        before = sorted(replica.read("items").collect(), key=lambda r: r.id)
+        before = sorted(replica.read("readings").collect(), key=lambda r: r.slot)
         for i in range(4):
-            apply_batch(replica, spark.createDataFrame([change("u", item(i), 300, fields=V2)], RAW_SCHEMA))
+            apply_batch(replica, spark.createDataFrame([change("u", reading(i), 300, fields=LATER)], RAW_SCHEMA))
         replica.fold()
-        again = sorted(replica.read("items").collect(), key=lambda r: r.id)
+        again = sorted(replica.read("readings").collect(), key=lambda r: r.slot)
         assert again[4:] == before[4:] and [r._src_pos for r in again[:4]] == [300] * 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
