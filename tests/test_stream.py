@@ -5,6 +5,7 @@ from tests.messages import LATER, change, reading
 from tidemark.operators.apply import (
     apply_batch,
     apply_events,
+    bad_messages,
     batch_stats,
     run_report,
     write_report,
@@ -149,6 +150,66 @@ def test_reports(place, spark, tmp_path):
     assert set(spark.table("now_readings").columns) == {f["field"] for f in LATER}
 
 
+def cut(message, n=25):
+    return (*message[:2], message[2][:-n], *message[3:])
+
+
+def poisoned():
+    """Good changes, and one of each kind that can't be decoded, by offset."""
+    bad = [
+        cut(change("u", reading(1), 11)),
+        change("x", reading(2), 12),
+        change("u", reading(3, kwh="9999999.5"), 13),
+        change("u", reading(4, taken="yesterday"), 14),
+        change("u", reading(5) | {"slot": "five"}, 15),
+        change("u", None, 16),
+        change("u", reading(7), 17, keys=()),
+        ("plant.db.readings", None, "no message at all", 0, 18),
+        change("u", reading(9, note=1), 19, fields=LATER, file=0),
+    ]
+    whys = [
+        "broken JSON", "unsupported op x", "kwh does not fit decimal(9,3)", "taken does not fit timestamp",
+        "broken JSON", "no row image", "unusable schema", "unusable schema", None,
+    ]
+    return bad, dict(zip(range(11, 20), whys, strict=True))
+
+
+def test_bad_messages_are_set_apart(place, spark):
+    bad, whys = poisoned()
+    good = [change("c", reading(i), 100 + i) for i in range(20, 24)]
+    place.deliver(*good[:2], *bad, *bad[:2])
+    place.deliver(*good[2:], change("u", reading(20, "new", note="x"), 200, fields=LATER))
+    with pytest.raises(Exception, match="plant.db.readings|unsupported|schema|MALFORMED|cut"):
+        place.run()
+    place.run(run_id="q", on_bad="quarantine")
+    rows = {r.slot: r.state for r in place.replica.live("readings").collect()}
+    assert rows == {9: "raw", 20: "new", 21: "raw", 22: "raw", 23: "raw"}
+    apart = {r.offset: r for r in bad_messages(place.replica).collect()}
+    assert set(apart) == {at for at, why in whys.items() if why}
+    assert all(why in apart[at].why for at, why in whys.items() if why), apart
+    by_offset = {m[4]: m for m in bad}
+    assert all((r.topic, r.key, r.value) == by_offset[at][:3] for at, r in apart.items())
+    totals = run_summary(batch_stats(place.replica)).first()
+    assert (totals.received, totals.bad) == (6, 10)
+
+
+def test_superseded_versions_and_bad_messages(spark, tmp_path):
+    """Versions none of whose events survives only count, and their bad messages are still set apart."""
+    replica = Replica(spark, str(tmp_path / "replica"))
+    batch = [
+        change("c", reading(1, "a"), 1),
+        change("x", reading(2, "a"), 2),
+        change("u", reading(1, "b", note="n"), 3, fields=LATER),
+        cut(change("u", reading(3, "b", note="n"), 4, fields=LATER)),
+    ]
+    result = apply_batch(replica, spark.createDataFrame(batch, RAW_SCHEMA), on_bad="quarantine")
+    assert (result.received, result.deduped, result.applied, result.bad) == (2, 1, 1, 2)
+    assert sorted(r.offset for r in bad_messages(replica).collect()) == [2, 4]
+    only_bad = spark.createDataFrame([cut(change("c", reading(8), 9))], RAW_SCHEMA)
+    assert apply_batch(replica, only_bad, on_bad="quarantine").bad == 1
+    assert {r.slot: r.note for r in replica.live("readings").collect()} == {1: "n"}
+
+
 def test_state_kept_by_the_stream(spark, tmp_path):
     rows = [(pos % 3, f"v{pos}", 1, pos, 0) for pos in range(20)]
     events = spark.createDataFrame(rows, "id int, name string, _src_file int, _src_pos long, _src_row int")

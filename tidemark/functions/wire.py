@@ -42,12 +42,14 @@ class SchemaConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class LogicalType:
-    """How one logical type is read from JSON, stored, and converted."""
+    """How one logical type is read from JSON, stored, and converted. With ``partial``, a value that
+    can't be converted becomes NULL, and is an error of its message."""
 
     wire: T.DataType
     target: T.DataType
     kind: str
     convert: Convert
+    partial: bool = False
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,7 @@ class ColumnType:
     kind: str
     rule: str
     convert: Convert = field(compare=False, hash=False, repr=False)
+    partial: bool = False
 
 
 def _same(value: Column) -> Column:
@@ -73,9 +76,15 @@ def epoch_to_ntz(value: Column, unit: str = "MICROSECOND") -> Column:
     return F.timestamp_add(unit, value, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
+def _millis_to_ntz(value: Column) -> Column:
+    most = (2**63 - 1) // 1000
+    return F.when(value.between(-most, most), epoch_to_ntz(value, "MILLISECOND"))
+
+
 def _nanos_to_ntz(value: Column) -> Column:
     # Rounds towards minus infinity; integer division would round towards zero.
-    return epoch_to_ntz(F.call_function("div", value - F.pmod(value, F.lit(1000)), F.lit(1000)))
+    down = F.call_function("div", value - F.pmod(value, F.lit(1000)), F.lit(1000))
+    return F.when(value >= -(2**63) + 1000, epoch_to_ntz(down))
 
 
 def _time_of_day(value: Column) -> Column:
@@ -86,6 +95,10 @@ def canonical_json(value: Column) -> Column:
     return F.to_json(F.parse_json(value))
 
 
+def _json_or_null(value: Column) -> Column:
+    return F.to_json(F.try_parse_json(value))
+
+
 def decimal_from_bytes(precision: int, scale: int) -> Convert:
     """Big-endian two's complement integer -> decimal(precision, scale). Up to 18 digits it fits eight
     bytes, beyond that sixteen; anything longer does not fit."""
@@ -99,7 +112,7 @@ def decimal_from_bytes(precision: int, scale: int) -> Convert:
         if precision > 18:
             unscaled = unscaled.when(F.length(digits) <= 32, wide(F.lpad(digits, 32, sign)))
         number = F.concat(unscaled, F.lit(f"E{-scale}"))
-        return _strictly(value, number.try_cast(target), target)
+        return number.try_cast(target)
 
     def wide(digits: Column) -> Column:
         high = F.conv(F.substring(digits, 1, 16), 16, -10).cast("decimal(20,0)")
@@ -114,7 +127,7 @@ def decimal_from_bytes(precision: int, scale: int) -> Convert:
     return convert
 
 
-def _strictly(value: Column, converted: Column, target: T.DataType) -> Column:
+def strictly(value: Column, converted: Column, target: T.DataType) -> Column:
     """A value that cannot be converted stops the job, also in a session without ANSI mode."""
     shown = F.hex(value) if isinstance(target, T.DecimalType) else value
     failure = F.raise_error(F.concat(shown, F.lit(f" does not fit {target.simpleString()}")))
@@ -143,23 +156,25 @@ LOGICAL_TYPES: dict[str, LogicalType] = {
         T.LongType(),
         T.TimestampNTZType(),
         "timestamp",
-        lambda v: epoch_to_ntz(v, "MILLISECOND"),
+        _millis_to_ntz,
+        partial=True,
     ),
     "io.debezium.time.MicroTimestamp": LogicalType(
         T.LongType(), T.TimestampNTZType(), "timestamp", epoch_to_ntz
     ),
     "io.debezium.time.NanoTimestamp": LogicalType(
-        T.LongType(), T.TimestampNTZType(), "timestamp", _nanos_to_ntz
+        T.LongType(), T.TimestampNTZType(), "timestamp", _nanos_to_ntz, partial=True
     ),
     "io.debezium.time.ZonedTimestamp": LogicalType(
         T.StringType(),
         T.TimestampType(),
         "timestamptz",
-        lambda v: _strictly(v, v.try_cast("timestamp"), T.TimestampType()),
+        lambda v: v.try_cast("timestamp"),
+        partial=True,
     ),
     "io.debezium.time.MicroTime": LogicalType(T.LongType(), T.StringType(), "time", _time_of_day),
     "io.debezium.time.Year": LogicalType(T.IntegerType(), T.IntegerType(), "integer", _same),
-    JSON: LogicalType(T.StringType(), T.StringType(), "json", canonical_json),
+    JSON: LogicalType(T.StringType(), T.StringType(), "json", _json_or_null, partial=True),
     "io.debezium.data.Enum": LogicalType(T.StringType(), T.StringType(), "string", _same),
 }
 
@@ -186,10 +201,11 @@ def column_type(
             "decimal",
             f"decimal({precision},{scale})",
             decimal_from_bytes(precision, scale),
+            partial=True,
         )
     if logical in logical_types:
         lt = logical_types[str(logical)]
-        return ColumnType(name, lt.wire, lt.target, lt.kind, str(logical), lt.convert)
+        return ColumnType(name, lt.wire, lt.target, lt.kind, str(logical), lt.convert, lt.partial)
     primitive = str(described.get("type"))
     if primitive not in PRIMITIVES:
         raise SchemaConflict(f"{table}.{name}: {primitive} columns are not supported")

@@ -7,7 +7,7 @@ import uuid
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import partial, reduce
 from typing import TypeVar
@@ -25,6 +25,7 @@ from tidemark.operators.decode import (
     parse_versions,
     split_messages,
     versions_by_table,
+    usable_versions,
     versions_of_batch,
 )
 from tidemark.operators.merge import key_size, stored_for
@@ -32,6 +33,7 @@ from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica, TableState, Version
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
 from tidemark.operators.stats import (
+    BAD_SCHEMA,
     BATCH_SCHEMA,
     LAG_SCHEMA,
     histogram_percentiles,
@@ -50,6 +52,7 @@ MUCH_LARGER = 4
 # Batches whose statistics become one directory, so that a long run leaves few files.
 STATS_JOINED = 100
 _JOINED = "-joined"
+_WITH_BAD = "-bad"
 
 T_ = TypeVar("T_")
 
@@ -59,7 +62,7 @@ REPORTED = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 
 @dataclass
 class BatchResult:
-    """``received = deduped + applied + stale``."""
+    """``received = deduped + applied + stale``; bad messages are beside them."""
 
     received: int = 0
     deduped: int = 0  # superseded within the batch
@@ -67,6 +70,7 @@ class BatchResult:
     stale: int = 0  # not newer than what the replica held
     ops: Counter[str] = field(default_factory=Counter)
     version: int = 0
+    bad: int = 0  # set apart
 
     def add(self, other: BatchResult) -> None:
         self.received += other.received
@@ -85,23 +89,36 @@ def apply_batch(
     logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES,
     before_publish: Callable[[], None] | None = None,
     max_versions: int = MAX_VERSIONS,
+    on_bad: str = "fail",
 ) -> BatchResult:
     """Decode, keep the newest event per key, evolve the schemas, write what is newer than the
     replica's rows, and publish data and statistics of all tables as one version.
 
     Applying a batch twice, or batches in another order, leads to the same replica. More than ``max_versions`` versions of
     tables in one batch are an error, as then something other than schemas varies.
+
+    A message that can't be decoded stops the job. With ``on_bad='quarantine'`` it is set apart instead, with the
+    reason (see ``bad_messages``), and the others are applied. A table whose schema can't be used (it has no primary key, say)
+    is then set apart as well; schemas that contradict the replica's still stop the job.
     """
+    if on_bad not in ("fail", "quarantine"):
+        raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
     started = _now()
     parts = split_messages(raw).drop("_value_schema", "_key_schema")
     kept = [parts.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
         current = replica.version()
         texts = versions_of_batch(raw.where(F.col("value").isNotNull()), parts, current.schemas, max_versions)
-        tables = versions_by_table(parse_versions(texts, logical_types))
-        decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
         batch = _Batch(replica, current, run_id, consumer_id, started, kept)
-        return batch.apply(decoders, {**current.schemas, **texts}, before_publish)
+        if on_bad == "fail":
+            tables = versions_by_table(parse_versions(texts, logical_types))
+            decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
+            return batch.apply(decoders, {**current.schemas, **texts}, before_publish)
+        versions, unusable = usable_versions(texts, logical_types)
+        tables = versions_by_table(versions)
+        decoders = {name: partial(_decode_usable, parts, name, of, kept) for name, of in tables.items()}
+        schemas = {**current.schemas, **{i: texts[i] for i in versions}}
+        return batch.apply(decoders, schemas, before_publish, raw, _of_versions(parts, unusable))
     finally:
         for df in kept:
             df.unpersist()
@@ -135,6 +152,7 @@ class _Surviving:
 
     decoded: DecodedTable
     dropped: DataFrame | None = None
+    bad: DataFrame | None = None  # where bad messages are, and why; ``decoded`` is cached then
 
 
 def _decode(parts: DataFrame, table: str, versions: Mapping[int, TableVersion]) -> _Surviving:
@@ -153,6 +171,52 @@ def _decode(parts: DataFrame, table: str, versions: Mapping[int, TableVersion])
     return _Surviving(decode_table(parts, table, surviving, only_these=True), dropped)
 
 
+def _decode_usable(
+    parts: DataFrame, table: str, versions: Mapping[int, TableVersion], kept: list[DataFrame]
+) -> _Surviving:
+    """The same without bad messages."""
+
+    def split(of: Mapping[int, TableVersion], keys_only: bool = False) -> tuple[DecodedTable, DataFrame]:
+        all_ = decode_table(parts, table, of, keys_only=keys_only, only_these=True, on_bad="flag")
+        flagged = all_.events.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(flagged)
+        good = flagged.where(F.col("_bad").isNull()).drop("_bad", "_topic")
+        return replace(all_, events=good), flagged.where(F.col("_bad").isNotNull())
+
+    if len(versions) == 1:
+        decoded, bad = split(versions)
+        return _Surviving(decoded, bad=bad.select(_place()))
+    light, light_bad = split(versions, keys_only=True)
+    newest = newest_per_key(light.events, light.keys)
+    alive = {r[0] for r in newest.select("_version").distinct().collect()}
+    superseded = ~F.col("_version").isin(*alive) if alive else F.lit(True)
+    if not alive or alive == set(versions):
+        decoded, bad = split(versions)
+        return _Surviving(decoded, bad=bad.select(_place()))
+    decoded, bad = split({i: versions[i] for i in alive})
+    bad = bad.select(_place()).unionByName(light_bad.where(superseded).select(_place()))
+    return _Surviving(decoded, light.events.where(superseded), bad)
+
+
+def _place() -> Column:
+    return F.struct(
+        F.col("_topic").alias("topic"),
+        F.col("_partition").alias("partition"),
+        F.col("_offset").alias("offset"),
+        F.col("_bad").alias("why"),
+    ).alias("at")
+
+
+def _of_versions(parts: DataFrame, why: Mapping[int, str]) -> DataFrame | None:
+    """Places of the messages of versions that can't be used."""
+    if not why:
+        return None
+    reasons = F.create_map(*(F.lit(x) for item in why.items() for x in item))
+    of = parts.where(F.col("_version").isin(*why))
+    place = F.struct("topic", "partition", "offset", reasons[F.col("_version")].alias("why"))
+    return of.select(place.alias("at"))
+
+
 @dataclass(frozen=True)
 class _Batch:
     replica: Replica
@@ -171,15 +235,20 @@ class _Batch:
         decoders: Mapping[str, Callable[[], _Surviving]],
         schemas: dict[int, SchemaText],
         before_publish: Callable[[], None] | None = None,
+        raw: DataFrame | None = None,
+        unusable: DataFrame | None = None,
     ) -> BatchResult:
+        """``raw`` is where bad messages are looked up; ``unusable`` tells those no table is known of."""
         calls = [partial(lambda n, d: self._apply_table(n, d()), n, d) for n, d in decoders.items()]
         done = dict(zip(decoders, _all(self.replica.spark, calls), strict=True))
         result = BatchResult(version=self.number)
         states = dict(self.current.tables)
-        for name, (counts, state, _) in done.items():
+        for name, (counts, state, _, _) in done.items():
             result.add(counts)
             states[name] = state
-        stats = self._write_stats(result, [events for _, _, events in done.values()])
+        bad = [b for b in (unusable, *(b for _, _, _, b in done.values())) if b is not None]
+        set_apart = self._set_apart(raw, bad, result) if raw is not None and bad else None
+        stats = self._write_stats(result, [events for _, _, events, _ in done.values()], set_apart)
         if before_publish:
             before_publish()
         self.replica.publish(Version(self.number, states, schemas, stats))
@@ -187,8 +256,8 @@ class _Batch:
 
     def _apply_table(
         self, name: str, surviving: _Surviving
-    ) -> tuple[BatchResult, TableState, DataFrame]:
-        """Counts, the table's next state, and its events for the lag."""
+    ) -> tuple[BatchResult, TableState, DataFrame, DataFrame | None]:
+        """Counts, the table's next state, its events for the lag, and where its bad messages are."""
         decoded, dropped = surviving.decoded, surviving.dropped
         keys = decoded.keys
         state = self.current.tables.get(name)
@@ -199,8 +268,10 @@ class _Batch:
         state = TableState(schema, keys, state.commits if state else ())
 
         # Parsed once, used for the counts, the merge and the lag.
-        events = decoded.events.persist(StorageLevel.MEMORY_AND_DISK)
-        self.kept.append(events)
+        events, bad = decoded.events, surviving.bad
+        if bad is None:
+            events = events.persist(StorageLevel.MEMORY_AND_DISK)
+            self.kept.append(events)
         found = _summary(events, keys).collect()
         result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in found}))
         n_events = result.ops.total()
@@ -210,7 +281,7 @@ class _Batch:
             result.ops.update({r["_op"]: r["n"] for r in ops_counts(dropped).collect()})
         result.received = result.ops.total()
         if not found:
-            return result, state, for_lag
+            return result, state, for_lag, bad
 
         staged = align_to(newest_per_key(events, keys), schema).select(
             *cols(schema.names),
@@ -230,9 +301,26 @@ class _Batch:
         result.applied = commit.rows if commit else 0
         result.stale = n_staged - result.applied
         result.deduped = result.received - n_staged
-        return result, state.plus(commit), for_lag
-
-    def _write_stats(self, result: BatchResult, for_lag: Sequence[DataFrame]) -> tuple[str, ...]:
+        return result, state.plus(commit), for_lag, bad
+
+    def _set_apart(self, raw: DataFrame, places: Sequence[DataFrame], result: BatchResult) -> DataFrame | None:
+        """The bad messages as they came, with the reasons; None if there are none."""
+        at = reduce(DataFrame.unionByName, places).select("at.*").persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(at)
+        result.bad = at.count()
+        if not result.bad:
+            return None
+        by = ["topic", "partition", "offset"]
+        # A message that came twice has one entry.
+        once = at.groupBy(*by).agg(F.min("why").alias("why"))
+        came = raw.where(F.col("value").isNotNull()).dropDuplicates(by)
+        who = (F.lit(v) for v in (self.run_id, self.consumer_id, self.number))
+        found = came.join(once, by)
+        return found.select(_as(BAD_SCHEMA, [*who, *(F.col(f.name) for f in BAD_SCHEMA.fields[3:])]))
+
+    def _write_stats(
+        self, result: BatchResult, for_lag: Sequence[DataFrame], bad: DataFrame | None = None
+    ) -> tuple[str, ...]:
         """Writes the batch's statistics to a directory of this attempt, and returns those of the next version, which alone
         makes them visible. Every ``STATS_JOINED`` batches, theirs become one directory."""
         name, applied_at = f"{self.number}-{uuid.uuid4().hex}", _now()
@@ -241,22 +329,28 @@ class _Batch:
         ops = F.create_map(*(F.lit(x) for op_n in result.ops.items() for x in op_n))
         row = [F.lit(v) for v in (*who, self.started, applied_at, 1, *counts)]
         spark = self.replica.spark
-        batch = spark.range(1).select(_as(BATCH_SCHEMA, [*row, ops])).coalesce(1)
+        batch = spark.range(1).select(_as(BATCH_SCHEMA, [*row, ops, F.lit(result.bad)])).coalesce(1)
         lags = spark.createDataFrame([], LAG_SCHEMA)
         if for_lag:
             events = reduce(DataFrame.unionByName, for_lag)
             lag = lag_histogram(events, F.lit(applied_at).cast("timestamp"))
             lags = lag.select(_as(LAG_SCHEMA, [*(F.lit(v) for v in who), F.col("lag_ms"), F.col("n")]))
         single = [n for n in self.current.stats if not n.endswith(_JOINED)]
-        if len(single) + 1 >= STATS_JOINED:
+        joined = len(single) + 1 >= STATS_JOINED
+        before = [n for n in single if _WITH_BAD in n] if joined else []
+        if before:
+            earlier = _named(self.replica, before, "bad", BAD_SCHEMA)
+            bad = earlier if bad is None else earlier.unionByName(bad)
+        if bad is not None:
+            name += _WITH_BAD
+        if joined:
             name += _JOINED
             batch = _named(self.replica, single, "batches", BATCH_SCHEMA).unionByName(batch).coalesce(1)
             lags = _named(self.replica, single, "lag", LAG_SCHEMA).unionByName(lags)
         path = self.replica.stats_path(name)
-        _all(spark, [
-            partial(df.write.parquet, f"{path}/{kind}") for df, kind in ((batch, "batches"), (lags, "lag"))
-        ])
-        gone = set(single) if name.endswith(_JOINED) else set()
+        written = {"batches": batch, "lag": lags, **({} if bad is None else {"bad": bad})}
+        _all(spark, [partial(df.write.parquet, f"{path}/{kind}") for kind, df in written.items()])
+        gone = set(single) if joined else set()
         return (*(n for n in self.current.stats if n not in gone), name)
 
 
@@ -297,6 +391,12 @@ def lag_stats(replica: Replica) -> DataFrame:
     return _stats(replica, "lag", LAG_SCHEMA)
 
 
+def bad_messages(replica: Replica) -> DataFrame:
+    """Messages that published batches set apart: run, consumer, version, the message, and why."""
+    names = [n for n in replica.version().stats if _WITH_BAD in n]
+    return _named(replica, names, "bad", BAD_SCHEMA)
+
+
 def run_report(
     replica: Replica, run_id: str, reports: DataFrame | None = None
 ) -> dict[str, object]:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.wire import LOGICAL_TYPES, ColumnType, LogicalType, SchemaConflict
+from tidemark.functions.wire import LOGICAL_TYPES, ColumnType, LogicalType, SchemaConflict, strictly
 from tidemark.operators.schema import TableVersion, evolve_schema, parse_version
 
 # Fixed values of the message format.
@@ -20,6 +20,10 @@ MAX_VERSIONS = 10_000
 # Messages looked up by one condition.
 LOOKUPS = 100
 
+# Where the JSON reader leaves what it can't read.
+_BROKEN = "_broken_record"
+BROKEN_JSON = "broken JSON or a value of another type"
+
 # Table, and the schema parts of value and key.
 SchemaText = tuple[str, str | None, str | None]
 
@@ -123,6 +127,19 @@ def parse_versions(
     return {i: parse_version(*text, logical_types) for i, text in texts.items()}
 
 
+def usable_versions(
+    texts: Mapping[int, SchemaText], logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
+) -> tuple[dict[int, TableVersion], dict[int, str]]:
+    """The same, and apart from them what is wrong with those that can't be read."""
+    versions, unusable = {}, {}
+    for i, text in texts.items():
+        try:
+            versions[i] = parse_version(*text, logical_types)
+        except (SchemaConflict, ValueError, LookupError, TypeError, AttributeError) as e:
+            unusable[i] = f"unusable schema: {e}"
+    return versions, unusable
+
+
 def schema_versions(
     parts: DataFrame, logical_types: Mapping[str, LogicalType] = LOGICAL_TYPES
 ) -> dict[int, TableVersion]:
@@ -187,9 +204,12 @@ def decode_table(
 
     ``only_these`` leaves out messages of other versions; else they are an error, like the rest:
     decoding is strict. Broken JSON, a value of the wrong type, an unknown kind of change or a
-    missing image, key or position stops the job, unless ``on_bad='flag'``, which keeps such rows (broken
-    JSON apart) and says why in ``_bad``.
+    missing image, key or position stops the job, unless ``on_bad='flag'``, which keeps such rows with
+    their ``_topic`` and says why in ``_bad``.
     """
+    if on_bad not in ("fail", "flag"):
+        raise ValueError(f"on_bad must be 'fail' or 'flag', not {on_bad!r}")
+    strict = on_bad == "fail"
     keys = next(iter(versions.values())).keys
     if any(v.keys != keys for v in versions.values()):
         raise SchemaConflict(f"{table}: the primary key differs between versions")
@@ -209,14 +229,18 @@ def decode_table(
     of_table = parts.where(F.col("_table") == table)
     if only_these:
         of_table = of_table.where(known)
+    mode = {"mode": "FAILFAST" if strict else "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
+    read = F.from_json("_message", _envelope(image_type, strict), mode)
     parsed = of_table.select(
         "topic",
         F.col("partition").alias("_partition"),
         F.col("offset").alias("_offset"),
         "_version",
-        F.from_json("_message", _envelope(image_type), {"mode": "FAILFAST"})
-        .getField("payload")
-        .alias("_p"),
+        read.alias("_read"),
+    ).select(
+        *("topic", "_partition", "_offset", "_version"),
+        F.col("_read.payload").alias("_p"),
+        *([] if strict else [F.col(f"_read.{_BROKEN}").isNotNull().alias("_broken")]),
     )
     op = F.col("_p.op")
     # The row before the change is all a delete has; otherwise the row after it counts.
@@ -232,14 +256,15 @@ def decode_table(
         F.nullif(source.getField("ts_us"), F.lit(0)), source.getField("ts_ms") * 1000
     )
     bad = (
-        F.when(~F.coalesce(op.isin(*OPS), F.lit(False)), _unsupported(op))
+        F.when(F.lit(False) if strict else F.col("_broken"), F.lit(BROKEN_JSON))
+        .when(~F.coalesce(op.isin(*OPS), F.lit(False)), _unsupported(op))
         .when(~known, F.lit("unknown schema version"))
         .when(F.col("_image").isNull(), F.lit("no row image"))
         .when(_any_null([F.col("_image").getField(k) for k in keys]), F.lit("no key"))
         .when(_any_null([file_number, source.getField("pos")]), F.lit("no position"))
         .when(commit_micros.isNull(), F.lit("no commit time"))
     )
-    if on_bad == "fail":
+    if strict:
         # Every value comes out of one of the two, so a consumer can't read one without the check.
         where = F.concat_ws(":", "topic", "_partition", "_offset")
         why = F.concat(bad, F.lit(" at "), where)
@@ -249,13 +274,13 @@ def decode_table(
                 for c in ("_image", "_p")
             }
         )
-    elif on_bad != "flag":
-        raise ValueError(f"on_bad must be 'fail' or 'flag', not {on_bad!r}")
+    converted = {f.name: _converted(f, by_name[f.name], len(versions), strict) for f in schema.fields}
+    for f in schema.fields:
+        if not strict and any(c.partial for c in by_name[f.name].values()):
+            lost = F.col("_image").getField(f.name).isNotNull() & converted[f.name].isNull()
+            bad = bad.when(lost, F.lit(f"{f.name} does not fit {f.dataType.simpleString()}"))
     events = imaged.select(
-        *(
-            _converted(f, by_name[f.name], len(versions)).alias(f.name, metadata=f.metadata)
-            for f in schema.fields
-        ),
+        *(converted[f.name].alias(f.name, metadata=f.metadata) for f in schema.fields),
         op.alias("_op"),
         file_number.alias("_src_file"),
         source.getField("pos").alias("_src_pos"),
@@ -265,12 +290,12 @@ def decode_table(
         "_version",
         "_partition",
         "_offset",
-        *([bad.alias("_bad")] if on_bad == "flag" else []),
+        *([] if strict else [F.col("topic").alias("_topic"), bad.alias("_bad")]),
     )
     return DecodedTable(table, events, keys, dict(versions))
 
 
-def _envelope(image: T.StructType) -> T.StructType:
+def _envelope(image: T.StructType, strict: bool) -> T.StructType:
     source = T.StructType(
         [
             T.StructField("file", T.StringType()),
@@ -288,7 +313,8 @@ def _envelope(image: T.StructType) -> T.StructType:
             T.StructField("source", source),
         ]
     )
-    return T.StructType([T.StructField("payload", payload)])
+    broken = [] if strict else [T.StructField(_BROKEN, T.StringType())]
+    return T.StructType([T.StructField("payload", payload), *broken])
 
 
 def _wire_field(table: str, name: str, of: Iterable[ColumnType]) -> T.StructField:
@@ -298,18 +324,27 @@ def _wire_field(table: str, name: str, of: Iterable[ColumnType]) -> T.StructFiel
     return T.StructField(name, wires.pop())
 
 
-def _converted(target: T.StructField, of: Mapping[int, ColumnType], n_versions: int) -> Column:
+def _converted(
+    target: T.StructField, of: Mapping[int, ColumnType], n_versions: int, strict: bool
+) -> Column:
     """One conversion where all versions agree, else one per version."""
     value = F.col("_image").getField(target.name)
+
+    def convert(column: ColumnType) -> Column:
+        converted = column.convert(value)
+        if strict and column.partial:
+            converted = strictly(value, converted, column.target)
+        return converted.cast(target.dataType)
+
     by_rule: dict[str, list[int]] = {}
     for version_id, column in of.items():
         by_rule.setdefault(column.rule, []).append(version_id)
     if len(by_rule) == 1 and len(of) == n_versions:
-        return next(iter(of.values())).convert(value).cast(target.dataType)
+        return convert(next(iter(of.values())))
     result = None
     for ids in by_rule.values():
         when = F.col("_version").isin(*ids)
-        converted = of[ids[0]].convert(value).cast(target.dataType)
+        converted = convert(of[ids[0]])
         result = F.when(when, converted) if result is None else result.when(when, converted)
     assert result is not None
     return result

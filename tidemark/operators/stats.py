@@ -109,6 +109,7 @@ BATCH_SCHEMA = T.StructType(
         T.StructField("applied", T.LongType()),
         T.StructField("stale", T.LongType()),
         T.StructField("ops", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("bad", T.LongType()),
     ]
 )
 LAG_SCHEMA = T.StructType(
@@ -121,7 +122,22 @@ LAG_SCHEMA = T.StructType(
     ]
 )
 
-COUNTERS = ("batches", "received", "deduped", "applied", "stale")
+# Messages set apart, with the reason.
+BAD_SCHEMA = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("consumer_id", T.StringType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("why", T.StringType()),
+    ]
+)
+
+COUNTERS = ("batches", "received", "deduped", "applied", "stale", "bad")
 
 
 def run_summary(batches: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions.columns import cols, position
+from tidemark.functions.columns import POSITION, cols, position
+from tidemark.functions.wire import JSON, epoch_to_ntz
 from tidemark.operators.decode import (
     DecodedTable,
     decode_rows,
@@ -95,6 +96,111 @@ def decode_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded_orders(spark, sf_dir)
 
 
+# Days by which every other time is earlier, so that half of them are before 1970.
+_EARLIER = 21_900
+
+_TIMES_SQL = f"""times AS (
+  SELECT event_id, epoch_us(ts) - CASE WHEN event_id % 2 = 1 THEN {_EARLIER} * 86400000000 ELSE 0 END AS us FROM events)"""
+
+
+@query(
+    f"""WITH {_TIMES_SQL}
+    SELECT event_id, make_timestamp(us - (us % 1000 + 1000) % 1000) AS from_millis, make_timestamp(us) AS from_micros,
+           make_timestamp(us) AS from_nanos, strftime(make_timestamp(us), '%H:%M:%S.%f') AS time_of_day,
+           us AS zoned_us, CAST(year(make_timestamp(us)) AS INTEGER) AS of_year, CAST(make_timestamp(us) AS DATE) AS of_day
+    FROM times"""
+)
+def decode_temporal_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in every form a message may have, half of them before 1970."""
+    back = F.when(F.col("event_id") % 2 == 1, _EARLIER * 86_400_000_000).otherwise(0)
+    us = F.unix_micros("_src_commit_at") - back
+    at = epoch_to_ntz(us)
+    utc, east = (F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") for t in (at, epoch_to_ntz(us + 7_200_000_000)))
+    zoned = F.when(F.col("event_id") % 3 == 0, F.concat(east, F.lit("+02:00"))).otherwise(F.concat(utc, F.lit("Z")))
+    events = activity(spark, sf_dir).select(
+        "event_id",
+        F.floor(us / 1000).alias("from_millis"),
+        us.alias("from_micros"),
+        (us * 1000 + F.pmod("event_id", F.lit(1000))).alias("from_nanos"),
+        F.pmod(us, F.lit(86_400_000_000)).alias("time_of_day"),
+        zoned.alias("zoned"),
+        F.year(at).alias("of_year"),
+        at.cast("date").alias("of_day"),
+        *("_op", *POSITION, "_src_commit_at"),
+    )
+    logical = {
+        "from_millis": "io.debezium.time.Timestamp",
+        "from_micros": "io.debezium.time.MicroTimestamp",
+        "from_nanos": "io.debezium.time.NanoTimestamp",
+        "time_of_day": "io.debezium.time.MicroTime",
+        "zoned": "io.debezium.time.ZonedTimestamp",
+        "of_year": "io.debezium.time.Year",
+    }
+    rows = decoded(encode(events, "times", ("event_id",), logical=logical))["times"].events
+    return rows.select(
+        *("event_id", "from_millis", "from_micros", "from_nanos", "time_of_day", "of_year", "of_day"),
+        F.unix_micros("zoned").alias("zoned_us"),
+    )
+
+
+# Factors that make prices use up all digits.
+_WIDE = {"d19": (19, 2, "10000001"), "d28": (28, 6, "-100000000000001"), "d38": (38, 10, "1000000000000000001")}
+
+
+@query(
+    "SELECT o_orderkey, "
+    + ", ".join(
+        f"CAST(CASE WHEN o_orderkey % 2 = 1 THEN -price ELSE price END * CAST('{by}' AS DECIMAL(38,0))"
+        f" AS DECIMAL({digits},{scale}))::VARCHAR AS {name}"
+        for name, (digits, scale, by) in _WIDE.items()
+    )
+    + " FROM (SELECT o_orderkey, CAST(CAST(round(o_totalprice, 2) AS DECIMAL(12,2)) AS DECIMAL(38,2)) AS price FROM orders)"
+)
+def decode_wide_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals of 19 to 38 digits of both signs, as text."""
+    sign = F.when(F.col("o_orderkey") % 2 == 1, -1).otherwise(1).cast("decimal(1,0)")
+    wide = [
+        (sign * F.col("o_totalprice") * F.lit(by).cast("decimal(20,0)")).cast(f"decimal({digits},{scale})").alias(name)
+        for name, (digits, scale, by) in _WIDE.items()
+    ]
+    events = ordering(spark, sf_dir).where(F.col("_op") == "c")
+    events = events.select("o_orderkey", *wide, "_op", *POSITION, "_src_commit_at")
+    rows = decoded(encode(events, "wide", ORDERING_KEYS))["wide"].events
+    return rows.select("o_orderkey", *(F.col(name).cast("string").alias(name) for name in _WIDE))
+
+
+@query(
+    """SELECT event_id, hex(encode(event_type)) AS raw, value > 10 AS flag, CAST(user_id % 100 AS SMALLINT) AS tiny,
+              CAST(user_id % 30000 AS SMALLINT) AS small, CAST(user_id AS INTEGER) AS plain,
+              CAST(CAST(value AS FLOAT) AS DOUBLE) AS single, value AS double_, event_type AS choice,
+              '{"a":["' || event_type || '"],"k":' || replace(props, ' ', '') || ',"z":' || event_id || '}' AS document
+       FROM events"""
+)
+def decode_other_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, flags, numbers of all sizes, choices and documents, whose members come in any order."""
+    document = F.format_string('{ "z" : %d, "k": %s , "a": ["%s"]}', "event_id", "props", "event_type")
+    events = activity(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "props"), "event_id")
+    events = events.select(
+        "event_id",
+        F.encode("event_type", "UTF-8").alias("raw"),
+        (F.col("value") > 10).alias("flag"),
+        (F.col("user_id") % 100).cast("tinyint").alias("tiny"),
+        (F.col("user_id") % 30000).cast("smallint").alias("small"),
+        F.col("user_id").cast("int").alias("plain"),
+        F.col("value").cast("float").alias("single"),
+        F.col("value").alias("double_"),
+        F.col("event_type").alias("choice"),
+        document.alias("document"),
+        *("_op", *POSITION, "_src_commit_at"),
+    )
+    logical = {"choice": "io.debezium.data.Enum", "document": JSON}
+    rows = decoded(encode(events, "others", ("event_id",), logical=logical))["others"].events
+    return rows.select(
+        *("event_id", F.hex("raw").alias("raw"), "flag", "tiny", "small", "plain"),
+        *(F.col("single").cast("double").alias("single"), "double_", "choice", "document"),
+    )
+
+
 @query(f"WITH {ORDERING_SQL} SELECT {_ORDERS_SELECTED} FROM ordering WHERE op = 'd'")
 def decode_delete_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded_orders(spark, sf_dir).where("deleted")

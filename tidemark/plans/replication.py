@@ -6,7 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.apply import apply_batch, apply_events, batch_stats, lag_stats
+from tidemark.operators.apply import apply_batch, apply_events, bad_messages, batch_stats, lag_stats
+from tidemark.operators.decode import BROKEN_JSON
 from tidemark.operators.merge import guarded_merge, live_view, merge_counts
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica
@@ -205,7 +206,7 @@ def batch_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def run_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = run_summary(batch_stats(_by_weekday(spark, sf_dir)))
-    return summary.drop("started_at", "updated_at")
+    return summary.drop("started_at", "updated_at", "bad")
 
 
 @query(f"WITH {ACTIVITY_SQL} SELECT 'r1' AS run_id, op, count(*) AS n FROM activity GROUP BY op")
@@ -422,3 +423,32 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_state_stream(stream, ACTIVITY_KEYS, out, fresh_dir(spark, "progress")).awaitTermination()
     changed = spark.read.schema(events.schema).parquet(f"{out}/_batch=*")
     return newest_per_key(changed, ACTIVITY_KEYS).select(*ACTIVITY_COLUMNS, *places())
+
+
+@query(
+    f"""WITH {ACTIVITY_SQL}, good AS (SELECT * FROM activity WHERE event_type NOT IN ('view', 'purchase'))
+    SELECT user_id, event_id, NULL AS why FROM {newest_sql('good', 'user_id')}
+    UNION ALL
+    SELECT user_id, event_id, CASE event_type WHEN 'view' THEN 'unsupported op t' ELSE '{BROKEN_JSON}' END
+    FROM activity WHERE event_type IN ('view', 'purchase')"""
+)
+def stream_with_bad_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views are of a kind nobody knows, and purchases are cut off. The rest arrives."""
+    events = activity(spark, sf_dir)
+    odd = F.when(F.col("event_type") == "view", "t").otherwise(F.col("_op"))
+    messages = encode(events.withColumn("_op", odd), "activity", ACTIVITY_KEYS)
+    bought = F.get_json_object("value", "$.payload.after.event_type") == "purchase"
+    cut_off = F.expr("left(value, char_length(value) - 20)")
+    messages = messages.withColumn("value", F.when(bought, cut_off).otherwise(F.col("value")))
+    source = read_changes(
+        spark,
+        files_of(messages, "messages"),
+        streaming=True,
+        max_per_trigger=spark.sparkContext.defaultParallelism,
+    )
+    replica = new_replica(spark, "quarantined")
+    run_stream(source, replica, fresh_dir(spark, "progress"), on_bad="quarantine").awaitTermination()
+    rows = replica.read("activity").select("user_id", "event_id", F.lit(None).cast("string").alias("why"))
+    user = F.get_json_object("key", "$.payload.user_id").cast("bigint").alias("user_id")
+    event = F.pmod("offset", F.lit(10**12)).alias("event_id")
+    return rows.unionByName(bad_messages(replica).select(user, event, "why"))

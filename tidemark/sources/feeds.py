@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -27,14 +27,16 @@ _WIRE = {
 }
 
 
-def column_schema(f: T.StructField) -> dict[str, object]:
-    """How a message describes a column."""
-    if isinstance(f.dataType, T.DecimalType):
+def column_schema(f: T.StructField, logical_type: str | None = None) -> dict[str, object]:
+    """How a message describes a column, of the given logical type or the one its Spark type has."""
+    if logical_type:
+        described: dict[str, object] = {"type": _WIRE[f.dataType.simpleString()][0], "name": logical_type}
+    elif isinstance(f.dataType, T.DecimalType):
         parameters = {
             "scale": str(f.dataType.scale),
             "connect.decimal.precision": str(f.dataType.precision),
         }
-        described: dict[str, object] = {"type": "bytes", "name": DECIMAL, "parameters": parameters}
+        described = {"type": "bytes", "name": DECIMAL, "parameters": parameters}
     else:
         primitive, logical = _WIRE[f.dataType.simpleString()]
         described = {"type": primitive, **({"name": logical} if logical else {})}
@@ -45,7 +47,7 @@ def wire_value(column: Column, data_type: T.DataType) -> Column:
     """How a message writes a value."""
     if isinstance(data_type, T.DecimalType):
         if data_type.precision > 18:
-            raise TypeError("feeds encode decimals of up to 18 digits")
+            return F.base64(F.unhex(_wide_hex(column, data_type.scale)))
         unscaled = (column * F.lit(10**data_type.scale)).cast("decimal(20,0)").cast("string")
         return F.base64(F.unhex(F.lpad(F.conv(unscaled, 10, 16), 16, "0")))
     if isinstance(data_type, T.BinaryType):
@@ -60,13 +62,32 @@ def wire_value(column: Column, data_type: T.DataType) -> Column:
     return column
 
 
-def encode(events: DataFrame, table: str, keys: Sequence[str], prefix: str = "feed.db") -> DataFrame:
+def _wide_hex(column: Column, scale: int) -> Column:
+    """A decimal's digits as a signed number of sixteen bytes: its two halves, the high one rounded
+    down so that the low one is never negative."""
+    plain = F.translate(F.format_number(column, scale), ",.", "").cast("decimal(38,0)")
+    two_64 = F.lit("18446744073709551616").cast("decimal(20,0)")
+    low = F.pmod(plain, two_64).cast("decimal(20,0)")
+    high = F.call_function("div", plain, two_64) - F.when((plain < 0) & (low != 0), 1).otherwise(0)
+    halves = (F.hex(high.cast("bigint")), F.conv(low.cast("string"), 10, 16))
+    return F.concat(*(F.lpad(half, 16, "0") for half in halves))
+
+
+def encode(
+    events: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    prefix: str = "feed.db",
+    logical: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Events (source columns, ``_op``, position, ``_src_commit_at``) -> messages as the Kafka source
-    gives them. Partition and offset are derived from key and position."""
+    gives them. Partition and offset are derived from key and position. Columns in ``logical`` hold
+    what a message writes for a value of that logical type."""
+    logical = logical or {}
     extra = {*META_COLUMNS, *EVENT_COLUMNS}
     fields = [f for f in events.schema.fields if f.name not in extra]
     key_fields = [f for f in fields if f.name in keys]
-    described = [column_schema(f) for f in fields]
+    described = [column_schema(f, logical.get(f.name)) for f in fields]
     row = {"type": "struct", "fields": described, "optional": True, "name": f"{prefix}.{table}.Value"}
     schema = {
         "type": "struct",
@@ -81,7 +102,7 @@ def encode(events: DataFrame, table: str, keys: Sequence[str], prefix: str = "fe
     }
     key_schema = {
         "type": "struct",
-        "fields": [{**column_schema(f), "optional": False} for f in key_fields],
+        "fields": [{**column_schema(f, logical.get(f.name)), "optional": False} for f in key_fields],
         "optional": False,
     }
 

@@ -29,14 +29,15 @@ def run_stream(
     before_publish: Callable[[], None] | None = None,
     after_publish: Callable[[BatchResult], None] | None = None,
     max_versions: int = MAX_VERSIONS,
+    on_bad: str = "fail",
 ) -> StreamingQuery:
     """Applies a stream of messages (see ``read_changes``) to a replica, batch by batch.
 
     Data first, progress second: the checkpoint moves on after a batch is published. A job that dies
     in between gets the batch again, finds every event stale, and changes nothing. The guard does
     not rely on batch numbers, so even a lost checkpoint is harmless. ``trigger`` defaults to
-    taking what is there and stopping; the two callbacks let tests fail a batch at a given point; ``max_versions`` is that of
-    ``apply_batch``.
+    taking what is there and stopping; the two callbacks let tests fail a batch at a given point; ``max_versions`` and
+    ``on_bad`` are those of ``apply_batch``.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -48,6 +49,7 @@ def run_stream(
             logical_types=logical_types,
             before_publish=before_publish,
             max_versions=max_versions,
+            on_bad=on_bad,
         )
         if after_publish:
             after_publish(result)
