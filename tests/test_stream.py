@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,9 +17,9 @@ from tidemark.operators.reduce import latest_state, newest_per_key
 from tidemark.operators.replica import Replica
 from tidemark.operators.schema import version_of
 from tidemark.operators.stats import run_summary
-from tidemark.operators.verify import verify
+from tidemark.operators.verify import consumer_lag, verify, verify_examples
 from tidemark.sources.changes import RAW_SCHEMA, read_changes, snapshot_events
-from tidemark.streaming.runner import run_state_stream, run_stream
+from tidemark.streaming.runner import progress_offsets, run_state_stream, run_stream, wait_caught_up
 
 
 @pytest.fixture
@@ -141,7 +143,11 @@ def test_reports(place, spark, tmp_path):
     place.run(run_id="r7")
     sources = {t: place.replica.live(t) for t in ("readings", "others")}
     reports = verify(place.replica, sources, {"readings": ["meter", "slot"], "others": ["meter", "slot"]})
-    report = run_report(place.replica, "r7", reports)
+    keys = {"readings": ["meter", "slot"], "others": ["meter", "slot"]}
+    more = {**sources, "gone": sources["others"]}
+    examples = verify_examples(place.replica, more, {**keys, "gone": ["slot"]}, n=1)
+    report = run_report(place.replica, "r7", reports, examples)
+    assert [(e["table"], e["kind"]) for e in report["examples"]] == [("gone", "missing")]
     assert report["totals"]["received"] == 12 and report["all_ok"]
     assert sum(report["events_by_op"].values()) == report["lag_ms"]["events"] == 12
     write_report(place.replica, report, str(tmp_path / "report"))
@@ -211,15 +217,41 @@ def test_superseded_versions_and_bad_messages(spark, tmp_path):
 
 
 def test_state_kept_by_the_stream(spark, tmp_path):
-    rows = [(pos % 3, f"v{pos}", 1, pos, 0) for pos in range(20)]
-    events = spark.createDataFrame(rows, "id int, name string, _src_file int, _src_pos long, _src_row int")
+    rows = [(pos % 3, f"v{pos}", "u", 1, pos, 0, False) for pos in range(20)]
+    names = "id int, name string, _op string, _src_file int, _src_pos long, _src_row int, _deleted boolean"
+    events = spark.createDataFrame(rows, names).withColumn("_src_commit_at", F.timestamp_micros(F.lit(0)))
     for part in (events.where("_src_pos >= 10"), events.where("_src_pos < 10")):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "events"))
-    out = str(tmp_path / "out")
-    run_state_stream(stream, ("id",), out, str(tmp_path / "progress")).awaitTermination()
-    changed = spark.read.schema(events.schema).parquet(f"{out}/_batch=*")
-    assert {(r.id, r.name) for r in newest_per_key(changed, ["id"]).collect()} == {(0, "v18"), (1, "v19"), (2, "v17")}
+    replica = Replica(spark, str(tmp_path / "state"))
+    for progress in ("progress", "another"):  # a lost checkpoint changes nothing
+        run_state_stream(stream, ("id",), replica, "named", str(tmp_path / progress)).awaitTermination()
+        assert {(r.id, r.name) for r in replica.live("named").collect()} == {(0, "v18"), (1, "v19"), (2, "v17")}
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")
+
+
+def test_waiting_until_caught_up(place, spark, tmp_path):
+    """The stream starts before there is a directory; a marker arrives with a second file."""
+    source = read_changes(spark, str(place.messages), streaming=True)
+    query = run_stream(source, place.replica, str(tmp_path / "progress"), trigger={"processingTime": "1 second"})
+    try:
+        marker = spark.createDataFrame([(77,)], "slot int")
+        place.deliver(change("c", reading(1), 5))
+        with pytest.raises(TimeoutError, match="1 of 1 markers"):
+            wait_caught_up(query, place.replica, "readings", marker, 1, key="slot")
+        place.deliver(change("c", reading(77), 6))
+        wait_caught_up(query, place.replica, "readings", marker, 90, key="slot")
+        assert {r.slot for r in place.replica.live("readings").collect()} == {1, 77}
+    finally:
+        query.stop()
+
+
+def test_offsets_out_of_the_progress(spark):
+    kafka = SimpleNamespace(latestOffset='{"a.t":{"0":9,"1":4}}', endOffset='{"a.t":{"0":7}}')
+    files = SimpleNamespace(latestOffset="null", endOffset='{"logOffset":3}')
+    high, committed = progress_offsets(spark, SimpleNamespace(sources=[kafka, files]))
+    assert consumer_lag(high, committed).first().lag == 6
+    assert consumer_lag(*progress_offsets(spark, None)).first().lag == 0
 
 
 def test_a_snapshot_of_typed_rows(spark, tmp_path):

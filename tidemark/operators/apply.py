@@ -398,10 +398,13 @@ def bad_messages(replica: Replica) -> DataFrame:
 
 
 def run_report(
-    replica: Replica, run_id: str, reports: DataFrame | None = None
+    replica: Replica,
+    run_id: str,
+    reports: DataFrame | None = None,
+    examples: DataFrame | None = None,
 ) -> dict[str, object]:
     """What a run did, as one small document: totals, events per kind, lag percentiles, and the
-    outcome of ``verify`` if given."""
+    outcome of ``verify`` and of ``verify_examples`` if given."""
     batches = batch_stats(replica).where(F.col("run_id") == run_id)
     lags = lag_stats(replica).where(F.col("run_id") == run_id)
     totals = run_summary(batches).drop("run_id", "started_at", "updated_at").first()
@@ -415,6 +418,8 @@ def run_report(
         rows = [r.asDict() for r in reports.collect()]  # one per table
         report["tables"] = rows
         report["all_ok"] = all(r["ok"] for r in rows)
+    if examples is not None:
+        report["examples"] = [r.asDict() for r in examples.collect()]  # a few per table
     return report
 
 

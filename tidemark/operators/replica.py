@@ -24,7 +24,8 @@ import hashlib
 import json
 import os
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass, field, replace
 from functools import reduce
 
@@ -368,6 +369,16 @@ class Replica:
                 gone.append(f"_stats/{name}")
         return gone
 
+    @contextmanager
+    def scratch(self) -> Iterator[str]:
+        """A directory beside the tables for as long as the block runs."""
+        fs, path = self._file_system()
+        name = f"{self.path}/_scratch/{uuid.uuid4().hex}"
+        try:
+            yield name
+        finally:
+            fs.delete(path(name), True)
+
     def stats_path(self, name: str = "") -> str:
         return f"{self.path}/_stats/{name}".rstrip("/")
 

@@ -255,20 +255,43 @@ def verdict(reports: DataFrame) -> DataFrame:
 
 
 def verify(
-    replica: Replica, sources: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]
+    replica: Replica,
+    sources: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    version: int | None = None,
 ) -> DataFrame:
     """A report per source table, in name order. A table the replica does not have counts as empty."""
-    # One version for all tables, whatever is published meanwhile.
-    version = replica.latest()
-    here = replica.version(version).tables
-    reports = []
-    for table in sorted(sources):
-        source = sources[table]
-        target = replica.live(table, version) if table in here else source.limit(0)
-        reports.append(compare_tables(source, target, keys[table], table))
+    targets = _targets(replica, sources, version)
+    reports = [compare_tables(sources[t], target, keys[t], t) for t, target in targets.items()]
     return reduce(DataFrame.unionByName, reports)
 
 
+def verify_examples(
+    replica: Replica,
+    sources: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    n: int = 2,
+    version: int | None = None,
+) -> DataFrame:
+    """The first ``n`` differences of each kind and table: (table, kind, key, source_row, target_row)."""
+    found = []
+    for t, target in _targets(replica, sources, version).items():
+        examples = diff_examples(sources[t], target, keys[t], n)
+        found.append(examples.select(F.lit(t).alias("table"), "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _targets(
+    replica: Replica, sources: Mapping[str, DataFrame], version: int | None
+) -> dict[str, DataFrame]:
+    """Live rows of the source's tables, all of one version, whatever is published meanwhile."""
+    version = replica.latest() if version is None else version
+    here = replica.version(version).tables
+    return {
+        t: replica.live(t, version) if t in here else sources[t].limit(0) for t in sorted(sources)
+    }
+
+
 def partition_lag(
     high: DataFrame, committed: DataFrame, topic_prefix: str | None = None
 ) -> DataFrame:

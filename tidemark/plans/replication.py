@@ -413,16 +413,16 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {NEWEST_ACTIVITY}")
 def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same state kept by the streaming query itself."""
-    events, out = activity(spark, sf_dir), fresh_dir(spark, "state")
+    events, replica = activity(spark, sf_dir), new_replica(spark, "state")
     at_once = spark.sparkContext.defaultParallelism
     stream = (
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", at_once)
         .parquet(files_of(events, "events"))
     )
-    run_state_stream(stream, ACTIVITY_KEYS, out, fresh_dir(spark, "progress")).awaitTermination()
-    changed = spark.read.schema(events.schema).parquet(f"{out}/_batch=*")
-    return newest_per_key(changed, ACTIVITY_KEYS).select(*ACTIVITY_COLUMNS, *places())
+    progress = fresh_dir(spark, "progress")
+    run_state_stream(stream, ACTIVITY_KEYS, replica, "activity", progress).awaitTermination()
+    return replica.read("activity").select(*ACTIVITY_COLUMNS, *places())
 
 
 @query(

@@ -39,7 +39,7 @@ def read_changes(
 
     ``source`` is a directory of message files, or the options of the Kafka source (for example
     ``kafka.bootstrap.servers`` and ``subscribePattern``). A directory or topic set that does not
-    exist yet is an empty input, not an error. ``max_per_trigger`` bounds a micro-batch: messages for Kafka,
+    exist yet is an empty input, not an error (a stream creates the directory). ``max_per_trigger`` bounds a micro-batch: messages for Kafka,
     files for a directory.
     """
     if not isinstance(source, str):
@@ -58,6 +58,8 @@ def read_changes(
             "offset",
         )
     if streaming:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
         stream = spark.readStream.schema(RAW_SCHEMA).format(file_format)
         if max_per_trigger:
             stream = stream.option("maxFilesPerTrigger", max_per_trigger)
