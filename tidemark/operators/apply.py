@@ -294,7 +294,8 @@ class _Batch:
         stored = self.replica.stored(name, state, commits, since)
         n_stored = sum(c.rows for c in commits)
         if stored is not None and n_stored > MUCH_LARGER * n_events:
-            stored = stored_for(staged, stored, keys, sum(r["key_bytes"] for r in found))
+            # The keys of the cached events: those of ``staged`` would be ranked once more.
+            stored = stored_for(events, stored, keys, sum(r["key_bytes"] for r in found))
         n_staged, commit = self.replica.write_commit(
             name, state, staged, self.number, n_events, stored
         )

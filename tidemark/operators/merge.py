@@ -25,14 +25,14 @@ def drop_stale(staged: DataFrame, stored: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def stored_for(
-    staged: DataFrame, stored: DataFrame, keys: Sequence[str], key_bytes: int
+    events: DataFrame, stored: DataFrame, keys: Sequence[str], key_bytes: int
 ) -> DataFrame:
-    """Keys and positions of ``stored`` that ``staged`` can meet. If the keys of ``staged`` are known
+    """Keys and positions of ``stored`` that ``events`` can meet. If the keys of ``events`` are known
     to take few bytes, they are broadcast to cut ``stored`` down before anything is shuffled."""
     stored = stored.select(*cols(keys), *POSITION)
     if key_bytes > BROADCAST_BYTES:
         return stored
-    return stored.join(F.broadcast(staged.select(*cols(keys))), list(keys), "left_semi")
+    return stored.join(F.broadcast(events.select(*cols(keys))), list(keys), "left_semi")
 
 
 def key_size(df: DataFrame, keys: Sequence[str]) -> Column:
