@@ -97,6 +97,16 @@ def test_parts_are_linked_only_together(spark):
     assert found == {1: [], 2: ["login", "weak"], 3: [], 4: ["endpoint", "weak", "login"], 5: []}
 
 
+def test_every_name_of_an_identifier_links(spark):
+    weak = "Zk3vQ9xLm2Rt7Yw1Bn5Cp8Df"
+    names = ["username: alice", "user_name=alice", '"userName": "bob"', "user=a", "login: b", "account=c", "client_id=d",
+             "clientId: e", "key_id=f", "KEYID = g"]
+    df = spark.createDataFrame(document([(i, f"{x} , {weak}") for i, x in enumerate(names)]), DOCS)
+    found = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secrets.report(df).collect()}
+    assert found == {i: ["login", "weak"] for i in range(len(names))}
+    assert not any(weak in r["text"] for r in secrets.redact(df).collect())
+
+
 def test_personal_data(docs, nothing):
     keys = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
     assert bag(pii.report(docs), *keys) == spans_of(ROWS, brute.PERSONAL)

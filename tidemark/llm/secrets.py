@@ -14,11 +14,13 @@ SCOPE = 300
 ASSIGN = (
     r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
+#: What names an identifier, and what stands between it and its value.
+NAMED = r"""(?i:user_?name|user|login|account|client_?id|key_?id)["']?\x20*[:=]"""
 PATTERNS = {
     "assign": ASSIGN,
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"[0-9a-f]{24,}+",
-    "login": r"""(?i:user_?name|user|login|account|client_?id|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]+""",
+    "login": NAMED + r"""\x20*["']?[A-Za-z0-9._@-]+""",
     "endpoint": r"""(?i:https?|ftps?|s3|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s"'<>]+""",
     "weak": r"[A-Za-z0-9+/_-]{24,}+",
 }
@@ -37,7 +39,7 @@ def _may() -> dict[str, Column]:
         "assign": text.rlike(r"(?i)(?:passw|secret|token|api_?key)"),
         "access": text.contains("AKIA"),
         "hex": text.rlike(PATTERNS["hex"]),
-        "login": text.rlike(r"(?i)(?:user|login|account|_?id)[\x22']?\x20*[:=]"),
+        "login": text.rlike(NAMED),
         "endpoint": text.contains("://"),
         "weak": text.rlike(PATTERNS["weak"]),
     }
