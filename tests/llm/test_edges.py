@@ -107,6 +107,32 @@ def test_every_name_of_an_identifier_links(spark):
     assert not any(weak in r["text"] for r in secrets.redact(df).collect())
 
 
+def test_links_do_not_depend_on_where_they_stand(spark):
+    """Parts as linked by brute force, at all offsets against the blocks and with keys longer than blocks."""
+    weak, long = "Zk3vQ9xLm2Rt7Yw1Bn5Cp8Df", "Zk3vQ9xLm2Rt7Yw1Bn5Cp8Df" * 40
+    rows = []
+    for shift in range(0, 320, 20):
+        for gap in (270, 296, 299, 300, 301, 310):
+            rows.append(" " * shift + weak + " " * gap + "user=alice")
+            rows.append(" " * shift + "login: bob" + " " * gap + weak)
+        rows.append(" " * shift + long + " " * 290 + "user=alice" + " " * 290 + "https://h.example/" + "x" * 700)
+        rows.append(" " * shift + "https://h.example/" + "y" * 650 + " " * 280 + weak + " " * 299 + "account=c")
+    df = spark.createDataFrame(document(list(enumerate(rows))), DOCS)
+    parts = secrets.parts(df)
+    by_row = {}
+    for r in parts.where("kind IS NOT NULL").collect():
+        by_row.setdefault(r["row"], []).append((r["start"], r["end"], r["kind"]))
+    want = set()
+    for row, own in by_row.items():
+        for s, e, kind in own:
+            near = {secrets.ROLES[k] for a, b, k in own if (a >= e or b <= s) and a - e <= 300 and s - b <= 300}
+            needs = {"secret": {"identifier"}, "identifier": {"secret"}, "endpoint": {"secret", "identifier"}}
+            if kind not in secrets.BASE and needs[secrets.ROLES[kind]] <= near:
+                want.add((row, s, e, kind))
+    found = bag(secrets.linked(parts), "row", "start", "end", "kind")
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 200
+
+
 def test_personal_data(docs, nothing):
     keys = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
     assert bag(pii.report(docs), *keys) == spans_of(ROWS, brute.PERSONAL)

@@ -76,19 +76,26 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """The weak parts (login, endpoint, weak) that have their complement within ``scope``: a weak secret an identifier, an
     identifier a secret, an endpoint both. Same columns as ``parts``.
 
-    An interval join: parts meet in blocks of ``scope`` code points of a text, and a part looks into its block
-    and the two beside it. Within a block stand few parts, so pairs stay linear in the text.
+    An interval join: a weak part stands in every block of ``scope`` code points that its span touches, another in every
+    block that its span, ``scope`` longer at both ends, touches. A pair counts in the first block they share. Within a
+    block stand few parts, and a part's blocks grow with its length, so pairs stay linear in the text.
     """
     role = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    placed = found.where("kind IS NOT NULL").withColumn("block", F.floor(F.col("start") / scope))
-    weak = placed.where(~F.col("kind").isin(*BASE))
+    placed = found.where("kind IS NOT NULL")
+
+    def spread(lo: Column, hi: Column) -> list[Column]:
+        first, last = F.floor(lo / scope), F.floor(hi / scope)
+        return [first.alias("first"), F.explode(F.sequence(first, last)).alias("block")]
+
+    weak = placed.where(~F.col("kind").isin(*BASE)).select("*", *spread(F.col("start"), F.col("end")))
     others = placed.select(
-        "row", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"),
+        "row", *spread(F.col("start") - scope, F.col("end") + scope),
         F.col("start").alias("s2"), F.col("end").alias("e2"), role[F.col("kind")].alias("other"),
-    )
+    ).withColumnRenamed("first", "first2")
     near = (F.col("s2") - F.col("end") <= scope) & (F.col("start") - F.col("e2") <= scope)
     apart = (F.col("s2") >= F.col("end")) | (F.col("e2") <= F.col("start"))
-    met = weak.join(others, ["row", "block"]).where(near & apart).groupBy(
+    once = F.col("block") == F.greatest("first", "first2")
+    met = weak.join(others, ["row", "block"]).where(once & near & apart).groupBy(
         "row", "doc_id", "key", "kind", "start", "end"
     ).agg(F.max(F.expr("other = 'secret'")).alias("secret"), F.max(F.expr("other = 'identifier'")).alias("identifier"))
     own = role[F.col("kind")]
