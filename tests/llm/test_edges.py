@@ -294,6 +294,24 @@ def test_wrappers_fold_and_align():
     assert listing[0][3][0][2] == 1 and listing[0][3][0][3][0][3][1] == ""
 
 
+def texts_of(spark, pages, host="http://h.example/"):
+    df = spark.createDataFrame([(i, f"{host}{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in extract.extract(df.repartition(3)).orderBy("page_id").collect()]
+
+
+def test_the_wrapper_decides_beside_main_elements(spark):
+    """A teaser in an article, the story in a plain element, and a template's text within an article."""
+    story = ["<body><article><p>Teaser %d</p></article><div class=story><h1>Story %d</h1><p>%s</p></div></body>"
+             % (i, i, prose(300, i)) for i in range(4)]
+    for i, text in enumerate(texts_of(spark, story)):
+        assert f"Story {i}" in text and prose(300, i) in text
+    same = ["<body><main><p>%s</p><div class=end>Thank you for reading</div></main></body>" % prose(30, i) for i in range(4)]
+    assert texts_of(spark, same) == [prose(30, i) for i in range(4)]
+    parts = ["<article><section class=a><p>%s</p></section><section class=b><p>Last %d</p></section></article>"
+             % (prose(200, i), i) for i in range(4)]
+    assert texts_of(spark, parts) == [f"{prose(200, i)}\n\nLast {i}" for i in range(4)]
+
+
 def test_quality(spark, docs, nothing):
     good = [(i, prose(80, i)) for i in range(100, 180)]
     bad = [(i, prose(80, i).upper().replace(" ", "!! ")) for i in range(200, 280)]

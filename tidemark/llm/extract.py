@@ -40,6 +40,10 @@ ASIDE_WORDS = frozenset(
 MAIN = frozenset(["article", "main"])
 #: Pages that have to show the same text at the same place before it counts as the template's.
 SAME = 3
+#: What running text in a main element weighs against other text, and an h1 when the main place is chosen.
+EVIDENCE = 16
+#: Share of a page's weight that the main place holds at least.
+HELD = 0.9
 #: Bytes of all hosts' rules that are broadcast at most.
 RULE_BYTES = 32 << 20
 
@@ -53,14 +57,21 @@ ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)
 
 
 def label(name: str, attrs: str) -> tuple[str, bool]:
-    """An element's place in a wrapper (name, first class without digits), and whether it is set aside."""
+    """An element's place in a wrapper (name, first class without digits; main: before it, for the role main), and whether
+    it is set aside."""
     if not attrs.strip():
         return name, name in ASIDE
     found = [(k.lower(), a or b or c) for k, a, b, c in ATTR.findall(attrs)]
     words = {w for _, v in found for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v).lower())}
     classes = " ".join(v for k, v in found if k == "class").split()
     first = re.sub(r"\d+", "", classes[0]) if classes else ""
-    return f"{name}.{first}" if first else name, name in ASIDE or bool(words & ASIDE_WORDS)
+    own = "main:" + name if ("role", "main") in [(k, v.strip().lower()) for k, v in found] else name
+    return f"{own}.{first}" if first else own, name in ASIDE or bool(words & ASIDE_WORDS)
+
+
+def is_main(label_: str) -> bool:
+    """Whether an element with this label is article, main or has the role main."""
+    return re.split("[.:]", label_, maxsplit=1)[0] in MAIN
 
 
 class Block:
@@ -146,7 +157,7 @@ def blocks(html: str | None) -> list[Block]:
                 close({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "main", "body"})
             own, aside = label(name, m["attrs"])
             up = stack[-1] if stack else ("", "", False, False)
-            in_main = up[3] or name in MAIN or bool(re.search(r"role\s*=\s*[\"']?main", m["attrs"]))
+            in_main = up[3] or is_main(own)
             page_head = name == "header" and not up[3]
             stack.append((name, own, up[2] or aside or page_head, in_main))
     flush()
@@ -155,12 +166,15 @@ def blocks(html: str | None) -> list[Block]:
 
 # A wrapper is a union-free regular expression over a host's pages: a list of items [label, optional, repeated, content].
 # Content is, for an element, its list of items; for a text slot, [pages, hash of the one text or "" if texts differ,
-# characters, characters in links, in a main element, example length]. "#" labels a slot.
+# running text]. Running text is the most that a page shows there, in characters less two for each in links. "#" labels a slot.
+
+
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
 
 
 def _leaf(b: Block) -> list:
-    digest = blake2b(b.text.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
-    return ["#", 0, 0, [1, digest, len(b.text), b.linked, int(b.main)]]
+    return ["#", 0, 0, [1, _digest(b.text), len(b.text) - 2 * b.linked]]
 
 
 def _tree(page: list[Block]) -> list:
@@ -188,31 +202,32 @@ def _fold(items: list) -> list:
     for label_, opt, rep, content in items:
         content = content if label_ == "#" else _fold(content)
         if out and out[-1][0] == label_:
-            out[-1] = _merge(out[-1], [label_, opt, 1, content])
+            out[-1] = _merge(out[-1], [label_, opt, 1, content], True)
             out[-1][2] = 1
         else:
             out.append([label_, opt, rep, content])
     i = 0
     while i + 3 < len(out):
         if out[i][0] == out[i + 2][0] and out[i + 1][0] == out[i + 3][0]:
-            out[i : i + 4] = [_merge(out[i], out[i + 2]), _merge(out[i + 1], out[i + 3])]
+            out[i : i + 4] = [_merge(out[i], out[i + 2], True), _merge(out[i + 1], out[i + 3], True)]
             out[i][2] = out[i + 1][2] = 1
         else:
             i += 1
     return out
 
 
-def _merge(a: list, b: list) -> list:
-    """Two aligned items as one: texts that differ leave a slot, elements align within."""
+def _merge(a: list, b: list, folded: bool = False) -> list:
+    """Two items as one, of different pages, or folded, of the same: texts that differ leave a slot, elements align within."""
     if a[0] == "#":
         x, y = a[3], b[3]
-        content = [x[0] + y[0], x[1] if x[1] == y[1] else "", x[2] + y[2], x[3] + y[3], x[4] & y[4]]
+        one = x[1] if x[1] == y[1] else ""
+        content = [max(x[0], y[0]), one, x[2] + y[2]] if folded else [x[0] + y[0], one, max(x[2], y[2])]
     else:
-        content = align(a[3], b[3])
+        content = align(a[3], b[3], folded)
     return [a[0], a[1] | b[1], a[2] | b[2], content]
 
 
-def align(a: list, b: list) -> list:
+def align(a: list, b: list, folded: bool = False) -> list:
     """The least general wrapper of both: what matches in order is merged, what has no partner becomes optional."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -224,7 +239,7 @@ def align(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n and j < m:
         if a[i][0] == b[j][0]:
-            out.append(_merge(a[i], b[j]))
+            out.append(_merge(a[i], b[j], folded))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], 1, a[i][2], a[i][3]])
@@ -238,9 +253,8 @@ def align(a: list, b: list) -> list:
 
 
 def rules(wrapper: list) -> dict:
-    """What extraction needs of a wrapper: the place whose slots hold most running text (for pages without a main
-    element), and the texts outside main elements that are the template's."""
-    weight: dict[tuple, int] = {}
+    """What extraction needs of a wrapper: what the slots at each place weigh, and the texts that are the template's."""
+    weight: dict[str, int] = {}
     same: list[str] = []
 
     def walk(items: list, place: tuple) -> None:
@@ -248,29 +262,57 @@ def rules(wrapper: list) -> dict:
             if name != "#":
                 walk(content, place + (name,))
                 continue
-            pages, one, chars, linked, main = content
-            if one and pages >= SAME and not main:
-                same.append("/".join(place) + ":" + one)
-            elif not main and 2 * linked < chars:
-                # A paragraph counts for the element that holds it, so a run of them counts together.
-                weight[place[:-1]] = weight.get(place[:-1], 0) + chars - 2 * linked
+            pages, one, running = content
+            key = "/".join(place)
+            if one and pages >= SAME:
+                same.append(f"{key}:{one}")
+            elif running > 0:
+                weight[key] = weight.get(key, 0) + running * (EVIDENCE if any(map(is_main, place)) else 1)
 
     walk(wrapper, ())
-    best = max(weight, key=lambda p: (weight[p], -len(p), p), default=())
-    return {"main": list(best), "same": sorted(same)}
+    return {"weight": weight, "same": sorted(same)}
+
+
+def main_places(weight: dict[tuple, float]) -> list[tuple]:
+    """The main place, given what the text at each of a page's places weighs: the deepest one that holds ``HELD`` of all and
+    isn't below a main element. Main elements beside each other can be it together."""
+    root: list = [0, {}]
+    for place, w in weight.items():
+        w *= EVIDENCE if place and place[-1].split(".")[0] == "h1" else 1
+        node = root
+        node[0] += w
+        for name in place if w else ():
+            node = node[1].setdefault(name, [0, {}])
+            node[0] += w
+    held, node, at = HELD * root[0], root, ()
+    while not (at and is_main(at[-1])):
+        mains = sorted(name for name in node[1] if is_main(name))
+        if mains and sum(node[1][name][0] for name in mains) >= held:
+            return [(*at, name) for name in mains]
+        best = max(node[1], key=lambda name: (node[1][name][0], name), default=None)
+        # A paragraph counts for the element that holds it, so one isn't taken for all.
+        if best is None or not node[1][best][1] or node[1][best][0] < held:
+            break
+        node, at = node[1][best], (*at, best)
+    return [at]
+
+
+def _main_blocks(page: list[Block], rule: dict) -> list[Block]:
+    """Blocks below the main place, by the weight of the wrapper's slots, that aren't the template's."""
+    keys = ["/".join(b.place) for b in page]
+    same = set(rule["same"])
+    places = main_places({b.place: rule["weight"].get(k, 0) for b, k in zip(page, keys, strict=True)})
+    return [
+        b for b, k in zip(page, keys, strict=True)
+        if any(b.place[: len(p)] == p for p in places) and f"{k}:{_digest(b.text)}" not in same
+    ]
 
 
 def text_of(html: str | None, rule: dict | None) -> str:
-    """The main text of one page: blocks in a main element, else those below the wrapper's main place, without what stands
-    aside or is the template's."""
+    """The main text of one page: blocks below the main place that the host's wrapper chooses, without what stands
+    aside or is the template's. Without a rule, the page is a wrapper of its own."""
     page = [b for b in blocks(html) if not b.aside]
-    inside = [b for b in page if b.main]
-    if not inside:
-        rule = rule or {"main": [], "same": []}
-        main, same = tuple(rule["main"]), set(rule["same"])
-        under = [b for b in page if b.place[: len(main)] == main] or page
-        inside = [b for b in under if f"{'/'.join(b.place)}:{_leaf(b)[3][1]}" not in same]
-    return "\n\n".join(b.text for b in inside)
+    return "\n\n".join(b.text for b in _main_blocks(page, rule or rules(_tree(page))))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
