@@ -312,6 +312,21 @@ def test_the_wrapper_decides_beside_main_elements(spark):
     assert texts_of(spark, parts) == [f"{prose(200, i)}\n\nLast {i}" for i in range(4)]
 
 
+def test_class_words_do_not_lose_articles(spark):
+    """Words like sidebar or comments on what holds the story, and on what doesn't."""
+    around = [
+        "<html class=has-sidebar><body class='single-post comments-open'><article class='post no-comments'>%s</article>%s",
+        "<body class='has-sidebar'><main id=share-page>%s</main>%s", "<div role=main class=header-fixed>%s</div>%s",
+        "<body><div class='content with-sidebar'>%s</div>%s", "<body><form action=/x><div class=no-comments>%s</div>%s</form>",
+        "<div class=page-with-nav><div class=widget>%s</div>%s</div>",
+    ]
+    other = "<div class=sidebar><p>Most read %d</p></div><div id=comments><p>Nice %d</p></div>"
+    for n, page in enumerate(around):
+        pages = [page % (f"<p>{prose(90, i)}<div class=share>tell {i} all</div><p>{prose(50, 100 + i)}", other % (i, i))
+                 for i in range(4)]
+        assert texts_of(spark, pages) == [f"{prose(90, i)}\n\n{prose(50, 100 + i)}" for i in range(4)], n
+
+
 def test_quality(spark, docs, nothing):
     good = [(i, prose(80, i)) for i in range(100, 180)]
     bad = [(i, prose(80, i).upper().replace(" ", "!! ")) for i in range(200, 280)]

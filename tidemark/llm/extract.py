@@ -29,7 +29,7 @@ CLOSES = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-#: Elements whose text is no article's, and words in classes, ids and roles that say the same.
+#: Elements whose text is rarely an article's, and words in classes, ids and roles that say the same.
 ASIDE = frozenset("nav footer aside form button menu dialog head fieldset".split())
 ASIDE_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist"
@@ -38,6 +38,8 @@ ASIDE_WORDS = frozenset(
     " reply respond search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar widget widgets".split()
 )
 MAIN = frozenset(["article", "main"])
+#: Share of a page's weight from which on an element isn't set aside, whatever its name and words.
+OVERRULED = 0.5
 #: Pages that have to show the same text at the same place before it counts as the template's.
 SAME = 3
 #: What running text in a main element weighs against other text, and an h1 when the main place is chosen.
@@ -56,17 +58,22 @@ RAW_END = {x: re.compile(rf"</{x}\s*(?:>|\Z)", re.IGNORECASE) for x in RAW.split
 ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
 
-def label(name: str, attrs: str) -> tuple[str, bool]:
-    """An element's place in a wrapper (name, first class without digits; main: before it, for the role main), and whether
-    it is set aside."""
-    if not attrs.strip():
-        return name, name in ASIDE
-    found = [(k.lower(), a or b or c) for k, a, b, c in ATTR.findall(attrs)]
-    words = {w for _, v in found for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v).lower())}
+def label(name: str, attrs: str, in_main: bool = False) -> str:
+    """An element's place in a wrapper: name, first class without digits; main: before it, for the role main; and after it
+    ! with the words that speak for setting it aside, if any do. A page's frame and main elements have none."""
+    found = [(k.lower(), a or b or c) for k, a, b, c in ATTR.findall(attrs)] if attrs.strip() else []
     classes = " ".join(v for k, v in found if k == "class").split()
     first = re.sub(r"\d+", "", classes[0]) if classes else ""
-    own = "main:" + name if ("role", "main") in [(k, v.strip().lower()) for k, v in found] else name
-    return f"{own}.{first}" if first else own, name in ASIDE or bool(words & ASIDE_WORDS)
+    role = ("role", "main") in [(k, v.strip().lower()) for k, v in found]
+    own = ("main:" if role else "") + name + (f".{first}" if first else "")
+    if role or name in MAIN or name in ("html", "body"):
+        return own.replace("!", "")
+    words = {w for _, v in found for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", v).lower())}
+    against = words & ASIDE_WORDS | ({name} & ASIDE)
+    if name == "header":
+        # Of the page it is set aside, of an article it holds the heading.
+        against = against - {name} if in_main else against | {name}
+    return own.replace("!", "") + ("!" + "+".join(sorted(against)) if against else "")
 
 
 def is_main(label_: str) -> bool:
@@ -74,22 +81,27 @@ def is_main(label_: str) -> bool:
     return re.split("[.:]", label_, maxsplit=1)[0] in MAIN
 
 
+def in_main(place: tuple) -> bool:
+    """Whether a place is in a main element, and in nothing there that is to be set aside."""
+    inner = next((place[i:] for i in range(len(place) - 1, -1, -1) if is_main(place[i])), ())
+    return bool(inner) and not any("!" in name for name in inner)
+
+
 class Block:
-    """Text of one block: its place (labels of open elements), whether it stands aside, whether in a main element, and its
-    length within links."""
+    """Text of one block: its place (labels of open elements), and its length within links."""
 
-    __slots__ = ("place", "aside", "main", "text", "linked")
+    __slots__ = ("place", "text", "linked")
 
-    def __init__(self, place, aside, main, text, linked):
-        self.place, self.aside, self.main, self.text, self.linked = place, aside, main, text, linked
+    def __init__(self, place, text, linked):
+        self.place, self.text, self.linked = place, text, linked
 
 
 def blocks(html: str | None) -> list[Block]:
     """A page's non-empty blocks, in order. Unclosed elements end with their parent or the page; an end without a start is
     passed over."""
     html = html or ""
-    # Open elements: name, label, aside, main. Inline ones aren't kept, but open links are counted.
-    stack: list[tuple[str, str, bool, bool]] = []
+    # Open elements: name, label, whether in a main element. Inline ones aren't kept, but open links are counted.
+    stack: list[tuple[str, str, bool]] = []
     out: list[Block] = []
     text: list[str] = []
     link = linked = 0
@@ -98,8 +110,7 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal linked
         joined = " ".join(unescape("".join(text)).split())
         if joined:
-            top = stack[-1] if stack else ("", "", False, False)
-            out.append(Block(tuple(x[1] for x in stack), top[2], top[3], joined, linked))
+            out.append(Block(tuple(x[1] for x in stack), joined, linked))
         text.clear()
         linked = 0
 
@@ -155,11 +166,9 @@ def blocks(html: str | None) -> list[Block]:
                 close(*CLOSES[name])
             else:
                 close({"p"}, {"article", "section", "div", "td", "th", "li", "blockquote", "main", "body"})
-            own, aside = label(name, m["attrs"])
-            up = stack[-1] if stack else ("", "", False, False)
-            in_main = up[3] or is_main(own)
-            page_head = name == "header" and not up[3]
-            stack.append((name, own, up[2] or aside or page_head, in_main))
+            inside = bool(stack) and stack[-1][2]
+            own = label(name, m["attrs"], inside)
+            stack.append((name, own, inside or is_main(own)))
     flush()
     return out
 
@@ -178,12 +187,10 @@ def _leaf(b: Block) -> list:
 
 
 def _tree(page: list[Block]) -> list:
-    """A page as a wrapper of its own, repetitions folded. Blocks that stand aside are left out."""
+    """A page as a wrapper of its own, repetitions folded."""
     root: list = []
     open_: list[tuple[str, list]] = []
     for b in page:
-        if b.aside:
-            continue
         k = 0
         while k < min(len(open_), len(b.place)) and open_[k][0] == b.place[k] and k < len(b.place) - 1:
             k += 1
@@ -267,7 +274,7 @@ def rules(wrapper: list) -> dict:
             if one and pages >= SAME:
                 same.append(f"{key}:{one}")
             elif running > 0:
-                weight[key] = weight.get(key, 0) + running * (EVIDENCE if any(map(is_main, place)) else 1)
+                weight[key] = weight.get(key, 0) + running * (EVIDENCE if in_main(place) else 1)
 
     walk(wrapper, ())
     return {"weight": weight, "same": sorted(same)}
@@ -297,21 +304,36 @@ def main_places(weight: dict[tuple, float]) -> list[tuple]:
     return [at]
 
 
+def _asides(weight: dict[tuple, float]) -> set[tuple]:
+    """Elements, by their places, that are set aside: those with a word against them, unless the text in them weighs
+    ``OVERRULED`` of all."""
+    below: dict[tuple, float] = {}
+    for place, w in weight.items():
+        for k, name in enumerate(place):
+            if "!" in name:
+                below[place[: k + 1]] = below.get(place[: k + 1], 0) + w
+    least = OVERRULED * sum(weight.values())
+    return {place for place, w in below.items() if not w or w < least}
+
+
 def _main_blocks(page: list[Block], rule: dict) -> list[Block]:
     """Blocks below the main place, by the weight of the wrapper's slots, that aren't the template's."""
-    keys = ["/".join(b.place) for b in page]
     same = set(rule["same"])
-    places = main_places({b.place: rule["weight"].get(k, 0) for b, k in zip(page, keys, strict=True)})
+    weight = {b.place: rule["weight"].get("/".join(b.place), 0) for b in page}
+    aside = _asides(weight)
+    weight = {p: w for p, w in weight.items() if not any("!" in x and p[: k + 1] in aside for k, x in enumerate(p))}
+    places = main_places(weight)
     return [
-        b for b, k in zip(page, keys, strict=True)
-        if any(b.place[: len(p)] == p for p in places) and f"{k}:{_digest(b.text)}" not in same
+        b for b in page
+        if b.place in weight and any(b.place[: len(p)] == p for p in places)
+        and f"{'/'.join(b.place)}:{_digest(b.text)}" not in same
     ]
 
 
 def text_of(html: str | None, rule: dict | None) -> str:
     """The main text of one page: blocks below the main place that the host's wrapper chooses, without what stands
     aside or is the template's. Without a rule, the page is a wrapper of its own."""
-    page = [b for b in blocks(html) if not b.aside]
+    page = blocks(html)
     return "\n\n".join(b.text for b in _main_blocks(page, rule or rules(_tree(page))))
 
 
