@@ -327,6 +327,19 @@ def test_class_words_do_not_lose_articles(spark):
         assert texts_of(spark, pages) == [f"{prose(90, i)}\n\n{prose(50, 100 + i)}" for i in range(4)], n
 
 
+@pytest.mark.parametrize("copies", [2, 3, 40])
+def test_copies_of_a_page_keep_their_text(spark, copies):
+    page = "<body><div id=top>Logo %d</div><div class=text><h1>The heading</h1><p>{}</p></div></body>".format(prose(60, 1))
+    want = "The heading\n\n" + prose(60, 1)
+    assert texts_of(spark, [page % 0] * copies) == [want] * copies
+    # One syndicated article on pages that differ around it.
+    around = [page % i + f"<ul class=nav><li>{i}</ul>" for i in range(copies)]
+    assert texts_of(spark, around) == [want] * copies
+    others = [f"<body><div class=text><p>All rights</p><h1>H{i}</h1><p>{prose(60, i)}</p></div></body>" for i in range(5)]
+    found = texts_of(spark, others * copies)
+    assert found == [f"H{i}\n\n{prose(60, i)}" for i in range(5)] * copies
+
+
 def test_quality(spark, docs, nothing):
     good = [(i, prose(80, i)) for i in range(100, 180)]
     bad = [(i, prose(80, i).upper().replace(" ", "!! ")) for i in range(200, 280)]

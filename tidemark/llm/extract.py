@@ -40,7 +40,7 @@ ASIDE_WORDS = frozenset(
 MAIN = frozenset(["article", "main"])
 #: Share of a page's weight from which on an element isn't set aside, whatever its name and words.
 OVERRULED = 0.5
-#: Pages that have to show the same text at the same place before it counts as the template's.
+#: Different main texts beside which the same text has to stand at the same place before it counts as the template's.
 SAME = 3
 #: What running text in a main element weighs against other text, and an h1 when the main place is chosen.
 EVIDENCE = 16
@@ -174,8 +174,8 @@ def blocks(html: str | None) -> list[Block]:
 
 
 # A wrapper is a union-free regular expression over a host's pages: a list of items [label, optional, repeated, content].
-# Content is, for an element, its list of items; for a text slot, [pages, hash of the one text or "" if texts differ,
-# running text]. Running text is the most that a page shows there, in characters less two for each in links. "#" labels a slot.
+# Content is, for an element, its list of items; for a text slot, [hashes of main texts of pages that show it, SAME at most,
+# hash of the one text or "" if texts differ, running text]. Merging a copy changes nothing. Running text is the most that a page shows there, in characters less two for each in links. "#" labels a slot.
 
 
 def _digest(text: str) -> str:
@@ -183,7 +183,7 @@ def _digest(text: str) -> str:
 
 
 def _leaf(b: Block) -> list:
-    return ["#", 0, 0, [1, _digest(b.text), len(b.text) - 2 * b.linked]]
+    return ["#", 0, 0, [[], _digest(b.text), len(b.text) - 2 * b.linked]]
 
 
 def _tree(page: list[Block]) -> list:
@@ -200,6 +200,16 @@ def _tree(page: list[Block]) -> list:
             items.append([name, 0, 0, []])
             open_.append((name, items[-1][3]))
         (open_[-1][1] if open_ else root).append(_leaf(b))
+    own = _digest("\n\n".join(b.text for b in _main_blocks(page, rules(root))))
+
+    def mark(items: list) -> None:
+        for name, _, _, content in items:
+            if name == "#":
+                content[0] = [own]
+            else:
+                mark(content)
+
+    mark(root)
     return _fold(root)
 
 
@@ -228,7 +238,8 @@ def _merge(a: list, b: list, folded: bool = False) -> list:
     if a[0] == "#":
         x, y = a[3], b[3]
         one = x[1] if x[1] == y[1] else ""
-        content = [max(x[0], y[0]), one, x[2] + y[2]] if folded else [x[0] + y[0], one, max(x[2], y[2])]
+        beside = sorted({*x[0], *y[0]})[:SAME]
+        content = [beside, one, x[2] + y[2] if folded else max(x[2], y[2])]
     else:
         content = align(a[3], b[3], folded)
     return [a[0], a[1] | b[1], a[2] | b[2], content]
@@ -269,9 +280,9 @@ def rules(wrapper: list) -> dict:
             if name != "#":
                 walk(content, place + (name,))
                 continue
-            pages, one, running = content
+            beside, one, running = content
             key = "/".join(place)
-            if one and pages >= SAME:
+            if one and len(beside) >= SAME:
                 same.append(f"{key}:{one}")
             elif running > 0:
                 weight[key] = weight.get(key, 0) + running * (EVIDENCE if in_main(place) else 1)
