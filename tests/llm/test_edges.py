@@ -1,6 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -154,6 +157,36 @@ def test_terms_that_reveal(spark):
     assert "aardvark" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10]
 
 
+def test_terms_reveal_wherever_they_stand(spark):
+    """Terms far from an entity, behind another number, short or not ASCII, by brute force over whole rows."""
+    r = random.Random(8)
+    rows = [(i, f"Smith, Lee and O'Brien 李雷 Kim-Ärger, age 42, write {prose(30, i)} ann@x.example {prose(40, 99 + i)} Smith lee")
+            for i in range(3)]
+    rows += [(10 + i, f"of common {prose(20, 500 + i)} age 42 {'card 4111 1111 1111 1111 zzyx' if i < 2 else ''}") for i in range(60)]
+    rows += [(100, rows[20][1]), (None, rows[0][1]), (0, rows[0][1]), (101, "bob@x.example only once here"), (102, None)]
+    texts = [(i, t or "", [(s, e, t[s:e].lower()) for s, _, e, _ in brute.base_spans(t, brute.PERSONAL)]) for i, t in rows]
+    word, seen = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), []
+    for i, t, own in texts:
+        for s, e, _ in own:
+            t = t[:s] + " " * (e - s) + t[e:]
+        seen.append((i, [(m[0].translate(brute.LOWER), m.start(), m.end()) for m in word.finditer(t)], {x for *_, x in own}))
+    n = len(seen)
+    n_e, n_t, n_et = Counter(), Counter(), Counter()
+    for _, found, own in seen:
+        terms = {t for t, *_ in found}
+        n_e.update(own)
+        n_t.update(terms)
+        n_et.update((e, t) for e in own for t in terms)
+    tells = {(e, t) for (e, t), k in n_et.items()
+             if k >= 2 and n_e[e] < n and math.log2(n * k / (n_e[e] * n_t[t])) >= 0.85 * math.log2(n / n_e[e])}
+    want = sorted((str(i), [f"term:{s}:{e}" for t, s, e in found if any((x, t) in tells for x in own)]) for i, found, own in seen)
+    df = spark.createDataFrame(document(r.sample(rows, len(rows))), DOCS).repartition(3)
+    got = sorted((str(r["doc_id"]), [x for x in r["spans"].split(",") if x.startswith("term")]) for r in pii.report(df).collect())
+    assert got == want
+    clean = [r["text"] for r in pii.sanitise(df).where("doc_id < 3").collect()]
+    assert len(clean) == 4 and not any(x in t for t in clean for x in ("Smith", "Lee", "Brien", "李雷", "Kim", "Ärger"))
+
+
 def test_near_duplicates(docs, nothing):
     keys = ["doc_id", "n_shingles", "component_id", "kept"]
     assert bag(minhash.near_duplicates(docs), *keys) == sorted(brute.near_duplicates(ROWS), key=repr)

@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import bounded, stored
-from tidemark.llm.text import matches, rewrite, spans_text
+from tidemark.llm.text import lower_ascii, matches, rewrite, spans_text, words
 
 #: Share of an entity's information that a term may give away.
 DISCLOSURE = 0.85
-#: Rows in which a term stands beside an entity before its co-occurrence counts as measured.
+#: Rows in which a term stands with an entity before its co-occurrence counts as measured.
 SUPPORT = 2
-#: Words on either side of an entity, and the code points looked through for them.
-NEIGHBOURS, REACH = 6, 100
 
 # Maximal runs are tried once (look-behind, possessive repeats), so long runs cost linear time; matches are the same.
 PATTERNS = {
@@ -24,7 +22,8 @@ PATTERNS = {
 }
 BASE = tuple(PATTERNS)
 KINDS = [*PATTERNS, "term"]
-TERM = r"(?<![^\s(\[\x22'])\p{L}{4,}+(?![^\s.,;:!?)\]\x22'])"
+#: A word as words() has them, in text that isn't lower-cased.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _may() -> dict[str, Column]:
@@ -62,75 +61,74 @@ def _stands() -> Column:
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """Base matches in docs (doc_id, text) as a stored table: row, doc_id, key, kind, match, start, end, before, after. Each
+    """Base matches in docs (doc_id, text) as a stored table: row, doc_id, key, kind, start, end, entity (a hash). Each
     row of docs has one row more, with kind null."""
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("doc_id", "text").alias("key"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    return stored(matches(numbered, PATTERNS, _may(), REACH).where(_stands()), "entities")
-
-
-def _terms(context: Column, at: Column) -> Column:
-    """Words of a context that starts at ``at``: an array of (term, start, end), in order."""
-    found, gaps = F.regexp_extract_all(context, F.lit(TERM), F.lit(0)), F.split(context, TERM, -1)
-    empty = F.struct(at.alias("at"), F.array().cast("array<struct<term:string,start:bigint,end:bigint>>").alias("out"))
-
-    def step(a: Column, p: Column) -> Column:
-        start = a["at"] + F.char_length(p["g"])
-        end = start + F.char_length(p["m"])
-        one = F.struct(F.lower(p["m"]).alias("term"), start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
-
-    pairs = F.zip_with(found, F.slice(gaps, 1, F.greatest(F.size(found), F.lit(1))),
-                       lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    return F.aggregate(F.filter(pairs, lambda p: p["m"].isNotNull()), empty, step)["out"]
-
-
-def contexts(found: DataFrame) -> DataFrame:
-    """The words beside each entity: row, doc_id, key, entity, term, start, end. A word that the reach cuts
-    through is left out."""
-    reach = F.lit(REACH)
-    full = F.char_length("before") >= reach
-    before = F.when(full, F.regexp_replace("before", r"^[^\s]*", "")).otherwise(F.col("before"))
-    after = F.when(F.char_length("after") >= reach, F.regexp_replace("after", r"[^\s]*$", "")).otherwise(F.col("after"))
-    left = _terms(before, F.col("start") - F.char_length(before))
-    right = _terms(after, F.col("end"))
-    near = F.concat(
-        F.slice(left, F.greatest(F.size(left) - NEIGHBOURS + 1, F.lit(1)), F.lit(NEIGHBOURS)),
-        F.slice(right, 1, NEIGHBOURS),
-    )
-    entity = F.xxhash64("kind", F.lower("match"))
-    return found.where("kind IS NOT NULL").select(
-        "row", "doc_id", "key", entity.alias("entity"), F.explode(near).alias("t")
-    ).select("row", "doc_id", "key", "entity", "t.*")
+    found = matches(numbered, PATTERNS, _may()).where(_stands())
+    entity = F.when(F.col("kind").isNotNull(), F.xxhash64("kind", F.lower("match")))
+    return stored(found.select("row", "doc_id", "key", "kind", "start", "end", entity.alias("entity")), "entities")
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """text with its spans (structs of start, end) turned into as many blanks."""
+    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        start, end = F.greatest(s["start"], a["at"]), F.greatest(s["end"], a["at"])
+        kept = F.substring(text, (a["at"] + 1).cast("int"), (start - a["at"]).cast("int"))
+        out = F.concat(a["out"], kept, F.repeat(F.lit(" "), (end - start).cast("int")))
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    done = F.aggregate(F.array_sort(spans), first, step)
+    return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text)))
 
 
 def revealing(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """Terms beside an entity that disclose it: row, doc_id, key, start, end.
+    """Terms that disclose an entity of their row, wherever they stand in it: row, doc_id, key, start, end.
+
+    Terms are words as ``text.words`` has them, outside the row's entities. Over all documents, with N rows, n(e) that hold entity
+    e, n(t) that hold term t and n(e,t) that hold both: the term gives away
+    PMI(e;t) = log N n(e,t) / (n(e) n(t)) of the entity's information log N / n(e). It is
+    revealing if that is at least ``disclosure`` of it, with n(e,t) at least ``support``.
 
-    Over all documents, with N rows, n(e) that hold entity e, n(t) that hold term t anywhere and n(e,t) where t
-    stands beside e: the term gives away PMI(e;t) = log N n(e,t) / (n(e) n(t)) of the entity's
-    information log N / n(e). It is revealing if that is at least ``disclosure`` of it, with n(e,t) at least ``support``.
+    Paired are only entities and terms of ``support`` rows or more, and terms of at most n(e) (N / n(e)) ^ (1 - disclosure)
+    rows: as n(e,t) <= n(e), a more frequent one can't reveal e.
     """
-    near = stored(contexts(found), "contexts")
     # The rows that the entity table has with no kind are the rows of docs.
-    n = found.where("kind IS NULL").count()
-    each = found.where("kind IS NOT NULL").select(F.xxhash64("kind", F.lower("match")).alias("entity"), "row").distinct()
-    n_entity = each.groupBy("entity").agg(F.count("*").alias("n_e"))
-    both = near.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    both = stored(both.where(F.col("n_et") >= support).join(n_entity, "entity"), "pairs")
-    terms = stored(both.select("term").distinct(), "terms")
-    in_text = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    n_term = (
-        docs.select(F.explode(in_text).alias("term")).join(bounded(terms), "term", "left_semi")
-        .groupBy("term").agg(F.count("*").alias("n_t"))
-    )
+    rows = found.where("kind IS NULL").select("row", "doc_id", "key")
+    n, held = rows.count(), found.where("kind IS NOT NULL")
+    n_entity = held.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    n_entity = n_entity.where((F.col("n_e") >= support) & (F.col("n_e") < n))
+    most = F.col("n_e") * F.pow(F.lit(float(n)) / F.col("n_e"), F.lit(1 - disclosure)) * (1 + 1e-9)
+    in_rows = stored(held.select("key", "entity").distinct().join(n_entity, "entity").withColumn("most", most), "held")
+    most = bounded(stored(in_rows.groupBy("key").agg(F.max("most").alias("most")), "most"))
+    blank = held.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("blank"))
+    texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.join(bounded(stored(blank, "blank")), "key", "left").select("key", F.when(
+        F.col("blank").isNull(), F.col("text")).otherwise(_blanked(F.col("text"), F.col("blank"))).alias("text"))
+    # Each of several equal rows has its words.
+    terms = texts.select("key", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+    near = stored(terms.join(most, "key"), "words")
+    known = bounded(stored(near.select("term").distinct(), "terms"))
+    n_term = terms.join(known, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_term = bounded(stored(n_term.where(F.col("n_t") >= support), "term-rows"))
+    near = near.join(n_term, "term").where(F.col("n_t") <= F.col("most")).drop("most")
+    pairs = stored(near.join(in_rows, "key").where(F.col("n_t") <= F.col("most")), "pairs")
+    both = pairs.groupBy("entity", "term", "n_e", "n_t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     given = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    known = F.log2(F.lit(float(n)) / F.col("n_e"))
-    telling = both.join(n_term, "term").where((F.col("n_e") < n) & (given >= disclosure * known))
-    telling = bounded(stored(telling.select("entity", "term"), "telling"))
-    return near.join(telling, ["entity", "term"], "left_semi").select("row", "doc_id", "key", "start", "end").distinct()
+    telling = both.where(given >= disclosure * F.log2(F.lit(float(n)) / F.col("n_e"))).select("entity", "term")
+    told = pairs.join(bounded(stored(telling, "telling")), ["entity", "term"], "left_semi").select("key", "term").distinct()
+    told = stored(told, "told")
+    # Only rows that hold a revealing term are taken apart into places.
+    some = texts.join(bounded(stored(told.select("key").distinct(), "told-rows")), "key", "left_semi")
+    some = some.select(F.monotonically_increasing_id().alias("row"), "key", "text")
+    placed = matches(some, {"term": TERM}, {"term": F.lit(True)}).where("kind IS NOT NULL")
+    placed = placed.select("key", lower_ascii(F.col("match")).alias("term"), "start", "end")
+    placed = placed.join(bounded(told), ["key", "term"], "left_semi").select("key", "start", "end").distinct()
+    return rows.join(placed, "key").select("row", "doc_id", "key", "start", "end")
 
 
 def scan(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
