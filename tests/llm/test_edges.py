@@ -413,6 +413,24 @@ def test_exchange_reaches_the_bound(spark, monkeypatch):
     assert all(sum(n for _, n in v) <= 1024 for v in used.values())
 
 
+def test_exchange_goes_on_while_it_saves(spark, monkeypatch):
+    """Twelve rounds that each save a sequence, then one that saves none."""
+    turns = []
+
+    def packed(rows, turn):
+        turns.append(turn)
+        n = max(20 - turn, 8)
+        return rows.select("row", "length").withColumns({
+            "sequence_id": F.col("row") % n, "offset": F.when(F.col("row") < n, 0).otherwise(1).cast("long"),
+            "room": F.lit(1), "gap": F.lit(1)})
+
+    monkeypatch.setattr(packing, "_pack", packed)
+    df = spark.range(40).select(F.col("id").alias("row"), F.lit(1).cast("long").alias("length"))
+    placed = packing.place(df)
+    assert turns == list(range(14)) and placed.count() == 40
+    assert placed.select("sequence_id").distinct().count() == 8
+
+
 def test_bounds_hold():
     r = np.random.default_rng(1)
     for _ in range(200):

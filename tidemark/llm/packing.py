@@ -7,6 +7,7 @@ import zlib
 from array import array
 from base64 import b64decode
 from collections.abc import Iterator
+from itertools import count
 from math import ceil
 
 import numpy as np
@@ -21,8 +22,6 @@ from tidemark.llm.tables import stored
 CAPACITY, END = 1024, 2
 #: Pieces that one task packs, about.
 PART = 4_000
-#: Rounds of exchange at most; it ends before when a round saves no sequence.
-ROUNDS = 8
 
 
 def vocabulary() -> str:
@@ -116,17 +115,17 @@ def lower_bound(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     Tried are: w itself; for each threshold t, sizes above capacity - t as full, sizes below t as nothing; and for each k, the
     rounding of (k + 1) w / capacity down to k-ths where it isn't whole.
     """
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+    counts = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     w = np.arange(capacity + 1, dtype=np.int64)
-    best = -(-int((count * w).sum()) // capacity)
+    best = -(-int((counts * w).sum()) // capacity)
     t = np.arange(1, capacity // 2 + 1)[:, None]
     sizes = np.where(w > capacity - t, capacity, np.where(w >= t, w, 0))
-    best = max(best, int((-(-(sizes @ count) // capacity)).max()))
+    best = max(best, int((-(-(sizes @ counts) // capacity)).max()))
     for k in range(1, 64):
         up = (k + 1) * w
         # In units of 1 / (k * capacity), whole sizes stay as they are.
         sizes = np.where(up % capacity == 0, w * k, up // capacity * capacity)
-        best = max(best, -(-int((sizes * count).sum()) // (k * capacity)))
+        best = max(best, -(-int((sizes * counts).sum()) // (k * capacity)))
     return best
 
 
@@ -140,7 +139,8 @@ def _pack(rows: DataFrame, turn: int) -> DataFrame:
         lengths = frame["length"].to_numpy(np.int64)
         bins, offsets = best_fit(lengths)
         used = np.bincount(bins, lengths).astype(np.int64)
-        ids = bins + (((turn + 1) << 32 | int(key[0])) << 24)
+        # Above all row numbers: 22 bits for the turn, 24 for the part, 16 for its sequences.
+        ids = bins + (((1 << 22 | turn) << 24 | int(key[0])) << 16)
         return frame.drop(columns="part").assign(
             sequence_id=ids, offset=offsets, room=CAPACITY - used[bins], gap=len(used) - lower_bound(lengths))
 
@@ -162,7 +162,8 @@ def place(rows: DataFrame) -> DataFrame:
     done = [full.select(*mine, F.col("row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     now = _pack(rows.where(F.col("length") < CAPACITY), 0)
     chosen = [*mine, "sequence_id", "offset"]
-    for turn in range(1, ROUNDS + 1):
+    # Each round but the last saves a sequence, so it ends.
+    for turn in count(1):
         loose = (F.col("gap") > 0) & (F.col("room") > 0)
         done.append(now.where(~loose).select(*chosen))
         now = now.where(loose)
