@@ -246,6 +246,43 @@ def test_vectors(spark, monkeypatch):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_rare_and_uneven_links_are_measured(spark, monkeypatch):
+    """A group of near copies with most links, and pairs near the least cosine; then no link that is probed."""
+    monkeypatch.setattr(embeddings, "PROBED", 64)
+    monkeypatch.setattr(embeddings, "PER_CELL", 8)
+    r = np.random.default_rng(5)
+
+    def beside(x, cosine):
+        e = r.standard_normal(len(x))
+        x, e = x / np.linalg.norm(x), e - (e @ x) * x / (x @ x)
+        return cosine * x + np.sqrt(1 - cosine**2) * e / np.linalg.norm(e)
+
+    hub, some = r.standard_normal(32), r.standard_normal((300, 32))
+    group = [hub + 0.01 * r.standard_normal(32) for _ in range(500)]
+    lone = list(r.standard_normal((400, 32)))
+    pairs = [y for x in some for y in (x, beside(x, 0.905))]
+    for vectors, least in ((group + lone + pairs, 0.99), (lone * 1 + pairs[:2], 1.0)):
+        df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        rows = {x["vec_id"]: x["n_links"] for x in embeddings.near_duplicates(df.repartition(4)).collect()}
+        first = len(vectors) - len(vectors[len(group) + len(lone):] if len(vectors) > 1000 else pairs[:2])
+        found = [rows[i] >= 1 for i in range(first, len(vectors))]
+        assert sum(found) >= least * len(found)
+
+
+def test_cells_to_visit_without_links(spark, monkeypatch):
+    """Made neighbours at the least cosine set the visits where nothing is linked, and no count of cells ends them."""
+    r = np.random.default_rng(6)
+    x = embeddings._unit(r.standard_normal((3000, 32)))
+    grid = embeddings.Grid(x, 60)
+    rows = spark.createDataFrame([(v.tobytes(),) for v in x[:200]], "vector binary")
+    visits = embeddings._cells_to_visit(rows, spark.sparkContext.broadcast(grid), x[:64])
+    e = r.standard_normal(x.shape)
+    e -= (e * x).sum(1)[:, None] * x
+    near = 0.9 * x + np.sqrt(0.19) * e / np.linalg.norm(e, axis=1, keepdims=True)
+    met = (grid.visits(x, visits) == grid.visits(near, 1)).any(axis=1)
+    assert visits > 32 and met.mean() >= 0.99
+
+
 def test_shards(spark, docs, nothing):
     grown = sharding.shards(docs, [1.0] * 5, [1.0] * 6)
     rows = grown.collect()

@@ -19,14 +19,16 @@ from tidemark.llm.tables import stored
 COSINE = 0.9
 #: Vectors that codebooks are fitted on at most, the first by a hash of the vector.
 SAMPLE = 20_000
-#: Vectors of the sample that are compared with all rows to set how many cells are visited.
-PROBED = 512
+#: Vectors of the sample that are compared with all rows first to set how many cells are visited; each further draw is twice
+#: as large, until probed vectors of ENOUGH cells have links or the sample is at its end.
+PROBED, ENOUGH = 512, 32
 #: Vectors per cell of the product grid, about; most codewords of a half.
 PER_CELL, MOST_CODES = 64, 256
-#: Share of true links whose cell the traversal has to visit, and the cells it visits at most.
-RECALL, MOST_CELLS = 0.999, 1024
-#: Cells visited where the probed vectors have no links to measure by.
-UNMEASURED = 32
+#: Share of a vector's links whose cell the traversal has to visit, on the mean over vectors, of all links and of those of each
+#: band of cosines.
+RECALL, BANDS = 0.999, (0.9, 0.92, 0.95, 0.98)
+#: Made neighbours of a vector, at the least cosine, where the whole sample has no links to measure by.
+MADE = 8
 #: Sides of a block that one task multiplies.
 RESIDENTS, PROBES = 1024, 4096
 
@@ -79,6 +81,21 @@ class Grid:
         return np.take_along_axis(order[0], i[first], axis=1) * self.k + np.take_along_axis(order[1], j[first], axis=1)
 
 
+    def ranks(self, x: np.ndarray, rows: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """How many cells the traversal of each of these rows of x takes before one: those that are nearer."""
+        out = np.empty(len(rows), np.int64)
+        at = -1
+        for n, (i, cell) in enumerate(zip(rows, cells, strict=True)):
+            if i != at:
+                one, at = x[i : i + 1], i
+                a = _distances(one[:, : self.half], self.books[0])[0]
+                b = _distances(one[:, self.half :], self.books[1])[0]
+                every = a[:, None] + b[None]
+            # Cells as near as it count as well: the order among those is the traversal's own.
+            out[n] = np.count_nonzero(every <= every[divmod(int(cell), self.k)] + 1e-12) - 1
+        return out
+
+
 def _cleaned(embeddings: DataFrame) -> DataFrame:
     """vec_id, c1, c2 (a digest of the direction; null where there is none), vector (doubles)."""
 
@@ -108,35 +125,65 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), np.float64).reshape(len(vectors), -1)
 
 
-def _cells_to_visit(classes: DataFrame, grid, probes: np.ndarray) -> int:
-    """How many cells the traversal visits: so many that ``RECALL`` of the true links of the probed vectors, found by comparing
-    them with all rows in blocks, lie in visited cells."""
-    most = min(MOST_CELLS, grid.value.k * len(grid.value.books[0]))
+def _links(classes: DataFrame, grid, probes: np.ndarray) -> pd.DataFrame:
+    """The probed vectors' links with all rows: probe, band, visits (how many cells the traversal takes to reach the
+    linked one), links."""
     shared = classes.sparkSession.sparkContext.broadcast(probes)
 
     def ranks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         g, q = grid.value, shared.value
-        cells = g.visits(q, most)
-        order = cells.argsort(axis=1)
-        counts = np.zeros(most + 1, np.int64)
         for batch in batches:
             x = _unit(_matrix(batch["vector"]))
-            cosine, own = q @ x.T, g.visits(x, 1)[:, 0]
-            linked = (cosine >= COSINE) & (cosine < 1 - 1e-12)
-            for i in np.flatnonzero(linked.any(axis=1)):
-                to = own[linked[i]]
-                at = np.searchsorted(cells[i], to, sorter=order[i])
-                rank = order[i][np.minimum(at, len(order[i]) - 1)]
-                np.add.at(counts, np.where(cells[i][rank] == to, rank, most), 1)
-        yield pd.DataFrame({"visits": np.arange(1, most + 2), "links": counts})
-
-    found = classes.select("vector").mapInPandas(ranks, "visits long, links long").groupBy("visits").agg(
-        F.sum("links").alias("links")).toPandas().sort_values("visits")
-    if not found["links"].sum():
-        return min(UNMEASURED, most)
-    share = found["links"].cumsum() / found["links"].sum()
-    reached = found["visits"][share >= RECALL]
-    return int(min(reached.min() if len(reached) else most, most))
+            own, found = None, []
+            for at in range(0, len(q), PROBED):
+                cosine = q[at : at + PROBED] @ x.T
+                probe, to = np.nonzero((cosine >= COSINE) & (cosine < 1 - 1e-12))
+                if not len(probe):
+                    continue
+                own = g.visits(x, 1)[:, 0] if own is None else own
+                band = np.searchsorted(BANDS, cosine[probe, to], side="right")
+                one, links = np.unique(np.stack([probe + at, band, own[to]]), axis=1, return_counts=True)
+                found.append(pd.DataFrame({
+                    "probe": one[0], "band": one[1], "visits": g.ranks(q, one[0], one[2]) + 1, "links": links}))
+            if found:
+                yield pd.concat(found)
+
+    schema = "probe long, band long, visits long, links long"
+    return classes.select("vector").mapInPandas(ranks, schema).groupBy("probe", "band", "visits").agg(
+        F.sum("links").alias("links")).toPandas()
+
+
+def _visits_for(found: pd.DataFrame) -> int:
+    """The cells to visit so that vectors reach ``RECALL`` of their links on the mean. Every vector counts alike, however
+    many links it has."""
+    found = found.groupby(["probe", "visits"], as_index=False)["links"].sum()
+    share = found["links"] / found.groupby("probe")["links"].transform("sum") / found["probe"].nunique()
+    reached = share.groupby(found["visits"]).sum().sort_index().cumsum()
+    return int(reached.index[(reached >= RECALL - 1e-9).to_numpy().argmax()])
+
+
+def _cells_to_visit(classes: DataFrame, grid, sample: np.ndarray) -> int:
+    """How many cells the traversal visits: so many that ``RECALL`` of the true links of probed vectors, found by comparing
+    them with all rows in blocks, lie in visited cells. Vectors of the sample are drawn until those of enough cells
+    have links; if none has any, neighbours made at the least cosine are measured by."""
+    found, at, size = [], 0, PROBED
+    while at < len(sample):
+        part = _links(classes, grid, sample[at : at + size])
+        found.append(part.assign(probe=part["probe"] + at))
+        linked = pd.concat(found)["probe"].unique().astype(np.int64)
+        if len(linked) and len(np.unique(grid.value.visits(sample[linked], 1))) >= ENOUGH:
+            break
+        at, size = at + size, 2 * size
+    measured = pd.concat(found)
+    if len(measured):
+        return max([_visits_for(measured), *(_visits_for(x) for _, x in measured.groupby("band"))])
+    q = sample[:PROBED].repeat(MADE, axis=0)
+    away = np.random.default_rng(3).standard_normal(q.shape)
+    away -= (away * q).sum(1)[:, None] * q
+    length = np.linalg.norm(away, axis=1, keepdims=True)
+    made = COSINE * q + sqrt(1 - COSINE**2) * away / np.where(length > 0, length, 1)
+    rank = grid.value.ranks(q, np.arange(len(q)), grid.value.visits(made, 1)[:, 0])
+    return int(np.sort(rank)[ceil(RECALL * len(rank)) - 1]) + 1
 
 
 def _compare(unit: pd.DataFrame) -> pd.DataFrame:
@@ -216,7 +263,7 @@ def _of_length(classes: DataFrame) -> DataFrame:
     sample = classes.orderBy(F.xxhash64("c1", "c2"), "c1", "c2").limit(SAMPLE).select("vector").toPandas()
     x = _unit(_matrix(sample["vector"]))
     grid = spark.sparkContext.broadcast(Grid(x, max(1, min(MOST_CODES, ceil(sqrt(n / PER_CELL))))))
-    visits = _cells_to_visit(classes, grid, x[:PROBED])
+    visits = _cells_to_visit(classes, grid, x)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
