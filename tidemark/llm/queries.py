@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, embeddings, extract, minhash, packing, pii, quality, secrets, sharding, urls,
+    decontaminate, embeddings, extract, minhash, packing, pii, quality, search, secrets, sharding, trie, urls, whitening,
 )
 from tidemark.llm.tables import read
 
@@ -59,15 +59,30 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination, op2_quality_classifier, op3_html_extraction, op4_embedding_near_dedup,
         op5_secret_scans, op6_sharding, op7_minhash_near_dedup, op8_url_filters, op9_pii, op10_best_fit_packing,
+        op11_embedding_whitening, op12_exact_top_k, op13_conversation_trie,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": decontaminate.ORACLE,
     "op7_minhash_near_dedup": minhash.ORACLE,
     "op8_url_filters": urls.ORACLE,
+    "op12_exact_top_k": search.ORACLE,
+    "op13_conversation_trie": trie.ORACLE,
 }
