@@ -17,8 +17,10 @@ from pyspark.sql import types as T
 LABELLED = 4096
 #: Hashed terms, latent dimensions, and neighbours that vote.
 TERMS, LATENT, NEIGHBOURS = 2048, 48, 16
-#: Power to which a similarity weighs.
-SHARPNESS = 8
+#: Times that a similarity is squared to weigh: it counts by its eighth power.
+SHARPNESS = 3
+#: Decimals of similarities and scores.
+DIGITS = 9
 #: Least score that predicts label 1.
 KEEP = 0.7
 #: Documents multiplied with all labelled vectors at a time.
@@ -63,7 +65,7 @@ class Model:
     labels: np.ndarray
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
-        return _unit(_unit(counts * self.weights) @ self.projection).astype(np.float32)
+        return _unit(_unit(counts.astype(np.float64) * self.weights) @ self.projection)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Share of label 1 among the nearest labelled vectors, each weighted by its similarity. A text without any
@@ -72,12 +74,18 @@ class Model:
             return np.full(len(counts), 0.5)
         base = float(self.labels.mean())
         n = min(NEIGHBOURS, len(self.labels))
-        similar = self.latent(counts) @ self.vectors.T
-        near = np.argpartition(-similar, n - 1, axis=1)[:, :n]
-        weight = np.maximum(np.take_along_axis(similar, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+        # Rounded, so that how documents are dealt into blocks doesn't show.
+        similar = np.maximum(np.round(self.latent(counts) @ self.vectors.T, DIGITS), 0)
+        last = np.partition(similar, len(self.labels) - n, axis=1)[:, len(self.labels) - n, None]
+        nearer, level = similar > last, similar == last
+        # Neighbours that are as near as the last one share the places that are left.
+        share = (n - nearer.sum(axis=1)) / level.sum(axis=1)
+        for _ in range(SHARPNESS):
+            similar = np.square(similar)
+        weight = (nearer + level * share[:, None]) * similar
         total = weight.sum(axis=1)
-        votes = (weight * self.labels[near]).sum(axis=1)
-        out = np.where(total > 0, votes / np.maximum(total, 1e-300), base)
+        votes = np.round(weight @ self.labels / np.where(total > 0, total, 1), DIGITS)
+        out = np.where(total > 0, votes, base)
         return np.clip(np.where(counts.any(axis=1), out, base), 0, 1)
 
 
@@ -85,14 +93,14 @@ def fit(counts: np.ndarray, labels: np.ndarray) -> Model:
     """Latent-semantic analysis: inverse document frequencies, then a truncated SVD by subspace iteration."""
     n = len(labels)
     if n == 0:
-        return Model(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1), np.float32), labels)
-    weights = (np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    x = _unit(counts.astype(np.float32) * weights)
+        return Model(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), labels)
+    weights = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 0.1
+    x = _unit(counts.astype(np.float64) * weights)
     k = min(LATENT, n, TERMS)
-    q = np.linalg.qr(np.random.default_rng(5).standard_normal((TERMS, k)).astype(np.float32))[0]
+    q = np.linalg.qr(np.random.default_rng(5).standard_normal((TERMS, k)))[0]
     for _ in range(8):
         q = np.linalg.qr(x.T @ (x @ q))[0]
-    model = Model(weights, q.astype(np.float32), np.zeros((0, k), np.float32), labels.astype(np.float64))
+    model = Model(weights, q, np.zeros((0, k)), labels.astype(np.float64))
     model.vectors = model.latent(counts)
     return model
 
@@ -103,10 +111,11 @@ def held_out() -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from labelled documents that aren't held out. Labels that are null, and ids without a document, teach
-    nothing."""
+    """A model from labelled documents that aren't held out, ``LABELLED`` at most. Labels that are null, and ids without a
+    document, teach nothing. Of an id's labels the least counts, and of its documents the one whose text is the least."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(LABELLED)
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -114,7 +123,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 x = _counts(batch["text"]).astype(np.float16)
                 yield pd.DataFrame({"doc_id": batch["doc_id"], "quality": batch["quality"], "x": [r.tobytes() for r in x]})
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("doc_id", "text", "quality")
     found = rows.mapInPandas(features, "doc_id long, quality int, x binary").toPandas().sort_values(["doc_id", "x"])
     x = np.stack([np.frombuffer(b, np.float16) for b in found["x"]]) if len(found) else np.zeros((0, TERMS))
     return fit(x.astype(np.float32), (found["quality"].to_numpy() == 1).astype(np.float64))
@@ -130,12 +140,13 @@ def score_name(columns: list[str]) -> str:
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of docs, and the score: likelihood of label 1 by the whole text and nothing else."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: executors need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.projection, model.vectors, model.labels))
     text = "text" if "text" in keep else "_text"
     name = score_name(keep)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(*shared.value)
         for batch in batches:
             for at in range(0, len(batch), BLOCK):
                 part = batch.slice(at, BLOCK)
