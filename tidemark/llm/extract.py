@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import bounded, stored
 from tidemark.llm.urls import host
 
 # Names of HTML, fixed by its standard.
@@ -46,6 +48,14 @@ SAME = 3
 EVIDENCE = 16
 #: Share of a page's weight that the main place holds at least.
 HELD = 0.9
+#: Words of a block that make it a sentence rather than a label.
+SENTENCE = 8
+#: Open elements that make a place at most. What is nested deeper stands at the place of that depth.
+DEPTH = 64
+#: Pairs of items up to which lists are aligned by their longest common sequence.
+PAIRS = 250_000
+#: Wrappers that are aligned in one task at most, about.
+TOGETHER = 1_024
 #: Bytes of all hosts' rules that are broadcast at most.
 RULE_BYTES = 32 << 20
 
@@ -102,6 +112,7 @@ def blocks(html: str | None) -> list[Block]:
     html = html or ""
     # Open elements: name, label, whether in a main element. Inline ones aren't kept, but open links are counted.
     stack: list[tuple[str, str, bool]] = []
+    opened: Counter[str] = Counter()
     out: list[Block] = []
     text: list[str] = []
     link = linked = 0
@@ -110,16 +121,22 @@ def blocks(html: str | None) -> list[Block]:
         nonlocal linked
         joined = " ".join(unescape("".join(text)).split())
         if joined:
-            out.append(Block(tuple(x[1] for x in stack), joined, linked))
+            out.append(Block(tuple(x[1] for x in stack[:DEPTH]), joined, linked))
         text.clear()
         linked = 0
 
+    def leave(i: int) -> None:
+        opened.subtract(x[0] for x in stack[i:])
+        del stack[i:]
+
     def close(names, until) -> None:
+        if not any(opened[x] for x in names):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in until:
                 return
             if stack[i][0] in names:
-                del stack[i:]
+                leave(i)
                 return
 
     at = 0
@@ -144,9 +161,11 @@ def blocks(html: str | None) -> list[Block]:
                 text.append(" ")
             elif name not in INLINE:
                 flush()
-                if any(x[0] == name for x in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if opened[name]:
+                    i = len(stack) - 1
+                    while stack[i][0] != name:
+                        i -= 1
+                    leave(i)
             continue
         if name in RAW_END and not m["attrs"].endswith("/"):
             end = RAW_END[name].search(html, at)
@@ -155,7 +174,7 @@ def blocks(html: str | None) -> list[Block]:
         if name == "a":
             link = 1
         elif name in INLINE:
-            if name in VOID:
+            if name == "br":
                 text.append(" ")
             continue
         else:
@@ -169,6 +188,7 @@ def blocks(html: str | None) -> list[Block]:
             inside = bool(stack) and stack[-1][2]
             own = label(name, m["attrs"], inside)
             stack.append((name, own, inside or is_main(own)))
+            opened[name] += 1
     flush()
     return out
 
@@ -247,6 +267,18 @@ def _merge(a: list, b: list, folded: bool = False) -> list:
 
 def align(a: list, b: list, folded: bool = False) -> list:
     """The least general wrapper of both: what matches in order is merged, what has no partner becomes optional."""
+    partners = _common(a, b) if len(a) * len(b) <= PAIRS else _by_occurrence(a, b)
+    out, i, j = [], 0, 0
+    for k, m in [*partners, (len(a), len(b))]:
+        out += [[x[0], 1, x[2], x[3]] for x in (*a[i:k], *b[j:m])]
+        if k < len(a):
+            out.append(_merge(a[k], b[m], folded))
+        i, j = k + 1, m + 1
+    return _fold(out)
+
+
+def _common(a: list, b: list) -> list[tuple[int, int]]:
+    """Places of a longest common sequence of labels."""
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -257,17 +289,42 @@ def align(a: list, b: list, folded: bool = False) -> list:
     out, i, j = [], 0, 0
     while i < n and j < m:
         if a[i][0] == b[j][0]:
-            out.append(_merge(a[i], b[j], folded))
+            out.append((i, j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], 1, a[i][2], a[i][3]])
             i += 1
         else:
-            out.append([b[j][0], 1, b[j][2], b[j][3]])
             j += 1
-    for rest in (*a[i:], *b[j:]):
-        out.append([rest[0], 1, rest[2], rest[3]])
-    return _fold(out)
+    return out
+
+
+def _by_occurrence(a: list, b: list) -> list[tuple[int, int]]:
+    """The same for long lists, where only equal occurrences of a label are partners, the third with the third: the longest
+    run of them that is in order on both sides."""
+
+    def numbered(items: list) -> list[tuple[str, int]]:
+        seen: Counter[str] = Counter()
+        out = []
+        for name, *_ in items:
+            out.append((name, seen[name]))
+            seen[name] += 1
+        return out
+
+    at = {x: j for j, x in enumerate(numbered(b))}
+    pairs = [(i, at[x]) for i, x in enumerate(numbered(a)) if x in at]
+    # The least end of a rising run of each length, and each pair's predecessor.
+    ends: list[int] = []
+    runs: list[int] = []
+    before: list[int] = []
+    for n, (_, j) in enumerate(pairs):
+        k = bisect_left(ends, j)
+        ends[k : k + 1], runs[k : k + 1] = [j], [n]
+        before.append(runs[k - 1] if k else -1)
+    out, n = [], runs[-1] if runs else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
 
 
 def rules(wrapper: list) -> dict:
@@ -334,11 +391,16 @@ def _main_blocks(page: list[Block], rule: dict) -> list[Block]:
     aside = _asides(weight)
     weight = {p: w for p, w in weight.items() if not any("!" in x and p[: k + 1] in aside for k, x in enumerate(p))}
     places = main_places(weight)
-    return [
-        b for b in page
-        if b.place in weight and any(b.place[: len(p)] == p for p in places)
-        and f"{'/'.join(b.place)}:{_digest(b.text)}" not in same
-    ]
+    # Only a main element ends the text: beyond another main place, sentences are the page's too.
+    whole = not any(p and is_main(p[-1]) for p in places)
+
+    def chosen(b: Block) -> bool:
+        if b.place not in weight or f"{'/'.join(b.place)}:{_digest(b.text)}" in same:
+            return False
+        sentence = whole and weight[b.place] > 0 and len(b.text.split()) >= SENTENCE
+        return sentence or any(b.place[: len(p)] == p for p in places)
+
+    return [b for b in page if chosen(b)]
 
 
 def text_of(html: str | None, rule: dict | None) -> str:
@@ -349,29 +411,44 @@ def text_of(html: str | None, rule: dict | None) -> str:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """A row per host: host, rule (JSON). Each task aligns its pages host by host; the partial wrappers of a host, one
-    per task, are aligned in two rounds. A wrapper is as large as a template, whatever the number of pages."""
+    """A row per host: host, rule (JSON). A host's distinct pages are aligned in the order of their digests, ``TOGETHER`` in a
+    task at most, by digest; then what comes of these is aligned in the same way. So the result doesn't depend on how rows are
+    dealt to tasks, and copies don't count."""
 
-    def infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[str, list] = {}
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for h, html in zip(batch["host"], batch["html"], strict=True):
-                page = _tree(blocks(html))
-                found[h] = align(found[h], page) if h in found else page
-        if found:
-            yield pd.DataFrame({"host": list(found), "wrapper": [json.dumps(w) for w in found.values()]})
+            # A task sends a copy once per batch.
+            found = {}
+            for h, html in batch[["host", "html"]].drop_duplicates().itertuples(index=False):
+                text = json.dumps(_tree(blocks(html)))
+                digest = int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+                found[h, digest] = text
+            yield pd.DataFrame([(*k, t) for k, t in found.items()], columns=["host", "digest", "wrapper"])
 
     def join(frame: pd.DataFrame) -> pd.DataFrame:
-        whole = None
-        for w in sorted(frame["wrapper"]):
-            whole = json.loads(w) if whole is None else align(whole, json.loads(w))
-        return pd.DataFrame({"host": [frame["host"].iloc[0]], "wrapper": [json.dumps(whole)]})
+        whole = last = None
+        for digest, w in sorted(zip(frame["digest"], frame["wrapper"], strict=True)):
+            if (digest, w) != last:
+                whole = json.loads(w) if whole is None else align(whole, json.loads(w))
+            last = digest, w
+        first = frame.iloc[0]
+        made = {"host": [first["host"]], "digest": [first["part"]], "wrapper": [json.dumps(whole)]}
+        return pd.DataFrame(made | {"rule": [json.dumps(rules(whole))]})
 
     rows = pages.select(host(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    schema = "host string, wrapper string"
-    partial = rows.mapInPandas(infer, schema).withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(32)))
-    some = partial.groupBy("host", "salt").applyInPandas(lambda f: join(f[["host", "wrapper"]]), schema)
-    return some.groupBy("host").applyInPandas(join, schema)
+    trees = stored(rows.mapInPandas(parse, "host string, digest long, wrapper string"), "page-trees")
+    large = trees.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("n"))
+    large = stored(large.where(F.col("n") > TOGETHER), "large-hosts")
+    most = large.agg(F.max("n")).first()[0] or 1
+    parts = F.coalesce(F.ceil(F.col("n") / TOGETHER), F.lit(1)).cast("long")
+    now = trees.join(bounded(large), "host", "left").withColumn("part", F.pmod("digest", parts)).drop("n")
+    schema = "host string, digest long, wrapper string, rule string"
+    done = now.groupBy("host", "part").applyInPandas(join, schema)
+    while most > TOGETHER:
+        most = -(-most // TOGETHER)
+        done = stored(done.drop("rule"), "wrappers").withColumn("part", F.expr(f"digest div {TOGETHER}"))
+        done = done.groupBy("host", "part").applyInPandas(join, schema)
+    return done.select("host", "rule")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -382,8 +459,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Wrappers are inferred over all pages first. Their rules are broadcast if they are small, else joined by host.
     """
-    rule = F.udf(lambda w: json.dumps(rules(json.loads(w))), "string")
-    known = stored(wrappers(pages).select("host", rule("wrapper").alias("rule")), "wrappers")
+    known = stored(wrappers(pages), "rules")
     size = known.agg(F.coalesce(F.sum(F.length("rule") + F.length("host")), F.lit(0))).first()[0]
     rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
     rows = rows.join(F.broadcast(known) if size <= RULE_BYTES else known, "host", "left").drop("host")
