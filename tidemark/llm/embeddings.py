@@ -34,7 +34,9 @@ RESIDENTS, PROBES = 1024, 4096
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows by their lengths, which neither overflow nor vanish, as the largest component is taken out first."""
     x = x.astype(np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -58,12 +60,9 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 class Grid:
     """Two codebooks, one for each half of the vectors. A cell is a pair of codewords."""
 
-    def __init__(self, x: np.ndarray, k: int):
-        self.half = x.shape[1] // 2
-        self.books = (
-            [_codebook(x[:, : self.half], k, 1)] if self.half else [np.zeros((1, 0))]
-        ) + [_codebook(x[:, self.half :], k, 2)]
-        self.k = len(self.books[1])
+    def __init__(self, first: np.ndarray, second: np.ndarray):
+        self.books = [first, second]
+        self.half, self.k = first.shape[1], len(second)
 
     def visits(self, x: np.ndarray, n: int) -> np.ndarray:
         """The nearest ``n`` cells of each vector, nearest first.
@@ -96,6 +95,11 @@ class Grid:
         return out
 
 
+def _codebooks(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    half = x.shape[1] // 2
+    return _codebook(x[:, :half], k, 1) if half else np.zeros((1, 0)), _codebook(x[:, half:], k, 2)
+
+
 def _cleaned(embeddings: DataFrame) -> DataFrame:
     """vec_id, c1, c2 (a digest of the direction; null where there is none), vector (doubles)."""
 
@@ -131,7 +135,7 @@ def _links(classes: DataFrame, grid, probes: np.ndarray) -> pd.DataFrame:
     shared = classes.sparkSession.sparkContext.broadcast(probes)
 
     def ranks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, q = grid.value, shared.value
+        g, q = Grid(*grid.value), shared.value
         for batch in batches:
             x = _unit(_matrix(batch["vector"]))
             own, found = None, []
@@ -167,11 +171,12 @@ def _cells_to_visit(classes: DataFrame, grid, sample: np.ndarray) -> int:
     them with all rows in blocks, lie in visited cells. Vectors of the sample are drawn until those of enough cells
     have links; if none has any, neighbours made at the least cosine are measured by."""
     found, at, size = [], 0, PROBED
+    own = Grid(*grid.value)
     while at < len(sample):
         part = _links(classes, grid, sample[at : at + size])
         found.append(part.assign(probe=part["probe"] + at))
         linked = pd.concat(found)["probe"].unique().astype(np.int64)
-        if len(linked) and len(np.unique(grid.value.visits(sample[linked], 1))) >= ENOUGH:
+        if len(linked) and len(np.unique(own.visits(sample[linked], 1))) >= ENOUGH:
             break
         at, size = at + size, 2 * size
     measured = pd.concat(found)
@@ -182,7 +187,7 @@ def _cells_to_visit(classes: DataFrame, grid, sample: np.ndarray) -> int:
     away -= (away * q).sum(1)[:, None] * q
     length = np.linalg.norm(away, axis=1, keepdims=True)
     made = COSINE * q + sqrt(1 - COSINE**2) * away / np.where(length > 0, length, 1)
-    rank = grid.value.ranks(q, np.arange(len(q)), grid.value.visits(made, 1)[:, 0])
+    rank = own.ranks(q, np.arange(len(q)), own.visits(made, 1)[:, 0])
     return int(np.sort(rank)[ceil(RECALL * len(rank)) - 1]) + 1
 
 
@@ -262,12 +267,14 @@ def _of_length(classes: DataFrame) -> DataFrame:
     n = classes.count()
     sample = classes.orderBy(F.xxhash64("c1", "c2"), "c1", "c2").limit(SAMPLE).select("vector").toPandas()
     x = _unit(_matrix(sample["vector"]))
-    grid = spark.sparkContext.broadcast(Grid(x, max(1, min(MOST_CODES, ceil(sqrt(n / PER_CELL))))))
+    # Plain arrays: executors need not have this package.
+    grid = spark.sparkContext.broadcast(_codebooks(x, max(1, min(MOST_CODES, ceil(sqrt(n / PER_CELL))))))
     visits = _cells_to_visit(classes, grid, x)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells = Grid(*grid.value)
         for batch in batches:
-            near = grid.value.visits(_unit(_matrix(batch["vector"])), visits)
+            near = cells.visits(_unit(_matrix(batch["vector"])), visits)
             yield batch.assign(cell=near[:, 0], visits=list(near.astype(np.int64)))
 
     placed = stored(classes.mapInPandas(assign, classes.schema.simpleString()[7:-1] + ",cell:bigint,visits:array<bigint>"),
