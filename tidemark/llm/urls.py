@@ -56,6 +56,11 @@ class Level:
     words: np.ndarray
 
 
+def _plain(level: Level) -> tuple:
+    """What is broadcast: executors need not have this package."""
+    return level.number, level.bits, level.hashes, level.words
+
+
 def _halves(key: Column) -> list[Column]:
     """Two hashes of 44 bits, so that sums of a few of them stay within 64 bits."""
     second = F.xxhash64(key, F.lit("second"))
@@ -119,7 +124,7 @@ class Cascade:
 
     def __init__(self, spark: SparkSession, levels: list[Level]):
         self.levels = levels
-        self.shared = spark.sparkContext.broadcast(levels)
+        self.shared = spark.sparkContext.broadcast([_plain(x) for x in levels])
 
     def listed(self, key: Column) -> Column:
         """Whether ``key``, one of the universe, is listed. A null key isn't."""
@@ -129,7 +134,7 @@ class Cascade:
 def _lookup(shared):
     @F.pandas_udf("boolean")
     def look(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        return pd.Series(_member(shared.value, h1.to_numpy(np.int64), h2.to_numpy(np.int64))[0])
+        return pd.Series(_member([Level(*x) for x in shared.value], h1.to_numpy(np.int64), h2.to_numpy(np.int64))[0])
 
     return look
 
@@ -137,7 +142,7 @@ def _lookup(shared):
 def _held(shared):
     @F.pandas_udf("boolean")
     def held(h1: pd.Series, h2: pd.Series) -> pd.Series:
-        return pd.Series(_holds(shared.value, h1.to_numpy(np.int64), h2.to_numpy(np.int64)))
+        return pd.Series(_holds(Level(*shared.value), h1.to_numpy(np.int64), h2.to_numpy(np.int64)))
 
     return held
 
@@ -156,7 +161,7 @@ def cascade(universe: DataFrame, listed: DataFrame) -> Cascade | None:
     encode, other = keys.where("mine = 1"), keys.where("mine = 0")
     while n:
         levels.append(_encode(encode, n, RATE if levels else FIRST_RATE, len(levels)))
-        shared = spark.sparkContext.broadcast(levels[-1])
+        shared = spark.sparkContext.broadcast(_plain(levels[-1]))
         false = stored(other.where(_held(shared)("h1", "h2")), "held-falsely")
         encode, other, n = false, encode, false.count()
     return Cascade(spark, levels)
