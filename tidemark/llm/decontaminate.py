@@ -69,8 +69,9 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
     grams = [_inner_grams(windows, x) for x in lengths]
     d = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), words(F.col("text")).alias("w"))
     d = d.withColumn("n_words", F.size("w"))
+    # What no set knows, but another value for each document: so rows without a probe don't meet in one task.
     no_probe = F.struct(
-        F.lit(None).cast("int").alias("len"), F.lit(None).cast("int").alias("q"), F.lit(None).cast("long").alias("gram"),
+        F.lit(-1).alias("len"), F.lit(None).cast("int").alias("q"), F.col("key").alias("gram"),
         F.lit(None).cast("int").alias("lo"), F.lit(None).cast("array<string>").alias("near"),
     )
     probes = [F.coalesce(_probes(F.col("w"), F.col("n_words"), x), F.array().cast(_PROBES)) for x in lengths]
@@ -85,7 +86,8 @@ def find(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
             F.explode_outer(F.when(F.size("near") >= F.col("len"), starts)).alias("k"),
         ).select(
             "doc_id", "key", "n_words", "q", "len", (F.col("lo") + F.col("k")).alias("start"),
-            F.array_join(F.slice("near", F.col("k") + 1, F.col("len")), " ").alias("window"),
+            F.coalesce(
+                F.array_join(F.slice("near", F.col("k") + 1, F.col("len")), " "), F.col("key").cast("string")).alias("window"),
         )
         by_window = windows.select("window", "len", "item_id").withColumn("hit", F.lit(True))
         rows = rows.join(bounded(by_window), ["window", "len"], "left").where("q IS NULL OR hit")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import bounded, stored
-from tidemark.llm.text import lower_ascii, matches, rewrite, spans_text, words
+from tidemark.llm.tables import bounded, fits, stored
+from tidemark.llm.text import blocks, cuts, lower_ascii, matches, put_together, rewrite, spans_text, words
 
 #: Share of an entity's information that a term may give away.
 DISCLOSURE = 0.85
@@ -72,18 +72,13 @@ def entities(docs: DataFrame) -> DataFrame:
     return stored(found.select("row", "doc_id", "key", "kind", "start", "end", entity.alias("entity")), "entities")
 
 
-def _blanked(text: Column, spans: Column) -> Column:
-    """text with its spans (structs of start, end) turned into as many blanks."""
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        start, end = F.greatest(s["start"], a["at"]), F.greatest(s["end"], a["at"])
-        kept = F.substring(text, (a["at"] + 1).cast("int"), (start - a["at"]).cast("int"))
-        out = F.concat(a["out"], kept, F.repeat(F.lit(" "), (end - start).cast("int")))
-        return F.struct(end.alias("at"), out.alias("out"))
-
-    done = F.aggregate(F.array_sort(spans), first, step)
-    return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text)))
+def _apart(held: DataFrame) -> DataFrame:
+    """key, start, end of entities, where they overlap without what lies in an earlier one."""
+    before = F.max("end").over(
+        Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
+    rows = held.select("key", "start", "end").distinct().withColumn("before", F.coalesce(before, F.lit(0)))
+    rows = rows.where("end > before")
+    return rows.select("key", F.greatest("start", "before").alias("start"), "end")
 
 
 def revealing(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
@@ -105,15 +100,24 @@ def revealing(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE,
     most = F.col("n_e") * F.pow(F.lit(float(n)) / F.col("n_e"), F.lit(1 - disclosure)) * (1 + 1e-9)
     in_rows = stored(held.select("key", "entity").distinct().join(n_entity, "entity").withColumn("most", most), "held")
     most = bounded(stored(in_rows.groupBy("key").agg(F.max("most").alias("most")), "most"))
-    blank = held.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("blank"))
+    # An entity's place becomes as many blanks.
+    size = (F.col("end") - F.col("start")).cast("int")
+    blank = F.struct("start", "end", F.repeat(F.lit(" "), size).alias("mark"))
+    blank = cuts(_apart(held).groupBy("key").agg(F.collect_set(blank).alias("_spans")), ["key"], True)
     texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.join(bounded(stored(blank, "blank")), "key", "left").select("key", F.when(
-        F.col("blank").isNull(), F.col("text")).otherwise(_blanked(F.col("text"), F.col("blank"))).alias("text"))
+    texts = texts.join(bounded(stored(blank, "blank")), "key", "left")
+    texts = texts.withColumn("_blocks", F.when(F.col("_tail").isNotNull(), blocks(F.col("text"))))
+    blanked = put_together(F.col("_blocks"), F.char_length("text"), F.col("_cuts"), F.col("_tail"))
+    texts = texts.select("key", F.when(F.col("_tail").isNull(), F.col("text")).otherwise(blanked).alias("text"))
     # Each of several equal rows has its words.
     terms = texts.select("key", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     near = stored(terms.join(most, "key"), "words")
-    known = bounded(stored(near.select("term").distinct(), "terms"))
-    n_term = terms.join(known, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    known, many = stored(near.select("term").distinct(), "terms"), F.count("*").alias("n_t")
+    if fits(known):
+        n_term = terms.join(F.broadcast(known), "term", "left_semi").groupBy("term").agg(many)
+    else:
+        # Counted before the join, so that a frequent term is a row per task.
+        n_term = terms.groupBy("term").agg(many).join(known, "term", "left_semi")
     n_term = bounded(stored(n_term.where(F.col("n_t") >= support), "term-rows"))
     near = near.join(n_term, "term").where(F.col("n_t") <= F.col("most")).drop("most")
     pairs = stored(near.join(in_rows, "key").where(F.col("n_t") <= F.col("most")), "pairs")
@@ -164,4 +168,4 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUP
         F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     marked = F.transform("spans", lambda s: F.struct(s["start"], s["end"], mark(s).alias("mark")))
     spans = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), marked.alias("_spans"))
-    return rewrite(docs, bounded(stored(spans, "personal")))
+    return rewrite(docs, spans)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import bounded, stored
+from tidemark.llm.tables import stored
 from tidemark.llm.text import matches, rewrite, spans_text
 
 #: Code points within which parts of one credential stand.
@@ -135,4 +135,4 @@ def redact(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     found = scan(docs, scope).where("size(spans) > 0").dropDuplicates(["doc_id", "key"])
     marked = F.transform("spans", lambda s: F.struct(s["start"], s["end"], F.lit("[SECRET]").alias("mark")))
     spans = found.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), marked.alias("_spans"))
-    return rewrite(docs, bounded(stored(spans, "secrets")))
+    return rewrite(docs, spans)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.workspace import fresh_dir
 
-#: Most rows of a side that is broadcast; its rows are a few numbers or one short text each.
-BROADCAST_ROWS = 500_000
+#: Most rows of a side that is broadcast, and most bytes of them.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is, for a shuffled join. Counts ``df``,
-    so it should be a stored table."""
-    return F.broadcast(df) if df.count() <= rows else df
+def fits(df: DataFrame) -> bool:
+    """Whether ``df`` is small enough to be broadcast: at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES``, as text. Reads
+    ``df``, so it should be a stored table."""
+    if df.count() > BROADCAST_ROWS:
+        return False
+    size = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    return df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] <= BROADCAST_BYTES
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it fits; else as it is, for a shuffled join."""
+    return F.broadcast(df) if fits(df) else df

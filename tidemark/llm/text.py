@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.tables import bounded, stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -74,29 +76,57 @@ def spans_text(kinds: list[str], spans: Column) -> Column:
     )
 
 
-def cut(text: Column, spans: Column) -> Column:
-    """``text`` with each of its spans (structs of start, end, mark; any order) replaced by its mark. Of spans
-    that overlap, the first leaves its mark."""
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+#: Code points of a block that a long text is taken apart into, so that a place in it is near the start of one.
+BLOCK = 1024
+
+
+def cuts(spans: DataFrame, by: list[str], whole: bool = False) -> DataFrame:
+    """From a row per key (columns ``by``) with ``_spans`` (structs of start, end, mark; any order) to what stays between them:
+    ``by``, _cuts (structs of start and end of what stays and the mark after it, in order) and _tail (where the last span ends).
+
+    Of spans that overlap, the first leaves its mark and all are cut out; with ``whole`` each leaves its mark."""
+    rows = spans.select(*by, F.inline("_spans"))
+    in_text = Window.partitionBy(*by).orderBy("start", "end", "mark")
+    before = F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("at", F.coalesce(before, F.lit(0)).cast("int"))
+    stays = F.struct("at", F.greatest("at", F.col("start").cast("int")).alias("to"), "mark")
+    kept = F.lit(True) if whole else F.col("start") >= F.col("at")
+    return rows.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.when(kept, stays))).alias("_cuts"), F.max("end").cast("int").alias("_tail"))
+
+
+def blocks(text: Column) -> Column:
+    """``text`` in blocks, as ``put_together`` takes it: a column of its own, so that it is made once per row."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def put_together(of: Column, length: Column, cuts: Column, tail: Column) -> Column:
+    """The text whose ``blocks`` are given, with what ``cuts`` leave of it. Each piece is looked up in its own blocks, so a text
+    with many spans takes time in proportion to them."""
 
-    def step(a: Column, s: Column) -> Column:
-        kept = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        out = F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], kept, s["mark"]))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
+    def piece(start: Column, end: Column) -> Column:
+        first, last = (F.floor(x / BLOCK).cast("int") for x in (start, end - 1))
+        here, there = (start % BLOCK + 1).cast("int"), ((end - 1) % BLOCK + 1).cast("int")
+        one = F.substring(F.get(of, first), here, (end - start).cast("int"))
+        more = F.concat(
+            F.substring(F.get(of, first), here, F.lit(BLOCK)), F.array_join(F.slice(of, first + 2, last - first - 1), ""),
+            F.substring(F.get(of, last), F.lit(1), there))
+        return F.when(end <= start, F.lit("")).when(first == last, one).otherwise(more)
 
-    done = F.aggregate(F.array_sort(spans), first, step)
-    return F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text)))
+    return F.concat(
+        F.array_join(F.transform(cuts, lambda c: F.concat(piece(c["at"], c["to"]), c["mark"])), ""), piece(tail, length))
 
 
 def rewrite(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs (doc_id, text, n_chars if there, more) with the spans (_id, _key, _spans: one row per key) cut out. _key
     is xxhash64(doc_id, text). Rows without spans, and columns other than text and n_chars, stay as they are."""
-    same = docs["doc_id"].eqNullSafe(spans["_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == spans["_key"])
-    joined = docs.join(spans, same, "left")
-    out = joined.withColumn(
-        "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut(F.col("text"), F.col("_spans"))))
+    found = bounded(stored(cuts(spans, ["_id", "_key"]), "cuts"))
+    same = docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == found["_key"])
+    joined = docs.join(found, same, "left").withColumn("_blocks", F.when(F.col("_tail").isNotNull(), blocks(F.col("text"))))
+    cut = put_together(F.col("_blocks"), F.char_length("text"), F.col("_cuts"), F.col("_tail"))
+    out = joined.withColumn("text", F.when(F.col("_tail").isNull(), F.col("text")).otherwise(cut))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col("_tail").isNull(), F.col("n_chars")).otherwise(
             F.char_length("text").cast(kind)))
     return out.select(*docs.columns)
