@@ -23,6 +23,8 @@ BANDS, ROWS = 32, 6
 LEAST_SHARED = 132
 #: Shingles and sets that one task compares at a time, about. Larger groups are split.
 UNIT_SHINGLES, UNIT_SETS = 2_000_000, 2_000
+#: Rows that a task remembers, to hand over one of equal ones.
+SEEN = 100_000
 #: Bytes of sets that a task hands over at a time.
 BATCH_BYTES = 1 << 24
 
@@ -56,6 +58,8 @@ def _sets(docs: DataFrame, units: DataFrame) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
+        # Of equal rows, a task hands one over.
+        seen: set[tuple[int, bytes]] = set()
         names = ["leader", "chunk", "side", "id", "shingles"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
         out, size = [], 0
@@ -64,6 +68,12 @@ def _sets(docs: DataFrame, units: DataFrame) -> DataFrame:
         for batch in batches:
             for i, text, to in zip(*(batch.column(c) for c in ("id", "text", "units")), strict=True):
                 s = shingler.set(text.as_py()).tobytes()
+                one = (i.as_py(), blake2b(s, digest_size=16).digest())
+                if one in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(one)
                 for u in to.as_py():
                     out.append((u["leader"], u["chunk"], u["side"], i.as_py(), s))
                     size += len(s)
@@ -91,7 +101,7 @@ def _verify(key: tuple, unit: pd.DataFrame) -> pd.DataFrame:
     connected: so no link between parts is lost, and none within a part needs a look.
     """
     leader = key[0]
-    unit = unit.sort_values("id").reset_index(drop=True)
+    unit = unit.drop_duplicates(["id", "side", "shingles"]).sort_values("id").reset_index(drop=True)
     ids = unit["id"].to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in unit["shingles"]]
     part = np.arange(len(ids))
