@@ -273,9 +273,10 @@ def test_cells_to_visit_without_links(spark, monkeypatch):
     """Made neighbours at the least cosine set the visits where nothing is linked, and no count of cells ends them."""
     r = np.random.default_rng(6)
     x = embeddings._unit(r.standard_normal((3000, 32)))
-    grid = embeddings.Grid(x, 60)
+    books = embeddings._codebooks(x, 60)
+    grid = embeddings.Grid(*books)
     rows = spark.createDataFrame([(v.tobytes(),) for v in x[:200]], "vector binary")
-    visits = embeddings._cells_to_visit(rows, spark.sparkContext.broadcast(grid), x[:64])
+    visits = embeddings._cells_to_visit(rows, spark.sparkContext.broadcast(books), x[:64])
     e = r.standard_normal(x.shape)
     e -= (e * x).sum(1)[:, None] * x
     near = 0.9 * x + np.sqrt(0.19) * e / np.linalg.norm(e, axis=1, keepdims=True)
