@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -9,7 +10,8 @@ from tests.messages import COMMIT_US, FIRST, KWH, LATER, METER, SLOT, STATE, cha
 from tidemark.functions.wire import SchemaConflict
 from tidemark.operators import apply as applying
 from tidemark.operators.apply import apply_batch, batch_stats, lag_stats
-from tidemark.operators.replica import ConcurrentWrite, Commit, Replica, Version, _foldable
+from tidemark.operators import replica as replicas
+from tidemark.operators.replica import ConcurrentWrite, Replica, Version
 from tidemark.sources.changes import RAW_SCHEMA
 
 
@@ -144,7 +146,7 @@ def test_other_types_stop_unless_superseded(replica, column, value):
     name = column["field"]
     odd = change("u", reading(0) | {name: value}, 20, fields=other(column))
     send(replica, odd, change("u", reading(0), 21))
-    with pytest.raises(SchemaConflict, match=rf"readings\.{name}: target is .*, source is"):
+    with pytest.raises(SchemaConflict, match=rf"readings\.{name} is kept as .* and comes as"):
         send(replica, change("u", reading(0) | {name: value}, 22, fields=other(column)))
     assert held(replica)[0][2] == 21 and replica.latest() == 1
 
@@ -229,7 +231,7 @@ def test_a_failed_batch_leaves_no_statistics(replica):
         send(replica, change("c", reading(n), n))
     with pytest.raises(RuntimeError):
         send(replica, change("c", reading(9), 9), before_publish=stop)
-    assert replica.fold() == ["readings"] and replica.latest() == 5
+    assert replica.rewrite() == ["readings"] and replica.latest() == 5
     assert batch_stats(replica).count() == 4 and replica.read("readings").count() == 4
 
 
@@ -308,26 +310,147 @@ def test_an_ordered_log_reads_nothing_back(replica, monkeypatch):
     assert held(replica)[1][1] is True
 
 
-def test_fold_keeps_the_rows(replica):
+def test_a_rewrite_keeps_the_rows(replica):
     for i in range(9):
         send(replica, change("c", reading(i), 100 + i), change("u", reading(0, f"v{i}"), 200 + i))
     before = sorted(replica.read("readings").collect())
-    assert replica.fold() == ["readings"]
+    assert replica.rewrite() == ["readings"]
     assert len(replica.version().tables["readings"].commits) == 1
     assert sorted(replica.read("readings").collect()) == before
-    assert replica.fold() == []
+    assert replica.rewrite() == [] and replica.rewrite(["readings"]) == []
     assert len(replica.vacuum(keep_versions=1)) == 9
     assert sorted(replica.read("readings").collect()) == before
 
 
-def test_folding_leaves_large_commits_alone():
-    def sizes(*rows):
-        return [Commit(str(i), n, (1, i, 0)) for i, n in enumerate(rows)]
+# ---- rows by bucket of their key
 
-    assert _foldable(sizes()) == 0
-    assert _foldable(sizes(1000, 10, 10)) == 2
-    assert _foldable(sizes(1000, 10, 10, 10, 10)) == 4
-    assert _foldable(sizes(40, 10, 10, 10, 10)) == 5
+
+@pytest.fixture
+def bucketed(spark, tmp_path, monkeypatch):
+    """Ten rows or more make a bucket, sixteen buckets a commit."""
+    monkeypatch.setattr(replicas, "BUCKET_ROWS", 10)
+    return Replica(spark, str(tmp_path / "replica"), buckets=16)
+
+
+def bucket_dirs(replica, slots):
+    state = replica.version().tables["readings"]
+    rows = replica.read("readings").select("slot", replicas.bucket_of(state, state.commits[0].buckets)).collect()
+    return {bucket for slot, bucket in rows if slot in slots}
+
+
+def test_large_commits_are_laid_out_by_bucket(bucketed):
+    send(bucketed, *(change("c", reading(i), 100 + i) for i in range(170)), change("u", reading(3, "b"), 500))
+    send(bucketed, *(change("u", reading(i, "c"), 600 + i) for i in range(25)))
+    send(bucketed, change("u", reading(5, "d"), 700))
+    first, second, third = bucketed.version().tables["readings"].commits
+    assert (first.buckets, second.buckets, third.buckets) == (16, 2, 1)
+    newest = bucketed._newest("readings", first)
+    assert max(newest.values()) == first.newest == (11, 500, 0) and len(newest) > 12
+    rows = held(bucketed)
+    assert len(rows) == 170 and rows[5][0] == "d" and rows[24][0] == "c" and rows[25][0] == "raw"
+    assert bucketed.rewrite() == ["readings"] and held(bucketed) == rows
+    assert bucketed.version().tables["readings"].commits[0].buckets == 16
+
+
+def test_a_late_event_opens_one_bucket(bucketed, monkeypatch):
+    send(bucketed, *(change("c", reading(i), 100 + i) for i in range(170)))
+    seen = []
+    stored = Replica.stored
+    monkeypatch.setattr(Replica, "stored", lambda *a: seen.append(stored(*a)) or seen[-1])
+    # Its position lies before the first commit's newest, but not before that of its own key.
+    assert send(bucketed, change("u", reading(7, "late"), 107)) == (0, 1, 0)
+    (opened,) = seen
+    (bucket,) = bucket_dirs(bucketed, [7])
+    plan = opened._jdf.queryExecution().toString()
+    assert re.search(rf"PartitionFilters: \[[^]]*_bucket#\d+ = {bucket}\)", plan)
+
+
+def test_a_bucket_that_ends_before_an_event_stays_closed(bucketed, monkeypatch):
+    send(bucketed, *(change("c", reading(i), 100) for i in range(160)), change("c", reading(160), 900))
+    newest = bucket_dirs(bucketed, [160])
+    other = next(i for i in range(160) if bucket_dirs(bucketed, [i]) != newest)
+    seen = []
+    stored = Replica.stored
+    monkeypatch.setattr(Replica, "stored", lambda *a: seen.append(stored(*a)) or seen[-1])
+    assert send(bucketed, change("u", reading(other, "new"), 200)) == (1, 0, 0)
+    assert seen == [None]  # the commit reaches position 900, but not in that bucket
+    assert held(bucketed)[other][0] == "new"
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0], [0, 2, 1, 0]])
+def test_buckets_of_any_number_guard_alike(bucketed, order):
+    """Commits of 16, 4 and 1 buckets, in any order of delivery."""
+    batches = [
+        [change("c", reading(i, "a"), 100 + i) for i in range(165)],
+        [change("u", reading(i, "b"), 150 + i) for i in range(0, 165, 4)],
+        [change("d", reading(i, "c"), 260 + i) for i in range(3, 9)],
+    ]
+    for n in order:
+        send(bucketed, *batches[n])
+    want = {}
+    for batch in batches:
+        for topic, key, value, partition, offset in batch:
+            payload = json.loads(value)["payload"]
+            row = payload["after"] or payload["before"]
+            have = want.get(row["slot"])
+            if have is None or have[2] < payload["source"]["pos"]:
+                want[row["slot"]] = (row["state"], payload["op"] == "d", payload["source"]["pos"])
+    assert held(bucketed) == want
+
+
+def test_the_bulk_of_a_table_is_not_shuffled_on_reading(bucketed):
+    send(bucketed, *(change("c", reading(i), 100 + i) for i in range(170)))
+    send(bucketed, *(change("u", reading(i, "c"), 600 + i) for i in range(25)))
+    bucketed.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        live = bucketed.live("readings")
+        live.collect()
+        plan = live._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    finally:
+        bucketed.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# ---- versions
+
+
+def test_versions_stay_small(replica):
+    """Schema texts are files of their own, and the latest version is found without a list of all."""
+    send(replica, change("c", reading(0), 1), change("c", reading(1), 2, fields=LATER))
+    size = len(replica._get(replica._version_file(1)))
+    assert size < 2_500 and len(replica.version().schemas) == 2
+    texts = dict(replica.version().schemas)
+    assert all(t[0] == "readings" and "slot" in t[1] for t in texts.values())
+    send(replica, change("u", reading(0, "b"), 3))
+    assert dict(Replica(replica.spark, replica.path).version().schemas) == texts
+
+
+def test_the_latest_version_needs_no_right_hint(replica):
+    for n in range(4):
+        send(replica, change("c", reading(n), n + 1))
+    for hint in ("1", "", "x", "77"):
+        replica._put(f"{replica._versions}/_latest", hint, True)
+        assert Replica(replica.spark, replica.path).latest() == 4
+    replica._put(f"{replica._versions}/_latest", "1", True)
+    replica.vacuum(keep_versions=1)
+    assert replica.latest() == 4 and len(held(replica)) == 4
+
+
+# ---- many tables in a batch
+
+
+def test_many_tables_in_one_pass(replica, monkeypatch):
+    """One look at the messages for all tables, whatever their number."""
+    summaries = []
+    summary = applying.batch_summary
+    monkeypatch.setattr(applying, "batch_summary", lambda *a: summaries.append(summary(*a)) or summaries[-1])
+    monkeypatch.setattr(applying, "_summary", lambda *a: pytest.fail("a table of its own was looked at"))
+    tables = [f"meter{i}" for i in range(12)]
+    batch = [change("c", reading(k), 10 * n + k, table=t) for n, t in enumerate(tables) for k in range(n + 1)]
+    assert send(replica, *batch) == (78, 0, 0)
+    assert send(replica, *batch[:40], *batch[:40]) == (0, 40, 40)
+    assert len(summaries) == 2
+    assert [replica.read(t).count() for t in tables] == [n + 1 for n in range(12)]
 
 
 def test_statistics(replica):

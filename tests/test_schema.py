@@ -62,7 +62,7 @@ def test_decimals_beyond_38_digits_conflict():
 )
 def test_other_types_conflict(a, b):
     for x, y in ((a, b), (b, a)):
-        with pytest.raises(SchemaConflict, match=r"readings\.x: target is .*, source is "):
+        with pytest.raises(SchemaConflict, match=r"readings\.x is kept as .* and comes as "):
             evolve_schema(None, [version(SLOT, {**x, "field": "x"}), version(SLOT, {**y, "field": "x"})])
 
 

@@ -303,35 +303,3 @@ def test_the_guard_shuffles_each_side_once(spark, key_bytes):
             assert plan.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_bucketed_commits_are_never_shuffled(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.replica.BUCKETED_ROWS", 40)
-    replica = Replica(spark, str(tmp_path / "replica"), buckets=4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        first = [change("c", reading(i, "old"), 100 + i) for i in range(50)]
-        apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
-        (commit,) = replica.version().tables["readings"].commits
-        assert commit.buckets == 4 and commit.rows == 50
-        later = [change("u", reading(i, "new", note="gold"), 200 + i, fields=LATER) for i in range(5)]
-        stale = [change("u", reading(i, "stale"), 60 + i) for i in range(40, 50)]
-        result = apply_batch(replica, spark.createDataFrame(later + stale, RAW_SCHEMA))
-        assert (result.applied, result.stale) == (5, 10)
-        live = replica.live("readings")
-        assert live.groupBy("state", "note").count().orderBy("state").collect() == [
-            ("new", "gold", 5), ("old", None, 45)
-        ]
-        plan = plan_of(live).split("Initial Plan")[0]
-        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
-        assert plan.count("Exchange hashpartitioning") == 1  # the small commit
-        replay = apply_batch(replica, spark.createDataFrame(first, RAW_SCHEMA))
-        assert (replay.applied, replay.stale) == (0, 50)
-        before = sorted(replica.read("readings").collect(), key=lambda r: r.slot)
-        for i in range(4):
-            apply_batch(replica, spark.createDataFrame([change("u", reading(i), 300, fields=LATER)], RAW_SCHEMA))
-        replica.fold()
-        again = sorted(replica.read("readings").collect(), key=lambda r: r.slot)
-        assert again[4:] == before[4:] and [r._src_pos for r in again[:4]] == [300] * 4
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

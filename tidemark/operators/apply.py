@@ -13,24 +13,26 @@ from functools import partial, reduce
 from typing import TypeVar
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import META_COLUMNS, cols
 from tidemark.functions.wire import LOGICAL_TYPES, LogicalType, SchemaConflict
 from tidemark.operators.decode import (
     MAX_VERSIONS,
     DecodedTable,
-    SchemaText,
+    batch_summary,
     decode_table,
     parse_versions,
     split_messages,
-    versions_by_table,
+    texts_of,
     usable_versions,
+    versions_by_table,
     versions_of_batch,
+    with_places,
 )
 from tidemark.operators.merge import key_size, stored_for
 from tidemark.operators.reduce import newest_per_key
-from tidemark.operators.replica import Replica, TableState, Version
+from tidemark.operators.replica import Commit, Replica, SchemaTexts, TableState, Version, bucket_of
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
 from tidemark.operators.stats import (
     BAD_SCHEMA,
@@ -43,8 +45,8 @@ from tidemark.operators.stats import (
     run_summary,
 )
 
-# Tables of one batch are independent of each other until it is published.
-PARALLEL_TABLES = 4
+# Tables of one batch are independent of each other until it is published: so many are written side by side.
+PARALLEL_TABLES = 8
 
 # Look up the keys of a batch first if there are so many times more stored rows than events.
 MUCH_LARGER = 4
@@ -90,6 +92,7 @@ def apply_batch(
     before_publish: Callable[[], None] | None = None,
     max_versions: int = MAX_VERSIONS,
     on_bad: str = "fail",
+    parallel_tables: int = PARALLEL_TABLES,
 ) -> BatchResult:
     """Decode, keep the newest event per key, evolve the schemas, write what is newer than the
     replica's rows, and publish data and statistics of all tables as one version.
@@ -97,6 +100,9 @@ def apply_batch(
     Applying a batch twice, or batches in another order, leads to the same replica. More than ``max_versions`` versions of
     tables in one batch are an error, as then something other than schemas varies.
 
+    Counts, positions, schema versions and lags of all tables come from one pass over the messages; each table then is one
+    job, which decodes, ranks, guards and writes, ``parallel_tables`` at a time.
+
     A message that can't be decoded stops the job. With ``on_bad='quarantine'`` it is set apart instead, with the
     reason (see ``bad_messages``), and the others are applied. A table whose schema can't be used (it has no primary key, say)
     is then set apart as well; schemas that contradict the replica's still stop the job.
@@ -105,19 +111,26 @@ def apply_batch(
         raise ValueError(f"on_bad must be 'fail' or 'quarantine', not {on_bad!r}")
     started = _now()
     parts = split_messages(raw).drop("_value_schema", "_key_schema")
+    if on_bad == "fail":
+        parts = with_places(parts)
     kept = [parts.persist(StorageLevel.MEMORY_AND_DISK)]
+    came = raw.where(F.col("value").isNotNull())
     try:
         current = replica.version()
-        texts = versions_of_batch(raw.where(F.col("value").isNotNull()), parts, current.schemas, max_versions)
-        batch = _Batch(replica, current, run_id, consumer_id, started, kept)
+        batch = _Batch(replica, current, run_id, consumer_id, started, kept, parallel_tables)
         if on_bad == "fail":
+            summary = batch_summary(parts, max_versions)
+            texts = texts_of(came, _firsts(summary), current.schemas, max_versions)
             tables = versions_by_table(parse_versions(texts, logical_types))
             decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
-            return batch.apply(decoders, {**current.schemas, **texts}, before_publish)
+            found = {name: [r for r in summary if r["_version"] in of] for name, of in tables.items()}
+            schemas = replica.schemas_with(current.schemas, texts)
+            return batch.apply(decoders, schemas, before_publish, found=found, for_lag=parts)
+        texts = versions_of_batch(came, parts, current.schemas, max_versions)
         versions, unusable = usable_versions(texts, logical_types)
         tables = versions_by_table(versions)
         decoders = {name: partial(_decode_usable, parts, name, of, kept) for name, of in tables.items()}
-        schemas = {**current.schemas, **{i: texts[i] for i in versions}}
+        schemas = replica.schemas_with(current.schemas, {i: texts[i] for i in versions})
         return batch.apply(decoders, schemas, before_publish, raw, _of_versions(parts, unusable))
     finally:
         for df in kept:
@@ -140,12 +153,20 @@ def apply_events(
             for name, (events, version) in sorted(tables.items())
         }
         batch = _Batch(replica, current, run_id, consumer_id, _now(), kept)
-        return batch.apply(decoders, current.schemas)
+        return batch.apply(decoders, replica.schemas_with(current.schemas, {}))
     finally:
         for df in kept:
             df.unpersist()
 
 
+def _firsts(summary: Sequence[Row]) -> dict[int, Row]:
+    """Where one message of each version is."""
+    firsts: dict[int, Row] = {}
+    for r in sorted(summary, key=lambda r: tuple(map(str, r["first"]))):
+        firsts.setdefault(r["_version"], r["first"])
+    return firsts
+
+
 @dataclass(frozen=True)
 class _Surviving:
     """Events of one table, and apart from them those of versions that are superseded altogether."""
@@ -225,6 +246,7 @@ class _Batch:
     consumer_id: str
     started: datetime
     kept: list[DataFrame]  # to be released at the end
+    parallel_tables: int = PARALLEL_TABLES
 
     @property
     def number(self) -> int:
@@ -233,14 +255,20 @@ class _Batch:
     def apply(
         self,
         decoders: Mapping[str, Callable[[], _Surviving]],
-        schemas: dict[int, SchemaText],
+        schemas: SchemaTexts,
         before_publish: Callable[[], None] | None = None,
         raw: DataFrame | None = None,
         unusable: DataFrame | None = None,
+        found: Mapping[str, Sequence[Row]] | None = None,
+        for_lag: DataFrame | None = None,
     ) -> BatchResult:
-        """``raw`` is where bad messages are looked up; ``unusable`` tells those no table is known of."""
-        calls = [partial(lambda n, d: self._apply_table(n, d()), n, d) for n, d in decoders.items()]
-        done = dict(zip(decoders, _all(self.replica.spark, calls), strict=True))
+        """``raw`` is where bad messages are looked up; ``unusable`` tells those no table is known of. ``found`` is each table's
+        summary and ``for_lag`` has all events, where they are known from the messages already."""
+        calls = [
+            partial(lambda n, d: self._apply_table(n, d(), found[n] if found else None), n, d)
+            for n, d in decoders.items()
+        ]
+        done = dict(zip(decoders, _all(self.replica.spark, calls, self.parallel_tables), strict=True))
         result = BatchResult(version=self.number)
         states = dict(self.current.tables)
         for name, (counts, state, _, _) in done.items():
@@ -248,51 +276,59 @@ class _Batch:
             states[name] = state
         bad = [b for b in (unusable, *(b for _, _, _, b in done.values())) if b is not None]
         set_apart = self._set_apart(raw, bad, result) if raw is not None and bad else None
-        stats = self._write_stats(result, [events for _, _, events, _ in done.values()], set_apart)
+        lags = [events for _, _, events, _ in done.values() if events is not None]
+        stats = self._write_stats(result, lags if for_lag is None else [for_lag], set_apart)
         if before_publish:
             before_publish()
         self.replica.publish(Version(self.number, states, schemas, stats))
         return result
 
     def _apply_table(
-        self, name: str, surviving: _Surviving
-    ) -> tuple[BatchResult, TableState, DataFrame, DataFrame | None]:
+        self, name: str, surviving: _Surviving, found: Sequence[Row] | None = None
+    ) -> tuple[BatchResult, TableState, DataFrame | None, DataFrame | None]:
         """Counts, the table's next state, its events for the lag, and where its bad messages are."""
         decoded, dropped = surviving.decoded, surviving.dropped
         keys = decoded.keys
         state = self.current.tables.get(name)
         known = state.schema if state else None
         if state and state.keys != keys:
-            raise SchemaConflict(f"{name}: target key is {state.keys}, source key is {keys}")
+            raise SchemaConflict(f"the key of {name} was {', '.join(state.keys)} and now is {', '.join(keys)}")
         schema = evolve_schema(known, decoded.versions.values(), keys)
         state = TableState(schema, keys, state.commits if state else ())
 
-        # Parsed once, used for the counts, the merge and the lag.
         events, bad = decoded.events, surviving.bad
-        if bad is None:
-            events = events.persist(StorageLevel.MEMORY_AND_DISK)
-            self.kept.append(events)
-        found = _summary(events, keys).collect()
-        result = BatchResult(ops=Counter({r["_op"]: r["n"] for r in found}))
-        n_events = result.ops.total()
-        for_lag = events.select("_op", "_src_commit_at")
-        if dropped is not None:
-            for_lag = for_lag.unionByName(dropped.select("_op", "_src_commit_at"))
-            result.ops.update({r["_op"]: r["n"] for r in ops_counts(dropped).collect()})
+        result, for_lag = BatchResult(), None
+        if found is None:
+            # Parsed once, used for the counts, the merge and the lag.
+            if bad is None:
+                events = self._cached(events)
+            found = _summary(events, keys).collect()
+            for_lag = events.select("_op", "_src_commit_at")
+            if dropped is not None:
+                for_lag = for_lag.unionByName(dropped.select("_op", "_src_commit_at"))
+                result.ops.update({r["_op"]: r["n"] for r in ops_counts(dropped).collect()})
+        for r in found:
+            result.ops[r["_op"]] += r["n"]
+        n_events = sum(r["n"] for r in found)
         result.received = result.ops.total()
         if not found:
             return result, state, for_lag, bad
 
+        places = [tuple(r["oldest"]) for r in found if None not in tuple(r["oldest"])]
+        oldest = min(places, default=(0, 0))
+        since = (*oldest, 0)
+        commits = [c for c in state.commits if c.newest >= since]
+        if commits and for_lag is None:
+            # Read more than once now.
+            events = self._cached(events)
+        commits, buckets = self._reached(name, state, commits, events)
         staged = align_to(newest_per_key(events, keys), schema).select(
             *cols(schema.names),
             *META_COLUMNS[:-1],
             F.lit(self.started).cast("timestamp").alias("_applied_at"),
         )
-        oldest_file, oldest_pos = min(r["oldest"] for r in found)
-        since = (oldest_file, oldest_pos, 0)
-        commits = [c for c in state.commits if c.newest >= since]
-        stored = self.replica.stored(name, state, commits, since)
-        n_stored = sum(c.rows for c in commits)
+        stored = self.replica.stored(name, state, commits, since, buckets)
+        n_stored = sum(c.rows * len(buckets.get(c.name, range(c.buckets))) // c.buckets for c in commits)
         if stored is not None and n_stored > MUCH_LARGER * n_events:
             # The keys of the cached events: those of ``staged`` would be ranked once more.
             stored = stored_for(events, stored, keys, sum(r["key_bytes"] for r in found))
@@ -304,6 +340,25 @@ class _Batch:
         result.deduped = result.received - n_staged
         return result, state.plus(commit), for_lag, bad
 
+    def _cached(self, events: DataFrame) -> DataFrame:
+        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept.append(events)
+        return events
+
+    def _reached(
+        self, name: str, state: TableState, commits: Sequence[Commit], events: DataFrame
+    ) -> tuple[Sequence[Commit], dict[str, list[int]]]:
+        """The commits, and the buckets of them, that hold rows as new as the oldest event of a key there."""
+        many = max((c.buckets for c in commits), default=1)
+        if many == 1:
+            return commits, {}
+        by_file = events.groupBy(bucket_of(state, many).alias("bucket"), "_src_file").agg(F.min("_src_pos").alias("pos"))
+        oldest: dict[int, tuple[int, int]] = {}
+        for r in by_file.collect():  # a few per bucket
+            at = (r["_src_file"], r["pos"])
+            oldest[r["bucket"]] = min(at, oldest.get(r["bucket"], at))
+        return self.replica.reached(name, commits, oldest)
+
     def _set_apart(self, raw: DataFrame, places: Sequence[DataFrame], result: BatchResult) -> DataFrame | None:
         """The bad messages as they came, with the reasons; None if there are none."""
         at = reduce(DataFrame.unionByName, places).select("at.*").persist(StorageLevel.MEMORY_AND_DISK)

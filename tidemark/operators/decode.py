@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from tidemark.functions.wire import LOGICAL_TYPES, ColumnType, LogicalType, SchemaConflict, strictly
 from tidemark.operators.schema import TableVersion, evolve_schema, parse_version
@@ -78,10 +78,12 @@ def split_messages(raw: DataFrame) -> DataFrame:
         F.split(F.col("key").cast("string"), PAYLOAD_MARK, 2).alias("_key_cut"),
     )
     payload = F.get(F.col("_value_cut"), F.lit(1))
+    key_payload = F.coalesce(F.get(F.col("_key_cut"), F.lit(1)), F.col("_key"))
     parts = cut.select(
         "topic",
         "partition",
         "offset",
+        F.coalesce(F.octet_length(key_payload), F.lit(0)).alias("_key_bytes"),
         table_of(F.col("topic")).alias("_table"),
         _schema_part("_value").alias("_value_schema"),
         _schema_part("_key").alias("_key_schema"),
@@ -161,10 +163,17 @@ def versions_of_batch(
     )
     first = F.min(F.struct("topic", "partition", "offset")).alias("first")
     seen = by_partition.groupBy("_version").agg(first).limit(max_versions + 1).collect()
-    if len(seen) > max_versions:
-        raise _too_many(max_versions, [r["first"]["topic"] for r in seen])
-    texts = {r[0]: known[r[0]] for r in seen if r[0] in known}
-    new = [r["first"] for r in seen if r[0] not in known]
+    return texts_of(raw, {r[0]: r["first"] for r in seen}, known, max_versions)
+
+
+def texts_of(
+    raw: DataFrame, firsts: Mapping[int, Row], known: Mapping[int, SchemaText], max_versions: int = MAX_VERSIONS
+) -> dict[int, SchemaText]:
+    """Schema texts by version, given where one message of each is (topic, partition, offset)."""
+    if len(firsts) > max_versions:
+        raise _too_many(max_versions, [m["topic"] for m in firsts.values()])
+    texts = {i: known[i] for i in firsts if i in known}
+    new = [m for i, m in firsts.items() if i not in known]
     for start in range(0, len(new), LOOKUPS):
         first = F.lit(False)
         for m in new[start : start + LOOKUPS]:
@@ -174,6 +183,41 @@ def versions_of_batch(
     return texts
 
 
+def with_places(parts: DataFrame) -> DataFrame:
+    """Cut messages with what is the same in all tables: ``_op`` (null if it is none of ``OPS``), ``_src_file``,
+    ``_src_pos`` and ``_src_commit_at``. Row images aren't parsed."""
+    read = F.from_json("_message", _envelope(None, True))
+    file_number, commit_micros = _source(F.col("_p.source"))
+    places = parts.withColumn("_p", read["payload"]).withColumns(
+        {
+            "_op": F.when(F.col("_p.op").isin(*OPS), F.col("_p.op")),
+            "_src_file": file_number,
+            "_src_pos": F.col("_p.source.pos"),
+            "_src_commit_at": F.timestamp_micros(commit_micros),
+        }
+    )
+    return places.drop("_p")
+
+
+def batch_summary(places: DataFrame, max_versions: int = MAX_VERSIONS) -> list[Row]:
+    """Of all tables at once, a row per version and kind of change: ``_version``, ``_op``, ``n``, ``oldest`` (log file, offset),
+    ``key_bytes``, ``first`` (topic, partition, offset of a message). Not more rows than for ``max_versions`` + 1."""
+    # Minima of numbers are hashed, those of structs would sort all messages.
+    by_partition = places.groupBy("_version", "topic", "partition", "_op", "_src_file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("_src_pos").alias("_src_pos"),
+        F.min("offset").alias("offset"),
+        F.sum("_key_bytes").alias("key_bytes"),
+    )
+    by_op = by_partition.groupBy("_version", "_op").agg(
+        F.sum("n").alias("n"),
+        F.min(F.struct("_src_file", "_src_pos")).alias("oldest"),
+        F.sum("key_bytes").alias("key_bytes"),
+        F.min(F.struct("topic", "partition", "offset")).alias("first"),
+    )
+    return by_op.limit((len(OPS) + 1) * (max_versions + 1)).collect()
+
+
 def versions_by_table(versions: Mapping[int, TableVersion]) -> dict[str, dict[int, TableVersion]]:
     tables: dict[str, dict[int, TableVersion]] = {}
     for version_id, version in sorted(versions.items(), key=lambda v: (v[1].table, v[0])):
@@ -248,13 +292,7 @@ def decode_table(
         "_image", F.when(op == "d", F.col("_p.before")).otherwise(F.col("_p.after"))
     )
     source = F.col("_p.source")
-    file_name = source.getField("file")
-    file_number = F.when(
-        F.instr(file_name, ".") > 0, F.substring_index(file_name, ".", -1)
-    ).try_cast("int")
-    commit_micros = F.coalesce(
-        F.nullif(source.getField("ts_us"), F.lit(0)), source.getField("ts_ms") * 1000
-    )
+    file_number, commit_micros = _source(source)
     bad = (
         F.when(F.lit(False) if strict else F.col("_broken"), F.lit(BROKEN_JSON))
         .when(~F.coalesce(op.isin(*OPS), F.lit(False)), _unsupported(op))
@@ -295,7 +333,15 @@ def decode_table(
     return DecodedTable(table, events, keys, dict(versions))
 
 
-def _envelope(image: T.StructType, strict: bool) -> T.StructType:
+def _source(source: Column) -> tuple[Column, Column]:
+    """Number of the log file, and microseconds of the commit, of a message's ``source``."""
+    name = source.getField("file")
+    number = F.when(F.instr(name, ".") > 0, F.substring_index(name, ".", -1)).try_cast("int")
+    micros = F.coalesce(F.nullif(source.getField("ts_us"), F.lit(0)), source.getField("ts_ms") * 1000)
+    return number, micros
+
+
+def _envelope(image: T.StructType | None, strict: bool) -> T.StructType:
     source = T.StructType(
         [
             T.StructField("file", T.StringType()),
@@ -307,8 +353,7 @@ def _envelope(image: T.StructType, strict: bool) -> T.StructType:
     )
     payload = T.StructType(
         [
-            T.StructField("before", image),
-            T.StructField("after", image),
+            *(T.StructField(side, image) for side in ("before", "after") if image),
             T.StructField("op", T.StringType()),
             T.StructField("source", source),
         ]

@@ -1,18 +1,20 @@
 """A replica of several tables as Parquet files, with one visible version of all of them.
 
-Layout: ``<path>/<table>/_commit=<version>-<random>/*.parquet`` holds the rows one version added to a
+Layout: ``<path>/<table>/_commit=<version>-<random>/`` holds the rows one version added to a
 table (one row per key, each newer than every earlier commit's row of that key), and
 ``<path>/_versions/<version>.json`` names, per table, its schema, key and commits. Writing that file
 is what makes a version visible, for all tables at once. A job that dies before leaves directories no
 version names, which ``vacuum`` deletes.
 
 A commit costs what its batch costs, not what the table holds: nothing is rewritten. To read, the later
-commits are reduced to the newest row per key and override the first. ``fold`` joins small commits
-into larger ones, so that each row is rewritten a logarithmic number of times.
+commits are reduced to the newest row per key and override the first. ``rewrite`` makes one commit of all, when
+there are many; it is run apart from the batches.
 
-With ``buckets``, large commits are written as bucketed tables, one bucket per hash of the key. Reading
-such a table, or guarding a batch against it, then shuffles the small side only. The number should be
-that of ``spark.sql.shuffle.partitions``, so that a commit has one file per bucket.
+Rows of a large commit lie in directories by a hash of their key (``_bucket``), a partition column like any other. A file
+beside them tells each bucket's newest position, so a late event opens only buckets of its own keys that reach
+its position. Numbers of buckets are powers of two, so that a bucket of one commit is some of another's.
+
+Schema texts of messages are files named by their hash; a version names the hashes only.
 
 One writer per replica at a time. A second one fails when it publishes the same version, and harms
 nothing, as data, statistics and the draft of its version have names of its own.
@@ -20,30 +22,34 @@ nothing, as data, statistics and the draft of its version have names of its own.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import astuple, dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.columns import cols, position, quoted
 from tidemark.operators.decode import SchemaText
-from tidemark.operators.merge import drop_stale, live_view
+from tidemark.operators.merge import BROADCAST_BYTES, drop_stale, key_size, live_view
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.schema import with_meta
 
 Position = tuple[int, int, int]
 
-# Fold once this many commits of about one size have gathered.
-FOLD_AT = 4
+# Rows of a bucket at least, and buckets of a commit at most: smaller commits have fewer, or none.
+BUCKET_ROWS = 250_000
+BUCKETS = 1024
+
+# Column by which a large commit's rows are laid out, and the file that tells the newest position in each of its directories.
+BUCKET = "_bucket"
+_NEWEST = "_newest.json"
 
-# Smaller commits are not worth a file per bucket: they are broadcast, or cheap to shuffle.
-BUCKETED_ROWS = 5_000_000
+# Where a search for the latest version starts.
+_HINT = "_latest"
 
 
 class ConcurrentWrite(RuntimeError):
@@ -55,7 +61,8 @@ class Commit:
     name: str  # of its directory
     rows: int
     newest: Position
-    buckets: int = 0  # 0: plain files
+    buckets: int = 1  # 1: plain files
+    key_bytes: int = 0
 
 
 @dataclass(frozen=True)
@@ -72,8 +79,8 @@ class TableState:
 class Version:
     number: int = 0
     tables: dict[str, TableState] = field(default_factory=dict)
-    # Schema texts by message version, so that known ones need no look at the messages.
-    schemas: dict[int, SchemaText] = field(default_factory=dict)
+    # Schema texts by message version, so that known ones need no look at the messages. Kept in files of their own.
+    schemas: Mapping[int, SchemaText] = field(default_factory=dict)
     # Directories of statistics that belong to this version.
     stats: tuple[str, ...] = ()
 
@@ -88,36 +95,58 @@ class Version:
                     }
                     for name, t in self.tables.items()
                 },
-                "schemas": {str(i): list(text) for i, text in self.schemas.items()},
+                "schemas": sorted(self.schemas),
                 "stats": list(self.stats),
             }
         )
 
     @staticmethod
-    def from_json(number: int, text: str) -> Version:
+    def from_json(number: int, text: str, texts: Callable[[int], SchemaText]) -> Version:
         stored = json.loads(text)
         tables = {
             table: TableState(
                 T.StructType.fromJson(t["schema"]),
                 tuple(t["keys"]),
-                tuple(Commit(name, n, tuple(p), b) for name, n, p, b in t["commits"]),
+                tuple(Commit(name, n, tuple(p), *more) for name, n, p, *more in t["commits"]),
             )
             for table, t in stored["tables"].items()
         }
-        schemas = {int(i): tuple(of) for i, of in stored["schemas"].items()}
-        return Version(number, tables, schemas, tuple(stored["stats"]))
+        return Version(number, tables, SchemaTexts(stored["schemas"], texts), tuple(stored["stats"]))
+
+
+class SchemaTexts(Mapping[int, SchemaText]):
+    """Texts that are read when they are asked for."""
+
+    def __init__(self, ids: Iterable[int], read: Callable[[int], SchemaText]) -> None:
+        self._ids = frozenset(ids)
+        self._read = read
+
+    def __getitem__(self, i: int) -> SchemaText:
+        if i not in self._ids:
+            raise KeyError(i)
+        return self._read(i)
+
+    def __contains__(self, i: object) -> bool:
+        return i in self._ids
+
+    def __iter__(self) -> Iterator[int]:
+        return iter(self._ids)
+
+    def __len__(self) -> int:
+        return len(self._ids)
 
 
 class Replica:
     """Handle on a replica. Holds no state of its own; every call reads the published version."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 0) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
+        self.buckets = BUCKETS if buckets is None else buckets
         fs, of = self._file_system()
         self.path = fs.makeQualified(of(self.path)).toString()
         self._versions = f"{self.path}/_versions"
+        self._texts: dict[int, SchemaText] = {}
 
     # ---- versions
 
@@ -129,11 +158,23 @@ class Replica:
         return path(self.path).getFileSystem(hadoop), path
 
     def latest(self) -> int:
-        """Number of the visible version; 0 before the first."""
+        """Number of the visible version; 0 before the first. Versions have no gaps beyond the hint, so those that follow it
+        are tried one by one; the directory isn't listed."""
+        try:
+            number = int(self._get(f"{self._versions}/{_HINT}") or 0)
+        except ValueError:
+            number = 0
         fs, path = self._file_system()
-        if not fs.exists(path(self._versions)):
-            return 0
-        return max((n for n, _ in self._published(fs, path)), default=0)
+        if not number or not fs.exists(path(self._version_file(number))):
+            if not fs.exists(path(self._versions)):
+                return 0
+            number = max((n for n, _ in self._published(fs, path)), default=0)
+        while fs.exists(path(self._version_file(number + 1))):
+            number += 1
+        return number
+
+    def _version_file(self, number: int) -> str:
+        return f"{self._versions}/{number:020d}.json"
 
     def _published(self, fs, path):  # type: ignore[no-untyped-def]
         """Numbers and paths of the version files."""
@@ -142,33 +183,69 @@ class Replica:
             if suffix == "json" and stem.isdigit():
                 yield int(stem), entry.getPath()
 
+    def _get(self, name: str) -> str | None:
+        """Text of a file; None if there is none."""
+        fs, path = self._file_system()
+        if not fs.exists(path(name)):
+            return None
+        opened = fs.open(path(name))
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+        finally:
+            opened.close()
+
+    def _put(self, name: str, text: str, replace: bool = False) -> None:
+        fs, path = self._file_system()
+        out = fs.create(path(name), replace)
+        out.write(bytearray(text.encode()))
+        out.close()
+
     def version(self, number: int | None = None) -> Version:
         number = self.latest() if number is None else number
         if number == 0:
             return Version()
+        text = self._get(self._version_file(number))
+        if text is None:
+            raise FileNotFoundError(self._version_file(number))
+        return Version.from_json(number, text, self._schema_text)
+
+    def _schema_file(self, i: int) -> str:
+        return f"{self.path}/_schemas/{i}.json"
+
+    def _schema_text(self, i: int) -> SchemaText:
+        if i not in self._texts:
+            table, value, key = json.loads(self._get(self._schema_file(i)) or "null")
+            self._texts[i] = (table, value, key)
+        return self._texts[i]
+
+    def schemas_with(self, known: Mapping[int, SchemaText], texts: Mapping[int, SchemaText]) -> SchemaTexts:
+        """The known texts and others, which are written if they are new. A file is named by its content, so it never matters
+        who wrote it."""
         fs, path = self._file_system()
-        opened = fs.open(path(f"{self._versions}/{number:020d}.json"))
-        try:
-            io = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils
-            return Version.from_json(number, io.toString(opened, "UTF-8"))
-        finally:
-            opened.close()
+        for i, text in texts.items():
+            if i in known:
+                continue
+            draft = f"{self.path}/_schemas/_{i}.{uuid.uuid4().hex}"
+            self._put(draft, json.dumps(text))
+            if not fs.rename(path(draft), path(self._schema_file(i))):
+                fs.delete(path(draft), False)
+        return SchemaTexts({*known, *texts}, self._schema_text)
 
     def publish(self, version: Version) -> None:
         """Makes ``version`` the visible one, in a single step that fails if it exists. The draft is
         this attempt's own, so what becomes visible is what this caller wrote."""
         fs, path = self._file_system()
-        final = path(f"{self._versions}/{version.number:020d}.json")
-        draft = path(f"{self._versions}/_{version.number:020d}.{uuid.uuid4().hex}")
+        final = path(self._version_file(version.number))
+        draft = f"{self._versions}/_{version.number:020d}.{uuid.uuid4().hex}"
         fs.mkdirs(path(self._versions))
-        out = fs.create(draft, False)
-        out.write(bytearray(version.to_json().encode()))
-        out.close()
+        self._put(draft, version.to_json())
         try:
-            if not self._moved(fs, draft, final):
+            if not self._moved(fs, path(draft), final):
                 raise ConcurrentWrite(f"version {version.number} of {self.path} exists")
         finally:
-            fs.delete(draft, False)
+            fs.delete(path(draft), False)
+        # Any number that was published serves, so it doesn't matter whose stays, or if none does.
+        self._put(f"{self._versions}/{_HINT}", str(version.number), True)
 
     def _moved(self, fs, draft, final) -> bool:  # type: ignore[no-untyped-def]
         """Whether the draft got its final name. A rename of HDFS never replaces a file; a local one does,
@@ -220,10 +297,8 @@ class Replica:
             live.createOrReplaceTempView(prefix + table)
         return [prefix + t for t in sorted(current.tables)]
 
-    def _read(
-        self, table: str, state: TableState, commits: Sequence[Commit] | None = None
-    ) -> DataFrame:
-        commits = state.commits if commits is None else commits
+    def _read(self, table: str, state: TableState) -> DataFrame:
+        commits = state.commits
         if not commits:
             return self.spark.createDataFrame([], with_meta(state.schema))
         first = self._files(table, state, commits[:1])
@@ -232,48 +307,70 @@ class Replica:
         later = self._files(table, state, commits[1:])
         if len(commits) > 2:
             later = newest_per_key(later, state.keys)
-        # A later commit's row is newer than the first's: the guard saw to that.
-        kept = first.join(later.select(*cols(state.keys)), list(state.keys), "left_anti")
+        # A later commit's row is newer than the first's: the guard saw to that. Their keys are broadcast if the commits
+        # say that they are few, so that the first one, the bulk of the table, isn't shuffled.
+        overridden = later.select(*cols(state.keys))
+        if sum(c.key_bytes for c in commits[1:]) <= BROADCAST_BYTES:
+            overridden = F.broadcast(overridden)
+        kept = first.join(overridden, list(state.keys), "left_anti")
         return kept.select(*cols(first.columns)).unionByName(later)
 
-    def _files(self, table: str, state: TableState, commits: Iterable[Commit]) -> DataFrame:
+    def _files(
+        self, table: str, state: TableState, commits: Iterable[Commit], buckets: Mapping[str, Sequence[int]] | None = None
+    ) -> DataFrame:
+        """Rows of commits; only some ``buckets`` of those that are named there."""
         # The schema is given, so files from before a column was added or widened read as today's.
-        plain = [self._commit_path(table, c.name) for c in commits if not c.buckets]
-        frames = [self._bucketed(table, state, c) for c in commits if c.buckets]
-        if plain:
-            frames.append(self.spark.read.schema(with_meta(state.schema)).parquet(*plain))
-        return reduce(DataFrame.unionByName, frames)
-
-    def _bucketed(self, table: str, state: TableState, commit: Commit) -> DataFrame:
-        """A bucketed commit. Only a table of the catalog can tell Spark of buckets, so one is declared
-        over the files."""
         schema = with_meta(state.schema)
-        path = self._commit_path(table, commit.name).replace("'", "\\'")
-        declared = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-        by = ", ".join(quoted(k) for k in state.keys)
-        name = "tidemark_" + hashlib.md5(f"{path} {declared}".encode()).hexdigest()
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({declared}) USING parquet"
-            f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {commit.buckets} BUCKETS"
-            f" LOCATION '{path}'"
-        )
-        return self.spark.table(name).select(
-            *(F.col(quoted(f.name)).alias(f.name, metadata=f.metadata) for f in schema.fields)
-        )
+        plain = [self._commit_path(table, c.name) for c in commits if c.buckets == 1]
+        frames = [self.spark.read.schema(schema).parquet(*plain)] if plain else []
+        for c in commits:
+            if c.buckets > 1:
+                rows = self.spark.read.schema(schema).parquet(self._commit_path(table, c.name))
+                if buckets and c.name in buckets:
+                    rows = rows.where(F.col(BUCKET).isin(*buckets[c.name]))
+                frames.append(rows.select(*cols(schema.names)))
+        return reduce(DataFrame.unionByName, frames)
 
     def stored(
-        self, table: str, state: TableState, commits: Sequence[Commit], since: Position
+        self,
+        table: str,
+        state: TableState,
+        commits: Sequence[Commit],
+        since: Position,
+        buckets: Mapping[str, Sequence[int]] | None = None,
     ) -> DataFrame | None:
         """Rows that an event at ``since`` or later could lose against: those stored at that position
-        or after. ``commits`` are those that reach it; None if there are none, which is the normal
-        case of an ordered log. The condition on the position reaches the Parquet files."""
+        or after. ``commits`` are those that reach it, ``buckets`` the directories of them that do (see ``reached``); None if
+        there are none, which is the normal case of an ordered log. The condition on the position reaches the Parquet files."""
         if not commits:
             return None
         file_number, offset, _ = (F.lit(n) for n in since)
         reaches = (F.col("_src_file") > file_number) | (
             (F.col("_src_file") == file_number) & (F.col("_src_pos") >= offset)
         )
-        return self._files(table, state, commits).where(reaches)
+        return self._files(table, state, commits, buckets).where(reaches)
+
+    def reached(
+        self, table: str, commits: Sequence[Commit], oldest: Mapping[int, tuple[int, int]]
+    ) -> tuple[list[Commit], dict[str, list[int]]]:
+        """Commits, and buckets of those that have some, that hold rows at a batch's oldest position or later. ``oldest`` tells
+        it (log file, offset) per bucket of the batch, which has no fewer of them than any commit."""
+        reaching, buckets = [], {}
+        for c in commits:
+            own: dict[int, tuple[int, int]] = {}
+            for b, p in oldest.items():
+                own[b % c.buckets] = min(p, own.get(b % c.buckets, p))
+            newest = self._newest(table, c) if c.buckets > 1 else {0: c.newest}
+            some = sorted(b for b, p in own.items() if b in newest and newest[b] >= (*p, 0))
+            if some:
+                reaching.append(c)
+                if c.buckets > 1:
+                    buckets[c.name] = some
+        return reaching, buckets
+
+    def _newest(self, table: str, commit: Commit) -> dict[int, Position]:
+        text = self._get(f"{self._commit_path(table, commit.name)}/{_NEWEST}")
+        return {int(b): tuple(p) for b, p in json.loads(text or "{}").items()}  # type: ignore[misc]
 
     # ---- writing
 
@@ -299,52 +396,60 @@ class Replica:
         rows = rows.observe(came, F.count(F.lit(1)).alias("n"))
         if stored is not None:
             rows = drop_stale(rows, stored, state.keys)
+        size = key_size(rows, state.keys).alias("key_bytes")
         rows = rows.observe(
-            wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest")
+            wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), size
         )
         name = f"{version}-{uuid.uuid4().hex}"
         path = self._commit_path(table, name)
-        buckets = self._buckets_for(state, rows_at_most)
-        writer = rows.write.format("parquet")
-        if buckets:
-            by = list(state.keys)
-            draft = "tidemark_draft_" + uuid.uuid4().hex
-            writer.bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(draft)
-            self.spark.sql(f"DROP TABLE {draft}")  # leaves the files
+        buckets = self._buckets_for(rows_at_most)
+        if buckets == 1:
+            rows.write.parquet(path)
         else:
-            writer.save(path)
-        n, newest = wrote.get["n"], wrote.get["newest"]
-        return came.get["n"], Commit(name, n, tuple(newest), buckets) if n else None
-
-    def _buckets_for(self, state: TableState, rows: int) -> int:
-        # A decimal that widens falls into another bucket, so decimal keys have none.
-        stable = not any(isinstance(state.schema[k].dataType, T.DecimalType) for k in state.keys)
-        return self.buckets if stable and rows >= BUCKETED_ROWS else 0
-
-    def fold(self) -> list[str]:
-        """Joins commits of a table where enough of about one size have gathered. Returns the
-        tables it rewrote a part of."""
+            by = bucket_of(state, buckets)
+            # A multiple of each other: then the shuffle by key has put a bucket's rows into one task already.
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # type: ignore[arg-type]
+            if tasks % buckets and buckets % tasks:
+                rows = rows.repartition(buckets, by)
+            rows.withColumn(BUCKET, by).write.partitionBy(BUCKET).parquet(path)
+        n, newest, key_bytes = (wrote.get[c] for c in ("n", "newest", "key_bytes"))
+        commit = Commit(name, n, tuple(newest), buckets, key_bytes) if n else None
+        if commit and buckets > 1:
+            found = self.spark.read.schema(with_meta(state.schema)).parquet(path).groupBy(BUCKET).agg(
+                F.max(position()).alias("newest"))
+            self._put(f"{path}/{_NEWEST}", json.dumps({r[BUCKET]: list(r["newest"]) for r in found.collect()}))
+        return came.get["n"], commit
+
+    def _buckets_for(self, rows: int) -> int:
+        """The power of two up to ``buckets`` that leaves each at least ``BUCKET_ROWS`` rows."""
+        return 1 << max(0, min(self.buckets, rows // BUCKET_ROWS).bit_length() - 1)
+
+    def rewrite(self, tables: Iterable[str] | None = None) -> list[str]:
+        """One commit in place of all, for tables (by default all) that have several. Reading is then a plain scan. Reads and
+        writes whole tables, so it is for quiet times: a batch that is published meanwhile makes it fail, and the other way
+        round. Returns the tables it rewrote."""
         current = self.version()
-        number, tables = current.number + 1, dict(current.tables)
-        folded = []
-        for name, state in current.tables.items():
-            n = _foldable(state.commits)
-            if n < FOLD_AT:
+        number, states = current.number + 1, dict(current.tables)
+        done = []
+        for name in sorted(current.tables if tables is None else tables):
+            state = states[name]
+            if len(state.commits) < 2:
                 continue
-            old = state.commits[-n:]
-            rows = self._read(name, state, old)
-            _, commit = self.write_commit(name, state, rows, number, sum(c.rows for c in old))
+            rows = self._read(name, state).repartition(*cols(state.keys))
+            _, commit = self.write_commit(name, state, rows, number, sum(c.rows for c in state.commits))
             assert commit is not None
-            tables[name] = replace(state, commits=(*state.commits[:-n], commit))
-            folded.append(name)
-        if folded:
-            self.publish(replace(current, number=number, tables=tables))
-        return folded
+            states[name] = replace(state, commits=(commit,))
+            done.append(name)
+        if done:
+            self.publish(replace(current, number=number, tables=states))
+        return done
 
     def vacuum(self, keep_versions: int = 10) -> list[str]:
         """Deletes all but the last versions, and the commits and statistics none of them names. Returns
         the directories of these."""
         latest = self.latest()
+        if latest:
+            self._put(f"{self._versions}/{_HINT}", str(latest), True)
         oldest = max(1, latest - keep_versions + 1)
         kept = [self.version(n) for n in range(oldest, latest + 1)]
         named = {(t, c.name) for v in kept for t, s in v.tables.items() for c in s.commits}
@@ -383,12 +488,14 @@ class Replica:
         return f"{self.path}/_stats/{name}".rstrip("/")
 
 
-def _foldable(commits: Sequence[Commit]) -> int:
-    """How many of the last commits to join: going back while the next older one is not larger than all
-    younger ones together."""
-    n, rows = 0, 0
-    for c in reversed(commits):
-        if n and c.rows > rows:
-            break
-        n, rows = n + 1, rows + c.rows
-    return n
+def bucket_of(state: TableState, buckets: int) -> Column:
+    """The bucket of a row: by the hash that a shuffle by key takes as well. Decimals of one value have one bucket, however
+    wide they are, as they may widen."""
+    keys = []
+    for k in state.keys:
+        kind = state.schema[k].dataType
+        if isinstance(kind, T.DecimalType):
+            keys.append(F.col(quoted(k)).cast("double"))
+        else:
+            keys.append(F.col(quoted(k)))
+    return F.pmod(F.hash(*keys), F.lit(buckets))

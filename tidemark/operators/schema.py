@@ -94,7 +94,7 @@ def widen(table: str, have: T.StructField, come: T.StructField) -> T.DataType:
     elif a == b and (have.metadata or {}).get(KIND) == (come.metadata or {}).get(KIND):
         return a
     raise SchemaConflict(
-        f"{table}.{have.name}: target is {_spelled(have)}, source is {_spelled(come)}"
+        f"{table}.{have.name} is kept as {_spelled(have)} and comes as {_spelled(come)}"
     )
 
 
@@ -119,7 +119,7 @@ def evolve_schema(
         keys = keys or version.keys
         if tuple(keys) != version.keys:
             raise SchemaConflict(
-                f"{version.table}: target key is {tuple(keys)}, source key is {version.keys}"
+                f"the key of {version.table} was {', '.join(keys)} and now is {', '.join(version.keys)}"
             )
         for column in version.columns:
             come = replica_field(column, column.name not in keys)

@@ -3,8 +3,10 @@
 For each key, the rows of both sides are compared as multisets: *missing* keys are only in the source, *extra* ones only
 in the replica, *mismatched* ones in both with other rows, or with more copies of one.
 
-What is shuffled is keys and SHA-256 hashes of rows. The hashed form gives each field's length and tells NULL from
-any text, so different rows have different forms.
+What is shuffled is keys and SHA-256 hashes of rows, as numbers that add up: copies of a key collapse to sums before the
+shuffle, and a table's digest is made of the same sums. The hashed form gives each field's length and tells NULL from
+any text, so different rows have different forms. Tables that hardly differ needn't be shuffled at all, see
+``compare_localised``.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.columns import cols, quoted, same_keys
 from tidemark.functions.text import field_text, row_text
@@ -21,6 +23,14 @@ from tidemark.operators.replica import Replica
 # Hex digits of a hash that the groups of the bucketed digest share, at the lowest level.
 _DEPTH = 8
 
+# A row's hash as eight numbers of 32 bits; a 64-bit sum holds two billion of them.
+_PARTS = [f"_h{i}" for i in range(8)]
+# Groups that totals are added up in before they become decimals.
+_GROUPS = 256
+
+# Groups of keys whose sums are compared before any rows are.
+LOCAL_BUCKETS = 65_536
+
 
 # ---- comparison
 
@@ -32,18 +42,25 @@ def compare_tables(
     target lacks counts as NULL. Rows that share a key count once, as in a keyed table; how many
     more there are is reported."""
     joined = _joined_by_key(source, target, keys)
-    counted = joined.agg(
+    group = F.pmod(F.xxhash64(*(F.coalesce(F.col(f"s.{quoted(k)}"), F.col(f"t.{quoted(k)}")) for k in keys)), F.lit(_GROUPS))
+    grouped = joined.groupBy(group.alias("_group")).agg(
         F.count("s._copies").alias("source_rows"),
         F.count("t._copies").alias("target_rows"),
         F.count_if(_missing()).alias("missing"),
         F.count_if(_extra()).alias("extra"),
         F.count_if(_mismatched()).alias("mismatched"),
-        F.coalesce(F.sum(F.col("s._copies") - 1), F.lit(0)).alias("source_duplicates"),
-        F.coalesce(F.sum(F.col("t._copies") - 1), F.lit(0)).alias("target_duplicates"),
-        *_sums("s."),
-        *_sums("t."),
+        F.sum(F.col("s._copies") - 1).alias("source_duplicates"),
+        F.sum(F.col("t._copies") - 1).alias("target_duplicates"),
+        *(F.sum(f"{side}.{p}").alias(f"_{side}{p}") for side in "st" for p in _PARTS),
     )
-    report = counted.select(
+    none = F.lit(0).cast("bigint")
+    counts = [c for c in grouped.columns if not c.startswith("_")]
+    totals = grouped.agg(*(F.coalesce(F.sum(c), none).alias(c) for c in counts), *_totals("_s"), *_totals("_t"))
+    return _report(totals, table)
+
+
+def _report(totals: DataFrame, table: str) -> DataFrame:
+    report = totals.select(
         F.lit(table).alias("table"),
         "source_rows",
         "target_rows",
@@ -52,8 +69,8 @@ def compare_tables(
         "mismatched",
         "source_duplicates",
         "target_duplicates",
-        _digest_of_sums("source_rows", "s.").alias("source_sha256"),
-        _digest_of_sums("target_rows", "t.").alias("target_sha256"),
+        _digest(F.col("source_rows") + F.col("source_duplicates"), "_s").alias("source_sha256"),
+        _digest(F.col("target_rows") + F.col("target_duplicates"), "_t").alias("target_sha256"),
     )
     differences = F.col("missing") + F.col("extra") + F.col("mismatched")
     return report.withColumn(
@@ -61,6 +78,59 @@ def compare_tables(
     )
 
 
+def compare_localised(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], table: str = "", buckets: int = LOCAL_BUCKETS
+) -> DataFrame:
+    """The report of ``compare_tables`` for tables that hardly differ: rows are compared only where they do.
+
+    Keys are dealt by hash into ``buckets``, and both sides' rows are added up by bucket: that shuffles sums, ``buckets`` rows at most
+    from a task, and finds the buckets that differ. Only their rows are compared key by key; of equal tables none. Sums of row
+    hashes are equal for equal multisets of rows, and for others but by collision. Row counts of buckets that are equal are
+    those of rows, so copies of a key that are on both sides alike count as rows, not as duplicates.
+    """
+    sides = _hashed_sides(source, target, keys, buckets)
+    sums = [
+        side.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"), *(F.sum(p).alias(p) for p in _PARTS))
+        for side in sides
+    ]
+    same = F.lit(True)
+    for c in ("_rows", *_PARTS):
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+    both = sums[0].alias("s").join(sums[1].alias("t"), F.col("s._bucket") == F.col("t._bucket"), "full_outer").select(
+        F.coalesce("s._bucket", "t._bucket").alias("_bucket"), same.alias("_same"),
+        *(F.col(f"{side}.{c}").alias(f"_{side}{c}") for side in "st" for c in ("_rows", *_PARTS)),
+    )
+    none = F.lit(0).cast("bigint")
+    rows = [F.coalesce(F.sum(F.when(F.col("_same"), F.col(f"_{side}_rows"))), none) for side in "st"]
+    found = both.agg(
+        rows[0].alias("source_rows"), rows[1].alias("target_rows"),
+        *(none.alias(c) for c in ("missing", "extra", "mismatched", "source_duplicates", "target_duplicates")),
+        *_totals("_s"), *_totals("_t"), F.collect_list(F.when(~F.col("_same"), F.col("_bucket"))).alias("open"),
+    )
+    *values, open_ = found.first()  # one row, and at most a number per bucket
+    spark = source.sparkSession
+    totals = spark.createDataFrame([tuple(values)], T.StructType(found.schema.fields[:-1]))
+    if not open_:
+        return _report(totals, table)
+    few = F.broadcast(spark.createDataFrame([(b,) for b in open_], "_bucket int"))
+    opened = [side.join(few, "_bucket", "left_semi") for side in sides]
+    joined = _one_per_key(opened, keys)
+    counted = joined.agg(
+        F.count("s._copies").alias("source_rows"),
+        F.count("t._copies").alias("target_rows"),
+        F.count_if(_missing()).alias("missing"),
+        F.count_if(_extra()).alias("extra"),
+        F.count_if(_mismatched()).alias("mismatched"),
+        F.coalesce(F.sum(F.col("s._copies") - 1), none).alias("source_duplicates"),
+        F.coalesce(F.sum(F.col("t._copies") - 1), none).alias("target_duplicates"),
+    )
+    # The digests' sums are known; the counts of equal and of opened buckets add up.
+    digests = [c for c in totals.columns if c.startswith("_")]
+    both = totals.unionByName(
+        counted.select("*", *(F.lit(0).cast("decimal(38,0)").alias(c) for c in digests)))
+    return _report(both.agg(*(F.sum(c).cast(both.schema[c].dataType).alias(c) for c in both.columns)), table)
+
+
 def diff_examples(
     source: DataFrame, target: DataFrame, keys: Sequence[str], n: int = 2
 ) -> DataFrame:
@@ -109,28 +179,37 @@ def _extra() -> Column:
 
 
 def _mismatched() -> Column:
-    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in ("_copies", *_part_names("_w"))]
+    differ = [F.col(f"s.{p}") != F.col(f"t.{p}") for p in ("_copies", *_PARTS)]
     return reduce(Column.__or__, differ)
 
 
 def _joined_by_key(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    aligned = _with_columns_of(target, source)
+    return _one_per_key(_hashed_sides(source, target, keys), keys)
+
+
+def _hashed_sides(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], buckets: int | None = None
+) -> list[DataFrame]:
+    """Keys and hashes of both sides' rows, and a bucket by key if asked for."""
     sides = []
-    for name, df in (("s", source), ("t", aligned)):
-        row_hash = F.sha2(row_text(df, source.columns), 256).alias("_hash")
-        whole = F.sha2(_distinct_form(df, source.columns), 256).alias("_whole")
-        hashed = _keyed(df, source, target, keys, row_hash, whole).select(
-            *cols(keys), *_parts_of("_hash", "_h"), *_parts_of("_whole", "_w")
-        )
-        # Partial aggregation collapses copies of a key before the shuffle the join needs anyway. On
-        # numbers it hashes; on texts it would sort.
-        one_per_key = hashed.groupBy(*cols(keys)).agg(
-            *(F.min(p).alias(p) for p in _part_names("_h")),
-            *(_sum(p).alias(p) for p in _part_names("_w")),
-            F.count(F.lit(1)).alias("_copies"),
-        )
-        sides.append(one_per_key.alias(name))
-    return sides[0].join(sides[1], same_keys("s", "t", keys), "full_outer")
+    for df in (source, _with_columns_of(target, source)):
+        row_hash = F.sha2(_distinct_form(df, source.columns), 256).alias("_hash")
+        keyed = _keyed(df, source, target, keys, row_hash)
+        bucket = [F.pmod(F.hash(*cols(keys)), F.lit(buckets)).alias("_bucket")] if buckets else []
+        sides.append(keyed.select(*cols(keys), *bucket, *_parts_of("_hash")))
+    return sides
+
+
+def _one_per_key(sides: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    # Partial aggregation collapses copies of a key before the shuffle the join needs anyway. On
+    # numbers it hashes; on texts it would sort.
+    source, target = (
+        side.groupBy(*cols(keys)).agg(
+            *(F.sum(p).alias(p) for p in _PARTS), F.count(F.lit(1)).alias("_copies")
+        ).alias(name)
+        for name, side in zip("st", sides, strict=True)
+    )
+    return source.join(target, same_keys("s", "t", keys), "full_outer")
 
 
 def _keyed(
@@ -162,16 +241,19 @@ def _with_columns_of(target: DataFrame, source: DataFrame) -> DataFrame:
 def table_digest(df: DataFrame, mode: str = "sums") -> DataFrame:
     """One row (``rows``, ``sha256``) that does not depend on the order of rows.
 
-    ``sums``      adds up the row hashes, as four numbers each; needs no shuffle of rows
+    ``sums``      adds up the row hashes, as numbers; needs no shuffle of rows
     ``bucketed``  hashes sorted row hashes, grouped by their first eight hex digits, then the groups'
                   hashes, two digits shorter at a time
 
     Both are the same formula at every size: 10^12 rows make some 230 entries a group.
     """
-    hashed = df.select(F.sha2(row_text(df), 256).alias("_hash"))
+    hashed = df.select(F.sha2(_distinct_form(df, df.columns), 256).alias("_hash"))
     if mode == "sums":
-        sums = hashed.select(*_parts_of("_hash", "_h")).agg(F.count(F.lit(1)).alias("rows"), *_sums(""))
-        return sums.select("rows", _digest_of_sums("rows", "").alias("sha256"))
+        group = F.pmod(F.xxhash64("_hash"), F.lit(_GROUPS)).alias("_group")
+        grouped = hashed.select(group, *_parts_of("_hash")).groupBy("_group").agg(
+            F.count(F.lit(1)).alias("rows"), *(F.sum(p).alias(p) for p in _PARTS))
+        sums = grouped.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("rows"), *_totals(""))
+        return sums.select("rows", _digest(F.col("rows"), "").alias("sha256"))
     if mode != "bucketed":
         raise ValueError(f"unknown digest mode {mode!r}")
     return _bucketed_digest(hashed.withColumnRenamed("_hash", "_prefix"))
@@ -212,34 +294,25 @@ def _distinct_form(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws(",", *fields)
 
 
-def _part_names(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(4)]
-
-
-def _parts_of(row_hash: str, prefix: str) -> list[Column]:
-    """All 64 digits of a row hash, as four numbers that can be summed."""
-    digits = [F.substring(row_hash, 1 + i * 16, 16) for i in range(4)]
-    return [
-        F.conv(d, 16, 10).cast("decimal(20,0)").alias(p)
-        for d, p in zip(digits, _part_names(prefix), strict=True)
-    ]
+def _parts_of(row_hash: str) -> list[Column]:
+    """All 64 digits of a row hash, as numbers that can be summed."""
+    return [F.conv(F.substring(row_hash, 1 + i * 8, 8), 16, 10).cast("bigint").alias(p) for i, p in enumerate(_PARTS)]
 
 
-def _sums(side: str) -> list[Column]:
+def _totals(prefix: str) -> list[Column]:
+    """Sums of sums, in 38 digits, so for 10^18 rows."""
     zero = F.lit(0).cast("decimal(38,0)")
     return [
-        F.coalesce(_sum(side + p), zero).alias(side + p) for p in _part_names("_h")
+        F.coalesce(F.sum(F.col(prefix + p).cast("decimal(28,0)")), zero).alias(prefix + p) for p in _PARTS
     ]
 
 
-def _sum(part: str) -> Column:
-    """In 38 digits, so for 10^18 rows."""
-    return F.sum(F.col(part).cast("decimal(28,0)"))
-
-
-def _digest_of_sums(rows: str, side: str) -> Column:
-    parts = [F.col(rows).cast("string")]
-    parts += [F.col(quoted(side + p)).cast("string") for p in _part_names("_h")]
+def _digest(rows: Column, prefix: str) -> Column:
+    """SHA-256 over the number of rows and the sums of each 16 digits of their hashes."""
+    parts = [rows.cast("string")]
+    for high, low in zip(_PARTS[::2], _PARTS[1::2], strict=True):
+        whole = F.col(prefix + high) * F.lit(1 << 32).cast("decimal(10,0)") + F.col(prefix + low)
+        parts.append(whole.cast("decimal(38,0)").cast("string"))
     return F.sha2(F.concat_ws(":", *parts), 256)
 
 
@@ -259,10 +332,13 @@ def verify(
     sources: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]],
     version: int | None = None,
+    localised: bool = False,
 ) -> DataFrame:
-    """A report per source table, in name order. A table the replica does not have counts as empty."""
+    """A report per source table, in name order. A table the replica does not have counts as empty. ``localised`` compares rows only
+    where sums differ, for tables that hardly do."""
     targets = _targets(replica, sources, version)
-    reports = [compare_tables(sources[t], target, keys[t], t) for t, target in targets.items()]
+    compare = compare_localised if localised else compare_tables
+    reports = [compare(sources[t], target, keys[t], t) for t, target in targets.items()]
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.apply import apply_batch, apply_events, bad_messages, batch_stats, lag_stats
 from tidemark.operators.decode import BROKEN_JSON
@@ -12,6 +12,7 @@ from tidemark.operators.merge import guarded_merge, live_view, merge_counts
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Replica
 from tidemark.operators.schema import version_of
+from tidemark.operators.snapshot import key_ranges, snapshot_in_chunks as take_chunks
 from tidemark.operators.stats import run_ops, run_summary
 from tidemark.operators.verify import verify
 from tidemark.plans.decoding import (
@@ -41,6 +42,7 @@ from tidemark.plans.workspace import fresh_dir
 from tidemark.sources.changes import read_changes, snapshot_events
 from tidemark.sources.feeds import encode
 from tidemark.streaming.runner import run_state_stream, run_stream
+from tidemark.streaming.state import verify_state
 
 NEWEST_ORDERS = newest_sql("ordering", "o_orderkey")
 NEWEST_ACTIVITY = newest_sql("activity", "user_id")
@@ -161,9 +163,9 @@ def live_view_of_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {NEWEST_ACTIVITY}")
 def folded_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch per two days of the week, then their commits joined into one."""
+    """A batch per two days of the week, then the table as one commit."""
     replica = _by_weekday(spark, sf_dir)
-    replica.fold()
+    replica.rewrite()
     return replica.read("activity").select(*ACTIVITY_COLUMNS, *places())
 
 
@@ -262,6 +264,47 @@ def snapshot_then_stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("c_custkey", "c_mktsegment", "balance", *places()[:2])
 
 
+# Where the log begins (a log file), and where it stands when the chunks of a snapshot are read.
+_LOG_FROM, _LOG_AT = 4, (4, 5, 7, 8)
+
+
+@query(
+    f"""WITH {ORDERING_SQL}
+    SELECT {', '.join(ORDER_COLUMNS)}, op = 'd' AS deleted FROM {NEWEST_ORDERS}
+    WHERE NOT (op = 'd' AND f <= {_LOG_FROM})"""
+)
+def snapshot_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four ranges of orders, read while the log moves on from file to file; its batches are applied in between. What happened
+    before the log begins is known from the rows alone."""
+    events = ordering(spark, sf_dir)
+    replica, log = new_replica(spark, "chunks"), iter((*_LOG_AT[1:], 99))
+    now = _LOG_FROM
+
+    def position() -> tuple[int, int, int]:
+        return (now, 1 << 62, 0)
+
+    def read(condition: Column) -> DataFrame:
+        # The log moves on while a chunk is read, so some rows are ahead of the position that was noted.
+        nonlocal now
+        now += 1
+        happened = newest_per_key(events.where(F.col("_src_file") <= now), ORDERING_KEYS)
+        return live_view(happened, ORDER_COLUMNS).where(condition)
+
+    def moved(after: tuple[int, int, int], upto: tuple[int, int, int]) -> DataFrame:
+        return events.where((F.col("_src_file") > after[0]) & (F.col("_src_file") <= upto[0]))
+
+    def apply_log() -> None:
+        nonlocal now
+        before, now = now, max(now, next(log))
+        apply_batch(replica, _messages(events.where((F.col("_src_file") > before) & (F.col("_src_file") <= now))))
+
+    ranges = key_ranges(events, "o_orderkey", len(_LOG_AT))
+    take_chunks(replica, "orders", ORDERING_KEYS, read, ranges, position, moved, apply_log)
+    # What came while chunks were read is applied last.
+    apply_batch(replica, _messages(events.where(F.col("_src_file") > _LOG_FROM)))
+    return replica.read("orders").select(*ORDER_COLUMNS, F.col("_deleted").alias("deleted"))
+
+
 # ---- schema changes
 
 
@@ -349,6 +392,31 @@ def multi_table_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+TABLES = 40
+
+
+def spread(messages: DataFrame, tables: int = TABLES) -> DataFrame:
+    """Messages of one table as those of many, by key."""
+    return messages.withColumn(
+        "topic", F.concat("topic", F.lit("_"), F.pmod(F.get_json_object("key", "$.payload.user_id").cast("int"), F.lit(tables))))
+
+
+@query(
+    f"""WITH {ACTIVITY_SQL}
+    SELECT 'activity_' || (user_id % {TABLES}) AS "table", count(*) AS rows, count(*) FILTER (op = 'd') AS deleted
+    FROM {NEWEST_ACTIVITY} GROUP BY ALL"""
+)
+def many_tables_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty tables in one batch: one pass over the messages, then a job per table."""
+    replica = new_replica(spark, "many")
+    apply_batch(replica, spread(activity_messages(spark, sf_dir)))
+    counts = [
+        replica.read(t).select(F.lit(t).alias("table"), "_deleted") for t in replica.tables()
+    ]
+    rows = reduce(DataFrame.unionByName, counts)
+    return rows.groupBy("table").agg(F.count(F.lit(1)).alias("rows"), F.count_if("_deleted").alias("deleted"))
+
+
 @query(
     f"""WITH {ORDERING_SQL}, n AS (SELECT count(*) AS rows FROM {NEWEST_ORDERS} WHERE op <> 'd')
     SELECT 'orders' AS "table", rows AS source_rows, rows AS target_rows, 0::BIGINT AS missing, 0::BIGINT AS extra,
@@ -410,9 +478,7 @@ def stream_replica(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_state(replica.read("orders"))
 
 
-@query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {NEWEST_ACTIVITY}")
-def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same state kept by the streaming query itself."""
+def _state_stream(spark: SparkSession, sf_dir: str) -> tuple[Replica, str]:
     events, replica = activity(spark, sf_dir), new_replica(spark, "state")
     at_once = spark.sparkContext.defaultParallelism
     stream = (
@@ -422,9 +488,28 @@ def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     progress = fresh_dir(spark, "progress")
     run_state_stream(stream, ACTIVITY_KEYS, replica, "activity", progress).awaitTermination()
+    return replica, progress
+
+
+@query(f"WITH {ACTIVITY_SQL} SELECT {ACTIVITY_STATE} FROM {NEWEST_ACTIVITY}")
+def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming query itself keeps the positions, and lets newer events through."""
+    replica, _ = _state_stream(spark, sf_dir)
     return replica.read("activity").select(*ACTIVITY_COLUMNS, *places())
 
 
+@query(
+    f"""WITH {ACTIVITY_SQL}, n AS (SELECT count(*) AS rows FROM {NEWEST_ACTIVITY})
+    SELECT 'activity' AS "table", rows AS source_rows, rows AS target_rows, 0::BIGINT AS missing, 0::BIGINT AS extra,
+           0::BIGINT AS mismatched, true AS ok FROM n"""
+)
+def verify_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of that query, read back from its checkpoint, has the replica's keys and positions."""
+    replica, progress = _state_stream(spark, sf_dir)
+    report = verify_state(replica, "activity", progress)
+    return report.select("table", "source_rows", "target_rows", "missing", "extra", "mismatched", "ok")
+
+
 @query(
     f"""WITH {ACTIVITY_SQL}, good AS (SELECT * FROM activity WHERE event_type NOT IN ('view', 'purchase'))
     SELECT user_id, event_id, NULL AS why FROM {newest_sql('good', 'user_id')}

@@ -88,7 +88,7 @@ def encode(
     fields = [f for f in events.schema.fields if f.name not in extra]
     key_fields = [f for f in fields if f.name in keys]
     described = [column_schema(f, logical.get(f.name)) for f in fields]
-    row = {"type": "struct", "fields": described, "optional": True, "name": f"{prefix}.{table}.Value"}
+    row = {"type": "struct", "fields": described, "optional": True}
     schema = {
         "type": "struct",
         "fields": [
@@ -98,7 +98,6 @@ def encode(
             {"type": "string", "optional": False, "field": "op"},
         ],
         "optional": False,
-        "name": f"{prefix}.{table}.Envelope",
     }
     key_schema = {
         "type": "struct",

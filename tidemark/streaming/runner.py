@@ -15,9 +15,10 @@ from tidemark.functions.wire import LOGICAL_TYPES, LogicalType
 from tidemark.operators.apply import BatchResult, apply_batch, apply_events
 from tidemark.operators.decode import MAX_VERSIONS
 from tidemark.operators.replica import Replica
-from tidemark.operators.reduce import latest_state
 from tidemark.operators.schema import version_of
 from tidemark.operators.verify import caught_up, consumer_lag
+from tidemark.streaming.live import LiveStats
+from tidemark.streaming.state import newer_events
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,6 +36,7 @@ def run_stream(
     after_publish: Callable[[BatchResult], None] | None = None,
     max_versions: int = MAX_VERSIONS,
     on_bad: str = "fail",
+    stats: LiveStats | None = None,
 ) -> StreamingQuery:
     """Applies a stream of messages (see ``read_changes``) to a replica, batch by batch.
 
@@ -42,10 +44,10 @@ def run_stream(
     in between gets the batch again, finds every event stale, and changes nothing. The guard does
     not rely on batch numbers, so even a lost checkpoint is harmless. ``trigger`` defaults to
     taking what is there and stopping; the two callbacks let tests fail a batch at a given point; ``max_versions`` and
-    ``on_bad`` are those of ``apply_batch``.
+    ``on_bad`` are those of ``apply_batch``. ``stats`` is told of every batch once it is published, and of the query's pace.
     """
 
-    def handle(batch: DataFrame, _: int) -> None:
+    def handle(batch: DataFrame, number: int) -> None:
         result = apply_batch(
             Replica(batch.sparkSession, replica.path, replica.buckets),
             batch,
@@ -56,16 +58,22 @@ def run_stream(
             max_versions=max_versions,
             on_bad=on_bad,
         )
+        if stats:
+            stats.published(number, result)
         if after_publish:
             after_publish(result)
-        replica.fold()
 
-    return (
+    if stats:
+        source.sparkSession.streams.addListener(stats)
+    query = (
         source.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+    if stats:
+        stats.runs.add(str(query.runId))
+    return query
 
 
 def run_state_stream(
@@ -76,9 +84,9 @@ def run_state_stream(
     checkpoint: str,
     trigger: Mapping[str, Any] | None = None,
 ) -> StreamingQuery:
-    """The newest event per key as state of a streaming query (``latest_state``): rows that change are applied to a
-    table of the replica, whose guard makes repeated batches and a lost checkpoint harmless. ``events`` are typed, as those of
-    ``snapshot_events``.
+    """The position of the newest event per key as state of a streaming query (``newer_events``): events that are newer are
+    applied to a table of the replica, whose guard makes repeated batches and a lost checkpoint harmless. ``events`` are typed,
+    as those of ``snapshot_events``. ``verify_state`` compares the state with the replica.
 
     There is no watermark: an event may be arbitrarily late, so state never expires, and is kept on disk."""
     own = [f for f in events.schema.fields if f.name not in (*META_COLUMNS, *EVENT_COLUMNS)]
@@ -93,7 +101,7 @@ def run_state_stream(
             apply_events(at, {table: (came, version)})
 
     writer = (
-        latest_state(events, keys)
+        newer_events(events, keys)
         .writeStream.outputMode("update")
         .foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
