@@ -122,6 +122,19 @@ def test_json_and_times_compare(spark):
     assert not compare_tables(a, b, ["id"]).first().ok
 
 
+def test_typed_times_and_documents_compare(spark):
+    """As the texts they would be kept as: a replica with types against a source with texts, and against itself."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    typed = spark.sql("""select 1 as id, time'12:30:00.5' as at, parse_json('{"b":1, "a":[2, null]}') as doc
+        union all select 2, time'23:59:59.000001', null union all select 3, null, parse_json('"x"')""")
+    texts = spark.sql("""select 1 as id, '12:30:00.500000' as at, '{"a":[2,null],"b":1}' as doc
+        union all select 2, '23:59:59.000001', null union all select 3, null, '"x"'""")
+    assert compare_tables(typed, typed, ["id"]).first().ok
+    assert compare_tables(texts, typed, ["id"]).first().ok and compare_tables(typed, texts, ["id"]).first().ok
+    other = typed.withColumn("doc", F.parse_json(F.lit('{"b":1}')))
+    assert compare_tables(typed, other, ["id"]).first().mismatched == 3
+
+
 def test_examples_are_the_first_of_each_kind(tables):
     found = sorted(diff_examples(*tables, ["id"], n=1).collect())
     assert [(r.kind, r.key) for r in found] == [("extra", "10"), ("mismatched", "5"), ("missing", "0")]

@@ -17,10 +17,16 @@ _MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def text_of(column: Column, data_type: T.DataType, kind: str | None = None) -> Column:
-    """Exact decimals, timestamps to the microsecond without zone, booleans as 0/1, bytes as
+    """Exact decimals, times and timestamps to the microsecond without zone, booleans as 0/1, bytes as
     lower-case hex, JSON in canonical form, NULL as a marker."""
-    if kind == "json":
+    if isinstance(data_type, T.VariantType):
+        text = F.to_json(column)
+    elif kind == "json":
         text = canonical_json(column)
+    elif isinstance(data_type, T.TimeType):
+        # Its text leaves zeros at the end out.
+        short = column.cast("string")
+        text = F.rpad(F.when(F.instr(short, ".") > 0, short).otherwise(F.concat(short, F.lit("."))), 15, "0")
     elif isinstance(data_type, T.StringType):
         text = column
     elif isinstance(data_type, T.TimestampNTZType):

@@ -8,9 +8,9 @@ expression between the two. No UDF is involved.
 Differences from a row store that has unbounded types:
 
 * decimals are exact up to 38 digits, beyond that the job stops;
-* a time of day is kept as text ``HH:mm:ss.SSSSSS`` (Spark's TIME type is behind a flag);
-* JSON documents are kept as canonical text (keys sorted, no blanks), so equal documents compare
-  equal.
+* a time of day is kept as text ``HH:mm:ss.SSSSSS``, JSON documents as canonical text (keys sorted, no blanks), so equal
+  documents compare equal. With ``TYPED_LOGICAL_TYPES`` they are kept as TIME, which Spark has behind the flag
+  ``spark.sql.timeType.enabled``, and VARIANT, and compare by the same texts.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ JSON = "io.debezium.data.Json"
 KIND = "kind"
 
 # Kinds that are not named like the Spark type.
-KINDS = {"timestamp_ntz": "timestamp", "timestamp": "timestamptz"}
+KINDS = {"timestamp_ntz": "timestamp", "timestamp": "timestamptz", "variant": "json"}
 
 MICROS_PER_DAY = 86_400_000_000
 MAX_DECIMAL_DIGITS = 38
@@ -179,6 +179,16 @@ LOGICAL_TYPES: dict[str, LogicalType] = {
 }
 
 
+# The same, with a type of its own for times of day and JSON.
+TYPED_LOGICAL_TYPES: dict[str, LogicalType] = {
+    **LOGICAL_TYPES,
+    "io.debezium.time.MicroTime": LogicalType(
+        T.LongType(), T.TimeType(6), "time", lambda v: _time_of_day(v).cast(T.TimeType(6))
+    ),
+    JSON: LogicalType(T.StringType(), T.VariantType(), "json", F.try_parse_json, partial=True),
+}
+
+
 def column_type(
     table: str,
     described: Mapping[str, object],

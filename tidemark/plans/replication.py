@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.functions.text import field_text
+from tidemark.functions.wire import JSON, MICROS_PER_DAY, TYPED_LOGICAL_TYPES
 from tidemark.operators.apply import apply_batch, apply_events, bad_messages, batch_stats, lag_stats
 from tidemark.operators.decode import BROKEN_JSON
 from tidemark.operators.merge import guarded_merge, live_view, merge_counts
@@ -364,6 +366,28 @@ def replica_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replica.catalog()
 
 
+@query(
+    f"""WITH {ACTIVITY_SQL}
+    SELECT user_id, strftime(ts, '%H:%M:%S.%f') AS at, '{{"kind":"' || event_type || '","n":[' || event_id || ',null]}}' AS doc
+    FROM {NEWEST_ACTIVITY}"""
+)
+def typed_times_and_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of day as TIME, JSON as VARIANT, through messages and files and back to the texts they compare by."""
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    events = activity(spark, sf_dir)
+    micros = F.pmod(F.unix_micros("_src_commit_at"), F.lit(MICROS_PER_DAY))
+    # Written in another order, with blanks.
+    doc = F.format_string('{"n": [%d, null],  "kind": "%s"}', "event_id", "event_type")
+    events = events.select("user_id", micros.alias("at"), doc.alias("doc"), *(c for c in events.columns if c.startswith("_")))
+    logical = {"at": "io.debezium.time.MicroTime", "doc": JSON}
+    replica = new_replica(spark, "typed")
+    apply_batch(replica, encode(events, "activity", ACTIVITY_KEYS, logical=logical), logical_types=TYPED_LOGICAL_TYPES)
+    rows = replica.read("activity")
+    kinds = [rows.schema[c].dataType.simpleString() for c in ("at", "doc")]
+    assert kinds == ["time(6)", "variant"], kinds
+    return rows.select("user_id", *(field_text(rows.schema[c]).alias(c) for c in ("at", "doc")))
+
+
 # ---- several tables
 
 
