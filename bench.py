@@ -33,7 +33,7 @@ from tidemark.plans.feeds import (
     ordering,
     shipping,
 )
-from tidemark.plans.replication import files_of, new_replica, only
+from tidemark.plans.replication import files_of, new_replica, only, spread
 from tidemark.plans.workspace import fresh_dir
 from tidemark.sources.changes import read_changes
 from tidemark.streaming.runner import run_stream
@@ -109,6 +109,12 @@ def main() -> None:
         lambda: apply_batch(new_replica(spark, "bench"), everything),
         total,
     )
+    # The same messages as one table's and as forty tables'.
+    many = fresh_dir(spark, "messages-of-many")
+    spread(raws["activity"]).write.parquet(many)
+    one_table, many_tables = raws["activity"], read_changes(spark, many)
+    timed("apply_one_table", lambda: apply_batch(new_replica(spark, "bench"), one_table), counts["activity"])
+    timed("apply_40_tables", lambda: apply_batch(new_replica(spark, "bench"), many_tables), counts["activity"])
     replica = new_replica(spark, "bench")
     apply_batch(replica, everything)
     timed("apply_replay_all_stale", lambda: apply_batch(replica, everything), total)
@@ -124,6 +130,12 @@ def main() -> None:
         assert verdict(report).first()["all_ok"], report.collect()
 
     timed("verify_replica", check, 2 * source.count())
+
+    def check_localised() -> None:
+        report = verify(replica, {"orders": source}, {"orders": ORDERING_KEYS}, localised=True)
+        assert verdict(report).first()["all_ok"], report.collect()
+
+    timed("verify_replica_localised", check_localised, 2 * source.count())
     orders = checking._orders(spark, SF_DIR)
     timed("digest_sums", lambda: table_digest(orders).collect(), orders.count())
     timed("digest_bucketed", lambda: table_digest(orders, "bucketed").collect(), orders.count())

@@ -46,7 +46,11 @@ from tidemark.operators.stats import (
 )
 
 # Tables of one batch are independent of each other until it is published: so many are written side by side.
-PARALLEL_TABLES = 8
+PARALLEL_TABLES = 16
+
+# A table with so few events is one task, without a shuffle, if the whole batch that it is looked for in isn't larger than
+# that. So many small tables fill the executors side by side.
+ONE_TASK, LOOKED_THROUGH = 25_000, 1_000_000
 
 # Look up the keys of a batch first if there are so many times more stored rows than events.
 MUCH_LARGER = 4
@@ -120,6 +124,7 @@ def apply_batch(
         batch = _Batch(replica, current, run_id, consumer_id, started, kept, parallel_tables)
         if on_bad == "fail":
             summary = batch_summary(parts, max_versions)
+            batch = replace(batch, messages=sum(r["n"] for r in summary))
             texts = texts_of(came, _firsts(summary), current.schemas, max_versions)
             tables = versions_by_table(parse_versions(texts, logical_types))
             decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
@@ -247,6 +252,7 @@ class _Batch:
     started: datetime
     kept: list[DataFrame]  # to be released at the end
     parallel_tables: int = PARALLEL_TABLES
+    messages: int = 0  # of all tables, where that is known beforehand
 
     @property
     def number(self) -> int:
@@ -314,6 +320,8 @@ class _Batch:
         if not found:
             return result, state, for_lag, bad
 
+        if for_lag is None and n_events <= ONE_TASK and self.messages <= LOOKED_THROUGH:
+            events = events.coalesce(1)
         places = [tuple(r["oldest"]) for r in found if None not in tuple(r["oldest"])]
         oldest = min(places, default=(0, 0))
         since = (*oldest, 0)
