@@ -206,8 +206,8 @@ def test_huge_and_tiny_components_link(spark):
 # ---- the draw of shards
 
 
-def test_draws_are_recomputed(spark, table):
-    """A row's shard is the one whose waiting time is the least, hash by hash."""
+def test_draws_move_rows_only_into_a_new_shard(spark):
+    """Of any weights, and whatever the layout."""
     docs = spark.createDataFrame([(i,) for i in range(300)], "doc_id long").withColumn("text", F.lit("x"))
     weights = [1.0, 3.0, 2.0, 4.0]
     found = sharding.shards(docs, weights, [*weights, 2.0])
