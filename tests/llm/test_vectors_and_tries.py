@@ -10,7 +10,6 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from tests.llm.conftest import SF
 from tidemark.llm import search, trie, whitening
 
 VECTORS = "vec_id long, embedding array<double>, label int, n long, rank int"
