@@ -2,6 +2,7 @@ import json
 import re
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -453,6 +454,68 @@ def test_many_tables_in_one_pass(replica, monkeypatch):
     assert [replica.read(t).count() for t in tables] == [n + 1 for n in range(12)]
 
 
+#: Tables with the same columns, of names that paths don't take as they are, and two with others.
+LIKE = ["north", "south", "east 1%41=ü"]
+PLANT = [
+    change(op, reading(slot, state, meter=f"m{slot}"), pos, file=file, table=t, offset=1_000 * n + i, fields=f)
+    for n, (t, f) in enumerate([*((t, FIRST) for t in LIKE), ("newer", LATER), ("later", LATER)])
+    for i, (op, slot, state, file, pos) in enumerate(
+        [("c", 1, "raw", 11, 10 + n), ("u", 1, "fixed", 11, 20 + n), ("c", 2, "raw", 11, 30), ("d", 2, "raw", 12, 5 - n // 2),
+         ("u", 3 + n, "late", 11, 40), ("u", 1, "old", 11, 15)]
+    )
+]
+
+
+@pytest.mark.parametrize(
+    "batches, many_stored",
+    [
+        ([PLANT[1::2], PLANT[::2] * 2], 4),
+        ([PLANT[9:][::-1], PLANT], 0),
+    ],
+)
+def test_tables_that_are_alike_end_as_by_themselves(spark, tmp_path, monkeypatch, batches, many_stored):
+    monkeypatch.setattr(applying, "MUCH_LARGER", many_stored)
+    ends = []
+    for most in (applying.ONE_TASK, 0):
+        monkeypatch.setattr(applying, "ONE_TASK", most)
+        replica = Replica(spark, str(tmp_path / f"of-{most}"))
+        counts = [send(replica, *batch) for batch in batches]
+        rows = {t: sorted(map(str, replica.read(t).drop("_applied_at").collect())) for t in replica.tables()}
+        kept = {t: [c.rows for c in s.commits] for t, s in replica.version().tables.items()}
+        bytes_ = {t: [(c.newest, c.key_bytes) for c in s.commits] for t, s in replica.version().tables.items()}
+        stats = [r[1:] for r in batch_stats(replica).select("version", "received", "deduped", "applied", "stale", "ops").orderBy("version").collect()]
+        ends.append((counts, rows, kept, bytes_, stats))
+    assert ends[0] == ends[1]
+    assert sorted(ends[0][1]) == sorted([*LIKE, "newer", "later"])
+
+
+def test_tables_that_are_alike_share_jobs(replica, monkeypatch):
+    """However many they are; a table of other columns goes by itself, and so does a large one."""
+    groups, own = [], []
+    alike, by_itself = applying._Batch._apply_alike, applying._Batch._apply_table
+    monkeypatch.setattr(
+        applying._Batch, "_apply_alike", lambda self, p, g: groups.append(sorted(a.table for a in g)) or alike(self, p, g))
+    monkeypatch.setattr(
+        applying._Batch, "_apply_table", lambda self, n, *a: own.append(n) or by_itself(self, n, *a))
+    monkeypatch.setattr(applying, "ONE_TASK", 6)
+    wide = [change("c", reading(k), 90 + k, table="south", offset=9_000 + k) for k in range(30, 40)]
+    other = change("c", {"meter": "x", "slot": 1}, 7, table="other", fields=(METER, SLOT))
+    send(replica, *PLANT, *wide, other)
+    assert sorted(groups) == sorted([sorted(set(LIKE) - {"south"}), ["later", "newer"]])
+    assert sorted(own) == ["other", "south"]
+    assert [len(list(Path(replica.path.removeprefix("file:"), "later").glob("_commit=*/*.parquet")))] == [1]
+    assert not list(Path(replica.path.removeprefix("file:"), "_scratch").glob("*"))
+
+
+def test_a_schema_that_moves_on_leaves_its_group(replica):
+    """Tables are alike by what they become, not only by what comes."""
+    send(replica, *(change("c", reading(1), n, table=t) for n, t in enumerate(["a", "b", "c"])))
+    send(replica, change("u", reading(1) | {"note": "n"}, 50, table="c", fields=LATER))
+    assert send(replica, *(change("u", reading(2), 60 + n, table=t) for n, t in enumerate(["a", "b", "c"]))) == (3, 0, 0)
+    assert "note" not in replica.read("a").columns
+    assert {(r.slot, r.note) for r in replica.read("c").collect()} == {(1, "n"), (2, None)}
+
+
 def test_statistics(replica):
     send(replica, change("r", reading(1), 1), change("c", reading(2), 2, ts_us=COMMIT_US), change("d", reading(2), 3, ts_us=COMMIT_US),
          run_id="one", consumer_id="c1")

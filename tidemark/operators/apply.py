@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections import Counter
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -30,9 +30,9 @@ from tidemark.operators.decode import (
     versions_of_batch,
     with_places,
 )
-from tidemark.operators.merge import key_size, stored_for
+from tidemark.operators.merge import drop_stale, key_size, stored_for
 from tidemark.operators.reduce import newest_per_key
-from tidemark.operators.replica import Commit, Replica, SchemaTexts, TableState, Version, bucket_of
+from tidemark.operators.replica import Commit, Position, Replica, SchemaTexts, TableState, Version, bucket_of
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
 from tidemark.operators.stats import (
     BAD_SCHEMA,
@@ -62,6 +62,9 @@ _WITH_BAD = "-bad"
 
 T_ = TypeVar("T_")
 
+# Counts, the table's next state, its events for the lag, and where its bad messages are.
+_Done = tuple["BatchResult", TableState, DataFrame | None, DataFrame | None]
+
 # Lag percentiles of a run report.
 REPORTED = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
 
@@ -105,7 +108,8 @@ def apply_batch(
     tables in one batch are an error, as then something other than schemas varies.
 
     Counts, positions, schema versions and lags of all tables come from one pass over the messages; each table then is one
-    job, which decodes, ranks, guards and writes, ``parallel_tables`` at a time.
+    job, which decodes, ranks, guards and writes, ``parallel_tables`` at a time. Small tables with the same columns, such as
+    those of many tenants, are one job together.
 
     A message that can't be decoded stops the job. With ``on_bad='quarantine'`` it is set apart instead, with the
     reason (see ``bad_messages``), and the others are applied. A table whose schema can't be used (it has no primary key, say)
@@ -127,10 +131,15 @@ def apply_batch(
             batch = replace(batch, messages=sum(r["n"] for r in summary))
             texts = texts_of(came, _firsts(summary), current.schemas, max_versions)
             tables = versions_by_table(parse_versions(texts, logical_types))
-            decoders = {name: partial(_decode, parts, name, of) for name, of in tables.items()}
-            found = {name: [r for r in summary if r["_version"] in of] for name, of in tables.items()}
+            by_version: dict[int, list[Row]] = {}
+            for r in summary:
+                by_version.setdefault(r["_version"], []).append(r)
+            found = {name: [r for i in of for r in by_version.get(i, ())] for name, of in tables.items()}
+            alike = batch.alike(tables, found)
+            together = {a.table for group in alike for a in group}
+            decoders = {n: partial(_decode, parts, n, of) for n, of in tables.items() if n not in together}
             schemas = replica.schemas_with(current.schemas, texts)
-            return batch.apply(decoders, schemas, before_publish, found=found, for_lag=parts)
+            return batch.apply(decoders, schemas, before_publish, found=found, for_lag=parts, alike=alike)
         texts = versions_of_batch(came, parts, current.schemas, max_versions)
         versions, unusable = usable_versions(texts, logical_types)
         tables = versions_by_table(versions)
@@ -243,6 +252,21 @@ def _of_versions(parts: DataFrame, why: Mapping[int, str]) -> DataFrame | None:
     return of.select(place.alias("at"))
 
 
+@dataclass(frozen=True)
+class _Alike:
+    """A small table that is applied together with others of the same columns."""
+
+    table: str
+    number: int  # of its only version in the batch, so that this tells tables apart
+    version: TableVersion
+    state: TableState
+    found: Sequence[Row]
+
+    @property
+    def events(self) -> int:
+        return sum(r["n"] for r in self.found)
+
+
 @dataclass(frozen=True)
 class _Batch:
     replica: Replica
@@ -267,14 +291,17 @@ class _Batch:
         unusable: DataFrame | None = None,
         found: Mapping[str, Sequence[Row]] | None = None,
         for_lag: DataFrame | None = None,
+        alike: Sequence[Sequence[_Alike]] = (),
     ) -> BatchResult:
         """``raw`` is where bad messages are looked up; ``unusable`` tells those no table is known of. ``found`` is each table's
-        summary and ``for_lag`` has all events, where they are known from the messages already."""
-        calls = [
-            partial(lambda n, d: self._apply_table(n, d(), found[n] if found else None), n, d)
+        summary and ``for_lag`` has all events, where they are known from the messages already. ``alike`` are tables that are
+        applied together."""
+        calls: list[Callable[[], dict[str, _Done]]] = [
+            partial(lambda n, d: {n: self._apply_table(n, d(), found[n] if found else None)}, n, d)
             for n, d in decoders.items()
         ]
-        done = dict(zip(decoders, _all(self.replica.spark, calls, self.parallel_tables), strict=True))
+        calls += [partial(self._apply_alike, for_lag, group) for group in alike]
+        done = {n: d for some in _all(self.replica.spark, calls, self.parallel_tables) for n, d in some.items()}
         result = BatchResult(version=self.number)
         states = dict(self.current.tables)
         for name, (counts, state, _, _) in done.items():
@@ -289,18 +316,73 @@ class _Batch:
         self.replica.publish(Version(self.number, states, schemas, stats))
         return result
 
-    def _apply_table(
-        self, name: str, surviving: _Surviving, found: Sequence[Row] | None = None
-    ) -> tuple[BatchResult, TableState, DataFrame | None, DataFrame | None]:
-        """Counts, the table's next state, its events for the lag, and where its bad messages are."""
-        decoded, dropped = surviving.decoded, surviving.dropped
-        keys = decoded.keys
+    def _state(self, name: str, versions: Iterable[TableVersion], keys: tuple[str, ...]) -> TableState:
+        """The table as it is, with the schema that it has after the batch."""
         state = self.current.tables.get(name)
-        known = state.schema if state else None
         if state and state.keys != keys:
             raise SchemaConflict(f"the key of {name} was {', '.join(state.keys)} and now is {', '.join(keys)}")
-        schema = evolve_schema(known, decoded.versions.values(), keys)
-        state = TableState(schema, keys, state.commits if state else ())
+        schema = evolve_schema(state.schema if state else None, versions, keys)
+        return TableState(schema, keys, state.commits if state else ())
+
+    def alike(
+        self, tables: Mapping[str, Mapping[int, TableVersion]], found: Mapping[str, Sequence[Row]]
+    ) -> list[list[_Alike]]:
+        """Small tables by what they have in common: the columns of their only version in the batch, the key, and the schema
+        they have after it. Tables with a commit laid out by bucket go by themselves."""
+        groups: dict[object, list[_Alike]] = {}
+        for name, of in tables.items():
+            if len(of) > 1 or sum(r["n"] for r in found[name]) > ONE_TASK:
+                continue
+            [(number, version)] = of.items()
+            state = self._state(name, [version], version.keys)
+            if all(c.buckets == 1 for c in state.commits):
+                same = (version.columns, version.keys, state.schema.json())
+                groups.setdefault(same, []).append(_Alike(name, number, version, state, found[name]))
+        return [group for group in groups.values() if len(group) > 1]
+
+    def _apply_alike(self, parts: DataFrame, group: Sequence[_Alike]) -> dict[str, _Done]:
+        """The same as ``_apply_table`` for tables that are alike, as one job: ``_version`` is a part of each key. Every
+        table is small, so its rows are one task's, and its commit is one file."""
+        first, keys = group[0], ("_version", *group[0].version.keys)
+        versions = {a.number: a.version for a in group}
+        events = decode_table(parts, first.table, versions, alike=[a.table for a in group[1:]]).events
+        since, reached = _reached_alike(group)
+        if reached:
+            events = self._cached(events)
+        together = events.repartition(F.col("_version"))
+        staged = align_to(newest_per_key(together, keys), first.state.schema).select(
+            "_version", *self._row(first.state.schema)
+        )
+        came = None
+        if reached:
+            staged = self._cached(staged)
+            came = {r["_version"]: r["count"] for r in staged.groupBy("_version").count().collect()}  # one per table
+            stored = self.replica.stored_alike(first.state, {n: (t, i) for n, (t, i, _) in reached.items()}, since)
+            if sum(rows for _, _, rows in reached.values()) > MUCH_LARGER * sum(a.events for a in group):
+                stored = stored_for(events, stored, keys, sum(r["key_bytes"] for a in group for r in a.found))
+            staged = drop_stale(staged, stored, keys).repartition(F.col("_version"))
+        commits = self.replica.write_alike({a.number: (a.table, a.state) for a in group}, staged, self.number)
+        done: dict[str, _Done] = {}
+        for a in group:
+            commit = commits.get(a.table)
+            applied = commit.rows if commit else 0
+            n_staged = applied if came is None else came.get(a.number, 0)
+            result = BatchResult(a.events, a.events - n_staged, applied, n_staged - applied)
+            for r in a.found:
+                result.ops[r["_op"]] += r["n"]
+            done[a.table] = (result, a.state.plus(commit), None, None)
+        return done
+
+    def _row(self, schema: T.StructType) -> list[Column]:
+        """A replica's row out of an event aligned to ``schema``."""
+        applied_at = F.lit(self.started).cast("timestamp").alias("_applied_at")
+        return [*cols(schema.names), *cols(META_COLUMNS[:-1]), applied_at]
+
+    def _apply_table(self, name: str, surviving: _Surviving, found: Sequence[Row] | None = None) -> _Done:
+        decoded, dropped = surviving.decoded, surviving.dropped
+        keys = decoded.keys
+        state = self._state(name, decoded.versions.values(), keys)
+        schema = state.schema
 
         events, bad = decoded.events, surviving.bad
         result, for_lag = BatchResult(), None
@@ -322,19 +404,13 @@ class _Batch:
 
         if for_lag is None and n_events <= ONE_TASK and self.messages <= LOOKED_THROUGH:
             events = events.coalesce(1)
-        places = [tuple(r["oldest"]) for r in found if None not in tuple(r["oldest"])]
-        oldest = min(places, default=(0, 0))
-        since = (*oldest, 0)
+        since = _since(found)
         commits = [c for c in state.commits if c.newest >= since]
         if commits and for_lag is None:
             # Read more than once now.
             events = self._cached(events)
         commits, buckets = self._reached(name, state, commits, events)
-        staged = align_to(newest_per_key(events, keys), schema).select(
-            *cols(schema.names),
-            *META_COLUMNS[:-1],
-            F.lit(self.started).cast("timestamp").alias("_applied_at"),
-        )
+        staged = align_to(newest_per_key(events, keys), schema).select(*self._row(schema))
         stored = self.replica.stored(name, state, commits, since, buckets)
         n_stored = sum(c.rows * len(buckets.get(c.name, range(c.buckets))) // c.buckets for c in commits)
         if stored is not None and n_stored > MUCH_LARGER * n_events:
@@ -418,6 +494,21 @@ class _Batch:
         return (*(n for n in self.current.stats if n not in gone), name)
 
 
+def _since(found: Iterable[Row]) -> Position:
+    """Where the log starts that a summary is of."""
+    places = [tuple(r["oldest"]) for r in found if None not in tuple(r["oldest"])]
+    return (*min(places, default=(0, 0)), 0)
+
+
+def _reached_alike(group: Sequence[_Alike]) -> tuple[Position, dict[str, tuple[str, int, int]]]:
+    """The oldest position of the tables, and the commits that reach their table's: by name the table, its number, and rows."""
+    reached = {}
+    for a in group:
+        since = _since(a.found)
+        reached |= {c.name: (a.table, a.number, c.rows) for c in a.state.commits if c.newest >= since}
+    return min(_since(a.found) for a in group), reached
+
+
 def _all(spark: SparkSession, calls: Sequence[Callable[[], T_]], threads: int = PARALLEL_TABLES) -> list[T_]:
     """Results of calls that run side by side. Their jobs belong to the caller's job group and pool, so
     that stopping a query stops them."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
@@ -243,8 +243,10 @@ def decode_table(
     keys_only: bool = False,
     only_these: bool = False,
     on_bad: str = "fail",
+    alike: Collection[str] = (),
 ) -> DecodedTable:
-    """Typed events of one table. Each message is parsed once, whatever the number of versions.
+    """Typed events of one table. Each message is parsed once, whatever the number of versions. With it come those of tables
+    that are ``alike``, whose ``versions`` have the same columns; ``_version`` tells them apart.
 
     ``only_these`` leaves out messages of other versions; else they are an error, like the rest:
     decoding is strict. Broken JSON, a value of the wrong type, an unknown kind of change or a
@@ -270,7 +272,7 @@ def decode_table(
 
     image_type = T.StructType([_wire_field(table, n, of.values()) for n, of in by_name.items()])
     known = F.col("_version").isin(*versions)
-    of_table = parts.where(F.col("_table") == table)
+    of_table = parts.where(F.col("_table").isin(table, *alike))
     if only_these:
         of_table = of_table.where(known)
     mode = {"mode": "FAILFAST" if strict else "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}

@@ -32,7 +32,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.functions.columns import cols, position, quoted
+from tidemark.functions.columns import POSITION, cols, position, quoted
 from tidemark.operators.decode import SchemaText
 from tidemark.operators.merge import BROADCAST_BYTES, drop_stale, key_size, live_view
 from tidemark.operators.reduce import newest_per_key
@@ -48,6 +48,9 @@ BUCKETS = 1024
 BUCKET = "_bucket"
 _NEWEST = "_newest.json"
 
+# Tells tables apart that are written together.
+_NUMBER = T.StructField("_version", T.LongType())
+
 # Where a search for the latest version starts.
 _HINT = "_latest"
 
@@ -344,11 +347,19 @@ class Replica:
         there are none, which is the normal case of an ordered log. The condition on the position reaches the Parquet files."""
         if not commits:
             return None
-        file_number, offset, _ = (F.lit(n) for n in since)
-        reaches = (F.col("_src_file") > file_number) | (
-            (F.col("_src_file") == file_number) & (F.col("_src_pos") >= offset)
-        )
-        return self._files(table, state, commits, buckets).where(reaches)
+        return self._files(table, state, commits, buckets).where(_reaches(since))
+
+    def stored_alike(
+        self, state: TableState, commits: Mapping[str, tuple[str, int]], since: Position
+    ) -> DataFrame:
+        """Keys and positions that several tables of one schema hold at ``since`` or later, as one read. ``commits`` are plain
+        ones: per name the table and the number that ``_version`` is to have in its rows."""
+        paths = [self._commit_path(table, name) for name, (table, _) in commits.items()]
+        of = F.regexp_extract("_metadata.file_path", "/_commit=([^/]+)/", 1)
+        rows = self.spark.read.schema(with_meta(state.schema)).parquet(*paths).where(_reaches(since))
+        rows = rows.select(*cols(state.keys), *POSITION, of.alias("_op"))  # a name that no column of a source has
+        names = self.spark.createDataFrame([(n, i) for n, (_, i) in commits.items()], "_op string, _version long")
+        return rows.join(F.broadcast(names), "_op").drop("_op")
 
     def reached(
         self, table: str, commits: Sequence[Commit], oldest: Mapping[int, tuple[int, int]]
@@ -420,6 +431,33 @@ class Replica:
             self._put(f"{path}/{_NEWEST}", json.dumps({r[BUCKET]: list(r["newest"]) for r in found.collect()}))
         return came.get["n"], commit
 
+    def write_alike(
+        self, tables: Mapping[int, tuple[str, TableState]], rows: DataFrame, version: int
+    ) -> dict[str, Commit]:
+        """Writes rows of small tables of one schema in one job. ``tables`` are by their number in ``_version``, which ``rows``
+        have beside the table's columns. Returns the commits, which nobody sees yet, of the tables that got rows.
+
+        A table's files become one directory, which then moves to its place. The counts come from what was written."""
+        schema = with_meta(next(iter(tables.values()))[1].schema)
+        keys = next(iter(tables.values()))[1].keys
+        fs, path = self._file_system()
+        commits = {}
+        with self.scratch() as draft:
+            rows.write.partitionBy("_version").parquet(draft)
+            wrote = self.spark.read.schema(T.StructType([*schema.fields, _NUMBER])).parquet(draft)
+            found = wrote.groupBy("_version").agg(
+                F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), key_size(wrote, keys).alias("key_bytes")
+            )
+            for r in found.collect():  # one per table
+                table, _ = tables[r["_version"]]
+                name = f"{version}-{uuid.uuid4().hex}"
+                final = path(self._commit_path(table, name))
+                fs.mkdirs(final.getParent())
+                if not fs.rename(path(f"{draft}/_version={r['_version']}"), final):
+                    raise OSError(f"{final} could not be put in place")
+                commits[table] = Commit(name, r["n"], tuple(r["newest"]), 1, r["key_bytes"])
+        return commits
+
     def _buckets_for(self, rows: int) -> int:
         """The power of two up to ``buckets`` that leaves each at least ``BUCKET_ROWS`` rows."""
         return 1 << max(0, min(self.buckets, rows // BUCKET_ROWS).bit_length() - 1)
@@ -488,6 +526,13 @@ class Replica:
         return f"{self.path}/_stats/{name}".rstrip("/")
 
 
+def _reaches(since: Position) -> Column:
+    file_number, offset, _ = (F.lit(n) for n in since)
+    return (F.col("_src_file") > file_number) | (
+        (F.col("_src_file") == file_number) & (F.col("_src_pos") >= offset)
+    )
+
+
 def bucket_of(state: TableState, buckets: int) -> Column:
     """The bucket of a row: by the hash that a shuffle by key takes as well. Decimals of one value have one bucket, however
     wide they are, as they may widen."""
