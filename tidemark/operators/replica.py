@@ -401,35 +401,45 @@ class Replica:
         Returns how many rows came in, and the commit, or None if no row was left.
 
         The counts come from the write itself. ``rows`` arrive partitioned by key, so both are
-        observed in its last stage, where a retried task reports once.
+        observed in its last stage, where a retried task reports once. If rows are dealt out by bucket before they are
+        written, no stage before that is looked at: with nothing left to write, Spark doesn't finish its plan.
         """
         came, wrote = Observation(), Observation()
-        rows = rows.observe(came, F.count(F.lit(1)).alias("n"))
+        name = f"{version}-{uuid.uuid4().hex}"
+        path = self._commit_path(table, name)
+        buckets = self._buckets_for(rows_at_most)
+        by = bucket_of(state, buckets)
+        # A multiple of each other: then the shuffle by key has put a bucket's rows into few tasks already.
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # type: ignore[arg-type]
+        dealt = bool(tasks % buckets and buckets % tasks)
+        n_came = None
         if stored is not None:
+            if dealt:
+                n_came = rows.select(*cols(state.keys)).count()
+            else:
+                rows = rows.observe(came, F.count(F.lit(1)).alias("n"))
             rows = drop_stale(rows, stored, state.keys)
+        if dealt:
+            rows = rows.repartition(buckets, by)
         size = key_size(rows, state.keys).alias("key_bytes")
         rows = rows.observe(
             wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), size
         )
-        name = f"{version}-{uuid.uuid4().hex}"
-        path = self._commit_path(table, name)
-        buckets = self._buckets_for(rows_at_most)
         if buckets == 1:
             rows.write.parquet(path)
         else:
-            by = bucket_of(state, buckets)
-            # A multiple of each other: then the shuffle by key has put a bucket's rows into one task already.
-            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))  # type: ignore[arg-type]
-            if tasks % buckets and buckets % tasks:
-                rows = rows.repartition(buckets, by)
             rows.withColumn(BUCKET, by).write.partitionBy(BUCKET).parquet(path)
         n, newest, key_bytes = (wrote.get[c] for c in ("n", "newest", "key_bytes"))
+        if stored is None:
+            n_came = n
+        elif n_came is None:
+            n_came = came.get["n"]
         commit = Commit(name, n, tuple(newest), buckets, key_bytes) if n else None
         if commit and buckets > 1:
             found = self.spark.read.schema(with_meta(state.schema)).parquet(path).groupBy(BUCKET).agg(
                 F.max(position()).alias("newest"))
             self._put(f"{path}/{_NEWEST}", json.dumps({r[BUCKET]: list(r["newest"]) for r in found.collect()}))
-        return came.get["n"], commit
+        return n_came, commit
 
     def write_alike(
         self, tables: Mapping[int, tuple[str, TableState]], rows: DataFrame, version: int
