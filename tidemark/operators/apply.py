@@ -30,7 +30,7 @@ from tidemark.operators.decode import (
     versions_of_batch,
     with_places,
 )
-from tidemark.operators.merge import drop_stale, key_size, stored_for
+from tidemark.operators.merge import drop_stale, key_bytes, stored_for
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.replica import Commit, Position, Replica, SchemaTexts, TableState, Version, bucket_of
 from tidemark.operators.schema import TableVersion, align_to, evolve_schema
@@ -356,7 +356,7 @@ class _Batch:
         came = None
         if reached:
             staged = self._cached(staged)
-            came = {r["_version"]: r["count"] for r in staged.groupBy("_version").count().collect()}  # one per table
+            came = {r["_version"]: r["count"] for r in staged.select("_version").groupBy("_version").count().collect()}  # one per table
             stored = self.replica.stored_alike(first.state, {n: (t, i) for n, (t, i, _) in reached.items()}, since)
             if sum(rows for _, _, rows in reached.values()) > MUCH_LARGER * sum(a.events for a in group):
                 stored = stored_for(events, stored, keys, sum(r["key_bytes"] for a in group for r in a.found))
@@ -436,7 +436,8 @@ class _Batch:
         many = max((c.buckets for c in commits), default=1)
         if many == 1:
             return commits, {}
-        by_file = events.groupBy(bucket_of(state, many).alias("bucket"), "_src_file").agg(F.min("_src_pos").alias("pos"))
+        places = events.select(bucket_of(state, many).alias("bucket"), "_src_file", "_src_pos")
+        by_file = places.groupBy("bucket", "_src_file").agg(F.min("_src_pos").alias("pos"))
         oldest: dict[int, tuple[int, int]] = {}
         for r in by_file.collect():  # a few per bucket
             at = (r["_src_file"], r["pos"])
@@ -520,10 +521,12 @@ def _all(spark: SparkSession, calls: Sequence[Callable[[], T_]], threads: int =
 def _summary(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per kind of change: events, where the log starts, bytes of the keys. By log file first: a
     minimum of numbers is hashed, one of structs would sort all events."""
-    by_file = events.groupBy("_op", "_src_file").agg(
+    # Only what is needed, before it is grouped: frames with a TIME can't be grouped in a thread of a pool.
+    sizes = events.select("_op", "_src_file", "_src_pos", key_bytes(events, keys).alias("key_bytes"))
+    by_file = sizes.groupBy("_op", "_src_file").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("_src_pos").alias("_src_pos"),
-        key_size(events, keys).alias("key_bytes"),
+        F.sum("key_bytes").alias("key_bytes"),
     )
     return by_file.groupBy("_op").agg(
         F.sum("n").alias("n"),

@@ -35,13 +35,13 @@ def stored_for(
     return stored.join(F.broadcast(events.select(*cols(keys))), list(keys), "left_semi")
 
 
-def key_size(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Sum of the bytes the keys of all rows take."""
+def key_bytes(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Bytes the key of a row takes."""
     size = F.lit(16 * len(keys)).cast("bigint")
     for k in keys:
         if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)):
             size = size + F.octet_length(F.col(quoted(k)))
-    return F.sum(size)
+    return size
 
 
 def guarded_merge(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:

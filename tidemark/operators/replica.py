@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidemark.functions.columns import POSITION, cols, position, quoted
 from tidemark.operators.decode import SchemaText
-from tidemark.operators.merge import BROADCAST_BYTES, drop_stale, key_size, live_view
+from tidemark.operators.merge import BROADCAST_BYTES, drop_stale, key_bytes, live_view
 from tidemark.operators.reduce import newest_per_key
 from tidemark.operators.schema import with_meta
 
@@ -421,7 +421,7 @@ class Replica:
             rows = drop_stale(rows, stored, state.keys)
         if dealt:
             rows = rows.repartition(buckets, by)
-        size = key_size(rows, state.keys).alias("key_bytes")
+        size = F.sum(key_bytes(rows, state.keys)).alias("key_bytes")
         rows = rows.observe(
             wrote, F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), size
         )
@@ -429,15 +429,16 @@ class Replica:
             rows.write.parquet(path)
         else:
             rows.withColumn(BUCKET, by).write.partitionBy(BUCKET).parquet(path)
-        n, newest, key_bytes = (wrote.get[c] for c in ("n", "newest", "key_bytes"))
+        n, newest, bytes_ = (wrote.get[c] for c in ("n", "newest", "key_bytes"))
         if stored is None:
             n_came = n
         elif n_came is None:
             n_came = came.get["n"]
-        commit = Commit(name, n, tuple(newest), buckets, key_bytes) if n else None
+        commit = Commit(name, n, tuple(newest), buckets, bytes_) if n else None
         if commit and buckets > 1:
-            found = self.spark.read.schema(with_meta(state.schema)).parquet(path).groupBy(BUCKET).agg(
-                F.max(position()).alias("newest"))
+            # Only what is needed, before it is grouped: frames with a TIME can't be grouped in a thread of a pool.
+            places = self.spark.read.schema(with_meta(state.schema)).parquet(path).select(BUCKET, *POSITION)
+            found = places.groupBy(BUCKET).agg(F.max(position()).alias("newest"))
             self._put(f"{path}/{_NEWEST}", json.dumps({r[BUCKET]: list(r["newest"]) for r in found.collect()}))
         return n_came, commit
 
@@ -455,8 +456,9 @@ class Replica:
         with self.scratch() as draft:
             rows.write.partitionBy("_version").parquet(draft)
             wrote = self.spark.read.schema(T.StructType([*schema.fields, _NUMBER])).parquet(draft)
-            found = wrote.groupBy("_version").agg(
-                F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), key_size(wrote, keys).alias("key_bytes")
+            sizes = wrote.select("_version", *POSITION, key_bytes(wrote, keys).alias("key_bytes"))
+            found = sizes.groupBy("_version").agg(
+                F.count(F.lit(1)).alias("n"), F.max(position()).alias("newest"), F.sum("key_bytes").alias("key_bytes")
             )
             for r in found.collect():  # one per table
                 table, _ = tables[r["_version"]]
