@@ -301,7 +301,9 @@ class _Batch:
             for n, d in decoders.items()
         ]
         calls += [partial(self._apply_alike, for_lag, group) for group in alike]
-        done = {n: d for some in _all(self.replica.spark, calls, self.parallel_tables) for n, d in some.items()}
+        largest = max((sum(r["n"] for r in of) for of in (found or {}).values()), default=0)
+        with self.replica.shuffles_by_bucket(largest):
+            done = {n: d for some in _all(self.replica.spark, calls, self.parallel_tables) for n, d in some.items()}
         result = BatchResult(version=self.number)
         states = dict(self.current.tables)
         for name, (counts, state, _, _) in done.items():

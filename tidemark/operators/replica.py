@@ -470,6 +470,20 @@ class Replica:
                 commits[table] = Commit(name, r["n"], tuple(r["newest"]), 1, r["key_bytes"])
         return commits
 
+    @contextmanager
+    def shuffles_by_bucket(self, rows: int) -> Iterator[None]:
+        """While the block runs, shuffles have a power of two of partitions, not fewer than the session says, if so many rows
+        of a table lie in buckets. The shuffle by key, which ranks the events, then fits the buckets, so that rows aren't
+        shuffled once more to be written. No result depends on it."""
+        name = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(name)
+        if self._buckets_for(rows) > 1:
+            self.spark.conf.set(name, 1 << (int(before) - 1).bit_length())  # type: ignore[arg-type]
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)  # type: ignore[arg-type]
+
     def _buckets_for(self, rows: int) -> int:
         """The power of two up to ``buckets`` that leaves each at least ``BUCKET_ROWS`` rows."""
         return 1 << max(0, min(self.buckets, rows // BUCKET_ROWS).bit_length() - 1)
