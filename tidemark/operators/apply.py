@@ -121,31 +121,35 @@ def apply_batch(
     parts = split_messages(raw).drop("_value_schema", "_key_schema")
     if on_bad == "fail":
         parts = with_places(parts)
-    kept = [parts.persist(StorageLevel.MEMORY_AND_DISK)]
+    kept: list[DataFrame] = []
     came = raw.where(F.col("value").isNotNull())
     try:
-        current = replica.version()
-        batch = _Batch(replica, current, run_id, consumer_id, started, kept, parallel_tables)
-        if on_bad == "fail":
-            summary = batch_summary(parts, max_versions)
-            batch = replace(batch, messages=sum(r["n"] for r in summary))
-            texts = texts_of(came, _firsts(summary), current.schemas, max_versions)
-            tables = versions_by_table(parse_versions(texts, logical_types))
-            by_version: dict[int, list[Row]] = {}
-            for r in summary:
-                by_version.setdefault(r["_version"], []).append(r)
-            found = {name: [r for i in of for r in by_version.get(i, ())] for name, of in tables.items()}
-            alike = batch.alike(tables, found)
-            together = {a.table for group in alike for a in group}
-            decoders = {n: partial(_decode, parts, n, of) for n, of in tables.items() if n not in together}
-            schemas = replica.schemas_with(current.schemas, texts)
-            return batch.apply(decoders, schemas, before_publish, found=found, for_lag=parts, alike=alike)
-        texts = versions_of_batch(came, parts, current.schemas, max_versions)
-        versions, unusable = usable_versions(texts, logical_types)
-        tables = versions_by_table(versions)
-        decoders = {name: partial(_decode_usable, parts, name, of, kept) for name, of in tables.items()}
-        schemas = replica.schemas_with(current.schemas, {i: texts[i] for i in versions})
-        return batch.apply(decoders, schemas, before_publish, raw, _of_versions(parts, unusable))
+        with replica.scratch() as path:
+            # Read several times, and larger than memory, so they aren't cached: Spark holds a hundred blocks of 10,000 messages
+            # a task while it writes or reads a cached partition. Of files, a table reads little more than its own messages.
+            parts = replica.written(parts, path)
+            current = replica.version()
+            batch = _Batch(replica, current, run_id, consumer_id, started, kept, parallel_tables)
+            if on_bad == "fail":
+                summary = batch_summary(parts, max_versions)
+                batch = replace(batch, messages=sum(r["n"] for r in summary))
+                texts = texts_of(came, _firsts(summary), current.schemas, max_versions)
+                tables = versions_by_table(parse_versions(texts, logical_types))
+                by_version: dict[int, list[Row]] = {}
+                for r in summary:
+                    by_version.setdefault(r["_version"], []).append(r)
+                found = {name: [r for i in of for r in by_version.get(i, ())] for name, of in tables.items()}
+                alike = batch.alike(tables, found)
+                together = {a.table for group in alike for a in group}
+                decoders = {n: partial(_decode, parts, n, of) for n, of in tables.items() if n not in together}
+                schemas = replica.schemas_with(current.schemas, texts)
+                return batch.apply(decoders, schemas, before_publish, found=found, for_lag=parts, alike=alike)
+            texts = versions_of_batch(came, parts, current.schemas, max_versions)
+            versions, unusable = usable_versions(texts, logical_types)
+            tables = versions_by_table(versions)
+            decoders = {name: partial(_decode_usable, parts, name, of, kept) for name, of in tables.items()}
+            schemas = replica.schemas_with(current.schemas, {i: texts[i] for i in versions})
+            return batch.apply(decoders, schemas, before_publish, raw, _of_versions(parts, unusable))
     finally:
         for df in kept:
             df.unpersist()

@@ -48,6 +48,9 @@ BUCKETS = 1024
 BUCKET = "_bucket"
 _NEWEST = "_newest.json"
 
+# Of messages that are written to be read again, a task holds so many bytes before it compresses and writes them.
+_HELD_BYTES = 32 << 20
+
 # Tells tables apart that are written together.
 _NUMBER = T.StructField("_version", T.LongType())
 
@@ -548,6 +551,11 @@ class Replica:
         finally:
             fs.delete(path(name), True)
 
+    def written(self, rows: DataFrame, path: str) -> DataFrame:
+        """``rows`` as they are read back from files at ``path``, a scratch directory."""
+        rows.write.options(compression="zstd", **{"parquet.block.size": _HELD_BYTES}).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def stats_path(self, name: str = "") -> str:
         return f"{self.path}/_stats/{name}".rstrip("/")
 
